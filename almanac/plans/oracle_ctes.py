@@ -118,3 +118,23 @@ EVENTS_DAILY = """events_daily AS (
   SELECT user_id, event_type, CAST(ts AS DATE) AS dt, count(*) AS n,
          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
   FROM events GROUP BY 1, 2, 3)"""
+
+PANEL = DAILY_WIDE + """,
+pdaily AS (
+  SELECT d.location, d.dt, sum(d.orders) AS orders,
+         sum(CASE WHEN d.race = '1-URGENT' THEN d.orders ELSE 0 END) AS urgent,
+         CAST(n.n_regionkey AS INTEGER) AS state_fips
+  FROM daily_wide d JOIN nation n ON d.location = n.n_nationkey GROUP BY d.location, d.dt, n.n_regionkey),
+pboth AS (
+  SELECT 'county' AS location_type, location, state_fips, dt, orders, urgent FROM pdaily
+  UNION ALL
+  SELECT 'state', CAST(state_fips AS BIGINT), state_fips, dt, sum(orders), sum(urgent)
+  FROM pdaily GROUP BY state_fips, dt),
+plong AS (
+  SELECT location_type, location, state_fips, dt, 'orders' AS category, CAST(orders AS DOUBLE) AS v FROM pboth
+  UNION ALL SELECT location_type, location, state_fips, dt, 'urgent', CAST(urgent AS DOUBLE) FROM pboth),
+panel AS (
+  SELECT location_type, location, state_fips, dt, category,
+         sum(v) OVER (PARTITION BY location_type, location, category ORDER BY dt
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+  FROM plong)"""

@@ -136,7 +136,9 @@ def changelog_report(starts: DataFrame) -> DataFrame:
     per_state = (per_loc.groupBy("week_end", "state").agg(
         F.first(F.when(is_state, F.col("sources")), ignorenulls=True).alias("state_sources"),
         F.array_sort(F.collect_list(F.when(~is_state, F.struct(
-            F.col("fips"), F.col("fullname").alias("name"), F.col("sources"))))).alias("counties")))
+            F.col("fips"), F.col("fullname").alias("name"), F.col("sources")))),
+            lambda a, b: F.when(a["fips"] < b["fips"], -1).when(a["fips"] > b["fips"], 1)
+            .otherwise(0)).alias("counties")))
     return per_state.select(
         "week_end", F.date_sub("week_end", 7).alias("week_start"), "state",
         F.coalesce("state_sources", F.create_map().cast("map<string,array<string>>")).alias("sources"),

@@ -191,3 +191,29 @@ def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return (ev.groupBy("user_id", "event_type", F.col("ts").cast("date").alias("dt"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(dec2("value")).cast("double").alias("value")))
+
+
+def county_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative panel per nation (county) and region (state), for the
+    categories ``orders`` (all orders) and ``urgent`` (1-URGENT orders; flat
+    on days without one). Columns: location_type, location, state_fips, dt,
+    category, value."""
+    from almanac.operators.reshape import melt
+    from almanac.operators.windows import running_total
+    dw = daily_wide(spark, sf_dir)
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("location"),
+        F.col("n_regionkey").cast("int").alias("state_fips"))
+    daily = (dw.groupBy("location", "dt")
+             .agg(F.sum("orders").alias("orders"),
+                  F.sum(F.when(F.col("race") == "1-URGENT", F.col("orders")).otherwise(0)).alias("urgent"))
+             .join(F.broadcast(nation), ["location"]))
+    county = daily.withColumn("location_type", F.lit("county"))
+    state = (daily.groupBy("state_fips", "dt")
+             .agg(F.sum("orders").alias("orders"), F.sum("urgent").alias("urgent"))
+             .withColumns({"location": F.col("state_fips").cast("bigint"),
+                           "location_type": F.lit("state")}))
+    both = county.unionByName(state)
+    long = melt(both, ["location_type", "location", "state_fips", "dt"], ["orders", "urgent"],
+                var_name="category")
+    return running_total(long, ["location_type", "location", "category"], "dt", "value")
