@@ -1 +1,331 @@
-"""Catalog part (registered by import)."""
+"""Catalog part 4: landed files, paged/encoded JSON payloads, request-log
+stream and incremental ingest.
+
+Payloads are built from the test tables by Spark (pages of at most 100
+records keyed by ``id div 100``), written as landed files or JSON text, and
+flattened back; the oracle states the source rows directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from almanac import functions as X
+from almanac.plans import oracle_ctes as C
+from almanac.plans import testbed as TB
+from almanac.plans.catalog import query
+from almanac.session import scratch_path, table
+from almanac.sources import files as FS
+from almanac.sources import pages as PG
+from almanac.streaming import request_log as RL
+
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.DateType()), T.StructField("o_orderpriority", T.StringType())])
+
+_ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"""
+
+
+def _orders(spark, sf):
+    return table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+def _pages(df, key: str, fields, size: int = 100):
+    """Group records into pages of ``size`` ids (bounded page size)."""
+    return (df.groupBy((F.col(key) / size).cast("bigint").alias("page"))
+            .agg(F.collect_list(F.struct(*fields)).alias("recs")))
+
+
+def _as_json_lines(df, spark, schema):
+    """Round-trip through JSON text, as landed files would be read."""
+    text = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    return text.select(F.from_json("value", schema).alias("j")).select("j.*")
+
+
+# --------------------------------------------------------------- CSV and JSON files
+
+@query("scan_csv", _ORDERS_SQL)
+def q_scan_csv(spark, sf):
+    path = scratch_path(spark, "csv-orders")
+    _orders(spark, sf).write.option("header", True).csv(path)
+    return FS.scan_csv(spark, path, ORDERS_SCHEMA)
+
+
+@query("scan_csv_typed", """
+SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS fips, c_acctbal FROM customer""")
+def q_scan_csv_typed(spark, sf):
+    path = scratch_path(spark, "csv-customer")
+    c = table(spark, sf, "customer").select("c_custkey", X.zero_pad("c_nationkey").alias("fips"),
+                                            "c_acctbal")
+    c.write.option("header", True).csv(path)
+    schema = "c_custkey bigint, fips string, c_acctbal double"  # fips stays text: leading zeros kept
+    return FS.scan_csv(spark, path, schema)
+
+
+@query("scan_multi_file_tagged", """
+SELECT event_id, user_id, value, 'county' AS location_type FROM events WHERE event_type IN ('click', 'view')
+UNION ALL SELECT event_id, user_id, value, 'state' FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, 0, value, 'nation' FROM events WHERE event_type = 'signup'""")
+def q_scan_multi_file_tagged(spark, sf):
+    ev = table(spark, sf, "events")
+    root = scratch_path(spark, "multi")
+    ev.filter(F.col("event_type").isin("click", "view")).select("event_id", "user_id", "value") \
+        .write.option("header", True).csv(f"{root}/counties")
+    ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "value") \
+        .write.option("header", True).csv(f"{root}/states")
+    ev.filter(F.col("event_type") == "signup").select("event_id", "value") \
+        .write.option("header", True).csv(f"{root}/nation")
+    s3 = "event_id bigint, user_id bigint, value double"
+    return FS.scan_multi_file_tagged(spark, [
+        {"path": f"{root}/counties", "schema": s3, "tags": {"location_type": "county"}},
+        {"path": f"{root}/states", "schema": s3, "tags": {"location_type": "state"}},
+        {"path": f"{root}/nation", "schema": "event_id bigint, value double",
+         "tags": {"location_type": "nation"}, "fill": {"user_id": 0}},
+    ]).withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
+@query("scan_json_records", """
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders""")
+def q_scan_json_records(spark, sf):
+    path = scratch_path(spark, "json-orders")
+    _orders(spark, sf).write.json(path)
+    return FS.scan_json_records(spark, path, ORDERS_SCHEMA, row_cap=20_000_000,
+                                columns=["o_orderkey", "o_totalprice", "o_orderpriority"])
+
+
+# --------------------------------------------------------------- paged payloads
+
+_ATTRS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+_ATTRS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+
+
+@query("flatten_feature_pages", _ATTRS_SQL)
+def q_flatten_feature_pages(spark, sf):
+    o = _orders(spark, sf)
+    pages = (o.groupBy((F.col("o_orderkey") / 100).cast("bigint").alias("page"))
+             .agg(F.collect_list(F.struct(F.struct(*_ATTRS).alias("attributes"))).alias("features"))
+             .withColumn("exceededTransferLimit", F.lit(False)))
+    path = scratch_path(spark, "feature-pages")
+    pages.write.json(path)
+    attr = T.StructType([f for f in ORDERS_SCHEMA.fields if f.name in _ATTRS])
+    schema = T.StructType([T.StructField("page", T.LongType()),
+                           T.StructField("features", T.ArrayType(T.StructType([
+                               T.StructField("attributes", attr)]))),
+                           T.StructField("exceededTransferLimit", T.BooleanType())])
+    return PG.flatten_feature_pages(spark.read.schema(schema).json(path))
+
+
+@query("flatten_record_pages", _ATTRS_SQL)
+def q_flatten_record_pages(spark, sf):
+    o = _orders(spark, sf)
+    total = o.select(F.count(F.lit(1))).scalar()
+    pages = _pages(o, "o_orderkey", _ATTRS).select(
+        "page", F.lit(True).alias("success"),
+        F.struct(total.alias("total"), F.col("recs").alias("records")).alias("result"))
+    schema = T.StructType([
+        T.StructField("page", T.LongType()), T.StructField("success", T.BooleanType()),
+        T.StructField("result", T.StructType([
+            T.StructField("total", T.LongType()),
+            T.StructField("records", T.ArrayType(T.StructType(
+                [f for f in ORDERS_SCHEMA.fields if f.name in _ATTRS])))]))])
+    return PG.flatten_record_pages(_as_json_lines(pages, spark, schema))
+
+
+@query("flatten_keyed_array", """
+SELECT event_id, user_id, event_type, value FROM events""")
+def q_flatten_keyed_array(spark, sf):
+    ev = table(spark, sf, "events")
+    pages = _pages(ev, "event_id", ["event_id", "user_id", "event_type", "value"]) \
+        .withColumnRenamed("recs", "data")
+    schema = T.StructType([T.StructField("page", T.LongType()), T.StructField("data", T.ArrayType(
+        T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                      T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])))])
+    return PG.flatten_keyed_array(_as_json_lines(pages, spark, schema))
+
+
+@query("flatten_positional_records", """
+SELECT event_id, user_id, value FROM events""")
+def q_flatten_positional_records(spark, sf):
+    ev = table(spark, sf, "events")
+    rows = ev.select("event_id", F.array(F.col("event_id").cast("string"), F.col("user_id").cast("string"),
+                                         F.concat(F.col("value").cast("string"), F.lit("D"))).alias("C"))
+    pages = _pages(rows, "event_id", ["C"]).withColumnRenamed("recs", "rows")
+    schema = "page bigint, rows array<struct<C: array<string>>>"
+    return PG.flatten_positional_records(
+        _as_json_lines(pages, spark, schema), ["event_id", "user_id", "value"],
+        types={"event_id": "bigint", "user_id": "bigint", "value": "double"},
+        strip_suffix={"value": "D"})
+
+
+@query("flatten_hierarchy", """
+SELECT o_orderkey // 100 AS page, o_orderstatus, o_orderpriority, o_orderkey, o_totalprice
+FROM orders""")
+def q_flatten_hierarchy(spark, sf):
+    o = _orders(spark, sf).withColumn("page", (F.col("o_orderkey") / 100).cast("bigint"))
+    lvl2 = (o.groupBy("page", "o_orderstatus", "o_orderpriority")
+            .agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("DM2")))
+    lvl1 = (lvl2.groupBy("page", "o_orderstatus")
+            .agg(F.collect_list(F.struct("o_orderpriority", F.struct("DM2").alias("M"))).alias("DM1")))
+    lvl0 = (lvl1.groupBy("page")
+            .agg(F.collect_list(F.struct("o_orderstatus", F.struct("DM1").alias("M"))).alias("DM0")))
+    return PG.flatten_hierarchy(lvl0, [("DM0", ["o_orderstatus"]), ("DM1", ["o_orderpriority"]),
+                                       ("DM2", ["o_orderkey", "o_totalprice"])], keep=["page"])
+
+
+@query("flatten_nested_paths", """
+SELECT event_id AS id, user_id AS meta_user_id, event_type AS meta_type, value AS metrics_value,
+       props AS metrics_props FROM events""")
+def q_flatten_nested_paths(spark, sf):
+    ev = table(spark, sf, "events")
+    nested = ev.select(F.col("event_id").alias("id"),
+                       F.struct(F.struct(F.col("user_id").alias("id")).alias("user"),
+                                F.col("event_type").alias("type")).alias("meta"),
+                       F.struct("value", "props").alias("metrics"))
+    return PG.flatten_nested_paths(nested)
+
+
+@query("pick_by_path_substring", """
+SELECT event_id AS id, value AS doses, user_id AS who FROM events""")
+def q_pick_by_path_substring(spark, sf):
+    ev = table(spark, sf, "events")
+    nested = ev.select(F.struct(F.col("event_id").alias("id")).alias("key"),
+                       F.struct(F.struct(F.col("user_id").alias("user_id")).alias("descriptor"),
+                                F.struct(F.col("value").alias("dose_count")).alias("dsr")).alias("result"))
+    flat = PG.flatten_nested_paths(nested)
+    return PG.pick_by_path_substring(flat, {"id": "key_id", "doses": "dose", "who": "user"})
+
+
+@query("decode_dictionary_columns", """
+SELECT o_orderkey // 100 AS payload, CAST(o_orderkey AS VARCHAR) AS "key-value",
+       CAST(o_totalprice AS VARCHAR) AS "price-value", o_orderpriority AS "priority-alias" FROM orders""")
+def q_decode_dictionary_columns(spark, sf):
+    o = _orders(spark, sf).withColumn("payload", (F.col("o_orderkey") / 100).cast("bigint"))
+    per = (o.groupBy("payload")
+           .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice", "o_orderpriority")))
+                .alias("rows")))
+    prios = F.array_sort(F.array_distinct(F.transform("rows", lambda r: r["o_orderpriority"])))
+    per = per.withColumn("prios", prios)
+    n = F.size("rows")
+    seq = F.sequence(F.lit(0), n - 1)
+    payload = per.select(
+        "payload",
+        F.array(
+            F.struct(F.lit("cstring").alias("dataType"), F.col("prios").alias("dataValues")),
+            F.struct(F.lit("integer").alias("dataType"),
+                     F.transform("rows", lambda r: r["o_orderkey"].cast("string")).alias("dataValues")),
+            F.struct(F.lit("real").alias("dataType"),
+                     F.transform("rows", lambda r: r["o_totalprice"].cast("string")).alias("dataValues")),
+        ).alias("dataColumns"),
+        F.array(
+            F.struct(F.lit("key").alias("fieldCaption"), F.lit("integer").alias("dataType"),
+                     seq.alias("valueIndices"), F.array().cast("array<int>").alias("aliasIndices")),
+            F.struct(F.lit("price").alias("fieldCaption"), F.lit("real").alias("dataType"),
+                     seq.alias("valueIndices"), F.array().cast("array<int>").alias("aliasIndices")),
+            # negative alias indices point into the cstring dictionary
+            F.struct(F.lit("priority").alias("fieldCaption"), F.lit("real").alias("dataType"),
+                     F.array().cast("array<int>").alias("valueIndices"),
+                     F.transform("rows", lambda r: -F.array_position(F.col("prios"), r["o_orderpriority"])
+                                 .cast("int")).alias("aliasIndices")),
+        ).alias("columns"))
+    long = PG.decode_dictionary_columns(payload)
+    wide = PG.pivot_decoded(long, ["key-value", "price-value", "priority-alias"])
+    return wide.drop("pos")
+
+
+@query("decode_delta_rows", """
+SELECT user_id AS page, event_type, CAST(hour(ts) AS VARCHAR) AS hour, CAST(event_id AS VARCHAR) AS event
+FROM events""")
+def q_decode_delta_rows(spark, sf):
+    from pyspark.sql import Window
+    ev = table(spark, sf, "events").select(
+        F.col("user_id").alias("page"), "event_type", F.hour("ts").cast("string").alias("hour"),
+        F.col("event_id").cast("string").alias("event"), "event_id")
+    # delta-encode: per page in (type, hour, id) order, leave out the leading
+    # values that equal the previous row's
+    w = Window.partitionBy("page").orderBy("event_type", "hour", "event_id")
+    same_t = F.coalesce(F.lag("event_type").over(w) == F.col("event_type"), F.lit(False))
+    same_h = same_t & F.coalesce(F.lag("hour").over(w) == F.col("hour"), F.lit(False))
+    full = F.array("event_type", "hour", "event")
+    c = F.when(same_h, F.slice(full, 3, 1)).when(same_t, F.slice(full, 2, 2)).otherwise(full)
+    rows = ev.select("page", F.struct(F.struct(c.alias("C")).alias("r"),
+                                      F.col("event_type"), F.col("hour"), F.col("event_id")).alias("k"))
+    pages = rows.groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(
+            F.col("k.event_type"), F.col("k.hour"), F.col("k.event_id"), F.col("k.r")))),
+            lambda x: x["r"]).alias("DM1"))
+    out = PG.decode_delta_rows(pages, ["event_type", "hour", "event"], initial="0")
+    return out.drop("ordinal")
+
+
+# --------------------------------------------------------------- request log
+
+def _request_log_events(spark, sf):
+    ev = table(spark, sf, "events")
+    headers = F.when(F.col("event_type") == "click", F.create_map(
+        F.lit("x-forwarded-for"), F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")),
+        F.lit("user-agent"), F.concat(F.lit("agent/"), F.col("event_type")))).otherwise(
+        F.create_map(F.lit("user-agent"), F.concat(F.lit("agent/"), F.col("event_type"))))
+    nested = ev.select(
+        F.struct(F.lit(0).cast("bigint").alias("created_at"), F.col("user_id").cast("string").alias("id"),
+                 F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username")).alias("consumer"),
+        F.struct((F.col("value") * 10).cast("bigint").alias("request"),
+                 (F.col("value")).cast("bigint").alias("kong"),
+                 (F.col("value") * 9).cast("bigint").alias("proxy")).alias("latencies"),
+        F.struct(F.concat(F.lit("https://api.example/covid_us?type="), F.col("event_type")).alias("url"),
+                 headers.alias("headers"), F.lit("GET").alias("method"),
+                 F.lit("120").alias("size")).alias("request"),
+        F.concat(F.lit("192.168.0."), F.col("user_id").cast("string")).alias("client_ip"),
+        F.struct(F.when(F.col("event_type") == "error", 500).otherwise(200).cast("bigint").alias("status"),
+                 (F.col("event_id") * 7).cast("string").alias("size")).alias("response"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("started_at"))
+    return nested.select(F.to_json(F.struct(*nested.columns)).alias("value"))
+
+
+_REQUEST_LOG_SQL = """
+SELECT 'user_' || CAST(user_id AS VARCHAR) AS username, CAST(trunc(value * 10) AS BIGINT) AS request_latency,
+  CAST(trunc(value) AS BIGINT) AS kong_latency, CAST(trunc(value * 9) AS BIGINT) AS proxy_latency,
+  'https://api.example/covid_us?type=' || event_type AS request_url,
+  CASE WHEN event_type = 'click' THEN '10.0.0.' || CAST(user_id AS VARCHAR)
+       ELSE '192.168.0.' || CAST(user_id AS VARCHAR) END AS client_ip,
+  CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS response_status,
+  CAST(event_id * 7 AS INTEGER) AS response_size,
+  make_timestamp(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) * 1000) AS started_at,
+  'agent/' || event_type AS user_agent
+FROM events"""
+
+
+@query("request_log_flatten", _REQUEST_LOG_SQL)
+def q_request_log_flatten(spark, sf):
+    """Batch and stream share one function: the events land as JSON files and
+    a Structured Streaming query (availableNow) flattens them."""
+    landing = scratch_path(spark, "request-log-landing")
+    out = scratch_path(spark, "request-log-out")
+    ckpt = scratch_path(spark, "request-log-ckpt")
+    _request_log_events(spark, sf).write.text(landing)
+    RL.run_request_log_stream(spark, landing, out, ckpt)
+    return spark.read.parquet(out)
+
+
+# --------------------------------------------------------------- incremental ingest
+
+@query("stream_upsert", "WITH " + C.UPSERTED + " SELECT * FROM upserted")
+def q_stream_upsert(spark, sf):
+    """Base state written as the fact table; the batch lands as two file
+    drops; the stream upserts each drop, newest last."""
+    from almanac.operators.store import FactTable
+    from almanac.streaming.ingest import stream_upsert
+    res = TB.resolved(spark, sf)
+    base, batch = TB.fact_base(spark, sf, res), TB.fact_batch(spark, sf, res)
+    fact_path = scratch_path(spark, "fact")
+    landing = scratch_path(spark, "fact-landing")
+    ckpt = scratch_path(spark, "fact-ckpt")
+    table_ = FactTable(spark, fact_path)
+    table_.write_state(base)
+    cut = F.lit("1999-01-01").cast("date")
+    batch.filter(F.col("dt") < cut).write.parquet(f"{landing}/drop=1")
+    batch.filter(F.col("dt") >= cut).write.parquet(f"{landing}/drop=2")
+    stream_upsert(spark, landing + "/*", fact_path, ckpt)
+    return table_.read()

@@ -1 +1,161 @@
-"""Catalog part (registered by import)."""
+"""Catalog part 3: fact-table state (upsert, select, delete, undelete,
+reprocess), snapshots and publishing."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from almanac.operators import store as ST
+from almanac.plans import oracle_ctes as C
+from almanac.plans import serve as S
+from almanac.plans import testbed as TB
+from almanac.plans.catalog import query
+from almanac.plans.queries_more import VIEW, _view
+from almanac.session import scratch_path
+from almanac.sources import files as FS
+
+_PK = "dt, location_id, variable_id, demographic_id, provider_id"
+
+
+def _versions(spark, sf):
+    res = TB.resolved(spark, sf)
+    return TB.fact_base(spark, sf, res), TB.fact_batch(spark, sf, res)
+
+
+@query("upsert", "WITH " + C.UPSERTED + " SELECT * FROM upserted")
+def q_upsert(spark, sf):
+    base, batch = _versions(spark, sf)
+    return ST.upsert(base, batch)
+
+
+@query("upsert_counts", "WITH " + C.FACTS + f"""
+SELECT count(*) FILTER (WHERE o.dt IS NULL) AS rows_inserted,
+       count(*) FILTER (WHERE o.dt IS NOT NULL) AS rows_updated, count(*) AS batch_rows
+FROM fact_batch n LEFT JOIN (SELECT {_PK}, true AS hit FROM fact_base) o USING ({_PK})""")
+def q_upsert_counts(spark, sf):
+    base, batch = _versions(spark, sf)
+    return ST.upsert_counts(base, batch)
+
+
+@query("upsert_revives_deleted", "WITH " + C.UPSERTED + f"""
+SELECT u.* FROM upserted u JOIN fact_base o USING ({_PK}) WHERE o.deleted AND NOT u.deleted""")
+def q_upsert_revives_deleted(spark, sf):
+    base, batch = _versions(spark, sf)
+    merged = ST.upsert(base, batch)
+    was_deleted = base.filter("deleted").select(*ST.FACT_PK)
+    return merged.join(was_deleted, ST.FACT_PK, "left_semi").filter(~F.col("deleted"))
+
+
+_SELECTED = f"""
+  provider_id IN (SELECT id FROM providers WHERE regexp_matches(name, 'F|O'))
+  AND variable_id IN (SELECT id FROM variables WHERE regexp_matches(category, 'rev|ord')
+                      AND regexp_matches(unit, '.+') AND regexp_matches(measurement, 'new'))
+  AND location_id IN (SELECT id FROM locations WHERE state_fips = 1
+                      AND regexp_matches(location_type, 'coun'))
+  AND dt >= DATE '1996-01-01' AND dt <= DATE '1998-06-30'"""
+
+_DELETE_ARGS = dict(provider="F|O", variable_regex="rev|ord", measurement_regex="new", state_fips=1,
+                    location_type_regex="coun", start_date="1996-01-01", end_date="1998-06-30")
+
+
+@query("soft_delete", "WITH " + C.FACTS + f""",
+nb AS (SELECT coalesce(max(delete_batch_id), 0) + 1 AS b FROM fact_base)
+SELECT dt, location_id, variable_id, demographic_id, provider_id, value, last_updated, source_url,
+       source_name, CASE WHEN sel THEN true ELSE deleted END AS deleted,
+       CASE WHEN sel THEN b ELSE delete_batch_id END AS delete_batch_id, sel AS changed
+FROM (SELECT *, ({_SELECTED}) AS sel FROM fact_base), nb""")
+def q_soft_delete(spark, sf):
+    base = TB.fact_base(spark, sf)
+    batch_id = ST.next_batch_id(base)
+    return ST.soft_delete(base, TB.providers(spark), TB.variables(spark), TB.locations(spark, sf),
+                          batch_id=batch_id, **_DELETE_ARGS)
+
+
+@query("undelete", "WITH " + C.FACTS + """
+SELECT dt, location_id, variable_id, demographic_id, provider_id, value, last_updated, source_url,
+       source_name, CASE WHEN coalesce(delete_batch_id = 7, false) THEN false ELSE deleted END AS deleted,
+       CASE WHEN coalesce(delete_batch_id = 7, false) THEN NULL ELSE delete_batch_id END AS delete_batch_id,
+       coalesce(delete_batch_id = 7, false) AS changed
+FROM fact_base""")
+def q_undelete(spark, sf):
+    return ST.undelete(TB.fact_base(spark, sf), TB.BASE_DELETE_BATCH)
+
+
+@query("select_observations", "WITH " + C.FACTS + """
+SELECT * FROM fact_base
+WHERE provider_id IN (SELECT id FROM providers WHERE regexp_matches(name, 'P'))
+  AND variable_id IN (SELECT id FROM variables WHERE regexp_matches(category, '.+')
+                      AND regexp_matches(unit, 'count|usd') AND regexp_matches(measurement, '.+'))
+  AND location_id IN (SELECT id FROM locations WHERE location = 5)
+  AND dt >= DATE '1995-06-01'""")
+def q_select_observations(spark, sf):
+    # the location filter beats the state filter; the type regex would only
+    # apply in the state branch
+    return ST.select_observations(TB.fact_base(spark, sf), TB.providers(spark), TB.variables(spark),
+                                  TB.locations(spark, sf), provider="P", unit_regex="count|usd",
+                                  location=5, state_fips=3, location_type_regex="state",
+                                  start_date="1995-06-01")
+
+
+@query("reprocess_vintages", "WITH " + C.FACTS + f""",
+v2 AS (SELECT * REPLACE (value * 3 AS value, TIMESTAMP '2024-04-01 05:00:00' AS last_updated)
+       FROM fact_batch WHERE dt >= DATE '1999-01-01'),
+allv AS (SELECT * FROM fact_batch UNION ALL SELECT * FROM v2),
+newest AS (
+  SELECT {_PK}, arg_max(value, last_updated) AS value, max(last_updated) AS last_updated,
+         arg_max(source_url, last_updated) AS source_url, arg_max(source_name, last_updated) AS source_name,
+         arg_max(deleted, last_updated) AS deleted, arg_max(delete_batch_id, last_updated) AS delete_batch_id
+  FROM allv GROUP BY {_PK})
+SELECT dt, location_id, variable_id, demographic_id, provider_id,
+       CASE WHEN n.dt IS NOT NULL THEN n.value ELSE o.value END AS value,
+       CASE WHEN n.dt IS NOT NULL THEN n.last_updated ELSE o.last_updated END AS last_updated,
+       CASE WHEN o.dt IS NOT NULL THEN o.source_url ELSE n.source_url END AS source_url,
+       CASE WHEN o.dt IS NOT NULL THEN o.source_name ELSE n.source_name END AS source_name,
+       CASE WHEN n.dt IS NOT NULL THEN n.deleted ELSE o.deleted END AS deleted,
+       CASE WHEN n.dt IS NOT NULL THEN n.delete_batch_id ELSE o.delete_batch_id END AS delete_batch_id
+FROM fact_base o FULL OUTER JOIN newest n USING ({_PK})""")
+def q_reprocess_vintages(spark, sf):
+    base, batch = _versions(spark, sf)
+    v2 = (batch.filter(F.col("dt") >= F.lit("1999-01-01").cast("date"))
+          .withColumns({"value": F.col("value") * 3,
+                        "last_updated": F.lit("2024-04-01 05:00:00").cast("timestamp_ntz")}))
+    newest = ST.newest_vintage_wins(batch.unionByName(v2))
+    return ST.upsert(base, newest)
+
+
+@query("publish_view", "WITH " + VIEW + " SELECT * FROM api_view")
+def q_publish_view(spark, sf):
+    root = scratch_path(spark, "publish")
+    paths = S.publish_view(_view(spark, sf), root, _dt.date(2024, 2, 1))
+    return spark.read.parquet(paths["latest"])
+
+
+@query("write_snapshot", "WITH " + C.OBS + " SELECT * FROM obs")
+def q_write_snapshot(spark, sf):
+    root = scratch_path(spark, "snapshots")
+    FS.write_snapshot(TB.obs(spark, sf), root, "orders", "2024-02-01_05")
+    return FS.read_snapshot(spark, root, "orders", "2024-02-01_05")
+
+
+@query("read_snapshot", "WITH " + C.OBS + " SELECT * FROM obs WHERE category = 'revenue'")
+def q_read_snapshot(spark, sf):
+    root = scratch_path(spark, "snapshots")
+    o = TB.obs(spark, sf)
+    FS.write_snapshot(o.filter(F.col("category") == "revenue"), root, "orders", "2024-02-01_05")
+    FS.write_snapshot(o.filter(F.col("category") == "orders"), root, "orders", "2024-01-01_05")
+    FS.write_snapshot(o.filter(F.col("category") == "quantity"), root, "lines", "2024-02-01_05")
+    return FS.read_snapshot(spark, root, "orders", "2024-02-01_05")
+
+
+@query("list_vintages", """
+SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d_%H') AS vintage FROM orders
+WHERE strftime(o_orderdate, '%Y-%m-%d_%H') BETWEEN '1996-01-01_00' AND '1996-12-31_23'
+UNION ALL SELECT max(strftime(o_orderdate, '%Y-%m-%d_%H')) FROM orders""")
+def q_list_vintages(spark, sf):
+    from almanac.session import table
+    snaps = table(spark, sf, "orders").select(FS.vintage_text("o_orderdate").alias("vintage"))
+    year = FS.list_vintages(snaps, "1996-01-01_00", "1996-12-31_23")
+    last = FS.list_vintages(snaps, only_last=True)
+    return year.unionByName(last)
