@@ -37,7 +37,8 @@ def apply_deltas(panel: DataFrame, deltas: DataFrame, value: str = "value",
 
 
 def _corrections_frame(spark: SparkSession, corrections, cols: str) -> DataFrame:
-    return spark.createDataFrame(list(corrections), cols).withColumn("dt", F.col("dt").cast("date"))
+    from almanac.session import literal_frame
+    return literal_frame(spark, list(corrections), cols).withColumn("dt", F.col("dt").cast("date"))
 
 
 def backfill_county(panel: DataFrame, corrections, locations: DataFrame, category: str,

@@ -19,15 +19,25 @@ from almanac.schema import DEMOGRAPHIC_COLUMNS, VARIABLE_COLUMNS
 
 BROADCAST_MAX_ROWS = 1_000_000
 
+# (session, plan hash, bound) -> bounded row count; a dimension plan is
+# checked once per session however often it is joined.
+_CHECKED: dict[tuple, int] = {}
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if the side has at most ``max_rows`` rows.
 
-    The check is a ``limit(max_rows + 1).count()`` job, so it never scans
-    more than the bound; a larger side is joined without the hint.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+def bounded_rows(df: DataFrame, max_rows: int) -> int:
+    """Row count capped at ``max_rows + 1`` (``limit(max_rows + 1).count()``,
+    so the check never scans past the bound), memoised by semantic plan."""
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count()
+    return _CHECKED[key]
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only if the side has at most ``max_rows`` rows; a
+    larger side is joined without the hint (sort-merge, or AQE's runtime
+    choice)."""
+    return F.broadcast(dim) if bounded_rows(dim, max_rows) <= max_rows else dim
 
 
 def load_dimension(dim: DataFrame, natural_key: Sequence[str], id_column: str = "id",
@@ -39,8 +49,7 @@ def load_dimension(dim: DataFrame, natural_key: Sequence[str], id_column: str =
     Dimension tables are bounded (checked here), so the global ordering for
     the ids is a small single-task sort; fact tables never go through this.
     """
-    n = dim.limit(max_rows + 1).count()
-    if n > max_rows:
+    if bounded_rows(dim, max_rows) > max_rows:
         raise ValidationError(f"dimension larger than {max_rows} rows; not a dimension")
     key = list(natural_key)
     dedup = dim.dropDuplicates(key)

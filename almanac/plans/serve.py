@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from almanac.functions import week_end_monday
 from almanac.operators.joins import bounded_broadcast
 from almanac.schema import PUBLISHED_SCHEMA
+from almanac.session import literal_frame
 
 VIEW_COLUMNS = [f.name for f in PUBLISHED_SCHEMA.fields]
 # which dimension supplies which view column
@@ -151,7 +152,7 @@ def dataset_variables(view: DataFrame, registry: Mapping[str, Sequence[str]] | N
     out = view.select(F.col(dataset_column).alias("dataset"), "variable_name").distinct()
     if registry:
         spark: SparkSession = view.sparkSession
-        extra = spark.createDataFrame([(d, v) for d, vs in registry.items() for v in vs],
+        extra = literal_frame(spark, [(d, v) for d, vs in registry.items() for v in vs],
                                       "dataset string, variable_name string")
         out = out.unionByName(extra).distinct()
     return out

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import dec2
 from almanac.operators.reshape import cmu, reshape_variables
-from almanac.session import table
+from almanac.session import literal_frame, table
 
 # Fixed run time of the test-bed load (vintage).
 RUN_TS = "2024-02-01 05:00:00"
@@ -116,7 +116,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def variables(spark: SparkSession) -> DataFrame:
     from almanac.operators.joins import load_dimension
-    raw = spark.createDataFrame(VARIABLE_TRIPLES, "category string, measurement string, unit string")
+    raw = literal_frame(spark, VARIABLE_TRIPLES, "category string, measurement string, unit string")
     return load_dimension(raw, ["category", "measurement", "unit"])
 
 
@@ -130,7 +130,7 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 def providers(spark: SparkSession) -> DataFrame:
     from almanac.operators.joins import load_dimension
-    raw = spark.createDataFrame([(n, 1) for n in PROVIDER_NAMES], "name string, priority int")
+    raw = literal_frame(spark, [(n, 1) for n in PROVIDER_NAMES], "name string, priority int")
     return load_dimension(raw, ["name"])
 
 
@@ -141,7 +141,7 @@ def demographic_rows(segments=SEGMENTS, priorities=PRIORITIES) -> list[tuple]:
 
 def demographics(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     from almanac.operators.joins import load_dimension
-    raw = spark.createDataFrame(rows or demographic_rows(),
+    raw = literal_frame(spark, rows or demographic_rows(),
                                 "age string, race string, ethnicity string, sex string")
     return load_dimension(raw, ["age", "race", "ethnicity", "sex"])
 

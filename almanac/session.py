@@ -74,3 +74,30 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small literal table (bootstrap lists, correction lists) as an inline
+    ``VALUES`` relation: the planner knows its exact size, and repeated builds
+    have the same plan. ``schema`` is a DDL string such as ``"name string, n int"``."""
+    from pyspark.sql.types import DataType
+    st = DataType.fromDDL(schema)
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], st)
+    names = [f.name for f in st.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(`c{i}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                     for i, f in enumerate(st.fields))
+    inner = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({inner})")
