@@ -21,19 +21,23 @@ SERIES = ["location_type", "location", "category"]
 
 
 def apply_deltas(panel: DataFrame, deltas: DataFrame, value: str = "value",
-                 series: Sequence[str] = tuple(SERIES), dt: str = "dt") -> DataFrame:
+                 series: Sequence[str] = tuple(SERIES), dt: str = "dt",
+                 bucket=None) -> DataFrame:
     """Subtract, from every row, the sum of the series' deltas dated on or
     before the row's date. ``deltas`` has the series columns, ``dt`` and
-    ``delta``."""
+    ``delta``. ``bucket`` (a function of the date column, e.g. ``F.year``)
+    splits long series for the running sum."""
+    from almanac.operators.windows import running_sum
     series = list(series)
     rows = panel.withColumns({"__kind": F.lit(1), "__delta": F.lit(0).cast("bigint")})
     d = deltas.select(*series, dt, F.lit(0).alias("__kind"), F.col("delta").cast("bigint").alias("__delta"))
     both = rows.unionByName(d, allowMissingColumns=True)
-    w = (Window.partitionBy(*series).orderBy(F.col(dt), F.col("__kind"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    adj = F.sum("__delta").over(w)
-    return (both.withColumn(value, F.col(value) - adj)
-            .filter(F.col("__kind") == 1).drop("__kind", "__delta"))
+    order = F.struct(F.col(dt), F.col("__kind"))
+    adj = running_sum(both, series, order, "__delta", "__adj",
+                      bucket=bucket(F.col(dt)) if bucket is not None else None)
+    return (adj.filter(F.col("__kind") == 1)
+            .withColumn(value, F.col(value) - F.col("__adj"))
+            .drop("__kind", "__delta", "__adj"))
 
 
 def _corrections_frame(spark: SparkSession, corrections, cols: str) -> DataFrame:
@@ -42,7 +46,7 @@ def _corrections_frame(spark: SparkSession, corrections, cols: str) -> DataFrame
 
 
 def backfill_county(panel: DataFrame, corrections, locations: DataFrame, category: str,
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", bucket=None) -> DataFrame:
     """For each (county, date, n): subtract n from the county and from its
     state on all dates >= date. ``corrections`` is a list of
     (location, date, n); a county's state comes from ``locations``."""
@@ -56,11 +60,11 @@ def backfill_county(panel: DataFrame, corrections, locations: DataFrame, categor
              .select(F.lit("state").alias("location_type"),
                      F.col("state_fips").cast("bigint").alias("location"), "dt", "delta"))
     deltas = county.unionByName(state).withColumn("category", F.lit(category))
-    return apply_deltas(panel, deltas, value)
+    return apply_deltas(panel, deltas, value, bucket=bucket)
 
 
 def backfill_state(panel: DataFrame, corrections, category: str, exclude: Sequence = (),
-                   value: str = "value") -> DataFrame:
+                   value: str = "value", bucket=None) -> DataFrame:
     """For each (state, date, n): allocate n to the state's counties by that
     day's new count (half-even rounding), subtract the allocations from the
     counties and n from the state on all dates >= date.
@@ -78,8 +82,10 @@ def backfill_state(panel: DataFrame, corrections, category: str, exclude: Sequen
     counties = panel.filter((F.col("location_type") == "county") & (F.col("category") == category))
     if exclude:
         counties = counties.filter(~F.col("location").isin(list(exclude)))
-    w = Window.partitionBy("location", "category").orderBy("dt")
-    new = counties.withColumn("w", F.col(value) - F.lag(value).over(w))
+    from almanac.operators.windows import series_lag
+    new = (series_lag(counties, ["location", "category"], "dt", value,
+                      bucket=bucket(F.col("dt")) if bucket is not None else None)
+           .withColumn("w", F.col(value) - F.col("__prev")).drop("__prev"))
     from almanac.operators.joins import bounded_broadcast
     cc = c.select(F.col("state_fips").alias("sf"), F.col("dt").alias("cdt"), "n")
     hit = new.join(bounded_broadcast(cc), (F.col("state_fips").cast("bigint") == F.col("sf"))
@@ -90,4 +96,4 @@ def backfill_state(panel: DataFrame, corrections, category: str, exclude: Sequen
     state = c.select(F.lit("state").alias("location_type"), F.col("state_fips").alias("location"),
                      "dt", F.col("n").alias("delta"))
     deltas = alloc.unionByName(state).withColumn("category", F.lit(category))
-    return apply_deltas(panel, deltas, value)
+    return apply_deltas(panel, deltas, value, bucket=bucket)

@@ -383,7 +383,9 @@ SELECT event_id, user_id, event_type, value,
 FROM events""")
 def q_running_total(spark, sf):
     ev = table(spark, sf, "events").withColumn("ord", F.struct("ts", "event_id"))
-    out = W.running_total(ev, ["user_id", "event_type"], "ord", "value", out="total", exact=True)
+    # a user's events are split by day, so one very active user does not make one task
+    out = W.running_total(ev, ["user_id", "event_type"], "ord", "value", out="total", exact=True,
+                          bucket=F.to_date("ts"))
     return out.select("event_id", "user_id", "event_type", "value", "total")
 
 
@@ -393,7 +395,7 @@ SELECT location_type, location, category, dt, value,
 FROM panel""")
 def q_daily_new(spark, sf):
     p = TB.county_panel(spark, sf)
-    return W.daily_new(p, ["location_type", "location", "category"]).select(
+    return W.daily_new(p, ["location_type", "location", "category"], bucket=F.year("dt")).select(
         "location_type", "location", "category", "dt", "value", "new_value")
 
 
@@ -438,7 +440,7 @@ SELECT location, provider, age, race, ethnicity, sex, category, unit, dt, value,
 WHERE diff < 0""")
 def q_cumulative_decreases(spark, sf):
     key = ["location", "provider", "category", "unit", "age", "sex", "race", "ethnicity"]
-    out = W.cumulative_decreases(_seeded(spark, sf), key, cut_date="1997-01-01")
+    out = W.cumulative_decreases(_seeded(spark, sf), key, cut_date="1997-01-01", bucket=F.year("dt"))
     return out.select("location", "provider", "age", "race", "ethnicity", "sex", "category", "unit",
                       "dt", "value", "diff")
 
@@ -491,7 +493,7 @@ panel1 AS (
 @query("backfill_county", "WITH " + C.PANEL + "," + _COUNTY_DELTAS + " SELECT * FROM panel1")
 def q_backfill_county(spark, sf):
     return M.backfill_county(TB.county_panel(spark, sf), COUNTY_CORRECTIONS,
-                             TB.locations(spark, sf), category="orders")
+                             TB.locations(spark, sf), category="orders", bucket=F.year)
 
 
 @query("backfill_state", "WITH " + C.PANEL + "," + _COUNTY_DELTAS + """,
@@ -518,8 +520,8 @@ SELECT p.location_type, p.location, p.state_fips, p.dt, p.category, p.value - a.
 FROM panel1 p JOIN adj2 a USING (location_type, location, category, dt)""")
 def q_backfill_state(spark, sf):
     p = M.backfill_county(TB.county_panel(spark, sf), COUNTY_CORRECTIONS,
-                          TB.locations(spark, sf), category="orders")
-    return M.backfill_state(p, STATE_CORRECTIONS, category="orders")
+                          TB.locations(spark, sf), category="orders", bucket=F.year)
+    return M.backfill_state(p, STATE_CORRECTIONS, category="orders", bucket=F.year)
 
 
 # --------------------------------------------------------------- changelog

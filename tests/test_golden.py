@@ -270,3 +270,17 @@ def test_load_defaults_keeps_existing_columns(spark):
     assert out.source_url == "given" and out.provider == "state" and out.last_updated == T0
     with pytest.raises(Exception):
         P.conform_columns(df, ["missing_col"])
+
+
+def test_bucketed_series_windows_equal_plain(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(k, D(2020, 1, 1) + dt.timedelta(days=d), float(rnd.randint(0, 9)) if rnd.random() > 0.1 else None)
+            for k in range(3) for d in rnd.sample(range(900), 120)]
+    df = spark.createDataFrame(rows, "k int, dt date, value double")
+    plain = W.running_total(df, ["k"], out="c")
+    split = W.running_total(df, ["k"], out="c", bucket=F.year("dt"))
+    assert sorted(plain.collect()) == sorted(split.collect())
+    plain = W.daily_new(df, ["k"])
+    split = W.daily_new(df, ["k"], bucket=F.month("dt"))
+    assert sorted(plain.collect(), key=str) == sorted(split.collect(), key=str)
