@@ -21,7 +21,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order, value: str, out: str,
     """Running sum of ``value`` per series, ordered by ``order`` (a column
     name or Column). Nulls are skipped in the sum.
 
-    With ``bucket`` (e.g. the year of the date) a long series is split into
+    With ``bucket`` (a value that never decreases along ``order``, e.g. the
+    year or the month start of the date) a long series is split into
     buckets that are summed in parallel: a running sum inside each bucket
     plus the total of all earlier buckets (a partial aggregate per bucket and
     a window over the few bucket totals, joined back on (series, bucket)).

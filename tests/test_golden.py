@@ -282,5 +282,5 @@ def test_bucketed_series_windows_equal_plain(spark):
     split = W.running_total(df, ["k"], out="c", bucket=F.year("dt"))
     assert sorted(plain.collect()) == sorted(split.collect())
     plain = W.daily_new(df, ["k"])
-    split = W.daily_new(df, ["k"], bucket=F.month("dt"))
+    split = W.daily_new(df, ["k"], bucket=F.trunc("dt", "month"))
     assert sorted(plain.collect(), key=str) == sorted(split.collect(), key=str)
