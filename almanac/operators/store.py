@@ -196,6 +196,7 @@ class FactTable:
 
     spark: SparkSession
     path: str
+    writers_per_partition: int = 16
 
     def read(self) -> DataFrame:
         try:
@@ -209,7 +210,10 @@ class FactTable:
         from almanac.session import scratch_path
         stage = scratch_path(self.spark, "fact-stage")
         out = state.select(*FACT_COLUMNS).withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
-        (out.repartition(*PARTITION_COLUMNS)
+        # a salt spreads one hot (provider, month) partition over several
+        # writers; rows stay sorted by series for Parquet min/max pruning
+        salt = F.pmod(F.xxhash64("location_id", "variable_id"), F.lit(self.writers_per_partition))
+        (out.repartition(*PARTITION_COLUMNS, salt)
          .sortWithinPartitions("location_id", "variable_id", "dt")
          .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(stage))
         staged = self.spark.read.parquet(stage)

@@ -15,7 +15,7 @@ from almanac.plans import oracle_ctes as C
 from almanac.plans import serve as S
 from almanac.plans import testbed as TB
 from almanac.plans.catalog import query
-from almanac.session import table
+from almanac.session import cut_lineage, table
 
 _VIEW_SQL = """
   SELECT p.name AS provider, f.dt, f.location_id, l.location, l.location_type,
@@ -521,6 +521,10 @@ FROM panel1 p JOIN adj2 a USING (location_type, location, category, dt)""")
 def q_backfill_state(spark, sf):
     p = M.backfill_county(TB.county_panel(spark, sf), COUNTY_CORRECTIONS,
                           TB.locations(spark, sf), category="orders", bucket=F.year)
+    # stage boundary: the county-corrected panel feeds two branches of the
+    # state step (weights and deltas), so it is checkpointed once to the
+    # shared folder instead of being recomputed per branch
+    p = cut_lineage(p)
     return M.backfill_state(p, STATE_CORRECTIONS, category="orders", bucket=F.year)
 
 

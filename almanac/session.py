@@ -26,6 +26,27 @@ ENGINE_CONF = {
 }
 
 
+# Settings for a large cluster (1000 executors, ~100 TB inputs); applied by
+# the deployment, not by library code. AQE coalesces the many shuffle
+# partitions at runtime and splits skewed join partitions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
+def apply_engine_conf(spark: SparkSession) -> None:
+    """Pin the runtime SQL settings the engine's semantics depend on (UTC,
+    ANSI casts, last-wins map keys, dynamic partition overwrite)."""
+    for k, v in ENGINE_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "almanac", extra: dict | None = None) -> SparkSession:
     builder = (
