@@ -290,7 +290,7 @@ SELECT 'user_' || CAST(user_id AS VARCHAR) AS username, CAST(trunc(value * 10) A
   'https://api.example/covid_us?type=' || event_type AS request_url,
   CASE WHEN event_type = 'click' THEN '10.0.0.' || CAST(user_id AS VARCHAR)
        ELSE '192.168.0.' || CAST(user_id AS VARCHAR) END AS client_ip,
-  CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS response_status,
+  CAST(CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS BIGINT) AS response_status,
   CAST(event_id * 7 AS INTEGER) AS response_size,
   make_timestamp(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) * 1000) AS started_at,
   'agent/' || event_type AS user_agent
