@@ -20,9 +20,28 @@ VINTAGE_FORMAT = "yyyy-MM-dd_HH"
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
-             skip_rows: int = 0, **options) -> DataFrame:
+             skip_rows: int = 0, by_name: bool = True, **options) -> DataFrame:
     """CSV with a header and an explicit schema. A column typed as string
-    keeps leading zeros (FIPS). ``skip_rows`` drops preamble lines first."""
+    keeps leading zeros (FIPS). ``skip_rows`` drops preamble lines first.
+
+    ``by_name`` (default) matches the schema to the header by column name, so
+    a source that reorders or adds columns still reads correctly: the file
+    is read as text and each schema column is selected by name and cast
+    (ANSI: malformed values fail the job; a missing column fails up front).
+    """
+    if by_name and header:
+        st = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+        reader = spark.read.option("header", True).option("mode", "FAILFAST")
+        for k, v in options.items():
+            reader = reader.option(k, v)
+        if skip_rows:
+            reader = reader.option("skipLines", skip_rows)
+        raw = reader.csv(path)
+        missing = [f.name for f in st.fields if f.name not in raw.columns]
+        if missing:
+            from almanac.errors import ContractError
+            raise ContractError(f"CSV lacks columns {missing}")
+        return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
     reader = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
     for k, v in options.items():
         reader = reader.option(k, v)
