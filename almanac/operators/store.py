@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanac.schema import FACT_PK, FACT_SCHEMA
 
@@ -200,8 +201,8 @@ class FactTable:
 
     def read(self) -> DataFrame:
         try:
-            return self.spark.read.schema(
-                FACT_SCHEMA.add("dt_month", "string")).parquet(self.path).select(*FACT_COLUMNS)
+            stored = T.StructType(FACT_SCHEMA.fields + [T.StructField("dt_month", T.StringType())])
+            return self.spark.read.schema(stored).parquet(self.path).select(*FACT_COLUMNS)
         except Exception:  # noqa: BLE001 - empty table
             return self.spark.createDataFrame([], FACT_SCHEMA)
 
