@@ -29,13 +29,13 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     is read as text and each schema column is selected by name and cast
     (ANSI: malformed values fail the job; a missing column fails up front).
     """
+    if skip_rows:
+        return _scan_csv_after_preamble(spark, path, schema, skip_rows)
     if by_name and header:
         st = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
         reader = spark.read.option("header", True).option("mode", "FAILFAST")
         for k, v in options.items():
             reader = reader.option(k, v)
-        if skip_rows:
-            reader = reader.option("skipLines", skip_rows)
         raw = reader.csv(path)
         missing = [f.name for f in st.fields if f.name not in raw.columns]
         if missing:
@@ -45,11 +45,44 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     reader = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
     for k, v in options.items():
         reader = reader.option(k, v)
-    if skip_rows:
-        reader = reader.option("skipLines", skip_rows)
     return reader.csv(path)
 
 
+def _scan_csv_after_preamble(spark: SparkSession, path: str, schema, skip_rows: int) -> DataFrame:
+    """CSV files that start with ``skip_rows`` lines before the header.
+
+    Lines are read as text; the first block of each file holds its first
+    lines in order, so the preamble and header are the smallest line ids of
+    that block. Only the header lines (one per file) reach the driver, to
+    learn the column order; data lines are parsed with ``from_csv`` and the
+    schema's columns are selected by name.
+    """
+    import csv
+    import io
+    st = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("__f"), F.input_file_block_start().alias("__b"),
+        F.monotonically_increasing_id().alias("__i"), "value")
+    first = lines.filter(F.col("__b") == 0).groupBy("__f").agg(F.min("__i").alias("__i0"))
+    from almanac.operators.joins import bounded_broadcast
+    marked = lines.join(bounded_broadcast(first), ["__f"], "left").withColumn(
+        "__pos", F.when(F.col("__b") == 0, F.col("__i") - F.col("__i0")))
+    headers = {r.value for r in marked.filter(F.col("__pos") == skip_rows).select("value").distinct()
+               .limit(2).collect()}
+    if len(headers) != 1:
+        raise ValueError(f"expected one header layout, found {len(headers)}")
+    names = next(csv.reader(io.StringIO(headers.pop())))
+    types = {f.name: f.dataType for f in st.fields}
+    ddl = ", ".join(f"`{n}` string" for n in names)
+    body = marked.filter(F.col("__pos").isNull() | (F.col("__pos") > skip_rows))
+    parsed = body.select(F.from_csv("value", ddl).alias("r")).select("r.*")
+    missing = [n for n in types if n not in names]
+    if missing:
+        from almanac.errors import ContractError
+        raise ContractError(f"CSV lacks columns {missing}")
+    return parsed.select(*[F.col(f"`{n}`").cast(t).alias(n) for n, t in types.items()])
+
+
 def scan_multi_file_tagged(spark: SparkSession, groups: Sequence[Mapping]) -> DataFrame:
     """Many files -> one frame. Each group is ``{"path", "schema", "tags":
     {col: literal}, "fill": {col: literal}}``: tag columns are constants
