@@ -186,3 +186,62 @@ def pick_by_path_substring(df: DataFrame, wanted: Mapping[str, str]) -> DataFram
             raise KeyError(f"no column path contains {sub!r}")
         cols.append(F.col(f"`{hit[0]}`").alias(out))
     return df.select(*cols)
+
+
+def flatten_json_long(df: DataFrame, id_col: str, json_col: str, max_depth: int = 8,
+                      sep: str = "_") -> DataFrame:
+    """Ragged JSON documents -> long form ``(id, path, ord, value)``.
+
+    ``path`` joins object keys and array positions with ``sep`` (``X_0_M0``),
+    ``ord`` is the array of positions in document order, ``value`` the leaf
+    text. Each level is a single explode: an object yields its keys
+    (``json_object_keys``), an array its positions, a scalar passes through
+    as itself, so the plan stays linear in the depth and documents of any
+    shape are flattened in parallel without a schema. Nesting deeper than
+    ``max_depth`` is kept as JSON text.
+    """
+    cur = df.select(F.col(id_col).alias("id"), F.lit("").alias("path"),
+                    F.array().cast("array<int>").alias("ord"), F.col(json_col).alias("j"),
+                    F.lit(False).alias("leaf"))
+    child_t = "struct<k: string, c: string, leaf: boolean>"
+    for _ in range(max_depth):
+        j = F.col("j")
+        t = F.ltrim(j)
+        n = F.json_array_length(j)
+
+        def get(path):
+            return F.call_function("get_json_object", j, path)
+
+        obj = F.transform(F.json_object_keys(j), lambda k: F.struct(
+            k.alias("k"), get(F.concat(F.lit("$['"), k, F.lit("']"))).alias("c"), F.lit(False).alias("leaf")))
+        arr = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+            i.cast("string").alias("k"), get(F.concat(F.lit("$["), i.cast("string"), F.lit("]"))).alias("c"),
+            F.lit(False).alias("leaf")))
+        keep = F.array(F.struct(F.lit(None).cast("string").alias("k"), j.alias("c"),
+                                F.lit(True).alias("leaf")))
+        children = (F.when(F.col("leaf"), keep)
+                    .when(t.startswith("{"), obj)
+                    .when(t.startswith("[") & (n > 0), arr)
+                    .when(t.startswith("["), F.array().cast(f"array<{child_t}>"))
+                    .otherwise(keep))
+        x = cur.select("id", "path", "ord", F.posexplode(children).alias("__p", "__c"))
+        step = F.col("__c.k")
+        cur = x.select(
+            "id",
+            F.when(F.col("__c.leaf"), F.col("path"))
+            .when(F.col("path") == "", step)
+            .otherwise(F.concat(F.col("path"), F.lit(sep), step)).alias("path"),
+            F.when(F.col("__c.leaf"), F.col("ord"))
+            .otherwise(F.concat("ord", F.array(F.col("__p").cast("int")))).alias("ord"),
+            F.col("__c.c").alias("j"), F.col("__c.leaf").alias("leaf"))
+    return cur.select("id", "path", "ord", F.col("j").alias("value"))
+
+
+def pick_long_by_path_substring(long: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
+    """Per document, the value of the first path (document order) that
+    contains each substring: one aggregation with ``min_by``."""
+    aggs = []
+    for out, sub in wanted.items():
+        hit = F.col("path").contains(sub)
+        aggs.append(F.min_by(F.when(hit, F.col("value")), F.when(hit, F.col("ord"))).alias(out))
+    return long.groupBy("id").agg(*aggs)

@@ -284,3 +284,16 @@ def test_bucketed_series_windows_equal_plain(spark):
     plain = W.daily_new(df, ["k"])
     split = W.daily_new(df, ["k"], bucket=F.trunc("dt", "month"))
     assert sorted(plain.collect(), key=str) == sorted(split.collect(), key=str)
+
+
+def test_flatten_json_long_paths_and_first_match(spark):
+    import json
+    docs = [(1, json.dumps({"G0": "Adams", "X": [{"M0": 10}, {"M1": 5, "I": 1}], "C": {"M2": 7}})),
+            (2, json.dumps({"G0": "Mckean", "X": [{"M1": 3}, {"M0": 4}], "N": None, "E": []}))]
+    df = spark.createDataFrame(docs, "rid int, doc string")
+    long = PG.flatten_json_long(df, "rid", "doc")
+    paths = sorted((r.id, r.path, r.value) for r in long.collect())
+    assert (1, "X_1_I", "1") in paths and (1, "C_M2", "7") in paths and (2, "N", None) in paths
+    picked = {r.id: (r.name, r.m0, r.m2) for r in
+              PG.pick_long_by_path_substring(long, {"name": "G0", "m0": "M0", "m2": "M2"}).collect()}
+    assert picked == {1: ("Adams", "10", "7"), 2: ("Mckean", "4", None)}
