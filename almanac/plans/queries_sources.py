@@ -175,27 +175,38 @@ def q_flatten_hierarchy(spark, sf):
                                        ("DM2", ["o_orderkey", "o_totalprice"])], keep=["page"])
 
 
+def _event_documents(spark, sf):
+    """Events as nested JSON documents (objects, an array, a parsed object)."""
+    ev = table(spark, sf, "events")
+    doc = F.to_json(F.struct(
+        F.col("event_id").alias("id"),
+        F.struct(F.struct(F.col("user_id").alias("id")).alias("user"),
+                 F.col("event_type").alias("type")).alias("meta"),
+        F.array("value").alias("metrics"),
+        F.from_json("props", "k bigint").alias("props")))
+    return ev.select("event_id", doc.alias("doc"))
+
+
 @query("flatten_nested_paths", """
-SELECT event_id AS id, user_id AS meta_user_id, event_type AS meta_type, value AS metrics_value,
-       props AS metrics_props FROM events""")
+SELECT event_id AS id, 'id' AS path, CAST(event_id AS VARCHAR) AS value FROM events
+UNION ALL SELECT event_id, 'meta_user_id', CAST(user_id AS VARCHAR) FROM events
+UNION ALL SELECT event_id, 'meta_type', event_type FROM events
+UNION ALL SELECT event_id, 'metrics_0', CAST(value AS VARCHAR) FROM events
+UNION ALL SELECT event_id, 'props_k', json_extract_string(props, '$.k') FROM events""")
 def q_flatten_nested_paths(spark, sf):
-    ev = table(spark, sf, "events")
-    nested = ev.select(F.col("event_id").alias("id"),
-                       F.struct(F.struct(F.col("user_id").alias("id")).alias("user"),
-                                F.col("event_type").alias("type")).alias("meta"),
-                       F.struct("value", "props").alias("metrics"))
-    return PG.flatten_nested_paths(nested)
+    long = PG.flatten_json_long(_event_documents(spark, sf), "event_id", "doc")
+    return long.select("id", "path", "value")
 
 
 @query("pick_by_path_substring", """
-SELECT event_id AS id, value AS doses, user_id AS who FROM events""")
+SELECT event_id AS id, CAST(user_id AS VARCHAR) AS who, CAST(value AS VARCHAR) AS doses,
+       event_type AS kind, json_extract_string(props, '$.k') AS k FROM events""")
 def q_pick_by_path_substring(spark, sf):
-    ev = table(spark, sf, "events")
-    nested = ev.select(F.struct(F.col("event_id").alias("id")).alias("key"),
-                       F.struct(F.struct(F.col("user_id").alias("user_id")).alias("descriptor"),
-                                F.struct(F.col("value").alias("dose_count")).alias("dsr")).alias("result"))
-    flat = PG.flatten_nested_paths(nested)
-    return PG.pick_by_path_substring(flat, {"id": "key_id", "doses": "dose", "who": "user"})
+    long = PG.flatten_json_long(_event_documents(spark, sf), "event_id", "doc")
+    # first path (document order) containing each substring: "user" hits
+    # meta_user_id, "_k" hits props_k
+    return PG.pick_long_by_path_substring(long, {"who": "user", "doses": "metrics", "kind": "type",
+                                                 "k": "_k"})
 
 
 @query("decode_dictionary_columns", """
