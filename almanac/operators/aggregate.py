@@ -89,11 +89,3 @@ def variable_names(df: DataFrame, keys: Sequence[str] = ("provider",),
                    name: str = "category") -> DataFrame:
     """Distinct variable names per dataset/provider."""
     return df.select(*keys, F.col(name).alias("variable_name")).distinct()
-
-
-def required_categories(df: DataFrame, required: Sequence[str], keys: Sequence[str] = (),
-                        column: str = "category") -> DataFrame:
-    """Required categories missing per group (empty array = all present)."""
-    req = F.array(*[F.lit(r) for r in required])
-    return df.groupBy(*keys).agg(
-        F.array_sort(F.array_except(req, F.collect_set(column))).alias("missing"))

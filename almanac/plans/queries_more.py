@@ -103,10 +103,6 @@ def q_rest_query(spark, sf):
 
 # Test bed with some dimension rows removed: the unknown-key checks must
 # find exactly those.
-def _obs_with_gaps(spark, sf):
-    return TB.obs(spark, sf)
-
-
 def _gappy_dims(spark, sf):
     locs = TB.locations(spark, sf).filter(~F.col("location").isin(3, 17) | (F.col("location_type") != "county"))
     dem = TB.demographics(spark, [r for r in TB.demographic_rows() if r[0] != "household"])
