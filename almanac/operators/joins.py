@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from almanac.errors import ValidationError
 from almanac.schema import DEMOGRAPHIC_COLUMNS, VARIABLE_COLUMNS
 
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 200_000  # a few MB for the narrow dimension rows
 
 # (session, plan hash, bound) -> bounded row count; a dimension plan is
 # checked once per session however often it is joined.
