@@ -35,9 +35,12 @@ def flatten_record_pages(pages: DataFrame, page_id: str = "page") -> DataFrame:
     """
     checked = pages.filter(F.when(~F.col("success"), _fail("record page reported success=false"))
                            .otherwise(F.lit(True)))
-    total = checked.select(F.max("result.total")).scalar()
-    got = checked.select(F.sum(F.size("result.records"))).scalar()
-    checked = checked.filter(F.when(total != got, _fail("record pages incomplete: total != records"))
+    # one scalar subquery (a single extra scan) for the advertised total and
+    # the number of records actually delivered
+    counts = checked.select(F.struct(F.max("result.total").alias("total"),
+                                     F.sum(F.size("result.records")).alias("got"))).scalar()
+    checked = checked.filter(F.when(counts["total"] != counts["got"],
+                                    _fail("record pages incomplete: total != records"))
                              .otherwise(F.lit(True)))
     return checked.select(F.explode("result.records").alias("__r")).select("__r.*")
 

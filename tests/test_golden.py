@@ -297,3 +297,15 @@ def test_flatten_json_long_paths_and_first_match(spark):
     picked = {r.id: (r.name, r.m0, r.m2) for r in
               PG.pick_long_by_path_substring(long, {"name": "G0", "m0": "M0", "m2": "M2"}).collect()}
     assert picked == {1: ("Adams", "10", "7"), 2: ("Mckean", "4", None)}
+
+
+def test_record_pages_guards(spark):
+    schema = ("page int, success boolean, result struct<total: bigint, records: array<struct<a: int>>>")
+    ok = spark.createDataFrame([(1, True, (3, [(1,), (2,)])), (2, True, (3, [(3,)]))], schema)
+    assert sorted(r.a for r in PG.flatten_record_pages(ok).collect()) == [1, 2, 3]
+    short = spark.createDataFrame([(1, True, (3, [(1,)]))], schema)
+    with pytest.raises(Exception):
+        PG.flatten_record_pages(short).collect()
+    failed = spark.createDataFrame([(1, False, (1, [(1,)]))], schema)
+    with pytest.raises(Exception):
+        PG.flatten_record_pages(failed).collect()
