@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.errors import ValidationError
@@ -52,3 +52,28 @@ def raise_if_any(violations: DataFrame, message: str, sample: int = 20) -> None:
     rows = violations.limit(sample).collect()
     if rows:
         raise ValidationError(f"{message}: {rows}", violations)
+
+
+def series_checks(df: DataFrame, series_key: Sequence[str], cut_date: str = "2021-01-01",
+                  order: str = "dt", value: str = "value") -> DataFrame:
+    """The time-series validation pass in one shuffle: duplicate keys (same
+    series and date) and cumulative decreases after ``cut_date``.
+
+    Both windows are clustered by the series key (the duplicate window's
+    key is a superset of it), so a single hash exchange on the series key
+    serves them; the output lists every violating row with a ``kind``.
+    """
+    keys = list(series_key)
+    dup_w = Window.partitionBy(*keys, order)
+    cum = ((F.col("measurement") == "cumulative") & F.col(value).isNotNull() & ~F.isnan(F.col(value))
+           & (F.col(order) >= F.lit(cut_date).cast("date")))
+    # the lag runs over the cumulative rows after the cut only, like the
+    # stand-alone check: other rows sort into their own partition group
+    lag_w = Window.partitionBy(*keys, cum.alias("__c")).orderBy(order)
+    flagged = df.withColumns({
+        "__dups": F.count(F.lit(1)).over(dup_w),
+        "__diff": F.when(cum, F.col(value) - F.lag(value).over(lag_w)),
+    })
+    kind = (F.when(F.col("__dups") > 1, F.lit("duplicate"))
+            .when(F.col("__diff") < 0, F.lit("cumulative_decrease")))
+    return flagged.withColumn("kind", kind).filter(F.col("kind").isNotNull()).drop("__dups", "__diff")

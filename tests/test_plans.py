@@ -42,3 +42,24 @@ def test_variable_pruning_before_unpivot(spark, sf_dir):
     text = plan(pruned)
     assert "l_extendedprice" not in text.split("== Physical Plan ==")[1]
     assert pruned.select("category").distinct().count() == 1
+
+
+def test_validation_pass_is_one_exchange(spark, sf_dir):
+    from almanac.operators.validate import series_checks
+    from almanac.operators.windows import cumulative_decreases, duplicate_keys
+    oc = TB.obs_cum(spark, sf_dir)
+    key = ["location", "provider", "category", "unit", "age", "sex", "race", "ethnicity"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        checked = series_checks(oc, key, cut_date="1997-01-01")
+        text = checked._jdf.queryExecution().executedPlan().toString()
+        base = oc._jdf.queryExecution().executedPlan().toString()
+        # at most one exchange more than building the input (here none: the
+        # input's own running total is already hash-partitioned by the series)
+        assert text.count("Exchange hashpartitioning") <= base.count("Exchange hashpartitioning") + 1
+        dec = cumulative_decreases(oc, key, cut_date="1997-01-01").count()
+        dup = duplicate_keys(oc, key + ["dt"]).count()
+        kinds = {r.kind: r["count"] for r in checked.groupBy("kind").count().collect()}
+        assert kinds.get("cumulative_decrease", 0) == dec and kinds.get("duplicate", 0) == dup
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
