@@ -70,11 +70,21 @@ def half_even(c, scale: int = 0) -> Column:
     return F.bround(col_of(c), scale)
 
 
-def dec2(c) -> Column:
-    """Exact two-decimal representation used inside sums."""
-    return col_of(c).cast("decimal(18,2)")
+def cents(c) -> Column:
+    """Two-decimal amount as an exact integer count of hundredths.
+
+    Sums of cents are exact and order-independent, and they run on plain
+    64-bit integers (a decimal(18,2) sum widens to decimal(28,2), which
+    Spark aggregates through arbitrary-precision objects)."""
+    return F.round(col_of(c) * 100).cast("bigint")
+
+
+def from_cents(c) -> Column:
+    """Back to a double: one correctly rounded division, i.e. the double
+    nearest the exact two-decimal value."""
+    return col_of(c) / F.lit(100.0)
 
 
 def money_sum(c) -> Column:
-    """Order-independent sum of two-decimal values, returned as double."""
-    return F.sum(dec2(c)).cast("double")
+    """Exact, order-independent sum of two-decimal values, as double."""
+    return from_cents(F.sum(cents(c)))

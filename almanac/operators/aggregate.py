@@ -8,11 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.functions import half_even, not_in_keep_null, replace_map
+from almanac.functions import half_even, money_sum, not_in_keep_null, replace_map
 
 
 def _sum(c: str, exact: bool) -> Column:
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double") if exact else F.sum(c)
+    return money_sum(c) if exact else F.sum(c)
 
 
 def rollup_sum(df: DataFrame, keys: Sequence[str], values: Sequence[str],

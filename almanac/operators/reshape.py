@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.errors import ContractError
-from almanac.functions import parse_numeric, replace_map
+from almanac.functions import cents, from_cents, parse_numeric, replace_map
 from almanac.operators.transform import drop_nulls
 from almanac.schema import CMU_COLUMNS, CMU_DEFAULTS
 
@@ -149,7 +149,7 @@ def pivot_sum_total(df: DataFrame, index: Sequence[str], columns: str, values: s
                     exact: bool = True) -> DataFrame:
     """``pivot_table(aggfunc="sum")`` plus a row total over the pivoted
     columns (nulls ignored; an all-null row totals 0, as in pandas)."""
-    v = F.col(values).cast("decimal(18,2)") if exact else F.col(values)
+    v = cents(values) if exact else F.col(values)
     wide = df.groupBy(*index).pivot(columns, list(pivot_values)).agg(F.sum(v))
     names = [str(p) for p in pivot_values]
     total = None
@@ -158,8 +158,8 @@ def pivot_sum_total(df: DataFrame, index: Sequence[str], columns: str, values: s
         total = t if total is None else total + t
     out = wide.withColumn(total_name, total)
     if exact:
-        out = out.select(*index, *[F.col(f"`{n}`").cast("double").alias(n) for n in names],
-                         F.col(total_name).cast("double").alias(total_name))
+        out = out.select(*index, *[from_cents(F.col(f"`{n}`")).alias(n) for n in names],
+                         from_cents(F.col(total_name)).alias(total_name))
     return out
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.functions.numeric import cents, from_cents
+
 
 def _w(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order)
@@ -29,12 +31,13 @@ def running_sum(df: DataFrame, keys: Sequence[str], order, value: str, out: str,
     A series holding a third of all rows then no longer lands in one task.
     """
     keys = list(keys)
-    v = F.col(value).cast("decimal(18,2)") if exact else F.col(value)
+    # exact: sum integer hundredths, divide once at the end
+    v = cents(value) if exact else F.col(value)
     o = F.col(order) if isinstance(order, str) else order
     rows = Window.unboundedPreceding, Window.currentRow
     if bucket is None:
         s = F.sum(v).over(Window.partitionBy(*keys).orderBy(o).rowsBetween(*rows))
-        return df.withColumn(out, s.cast("double") if exact else s)
+        return df.withColumn(out, from_cents(s) if exact else s)
     b = df.withColumn("__b", bucket)
     inner = F.sum(v).over(Window.partitionBy(*keys, "__b").orderBy(o).rowsBetween(*rows))
     b = b.withColumn("__in", inner)
@@ -43,7 +46,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order, value: str, out: str,
     offsets = totals.select(*keys, "__b", F.coalesce(F.sum("__t").over(wb), F.lit(0)).alias("__off"))
     j = b.join(offsets, [*keys, "__b"], "left")
     total = F.col("__in") + F.coalesce(F.col("__off"), F.lit(0))
-    return j.withColumn(out, total.cast("double") if exact else total).drop("__b", "__in", "__off")
+    return j.withColumn(out, from_cents(total) if exact else total).drop("__b", "__in", "__off")
 
 
 def series_lag(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str = "__prev",

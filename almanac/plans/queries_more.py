@@ -187,7 +187,7 @@ def q_reject_unresolved(spark, sf):
 
 def _per_status(spark, sf, status):
     o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
-    return o.groupBy("o_custkey").agg(F.sum(X.dec2("o_totalprice")).cast("double").alias(f"total_{status}"))
+    return o.groupBy("o_custkey").agg(X.money_sum("o_totalprice").alias(f"total_{status}"))
 
 
 _PER_STATUS_SQL = """

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.operators.joins import bounded_broadcast
-from almanac.functions import dec2
+from almanac.functions import cents, from_cents, money_sum
 from almanac.operators.reshape import cmu, reshape_variables
 from almanac.session import literal_frame, table
 
@@ -51,7 +51,7 @@ def run_ts():
 def daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (table(spark, sf_dir, "lineitem")
           .groupBy("l_orderkey")
-          .agg(F.sum(dec2("l_quantity")).alias("qty"), F.sum(dec2("l_extendedprice")).alias("rev")))
+          .agg(F.sum(cents("l_quantity")).alias("qty"), F.sum(cents("l_extendedprice")).alias("rev")))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -63,8 +63,8 @@ def daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower("c_mktsegment").alias("age"),
                       F.col("o_orderpriority").alias("race"))
             .agg(F.count(F.lit(1)).alias("orders"),
-                 F.sum("qty").cast("double").alias("quantity"),
-                 F.sum("rev").cast("double").alias("revenue")))
+                 from_cents(F.sum("qty")).alias("quantity"),
+                 from_cents(F.sum("rev")).alias("revenue")))
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,7 @@ def obs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-demographics totals per (location, day, variable)."""
     o = obs(spark, sf_dir)
     return (o.groupBy("vintage", "dt", "location", "location_type", "category", "measurement", "unit")
-            .agg(F.sum(dec2("value")).cast("double").alias("value"))
+            .agg(money_sum("value").alias("value"))
             .withColumns({"age": F.lit("all"), "race": F.lit("all"),
                           "ethnicity": F.lit("all"), "sex": F.lit("all")}))
 
@@ -191,7 +191,7 @@ def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (user, event type, day) event count and exact value sum."""
     ev = table(spark, sf_dir, "events")
     return (ev.groupBy("user_id", "event_type", F.col("ts").cast("date").alias("dt"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(dec2("value")).cast("double").alias("value")))
+            .agg(F.count(F.lit(1)).alias("n"), money_sum("value").alias("value")))
 
 
 def county_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
