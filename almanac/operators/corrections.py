@@ -80,13 +80,18 @@ def backfill_state(panel: DataFrame, corrections, category: str, exclude: Sequen
     spark = panel.sparkSession
     c = _corrections_frame(spark, corrections, "state_fips long, dt string, n long")
     counties = panel.filter((F.col("location_type") == "county") & (F.col("category") == category))
+    # only counties of corrected states need daily diffs: a semi join with the
+    # (tiny, literal) list of corrected states prunes the rest before the sort
+    from almanac.operators.joins import bounded_broadcast
+    corrected = c.select(F.col("state_fips").alias("__sf")).distinct()
+    counties = counties.join(bounded_broadcast(corrected),
+                             F.col("state_fips").cast("bigint") == F.col("__sf"), "left_semi")
     if exclude:
         counties = counties.filter(~F.col("location").isin(list(exclude)))
     from almanac.operators.windows import series_lag
     new = (series_lag(counties, ["location", "category"], "dt", value,
                       bucket=bucket(F.col("dt")) if bucket is not None else None)
            .withColumn("w", F.col(value) - F.col("__prev")).drop("__prev"))
-    from almanac.operators.joins import bounded_broadcast
     cc = c.select(F.col("state_fips").alias("sf"), F.col("dt").alias("cdt"), "n")
     hit = new.join(bounded_broadcast(cc), (F.col("state_fips").cast("bigint") == F.col("sf"))
                    & (F.col("dt") == F.col("cdt")))
