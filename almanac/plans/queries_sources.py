@@ -247,12 +247,16 @@ def q_decode_dictionary_columns(spark, sf):
 
 
 @query("decode_delta_rows", """
-SELECT user_id AS page, event_type, CAST(hour(ts) AS VARCHAR) AS hour, CAST(event_id AS VARCHAR) AS event
+SELECT user_id, event_type, CAST(hour(ts) AS VARCHAR) AS hour, CAST(event_id AS VARCHAR) AS event
 FROM events""")
 def q_decode_delta_rows(spark, sf):
     from pyspark.sql import Window
+    # a page holds one user's events within a block of 100 event ids, so a
+    # very active user spreads over many bounded pages
     ev = table(spark, sf, "events").select(
-        F.col("user_id").alias("page"), "event_type", F.hour("ts").cast("string").alias("hour"),
+        F.concat_ws("-", F.col("user_id").cast("string"), (F.col("event_id") / 100).cast("bigint")
+                    .cast("string")).alias("page"),
+        "user_id", "event_type", F.hour("ts").cast("string").alias("hour"),
         F.col("event_id").cast("string").alias("event"), "event_id")
     # delta-encode: per page in (type, hour, id) order, leave out the leading
     # values that equal the previous row's
@@ -261,14 +265,14 @@ def q_decode_delta_rows(spark, sf):
     same_h = same_t & F.coalesce(F.lag("hour").over(w) == F.col("hour"), F.lit(False))
     full = F.array("event_type", "hour", "event")
     c = F.when(same_h, F.slice(full, 3, 1)).when(same_t, F.slice(full, 2, 2)).otherwise(full)
-    rows = ev.select("page", F.struct(F.struct(c.alias("C")).alias("r"),
-                                      F.col("event_type"), F.col("hour"), F.col("event_id")).alias("k"))
-    pages = rows.groupBy("page").agg(
+    rows = ev.select("page", "user_id", F.struct(F.struct(c.alias("C")).alias("r"), F.col("event_type"),
+                                                 F.col("hour"), F.col("event_id")).alias("k"))
+    pages = rows.groupBy("page", "user_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct(
             F.col("k.event_type"), F.col("k.hour"), F.col("k.event_id"), F.col("k.r")))),
             lambda x: x["r"]).alias("DM1"))
-    out = PG.decode_delta_rows(pages, ["event_type", "hour", "event"], initial="0")
-    return out.drop("ordinal")
+    out = PG.decode_delta_rows(pages, ["event_type", "hour", "event"], initial="0", keep=["user_id"])
+    return out.drop("ordinal", "page")
 
 
 # --------------------------------------------------------------- request log

@@ -130,7 +130,8 @@ def flatten_hierarchy(pages: DataFrame, levels: Sequence[tuple[str, Sequence[str
 
 
 def decode_delta_rows(pages: DataFrame, labels: Sequence[str], page_id: str = "page",
-                      rows: str = "DM1", values: str = "C", initial=0) -> DataFrame:
+                      rows: str = "DM1", values: str = "C", initial=0,
+                      keep: Sequence[str] = ()) -> DataFrame:
     """Delta-encoded rows: a row lists only its changed *trailing* values;
     leading ones inherit the previous row of the page (0 before the first).
 
@@ -139,14 +140,14 @@ def decode_delta_rows(pages: DataFrame, labels: Sequence[str], page_id: str = "p
     window partitions by page, so pages decode in parallel.
     """
     n = len(labels)
-    r = pages.select(page_id, F.posexplode(rows).alias("__ord", "__r"))
+    r = pages.select(page_id, *keep, F.posexplode(rows).alias("__ord", "__r"))
     cells = []
     for i, lab in enumerate(labels):
         idx = F.size(F.col(f"__r.{values}")) - F.lit(n - i)
         cells.append(F.when(idx >= 0, F.element_at(F.col(f"__r.{values}"), idx + 1)).alias(lab))
-    r = r.select(page_id, "__ord", *cells)
+    r = r.select(page_id, *keep, "__ord", *cells)
     w = Window.partitionBy(page_id).orderBy("__ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return r.select(page_id, F.col("__ord").alias("ordinal"), *[
+    return r.select(page_id, *keep, F.col("__ord").alias("ordinal"), *[
         F.coalesce(F.last(lab, ignorenulls=True).over(w), F.lit(initial).cast(r.schema[lab].dataType))
         .alias(lab) for lab in labels])
 
