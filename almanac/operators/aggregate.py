@@ -80,9 +80,18 @@ def cumulative_present(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def proportional_allocation(df: DataFrame, group: Sequence[str], weight: str, amount: Column,
                             out: str = "allocated") -> DataFrame:
-    """``(x / x.sum() * n).round()`` per group with half-even rounding."""
-    share = F.col(weight) / F.sum(weight).over(Window.partitionBy(*group))
-    return df.withColumn(out, half_even(share * amount))
+    """``(x / x.sum() * n).round()`` per group with half-even rounding.
+
+    The group totals are a partial aggregate joined back on the group key
+    (not a window over the group), so a group holding a third of all rows is
+    split by AQE's skew handling instead of landing in one task."""
+    group = list(group)
+    totals = df.groupBy(*group).agg(F.sum(weight).alias("__total")).select(
+        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__total")
+    # null-safe: a null group key is a group of its own, as in pandas groupby
+    cond = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+    j = df.join(totals, cond).drop(*[f"__g{i}" for i in range(len(group))])
+    return j.withColumn(out, half_even(F.col(weight) / F.col("__total") * amount)).drop("__total")
 
 
 def variable_names(df: DataFrame, keys: Sequence[str] = ("provider",),
