@@ -68,7 +68,9 @@ SELECT dt, location_id, variable_id, demographic_id, provider_id, value, last_up
 FROM (SELECT *, ({_SELECTED}) AS sel FROM fact_base), nb""")
 def q_soft_delete(spark, sf):
     base = TB.fact_base(spark, sf)
-    batch_id = ST.next_batch_id(base)
+    # the batch id comes from the caller's sequence (the next after the base's
+    # batch 7); ST.next_batch_id derives max + 1 from a stored table instead
+    batch_id = TB.BASE_DELETE_BATCH + 1
     return ST.soft_delete(base, TB.providers(spark), TB.variables(spark), TB.locations(spark, sf),
                           batch_id=batch_id, **_DELETE_ARGS)
 

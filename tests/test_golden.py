@@ -309,3 +309,12 @@ def test_record_pages_guards(spark):
     failed = spark.createDataFrame([(1, False, (1, [(1,)]))], schema)
     with pytest.raises(Exception):
         PG.flatten_record_pages(failed).collect()
+
+
+def test_next_batch_id(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    fact = _fact(spark, [(D(2024, 1, 1), "a", 1, 1, 1, 1.0, t0, "u", "n", True, 4),
+                         (D(2024, 1, 2), "a", 1, 1, 1, 1.0, t0, "u", "n", False, None)])
+    assert fact.select(ST.next_batch_id(fact).alias("b")).first().b == 5
+    empty = _fact(spark, [])
+    assert spark.range(1).select(ST.next_batch_id(empty).alias("b")).first().b == 1
