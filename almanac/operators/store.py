@@ -199,10 +199,18 @@ class FactTable:
     path: str
     writers_per_partition: int = 16
 
+    @staticmethod
+    def stored_schema() -> T.StructType:
+        return T.StructType(FACT_SCHEMA.fields + [T.StructField("dt_month", T.StringType())])
+
+    def scan(self) -> DataFrame:
+        """The stored rows with the partition columns (``provider_id`` and
+        ``dt_month`` come from the folder names)."""
+        return self.spark.read.schema(self.stored_schema()).parquet(self.path)
+
     def read(self) -> DataFrame:
         try:
-            stored = T.StructType(FACT_SCHEMA.fields + [T.StructField("dt_month", T.StringType())])
-            return self.spark.read.schema(stored).parquet(self.path).select(*FACT_COLUMNS)
+            return self.scan().select(*FACT_COLUMNS)
         except Exception:  # noqa: BLE001 - empty table
             return self.spark.createDataFrame([], FACT_SCHEMA)
 
@@ -217,13 +225,34 @@ class FactTable:
         (out.repartition(*PARTITION_COLUMNS, salt)
          .sortWithinPartitions("location_id", "variable_id", "dt")
          .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(stage))
-        staged = self.spark.read.parquet(stage)
+        staged = self.spark.read.schema(self.stored_schema()).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLUMNS).parquet(self.path))
 
+    def touched(self, batch: DataFrame, max_partitions: int = 10_000) -> DataFrame:
+        """The stored rows of the partitions a batch hits.
+
+        The (provider, month) keys of a batch are a bounded, metadata-sized
+        list; up to ``max_partitions`` of them become a static partition
+        filter, so only those folders are listed and read. Beyond that the
+        rows are taken with a semi join on the partition columns.
+        """
+        keys = batch.select("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month")).distinct()
+        found = keys.limit(max_partitions + 1).collect()
+        if len(found) <= max_partitions:
+            if not found:
+                return self.scan().filter(F.lit(False)).select(*FACT_COLUMNS)
+            pred = None
+            for r in found:
+                one = (F.col("provider_id") == F.lit(r.provider_id)) & (F.col("dt_month") == F.lit(r.dt_month))
+                pred = one if pred is None else pred | one
+            return self.scan().filter(pred).select(*FACT_COLUMNS)
+        return self.scan().join(keys, PARTITION_COLUMNS, "left_semi").select(*FACT_COLUMNS)
+
     def upsert(self, batch: DataFrame, **kw) -> None:
         """Merge a batch, reading only the partitions the batch touches."""
-        touched = batch.select("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month")).distinct()
-        current = self.read().withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
-        current = current.join(touched, PARTITION_COLUMNS, "left_semi").drop("dt_month")
+        try:
+            current = self.touched(batch)
+        except Exception:  # noqa: BLE001 - empty table
+            current = self.spark.createDataFrame([], FACT_SCHEMA)
         self.write_state(upsert(current, batch, **kw))
