@@ -63,3 +63,22 @@ def test_validation_pass_is_one_exchange(spark, sf_dir):
         assert kinds.get("cumulative_decrease", 0) == dec and kinds.get("duplicate", 0) == dup
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_fact_upsert_prunes_partitions(spark):
+    import datetime as dt
+
+    from almanac.operators.store import FactTable
+    from almanac.schema import FACT_SCHEMA
+    from almanac.session import scratch_path
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(dt.date(2024, m, 1), "a", 1, 1, p, 1.0, t0, "u", "n", False, None)
+            for m in range(1, 7) for p in (1, 2)]
+    table = FactTable(spark, scratch_path(spark, "prune"))
+    table.write_state(spark.createDataFrame(rows, FACT_SCHEMA))
+    batch = spark.createDataFrame([(dt.date(2024, 3, 5), "a", 1, 1, 2, 9.0, t0, "u", "n", False, None)],
+                                  FACT_SCHEMA)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan(table.touched(batch))
+    assert "(provider_id#" in text and "= 2024-03)" in text
+    assert table.touched(batch).count() == 1
