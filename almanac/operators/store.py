@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -211,7 +212,7 @@ class FactTable:
     def read(self) -> DataFrame:
         try:
             return self.scan().select(*FACT_COLUMNS)
-        except Exception:  # noqa: BLE001 - empty table
+        except AnalysisException:  # no table written yet
             return self.spark.createDataFrame([], FACT_SCHEMA)
 
     def write_state(self, state: DataFrame) -> None:
@@ -253,6 +254,6 @@ class FactTable:
         """Merge a batch, reading only the partitions the batch touches."""
         try:
             current = self.touched(batch)
-        except Exception:  # noqa: BLE001 - empty table
+        except AnalysisException:  # no table written yet
             current = self.spark.createDataFrame([], FACT_SCHEMA)
         self.write_state(upsert(current, batch, **kw))
