@@ -93,8 +93,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given (read-only) input tables. The DataFrame -- a plan,
+    not data -- is reused within a session, so the file listing and footer
+    reads happen once per table rather than once per query."""
+    key = (id(spark), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def _sql_literal(v) -> str:
