@@ -67,14 +67,15 @@ def _left(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def resolve_keys(obs: DataFrame, locations: DataFrame, providers: DataFrame,
                  demographics: DataFrame, variables: DataFrame, by: str = "fips",
-                 on_unresolved: str = "keep") -> DataFrame:
+                 on_unresolved: str = "fail") -> DataFrame:
     """Staging -> fact rows: attach ``location_id``, ``provider_id``,
     ``demographic_id``, ``variable_id`` by left joins.
 
     ``by="fips"`` matches (location, location_type); ``by="name"`` matches
     (location_type, state_fips, location_name). ``on_unresolved``:
-    ``keep`` leaves null ids, ``fail`` raises on any null id (the reference
-    rejects the whole batch), ``reject`` drops them (see ``reject_unresolved``).
+    ``fail`` (default) raises on any null id, as the reference rejects the
+    whole batch; ``reject`` drops them; ``keep`` leaves null ids so that
+    ``reject_unresolved`` can report them.
     """
     if by == "fips":
         loc = locations.select(F.col("id").alias("location_id"), "location", "location_type")

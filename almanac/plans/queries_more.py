@@ -179,7 +179,7 @@ FROM r WHERE location_id IS NULL OR provider_id IS NULL OR demographic_id IS NUL
           OR variable_id IS NULL""")
 def q_reject_unresolved(spark, sf):
     locs, dem, var = _gappy_dims(spark, sf)
-    res = J.resolve_keys(TB.obs(spark, sf), locs, TB.providers(spark), dem, var)
+    res = J.resolve_keys(TB.obs(spark, sf), locs, TB.providers(spark), dem, var, on_unresolved="keep")
     rej = J.reject_unresolved(res)
     return rej.select("dt", "location", "provider", "age", "race", "category", "value",
                       F.array_join("unresolved", ",").alias("unresolved"))

@@ -155,7 +155,7 @@ BASE_DELETE_BATCH = 7
 
 
 def resolved(spark: SparkSession, sf_dir: str, obs_frame: DataFrame | None = None,
-             on_unresolved: str = "keep") -> DataFrame:
+             on_unresolved: str = "fail") -> DataFrame:
     from almanac.operators.joins import resolve_keys
     o = obs_frame if obs_frame is not None else obs(spark, sf_dir)
     return resolve_keys(o, locations(spark, sf_dir), providers(spark), demographics(spark),

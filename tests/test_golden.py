@@ -215,7 +215,7 @@ def test_resolve_unknown_keys_reported(spark):
          (D(2024, 1, 1), 101, "county", "nope", "x", "new", "people", "0-9", "all", "all", "all", 1.0)],
         "dt date, location long, location_type string, provider string, category string, measurement string,"
         " unit string, age string, race string, ethnicity string, sex string, value double")
-    res = J.resolve_keys(obs, loc, prov, dem, var)
+    res = J.resolve_keys(obs, loc, prov, dem, var, on_unresolved="keep")
     rej = {r.location: sorted(r.unresolved) for r in J.reject_unresolved(res).collect()}
     assert rej == {999: ["location"], 101: ["demographic", "provider", "variable"]}
     with pytest.raises(Exception):
