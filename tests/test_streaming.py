@@ -48,3 +48,27 @@ def test_stream_upsert_is_incremental(spark):
     assert got == {"a": (2.0, "u0"), "b": (5.0, "u1")}
     expected = upsert(upsert(base, drop1), drop2)
     assert sorted(table.read().collect()) == sorted(expected.collect())
+
+
+def test_reprocess_vintages_newest_wins(spark):
+    from almanac.plans.maintenance import reprocess_vintages
+    from almanac.sources.files import write_snapshot
+    root = scratch_path(spark, "snaps")
+    for vintage, val in (("2024-01-01_05", 1.0), ("2024-01-02_05", 2.0), ("2024-01-03_05", 3.0)):
+        write_snapshot(spark.createDataFrame([("a", val)], "loc string, v double"), root, "ds", vintage)
+    table = FactTable(spark, scratch_path(spark, "fact"))
+
+    def normalize(raw):
+        return raw.select("loc", "v", "snapshot")
+
+    def to_fact(obs):
+        return obs.select(F.lit(dt.date(2024, 1, 1)).alias("dt"), F.col("loc").alias("location_id"),
+                          F.lit(1).alias("variable_id"), F.lit(1).alias("demographic_id"),
+                          F.lit(1).alias("provider_id"), F.col("v").alias("value"),
+                          F.to_timestamp("snapshot", "yyyy-MM-dd_HH").cast("timestamp_ntz").alias("last_updated"),
+                          F.lit("u").alias("source_url"), F.lit("n").alias("source_name"),
+                          F.lit(False).alias("deleted"), F.lit(None).cast("bigint").alias("delete_batch_id"))
+
+    done = reprocess_vintages(spark, root, "ds", normalize, to_fact, table, end="2024-01-02_05")
+    assert [r.snapshot for r in done.collect()] == ["2024-01-01_05", "2024-01-02_05"]
+    assert [r.value for r in table.read().collect()] == [2.0]
