@@ -257,3 +257,54 @@ class FactTable:
         except AnalysisException:  # no table written yet
             current = self.spark.createDataFrame([], FACT_SCHEMA)
         self.write_state(upsert(current, batch, **kw))
+
+    def _partitions_where(self, pred: Column, max_partitions: int = 10_000) -> Column | None:
+        """A static partition filter for the (provider, month) folders that
+        hold rows matching ``pred`` (a bounded key list), or None if there
+        are more than ``max_partitions`` of them."""
+        keys = (self.scan().filter(pred).select(*PARTITION_COLUMNS).distinct()
+                .limit(max_partitions + 1).collect())
+        if len(keys) > max_partitions:
+            return None
+        out = F.lit(False)
+        for r in keys:
+            out = out | ((F.col("provider_id") == F.lit(r.provider_id)) & (F.col("dt_month") == F.lit(r.dt_month)))
+        return out
+
+    def _rewrite(self, where: Column | None, change) -> int:
+        """Apply ``change`` (a state -> state function with a ``changed``
+        flag) to the partitions selected by ``where`` and write them back;
+        returns the number of rows changed."""
+        current = self.scan()
+        if where is not None:
+            current = current.filter(where)
+        new_state = change(current.select(*FACT_COLUMNS))
+        staged = cut_lineage_to_table(new_state, self.spark)
+        n = staged.filter("changed").count()
+        if n:
+            self.write_state(staged.drop("changed"))
+        return n
+
+    def soft_delete(self, providers: DataFrame, variables: DataFrame, locations: DataFrame,
+                    batch_id: int, **filters) -> int:
+        """Persisted soft delete: only partitions holding selected rows are
+        read and rewritten."""
+        semis, pred = selection_predicate(providers, variables, locations, **filters)
+        where = self._partitions_where(pred)
+        return self._rewrite(where, lambda s: soft_delete(s, providers, variables, locations,
+                                                          batch_id, **filters))
+
+    def undelete(self, batch_id: int) -> int:
+        """Persisted undelete of one batch (only its partitions are rewritten)."""
+        where = self._partitions_where(F.col("delete_batch_id") == F.lit(batch_id))
+        return self._rewrite(where, lambda s: undelete(s, batch_id))
+
+
+def cut_lineage_to_table(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Materialise ``df`` as Parquet in the shared checkpoint folder and read
+    it back (a reliable lineage cut that a later overwrite of the source
+    cannot invalidate)."""
+    from almanac.session import scratch_path
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -72,3 +72,25 @@ def test_reprocess_vintages_newest_wins(spark):
     done = reprocess_vintages(spark, root, "ds", normalize, to_fact, table, end="2024-01-02_05")
     assert [r.snapshot for r in done.collect()] == ["2024-01-01_05", "2024-01-02_05"]
     assert [r.value for r in table.read().collect()] == [2.0]
+
+
+def test_fact_table_delete_and_undelete_persist(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(dt.date(2024, m, 1), f"l{k}", 1, 1, 1, 1.0, t0, "u", "n", False, None)
+            for m in (1, 2, 3) for k in (1, 2)]
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    table.write_state(_fact(spark, rows))
+    prov = spark.createDataFrame([(1, "state")], "id int, name string")
+    var = spark.createDataFrame([(1, "cases", "cumulative", "people")],
+                                "id int, category string, measurement string, unit string")
+    loc = spark.createDataFrame([("l1", 1, "county", 1), ("l2", 2, "county", 2)],
+                                "id string, location long, location_type string, state_fips int")
+    n = table.soft_delete(prov, var, loc, batch_id=5, start_date="2024-02-01", state_fips=1,
+                          location_type_regex="county")
+    assert n == 2
+    state = {(r.dt.month, r.location_id): r.deleted for r in table.read().collect()}
+    assert state == {(1, "l1"): False, (1, "l2"): False, (2, "l1"): True, (2, "l2"): False,
+                     (3, "l1"): True, (3, "l2"): False}
+    assert table.undelete(5) == 2
+    assert not any(r.deleted for r in table.read().collect())
+    assert table.read().count() == 6
