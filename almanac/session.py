@@ -101,9 +101,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     not data -- is reused within a session, so the file listing and footer
     reads happen once per table rather than once per query."""
     key = (id(spark), sf_dir, name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _TABLES[key]
+    cached = _TABLES.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return cached
 
 
 def _sql_literal(v) -> str:
