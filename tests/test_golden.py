@@ -318,3 +318,20 @@ def test_next_batch_id(spark):
     assert fact.select(ST.next_batch_id(fact).alias("b")).first().b == 5
     empty = _fact(spark, [])
     assert spark.range(1).select(ST.next_batch_id(empty).alias("b")).first().b == 1
+
+
+def test_json_row_cap_and_missing_snapshot(spark, tmp_path):
+    import json as _json
+
+    from almanac.errors import ValidationError
+    from almanac.sources import files as FS
+    p = tmp_path / "recs.json"
+    p.write_text("\n".join(_json.dumps({"a": i}) for i in range(5)))
+    assert FS.scan_json_records(spark, str(p), "a int", row_cap=10).count() == 5
+    with pytest.raises(Exception):
+        FS.scan_json_records(spark, str(p), "a int", row_cap=5).collect()
+    root = str(tmp_path / "snaps")
+    FS.write_snapshot(spark.createDataFrame([(1,)], "a int"), root, "ds", "2024-01-01_05")
+    assert FS.read_snapshot(spark, root, "ds", "2024-01-01_05").count() == 1
+    with pytest.raises(ValidationError):
+        FS.read_snapshot(spark, root, "ds", "2024-01-02_05")
