@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.llm import text_arrays as ta
@@ -47,10 +47,10 @@ BLOCK_ENTRIES = 1_000_000
 
 DOC, SETS, LOCAL, QUERY, REPLY = range(5)
 FLOW = pa.schema([("dest", pa.int64()), ("kind", pa.int32()), ("chunk", pa.int64()), ("doc_id", pa.int64()),
-                  ("n", pa.int64()), ("sig", pa.int64()), ("payload", pa.binary())])
-FLOW_DDL = "dest long, kind int, chunk long, doc_id long, n long, sig long, payload binary"
-ROWS_DDL = "kind int, doc_id long, n long, sig long, set_id long, m long, shared binary"
-ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()),
+                  ("key", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("payload", pa.binary())])
+FLOW_DDL = "dest long, kind int, chunk long, doc_id long, key long, n long, sig long, payload binary"
+ROWS_DDL = "kind int, doc_id long, key long, n long, sig long, set_id long, m long, shared binary"
+ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()),
                   ("set_id", pa.int64()), ("m", pa.int64()), ("shared", pa.binary())])
 
 
@@ -85,14 +85,15 @@ def _flow(rows: list[tuple]) -> pa.RecordBatch:
                                       schema=FLOW)
 
 
-def _chunk_rows(chunk: int, ids: list, values: np.ndarray, n: np.ndarray, sigs: np.ndarray,
+def _chunk_rows(chunk: int, ids: list, row_keys: list, values: np.ndarray, n: np.ndarray, sigs: np.ndarray,
                 block_bits: int) -> Iterator[pa.RecordBatch]:
     """What a chunk of documents sends: its documents, its distinct sets, the
     columns that it holds more than once, and one query per column block."""
     pass_on = -1 - chunk
+    spread = -1 - ((np.int64(chunk) << 6) + np.arange(len(n)) % 64)  # these rows need no one place
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(n), pass_on)), pa.array(np.full(len(n), DOC, np.int32)), pa.array(np.full(len(n), chunk)),
-         pa.concat_arrays(ids), pa.array(n), pa.array(sigs.view(np.int64)), pa.nulls(len(n), pa.binary())], schema=FLOW)
+        [pa.array(spread), pa.array(np.full(len(n), DOC, np.int32)), pa.array(spread),
+         pa.concat_arrays(ids), pa.concat_arrays(row_keys), pa.array(n), pa.array(sigs.view(np.int64)), pa.nulls(len(n), pa.binary())], schema=FLOW)
     keep = np.flatnonzero(n > 0)
     sets, first = np.unique(sigs[keep], return_index=True)
     if not len(sets):
@@ -105,13 +106,13 @@ def _chunk_rows(chunk: int, ids: list, values: np.ndarray, n: np.ndarray, sigs:
     keys = (values[member] >> np.uint64(64 - KEY_BITS)).astype(np.int64)
     idx = np.repeat(np.arange(len(first), dtype=np.uint16), n[first])
     del off, member
-    yield _flow([(pass_on, SETS, chunk, None, None, None, _pack(sigs[first], n[first].astype(np.int64)))])
+    yield _flow([(pass_on, SETS, chunk, None, None, None, None, _pack(sigs[first], n[first].astype(np.int64)))])
     order = np.argsort(keys, kind="stable")
     keys, idx = keys[order], idx[order]
     starts, counts = _segments(keys)
     often = np.repeat(counts > 1, counts)
     if often.any():
-        yield _flow([(pass_on, LOCAL, chunk, None, None, None, _pack(keys[often], idx[often]))])
+        yield _flow([(pass_on, LOCAL, chunk, None, None, None, None, _pack(keys[often], idx[often]))])
     keys, idx = keys[starts], idx[starts]
     counts = np.minimum(counts, 255).astype(np.uint8)
     block = keys >> (KEY_BITS - block_bits)
@@ -119,7 +120,7 @@ def _chunk_rows(chunk: int, ids: list, values: np.ndarray, n: np.ndarray, sigs:
     keys, idx, counts, block = keys[order], idx[order], counts[order], block[order]
     low = (keys & ((1 << LOW_BITS) - 1)).view(np.uint8).reshape(-1, 8)[:, :LOW_BITS // 8]
     starts, sizes = _segments(block)
-    rows = [(int(block[a]), QUERY, chunk, None, None, None, _pack(low[a:a + k], idx[a:a + k], counts[a:a + k]))
+    rows = [(int(block[a]), QUERY, chunk, None, None, None, None, _pack(low[a:a + k], idx[a:a + k], counts[a:a + k]))
             for a, k in zip(starts.tolist(), sizes.tolist(), strict=True)]
     for a in range(0, len(rows), 64):
         yield _flow(rows[a:a + 64])
@@ -134,8 +135,8 @@ def _incidence(block_bits: int):
         def flush():
             nonlocal held, entries, rows, seq
             if held:
-                ids, values, n, sigs = zip(*held, strict=True)
-                yield from _chunk_rows((part << 24) + seq, list(ids), np.concatenate(values),
+                ids, row_keys, values, n, sigs = zip(*held, strict=True)
+                yield from _chunk_rows((part << 24) + seq, list(ids), list(row_keys), np.concatenate(values),
                                        np.concatenate(n), np.concatenate(sigs), block_bits)
                 held, entries, rows, seq = [], 0, 0, seq + 1
 
@@ -144,7 +145,7 @@ def _incidence(block_bits: int):
                 values, off = ta.shingle_sets(piece.column("text"))
                 if rows + piece.num_rows >= CHUNK_ROWS or entries + len(values) > CHUNK_ENTRIES:
                     yield from flush()
-                held.append((piece.column("doc_id"), values, np.diff(off), ta.set_signatures(values, off)))
+                held.append((piece.column("doc_id"), piece.column("key"), values, np.diff(off), ta.set_signatures(values, off)))
                 entries, rows = entries + len(values), rows + piece.num_rows
         yield from flush()
     return run
@@ -175,7 +176,7 @@ def _answer(table: pa.Table) -> pa.Table:
     for r, chunk in enumerate(chunks.tolist()):
         at = np.flatnonzero(held[off[r]:off[r + 1]] > 1) + off[r]
         if len(at):
-            rows.append((block, REPLY, chunk, None, None, None,
+            rows.append((block, REPLY, chunk, None, None, None, None,
                          _pack(keys[at], held[at].astype(np.uint32), idx[at], counts[at])))
     return pa.concat_tables([rest, pa.Table.from_batches([_flow(rows)])]) if rows else rest
 
@@ -188,7 +189,7 @@ def _bounded(block_bits: int):
         docs = table.filter(pa.array(kind == DOC))
         none = lambda t: pa.nulls(docs.num_rows, t)
         out = [pa.Table.from_arrays(
-            [docs.column("kind"), docs.column("doc_id"), docs.column("n"), docs.column("sig"),
+            [docs.column("kind"), docs.column("doc_id"), docs.column("key"), docs.column("n"), docs.column("sig"),
              none(pa.int64()), none(pa.int64()), none(pa.binary())], schema=ROWS)]
         payload = {k: [p.as_buffer() for p in table.filter(pa.array(kind == k)).column("payload")]
                    for k in (SETS, LOCAL)}
@@ -223,7 +224,7 @@ def _bounded(block_bits: int):
         off = np.concatenate([[0], np.cumsum(m[at])])
         shared = [keys[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
         out.append(pa.Table.from_arrays(
-            [pa.array(np.full(len(at), SETS, np.int32)), pa.nulls(len(at), pa.int64()), pa.array(n[at]),
+            [pa.array(np.full(len(at), SETS, np.int32)), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(n[at]),
              pa.array(sigs[at].view(np.int64)), pa.array((chunk << 16) + at), pa.array(m[at]),
              pa.array(shared, pa.binary())], schema=ROWS))
         return pa.concat_tables(out)
@@ -322,34 +323,11 @@ def _links(cells: DataFrame, sets: DataFrame) -> DataFrame:
             .groupBy("cell").applyInArrow(_product, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Components of documents whose 5-word shingle sets have Jaccard >= 0.75.
-
-    Takes ``doc_id long, text string`` (other columns are ignored). Returns one row
-    per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by
-    links). Null or wordless text: no shingles, linked with nothing, component_id
-    is the row's own doc_id. Fewer than five words: the whole sequence is the one
-    shingle. Repeated rows and equal texts are one class and link. A null doc_id
-    is ignored by the minimum (a component of only such rows has a null id). An
-    empty table gives an empty result."""
-    spark = docs.sparkSession
-    bits = max(KEY_BITS - LOW_BITS, (4 * partitions(spark) - 1).bit_length())
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    flow = text.mapInArrow(_incidence(bits), FLOW_DDL)
-    replied = flow.groupBy("dest").applyInArrow(_answer, FLOW_DDL)
-    rows = settle(replied.groupBy("chunk").applyInArrow(_bounded(bits), ROWS_DDL), "ngram-rows")
-    documents_ = rows.where(F.col("kind") == DOC).select("doc_id", "n", "sig")
-    every = rows.where(F.col("kind") == SETS)
-    # one set per class of copies
-    chosen = every.groupBy("sig").agg(F.min("set_id").alias("set_id")).select("set_id")
-    sets = settle(every.join(chosen, "set_id", "left_semi").select("set_id", "sig", "n", "m", "shared"), "ngram-sets")
-
-    posts = sets.mapInArrow(_post, "col long, set_id long, unshared double")
-    hubs = (posts.groupBy("col").agg(F.count("*").alias("k"), F.min(F.struct("unshared", "set_id")).alias("h"))
-            .where("k > 1").select("col", F.col("h.set_id").alias("hub")))
-    near = settle(posts.select("col", "set_id").join(hubs, "col").where("set_id <> hub")
-                  .select("hub", "set_id").distinct(), "ngram-neighbours")
-
+def resolved(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """Components (node, component) of the sets that link, from candidate groups
+    ``near(hub, set_id)``: any two sets that may link are neighbours of one hub, or
+    one is the other's hub. ``sets(set_id, n, m, shared)``: size, members given and
+    the members as packed int64."""
     # hub x neighbours
     sizes = (near.join(sets.select("set_id", "m"), "set_id").groupBy("hub")
              .agg(_blocks(F.count("*"), F.sum("m")).alias("blocks")))
@@ -386,22 +364,75 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .unionAll(pair(outs.withColumn("o", F.explode(seq(zero, F.col("bi") - 1))), "in", block, F.col("o"), 0))
              .unionAll(pair(ins.withColumn("o", F.explode(seq(zero, F.col("bo") - 1))), "in", F.col("o"), block, 1)))
     more = _links(cells, sets)
-    found = components(links.unionAll(more))
+    return components(links.unionAll(more))
+
+
+def near_duplicates(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have Jaccard >= 0.75.
+
+    Takes ``doc_id long, text string`` (other columns are ignored). Returns one row
+    per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by
+    links), component (a name of the component that holds also where doc_ids repeat;
+    null without shingles) and key (a long of the caller's that tells rows apart). Null or wordless text: no shingles, linked with nothing, component_id
+    is the row's own doc_id. Fewer than five words: the whole sequence is the one
+    shingle. Repeated rows and equal texts are one class and link. A null doc_id
+    is ignored by the minimum (a component of only such rows has a null id). An
+    empty table gives an empty result."""
+    spark = docs.sparkSession
+    bits = max(KEY_BITS - LOW_BITS, (4 * partitions(spark) - 1).bit_length())
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       (F.lit(None) if key is None else key).cast("long").alias("key"))
+    flow = text.mapInArrow(_incidence(bits), FLOW_DDL)
+    replied = flow.groupBy("dest").applyInArrow(_answer, FLOW_DDL)
+    rows = settle(replied.groupBy("chunk").applyInArrow(_bounded(bits), ROWS_DDL), "ngram-rows")
+    documents_ = rows.where(F.col("kind") == DOC).select("doc_id", "key", "n", "sig")
+    every = rows.where(F.col("kind") == SETS)
+    # one set per class of copies
+    chosen = every.groupBy("sig").agg(F.min("set_id").alias("set_id")).select("set_id")
+    sets = settle(every.join(chosen, "set_id", "left_semi").select("set_id", "sig", "n", "m", "shared"), "ngram-sets")
+
+    posts = sets.mapInArrow(_post, "col long, set_id long, unshared double")
+    hubs = (posts.groupBy("col").agg(F.count("*").alias("k"), F.min(F.struct("unshared", "set_id")).alias("h"))
+            .where("k > 1").select("col", F.col("h.set_id").alias("hub")))
+    near = settle(posts.select("col", "set_id").join(hubs, "col").where("set_id <> hub")
+                  .select("hub", "set_id").distinct(), "ngram-neighbours")
+
+    found = resolved(near, sets)
 
     # classes of copies -> components of documents
     classes = documents_.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     linked = sets.join(found, sets.set_id == found.node).select("sig", "component").join(classes, "sig")
     lowest = linked.groupBy("component").agg(F.min("least").alias("lowest"))
-    linked = linked.join(lowest, "component").select("sig", "lowest")
-    named = classes.join(linked, "sig", "left").select("sig", F.coalesce("lowest", "least").alias("component_id"))
+    linked = linked.join(lowest, "component").select("sig", "component", "lowest")
+    named = classes.join(linked, "sig", "left").select(
+        "sig", F.coalesce("lowest", "least").alias("component_id"),
+        F.coalesce(F.concat(F.lit("linked "), "component"), F.concat(F.lit("alone "), "sig")).alias("component"))
     return (documents_.join(named, "sig", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    "component", "key"))
 
 
 def _blocks(count, entries):
     return F.greatest(F.ceil(count / BLOCK_DOCS), F.ceil(entries / BLOCK_ENTRIES)).cast("long")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, then the
+    smallest hash of the text; identical (doc_id, text) rows stay once. Rows without
+    shingles stay."""
+    row_key = F.xxhash64("doc_id", "text")
+    near = near_duplicates(docs, row_key)
+    keep = (near.where("component is not null").groupBy("component")
+            .agg(F.min(F.struct("doc_id", "key")).alias("kept")).select("kept.*")
+            .unionByName(near.where("component is null").select("doc_id", "key").distinct()))
+    keep = settle(keep.select(F.col("key").alias("_kept_key"), F.col("doc_id").alias("_kept_id")), "ngram-kept")
+    rows = docs.withColumn("_kept_key", row_key).withColumn("_kept_id", F.col("doc_id").cast("long"))
+    one = Window.partitionBy("_kept_key").orderBy("_kept_id")
+    same = (rows["_kept_key"] == keep["_kept_key"]) & rows["_kept_id"].eqNullSafe(keep["_kept_id"])
+    return (rows.join(keep, same, "left_semi").withColumn("_kept_place", F.row_number().over(one))
+            .where("_kept_place = 1").select(*docs.columns))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("key")

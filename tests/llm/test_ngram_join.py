@@ -40,7 +40,8 @@ def brute(rows):
 def run(spark, rows):
     docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows],
                                  "doc_id long, text string, component_id int, n string")
-    return sorted(tuple(r) for r in ngram_join.near_duplicates(docs.repartition(3)).collect())
+    near = ngram_join.near_duplicates(docs.repartition(3))
+    return sorted(tuple(r) for r in near.select("doc_id", "n_shingles", "component_id").collect())
 
 
 def edited(rng, words, k):
@@ -97,3 +98,11 @@ def test_sets_equal_python_sets():
     texts = [t for _, t in planted(3)]
     values, off = text_arrays.shingle_sets(pa.array(texts))
     assert np.diff(off).tolist() == [len(shingles(t)) for t in texts]
+
+
+def test_one_of_each(spark):
+    rows = [(3, "a b c d e f", "x"), (3, "a b c d e f", "y"), (9, "A b c d e  f", "z"), (1, "", "x"), (1, None, "x"), (1, "", "x"),
+            (3, "other words stand here now", "x"), (None, "p q r", "x"), (5, "p q r", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component string")
+    got = sorted((tuple(r)[:2] for r in ngram_join.one_of_each(docs).collect()), key=str)
+    assert got == sorted([(3, "a b c d e f"), (1, ""), (1, None), (3, "other words stand here now"), (None, "p q r")], key=str)
