@@ -11,7 +11,7 @@ from almanac.functions.text import (  # noqa: F401
 from almanac.functions.numeric import (  # noqa: F401
     parse_numeric, sentinel_to_null, sentinel_to_zero, strict_sum,
     asymmetric_sum, coverage_average, coverage_week_total, half_even,
-    cents, from_cents, money_sum,
+    cents, from_cents, from_units, money_sum, to_units, total,
 )
 from almanac.functions.dates import (  # noqa: F401
     week_end_monday, epoch_ms_to_date, run_date, vintage_of, date_shift,

@@ -70,21 +70,38 @@ def half_even(c, scale: int = 0) -> Column:
     return F.bround(col_of(c), scale)
 
 
-def cents(c) -> Column:
-    """Two-decimal amount as an exact integer count of hundredths.
+def to_units(c, scale: int) -> Column:
+    """A value of at most ``scale`` decimals as an exact integer count of its
+    last decimal.
 
-    Sums of cents are exact and order-independent, and they run on plain
+    Sums of units are exact and order-independent, and they run on plain
     64-bit integers (a decimal(18,2) sum widens to decimal(28,2), which
-    Spark aggregates through arbitrary-precision objects)."""
-    return F.round(col_of(c) * 100).cast("bigint")
+    Spark aggregates through arbitrary-precision objects). Only for sources
+    whose values have that many decimals; others are summed as they are."""
+    return F.round(col_of(c) * F.lit(10 ** scale)).cast("bigint")
 
 
-def from_cents(c) -> Column:
+def from_units(c, scale: int) -> Column:
     """Back to a double: one correctly rounded division, i.e. the double
-    nearest the exact two-decimal value."""
-    return col_of(c) / F.lit(100.0)
+    nearest the exact value."""
+    return col_of(c) / F.lit(float(10 ** scale))
+
+
+def total(c, scale: int | None = None) -> Column:
+    """Sum of the values as they are, or, where the source states how many
+    decimals its values have, the exact sum at that ``scale``."""
+    return F.sum(col_of(c)) if scale is None else from_units(F.sum(to_units(c, scale)), scale)
+
+
+def cents(c) -> Column:
+    """Two-decimal amount as an integer count of hundredths."""
+    return to_units(c, 2)
+
+
+def from_cents(c) -> Column:
+    return from_units(c, 2)
 
 
 def money_sum(c) -> Column:
     """Exact, order-independent sum of two-decimal values, as double."""
-    return from_cents(F.sum(cents(c)))
+    return total(c, 2)

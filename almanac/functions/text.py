@@ -62,5 +62,9 @@ def normalize_name(c) -> Column:
 
 
 def zero_pad(c, width: int = 5) -> Column:
-    """``str.zfill(width)`` for non-negative codes."""
-    return F.lpad(col_of(c).cast("string"), width, "0")
+    """``str.zfill(width)``: zeros go in front (behind a sign); a longer value
+    stays as it is (``lpad`` would cut it)."""
+    s = col_of(c).cast("string")
+    sign = F.regexp_extract(s, "^[+-]", 0)
+    zeros = F.repeat(F.lit("0"), F.greatest(F.lit(width) - F.length(s), F.lit(0)))
+    return F.concat(sign, zeros, F.substring(s, F.length(sign) + 1, F.length(s)))

@@ -1,5 +1,6 @@
-"""Aggregations (A-rows). Sums of two-decimal money/count values are exact
-(decimal) and cast to double, so results do not depend on shuffle order."""
+"""Aggregations (A-rows). Values are summed as they are; with ``scale`` (the
+number of decimals that the source's values have) the sum is exact and does not
+depend on shuffle order."""
 
 from __future__ import annotations
 
@@ -8,22 +9,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.functions import half_even, money_sum, not_in_keep_null, replace_map
-
-
-def _sum(c: str, exact: bool) -> Column:
-    return money_sum(c) if exact else F.sum(c)
+from almanac.functions import half_even, not_in_keep_null, replace_map, total
 
 
 def rollup_sum(df: DataFrame, keys: Sequence[str], values: Sequence[str],
-               exact: bool = True) -> DataFrame:
+               scale: int | None = None) -> DataFrame:
     """Group sum to a coarser level (partial aggregation before the shuffle)."""
-    return df.groupBy(*keys).agg(*[_sum(v, exact).alias(v) for v in values])
+    return df.groupBy(*keys).agg(*[total(v, scale).alias(v) for v in values])
 
 
 def detail_and_rollup(df: DataFrame, county: str, state: str, keys: Sequence[str],
                       value: str = "value", exclude: Sequence = (), detail_min_exclusive=1000,
-                      exact: bool = True) -> DataFrame:
+                      scale: int | None = None) -> DataFrame:
     """Detail rows plus a per-state rollup, stacked with a ``location_type`` label.
 
     ``exclude`` drops from both levels; detail keeps only
@@ -38,23 +35,23 @@ def detail_and_rollup(df: DataFrame, county: str, state: str, keys: Sequence[str
                       F.col(value).cast("double").alias(value),
                       F.lit("county").alias("location_type")))
     roll = (base.groupBy(*keys, F.col(state).cast("bigint").alias("location"))
-            .agg(_sum(value, exact).alias(value))
+            .agg(total(value, scale).alias(value))
             .withColumn("location_type", F.lit("state")))
     return detail.unionByName(roll)
 
 
 def merge_members_sum(df: DataFrame, column: str, mapping: Mapping[str, str],
-                      keys: Sequence[str], values: Sequence[str], exact: bool = True) -> DataFrame:
+                      keys: Sequence[str], values: Sequence[str], scale: int | None = None) -> DataFrame:
     """Fold members into one (``NYC`` -> ``NY``) and sum numeric columns by key."""
     m = df.withColumn(column, replace_map(column, mapping))
-    return rollup_sum(m, [column, *keys], values, exact)
+    return rollup_sum(m, [column, *keys], values, scale)
 
 
 def strict_group_sum(df: DataFrame, keys: Sequence[str], values: Sequence[str],
-                     exact: bool = True) -> DataFrame:
+                     scale: int | None = None) -> DataFrame:
     """``sum(skipna=False)``: one null poisons the group sum."""
     return df.groupBy(*keys).agg(*[
-        F.when(F.count(F.lit(1)) == F.count(v), _sum(v, exact)).alias(v) for v in values])
+        F.when(F.count(F.lit(1)) == F.count(v), total(v, scale)).alias(v) for v in values])
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], value: str, ordinal: str) -> DataFrame:
@@ -79,18 +76,22 @@ def cumulative_present(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def proportional_allocation(df: DataFrame, group: Sequence[str], weight: str, amount: Column,
-                            out: str = "allocated") -> DataFrame:
+                            out: str = "allocated", large_groups: bool = False) -> DataFrame:
     """``(x / x.sum() * n).round()`` per group with half-even rounding.
 
-    The group totals are a partial aggregate joined back on the group key
-    (not a window over the group), so a group holding a third of all rows is
-    split by AQE's skew handling instead of landing in one task."""
+    One window over the group reads the input once; a state's counties on one
+    day are a small group. With ``large_groups`` the totals are a partial
+    aggregate joined back null-safe instead, so that a group holding a third of
+    all rows is split by AQE's skew handling (the input is computed twice).
+    A null group key is a group of its own, as in pandas."""
     group = list(group)
-    totals = df.groupBy(*group).agg(F.sum(weight).alias("__total")).select(
-        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__total")
-    # null-safe: a null group key is a group of its own, as in pandas groupby
-    cond = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-    j = df.join(totals, cond).drop(*[f"__g{i}" for i in range(len(group))])
+    if large_groups:
+        totals = df.groupBy(*group).agg(F.sum(weight).alias("__total")).select(
+            *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__total")
+        cond = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
+        j = df.join(totals, cond).drop(*[f"__g{i}" for i in range(len(group))])
+    else:
+        j = df.withColumn("__total", F.sum(weight).over(Window.partitionBy(*group)))
     return j.withColumn(out, half_even(F.col(weight) / F.col("__total") * amount)).drop("__total")
 
 

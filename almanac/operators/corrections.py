@@ -1,10 +1,9 @@
 """Backfill corrections on cumulative panels.
 
-A correction "subtract n from a series on every date >= d" is applied as an
-as-of step: the corrections become delta rows that are unioned into the
-panel, and a running sum of deltas per series (the same partitioning the
-panel's windows already use) gives each row its total adjustment. No
-per-correction scan, no join that multiplies rows, no driver loop.
+A correction "subtract n from a series on every date >= d" is an as-of step. The
+corrections are a short list: gathered per series into an array of (date, n)
+and joined to the panel by broadcast, they are summed up to each row's date in
+the row itself. The panel is neither shuffled nor sorted.
 """
 
 from __future__ import annotations
@@ -21,23 +20,19 @@ SERIES = ["location_type", "location", "category"]
 
 
 def apply_deltas(panel: DataFrame, deltas: DataFrame, value: str = "value",
-                 series: Sequence[str] = tuple(SERIES), dt: str = "dt",
-                 bucket=None) -> DataFrame:
-    """Subtract, from every row, the sum of the series' deltas dated on or
-    before the row's date. ``deltas`` has the series columns, ``dt`` and
-    ``delta``. ``bucket`` (a function of the date column, e.g. ``F.year``)
-    splits long series for the running sum."""
-    from almanac.operators.windows import running_sum
+                 series: Sequence[str] = tuple(SERIES), dt: str = "dt") -> DataFrame:
+    """Subtract, from every row, the sum of the series' deltas dated on or before
+    the row's date. ``deltas`` (a list of corrections: series columns, ``dt``,
+    ``delta``) becomes one array per series. Null series keys are keys like any
+    other."""
     series = list(series)
-    rows = panel.withColumns({"__kind": F.lit(1), "__delta": F.lit(0).cast("bigint")})
-    d = deltas.select(*series, dt, F.lit(0).alias("__kind"), F.col("delta").cast("bigint").alias("__delta"))
-    both = rows.unionByName(d, allowMissingColumns=True)
-    order = F.struct(F.col(dt), F.col("__kind"))
-    adj = running_sum(both, series, order, "__delta", "__adj",
-                      bucket=bucket(F.col(dt)) if bucket is not None else None)
-    return (adj.filter(F.col("__kind") == 1)
-            .withColumn(value, F.col(value) - F.col("__adj"))
-            .drop("__kind", "__delta", "__adj"))
+    steps = (deltas.groupBy(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(series)])
+             .agg(F.collect_list(F.struct(F.col(dt).alias("dt"), F.col("delta").cast("bigint").alias("n"))).alias("__steps")))
+    on = [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(series)]
+    due = F.aggregate(F.filter("__steps", lambda d: d["dt"] <= F.col(dt)), F.lit(0).cast("bigint"), lambda a, d: a + d["n"])
+    return (panel.join(F.broadcast(steps), on, "left")  # one row per corrected series
+            .withColumn(value, F.col(value) - F.coalesce(due, F.lit(0)))
+            .drop("__steps", *[f"__s{i}" for i in range(len(series))]))
 
 
 def _corrections_frame(spark: SparkSession, corrections, cols: str) -> DataFrame:
@@ -46,25 +41,21 @@ def _corrections_frame(spark: SparkSession, corrections, cols: str) -> DataFrame
 
 
 def backfill_county(panel: DataFrame, corrections, locations: DataFrame, category: str,
-                    value: str = "value", bucket=None) -> DataFrame:
+                    value: str = "value") -> DataFrame:
     """For each (county, date, n): subtract n from the county and from its
     state on all dates >= date. ``corrections`` is a list of
     (location, date, n); a county's state comes from ``locations``."""
-    spark = panel.sparkSession
-    c = _corrections_frame(spark, corrections, "location long, dt string, delta long")
-    county_state = locations.filter(F.col("location_type") == "county") \
-        .select("location", "state_fips")
-    from almanac.operators.joins import bounded_broadcast
+    c = _corrections_frame(panel.sparkSession, corrections, "location long, dt string, delta long")
+    county_state = locations.filter(F.col("location_type") == "county").select("location", "state_fips")
     county = c.select(F.lit("county").alias("location_type"), "location", "dt", "delta")
-    state = (c.join(bounded_broadcast(county_state), ["location"])
+    state = (county_state.join(F.broadcast(c), ["location"])  # the literal list
              .select(F.lit("state").alias("location_type"),
                      F.col("state_fips").cast("bigint").alias("location"), "dt", "delta"))
-    deltas = county.unionByName(state).withColumn("category", F.lit(category))
-    return apply_deltas(panel, deltas, value, bucket=bucket)
+    return apply_deltas(panel, county.unionByName(state).withColumn("category", F.lit(category)), value)
 
 
 def backfill_state(panel: DataFrame, corrections, category: str, exclude: Sequence = (),
-                   value: str = "value", bucket=None) -> DataFrame:
+                   value: str = "value") -> DataFrame:
     """For each (state, date, n): allocate n to the state's counties by that
     day's new count (half-even rounding), subtract the allocations from the
     counties and n from the state on all dates >= date.
@@ -72,33 +63,29 @@ def backfill_state(panel: DataFrame, corrections, category: str, exclude: Sequen
     Corrections of one state must have distinct dates: a step at d changes
     a series' daily diff only at d, so distinct dates are independent and
     one pass equals the sequential loop. Apply after ``backfill_county``.
+
+    A day's new count is the value on that date less the value on the date
+    before; both are partial aggregates per (county, correction), so only those
+    few rows are shuffled.
     """
     corrections = list(corrections)
-    seen = {(s, d) for s, d, _ in corrections}
-    if len(seen) != len(corrections):
+    if len({(s, d) for s, d, _ in corrections}) != len(corrections):
         raise ValidationError("state backfill corrections must have distinct (state, date)")
-    spark = panel.sparkSession
-    c = _corrections_frame(spark, corrections, "state_fips long, dt string, n long")
+    c = _corrections_frame(panel.sparkSession, corrections, "state_fips long, dt string, n long")
     counties = panel.filter((F.col("location_type") == "county") & (F.col("category") == category))
-    # only counties of corrected states need daily diffs: a semi join with the
-    # (tiny, literal) list of corrected states prunes the rest before the sort
-    from almanac.operators.joins import bounded_broadcast
-    corrected = c.select(F.col("state_fips").alias("__sf")).distinct()
-    counties = counties.join(bounded_broadcast(corrected),
-                             F.col("state_fips").cast("bigint") == F.col("__sf"), "left_semi")
     if exclude:
         counties = counties.filter(~F.col("location").isin(list(exclude)))
-    from almanac.operators.windows import series_lag
-    new = (series_lag(counties, ["location", "category"], "dt", value,
-                      bucket=bucket(F.col("dt")) if bucket is not None else None)
-           .withColumn("w", F.col(value) - F.col("__prev")).drop("__prev"))
     cc = c.select(F.col("state_fips").alias("sf"), F.col("dt").alias("cdt"), "n")
-    hit = new.join(bounded_broadcast(cc), (F.col("state_fips").cast("bigint") == F.col("sf"))
-                   & (F.col("dt") == F.col("cdt")))
+    before = F.when(F.col("dt") < F.col("cdt"), F.col("dt"))
+    hit = (counties.join(F.broadcast(cc), (F.col("state_fips").cast("bigint") == F.col("sf")) & (F.col("dt") <= F.col("cdt")))
+           .groupBy("location", "sf", "cdt", "n")
+           .agg(F.count_if(F.col("dt") == F.col("cdt")).alias("__there"),
+                F.max(F.when(F.col("dt") == F.col("cdt"), F.col(value))).alias("__now"),
+                F.max_by(F.col(value), before).alias("__before"))
+           .filter("__there > 0").withColumn("w", F.col("__now") - F.col("__before")))
     share = F.col("w") / F.sum("w").over(Window.partitionBy("sf", "cdt"))
-    alloc = hit.select(F.lit("county").alias("location_type"), "location", "dt",
+    alloc = hit.select(F.lit("county").alias("location_type"), "location", F.col("cdt").alias("dt"),
                        F.coalesce(half_even(share * F.col("n")), F.lit(0.0)).cast("bigint").alias("delta"))
     state = c.select(F.lit("state").alias("location_type"), F.col("state_fips").alias("location"),
                      "dt", F.col("n").alias("delta"))
-    deltas = alloc.unionByName(state).withColumn("category", F.lit(category))
-    return apply_deltas(panel, deltas, value, bucket=bucket)
+    return apply_deltas(panel, alloc.unionByName(state).withColumn("category", F.lit(category)), value)

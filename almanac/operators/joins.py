@@ -1,9 +1,9 @@
 """Dimension resolution, anti-join checks and merges (J-rows, S16, V07, V10).
 
-Dimensions are small by construction (hundreds of rows). They are
-broadcast only after a bounded size check (``bounded_broadcast``); above the
-bound the join is left to the planner (sort-merge, or AQE's runtime
-broadcast when the measured side is small).
+Dimensions are small by construction (hundreds of rows). A side is broadcast
+only when the planner's own size estimate in bytes is under a bound
+(``bounded_broadcast``); above it the join is left to the planner (sort-merge, or
+AQE's runtime broadcast when the measured side is small).
 """
 
 from __future__ import annotations
@@ -11,54 +11,61 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.errors import ValidationError
+from almanac.operators.numbering import numbered
 from almanac.schema import DEMOGRAPHIC_COLUMNS, VARIABLE_COLUMNS
+from almanac.session import path_exists
 
-BROADCAST_MAX_ROWS = 200_000  # a few MB for the narrow dimension rows
+BROADCAST_MAX_BYTES = 64 << 20
 
-# (session, plan hash, bound) -> bounded row count; a dimension plan is
-# checked once per session however often it is joined.
-_CHECKED: dict[tuple, int] = {}
 
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size. Taken from the current plan at
+    every call (file sizes, literal rows), so a grown table is seen."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int:
-    """Row count capped at ``max_rows + 1`` (``limit(max_rows + 1).count()``,
-    so the check never scans past the bound), memoised by semantic plan."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count()
-    return _CHECKED[key]
 
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if the side has at most ``max_rows`` rows; a
-    larger side is joined without the hint (sort-merge, or AQE's runtime
-    choice)."""
-    return F.broadcast(dim) if bounded_rows(dim, max_rows) <= max_rows else dim
+def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only if the side is estimated at no more than ``max_bytes``;
+    a larger or unknown side is joined without the hint."""
+    return F.broadcast(dim) if plan_bytes(dim) <= max_bytes else dim
 
 
 def load_dimension(dim: DataFrame, natural_key: Sequence[str], id_column: str = "id",
-                   existing: DataFrame | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Reference-table load: de-duplicate on the natural key, give each row a
-    stable surrogate id (``row_number`` over the natural key), and skip keys
-    already present in ``existing`` (conflicts ignored).
-
-    Dimension tables are bounded (checked here), so the global ordering for
-    the ids is a small single-task sort; fact tables never go through this.
-    """
-    if bounded_rows(dim, max_rows) > max_rows:
-        raise ValidationError(f"dimension larger than {max_rows} rows; not a dimension")
+                   existing: DataFrame | None = None) -> DataFrame:
+    """Reference-table load: de-duplicate on the natural key, skip keys that
+    ``existing`` holds (conflicts ignored, null keys compared like values) and
+    number the rest in the order of the key, from the largest existing id on.
+    Returns the new rows. The numbers come from a range-partitioned sort with
+    per-partition offsets, so no size is too large."""
     key = list(natural_key)
-    dedup = dim.dropDuplicates(key)
-    offset = F.lit(0)
+    new = dim.dropDuplicates(key)
+    first = 1
     if existing is not None:
-        dedup = dedup.join(existing.select(*key), key, "left_anti")
-        offset = F.coalesce(existing.select(F.max(id_column)).scalar(), F.lit(0))
-    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in key])
-    return dedup.withColumn(id_column, (F.row_number().over(w) + offset).cast("int"))
+        held = existing.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(key)])
+        new = new.join(held, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(key)], "left_anti")
+        first = 1 + (existing.agg(F.max(id_column)).first()[0] or 0)
+    rows = numbered(new, *[F.col(k).asc_nulls_first() for k in key], name=id_column)
+    return rows.withColumn(id_column, (F.col(id_column) + first).cast("int"))
+
+
+class DimensionTable:
+    """A stored dimension: ids are given once and never change, new keys are
+    appended with the next numbers."""
+
+    def __init__(self, spark: SparkSession, path: str, natural_key: Sequence[str], id_column: str = "id"):
+        self.spark, self.path, self.key, self.id_column = spark, path, list(natural_key), id_column
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def load(self, dim: DataFrame) -> DataFrame:
+        existing = self.read() if path_exists(self.spark, self.path) else None
+        new = load_dimension(dim, self.key, self.id_column, existing)
+        new.write.mode("append").parquet(self.path)
+        return self.read()
 
 
 def _left(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -101,15 +108,6 @@ def resolve_keys(obs: DataFrame, locations: DataFrame, providers: DataFrame,
     return out
 
 
-def fact_rows(resolved: DataFrame) -> DataFrame:
-    """Project resolved staging rows to the fact layout (live rows)."""
-    return resolved.select(
-        "dt", "location_id", "variable_id", "demographic_id", "provider_id",
-        F.col("value").cast("double").alias("value"),
-        F.col("last_updated"), "source_url", "source_name",
-        F.lit(False).alias("deleted"), F.lit(None).cast("bigint").alias("delete_batch_id"))
-
-
 def reject_unresolved(resolved: DataFrame) -> DataFrame:
     """Rows whose keys did not resolve, with the list of failing dimensions."""
     kinds = F.array_compact(F.array(
@@ -145,15 +143,26 @@ def unknown_locations(df: DataFrame, locations: DataFrame, by: str = "fips",
 
 def unknown_report(df: DataFrame, locations: DataFrame, demographics: DataFrame,
                    variables: DataFrame, by: str = "fips", state_fips: int | None = None) -> DataFrame:
-    """One frame of unknown keys with a ``kind`` column (text key)."""
-    v = unknown_variables(df, variables).select(
-        F.lit("variable").alias("kind"), F.concat_ws("|", *VARIABLE_COLUMNS).alias("key"))
-    d = unknown_demographics(df, demographics).select(
-        F.lit("demographic").alias("kind"), F.concat_ws("|", *DEMOGRAPHIC_COLUMNS).alias("key"))
-    loc_col = "location" if by == "fips" else "location_name"
-    loc = unknown_locations(df, locations, by, state_fips).select(
-        F.lit("location").alias("kind"), F.col(loc_col).cast("string").alias("key"))
-    return v.unionByName(d).unionByName(loc)
+    """One frame of distinct unknown keys with a ``kind`` column (text key).
+
+    The input is read once: flags of all three dimensions come from left joins
+    with their (size-checked) key lists, then one distinct."""
+    if by == "fips":
+        loc_col, loc = "location", locations.select("location").distinct()
+    else:
+        loc_col = "location_name"
+        loc = (locations.filter(F.col("state_fips") == F.lit(state_fips))
+               .select(F.col("name").alias("location_name")).distinct())
+    out = df.select(*VARIABLE_COLUMNS, *DEMOGRAPHIC_COLUMNS, loc_col).distinct()
+    for flag, dim, on in (("__v", variables, VARIABLE_COLUMNS), ("__d", demographics, DEMOGRAPHIC_COLUMNS),
+                          ("__l", loc, [loc_col])):
+        out = _left(out, dim.select(*on).distinct().withColumn(flag, F.lit(True)), on)
+    kinds = F.array_compact(F.array(*[
+        F.when(F.col(flag).isNull(), F.struct(F.lit(kind).alias("kind"), key.alias("key")))
+        for flag, kind, key in (("__v", "variable", F.concat_ws("|", *VARIABLE_COLUMNS)),
+                                ("__d", "demographic", F.concat_ws("|", *DEMOGRAPHIC_COLUMNS)),
+                                ("__l", "location", F.col(loc_col).cast("string")))]))
+    return out.select(F.explode(kinds).alias("u")).select("u.*").distinct()
 
 
 def nway_merge(frames: Sequence[DataFrame], on: Sequence[str], how: str = "inner") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.errors import ContractError
-from almanac.functions import cents, from_cents, parse_numeric, replace_map
+from almanac.functions import from_units, parse_numeric, replace_map, to_units
 from almanac.operators.transform import drop_nulls
 from almanac.schema import CMU_COLUMNS, CMU_DEFAULTS
 
@@ -146,10 +146,11 @@ def reshape_with_demographic(df: DataFrame, variable_map, demographic: str,
 
 def pivot_sum_total(df: DataFrame, index: Sequence[str], columns: str, values: str,
                     pivot_values: Sequence, total_name: str = "total",
-                    exact: bool = True) -> DataFrame:
+                    scale: int | None = None) -> DataFrame:
     """``pivot_table(aggfunc="sum")`` plus a row total over the pivoted
-    columns (nulls ignored; an all-null row totals 0, as in pandas)."""
-    v = cents(values) if exact else F.col(values)
+    columns (nulls ignored; an all-null row totals 0, as in pandas). With
+    ``scale`` (decimals of the source's values) the sums are exact."""
+    v = F.col(values) if scale is None else to_units(values, scale)
     wide = df.groupBy(*index).pivot(columns, list(pivot_values)).agg(F.sum(v))
     names = [str(p) for p in pivot_values]
     total = None
@@ -157,9 +158,9 @@ def pivot_sum_total(df: DataFrame, index: Sequence[str], columns: str, values: s
         t = F.coalesce(F.col(f"`{n}`"), F.lit(0))
         total = t if total is None else total + t
     out = wide.withColumn(total_name, total)
-    if exact:
-        out = out.select(*index, *[from_cents(F.col(f"`{n}`")).alias(n) for n in names],
-                         from_cents(F.col(total_name)).alias(total_name))
+    if scale is not None:
+        out = out.select(*index, *[from_units(F.col(f"`{n}`"), scale).alias(n) for n in names],
+                         from_units(F.col(total_name), scale).alias(total_name))
     return out
 
 
@@ -172,21 +173,31 @@ def pivot_first_metrics(df: DataFrame, index: Sequence[str], columns: str, value
 
 
 def latest_window_pivot(df: DataFrame, categories: Sequence[str], days_back: int = 7,
-                        index: Sequence[str] = ("location", "dt"),
-                        demographics_all: bool = True) -> DataFrame:
+                        index: Sequence[str] | None = None, location=None,
+                        location_type: str | None = None) -> DataFrame:
     """Last ``days_back`` days (strictly after ``max(dt) - days_back``) of the
-    chosen categories, one column per category.
-
-    ``max(dt)`` is a scalar subquery (computed once, no join); the pivot
-    values are given, so no extra distinct job runs.
-    """
-    base = df.filter(F.col("category").isin(list(categories)))
-    if demographics_all:
-        for d in ("age", "race", "ethnicity", "sex"):
-            base = base.filter(F.col(d) == "all")
-    max_dt = base.select(F.max("dt")).scalar()
-    recent = base.filter(F.col("dt") > F.date_sub(max_dt, days_back))
-    return recent.groupBy(*index).pivot("category", list(categories)).agg(F.first("value"))
+    chosen categories for all demographics, one column per category, optionally
+    of one location or one location type.
+
+    The latest date is that of the whole frame, whatever categories or groups
+    it belongs to: a scalar subquery, computed once, without a join. The pivot
+    values are given, so no extra distinct job runs. An (index, category) that
+    repeats is an error, as in the reference's unstack; of equal values one is
+    taken."""
+    if index is None:
+        index = ["dt"] + [c for c in ("location", "location_name") if c in df.columns]
+    max_dt = df.select(F.max("dt")).scalar()
+    base = df.filter(F.col("category").isin(list(categories)) & (F.col("dt") > F.date_sub(max_dt, days_back)))
+    for d in ("age", "race", "ethnicity", "sex"):
+        base = base.filter(F.col(d) == "all")
+    if location is not None:
+        base = base.filter(F.col("location") == F.lit(location))
+    if location_type is not None:
+        base = base.filter(F.col("location_type") == F.lit(location_type))
+    low, high = F.min("value"), F.max("value")
+    one = F.when(low == high, low).when(low.isNotNull(), F.raise_error(F.lit(
+        "latest window: several values of one category at one place and date")).cast("double"))
+    return base.groupBy(*index).pivot("category", list(categories)).agg(one)
 
 
 def decode_codes(df: DataFrame, column: str, dictionary: DataFrame, out_column: str | None = None,

@@ -3,10 +3,12 @@
 
 State changes are DataFrame -> DataFrame (new state) so they compose and can
 be checked; ``FactTable`` persists a state by rewriting only the touched
-partitions (Parquet has no MERGE/UPDATE): the merged partitions are first
-written to a staging folder in the shared checkpoint area, then swapped in
-with dynamic partition overwrite, so a lost executor or a failed job never
-leaves a half-written partition behind.
+partitions (Parquet has no MERGE/UPDATE): the new partitions are first written
+in full to a staging folder in the shared checkpoint area, then swapped in with
+dynamic partition overwrite. No partition is ever half written. The swap goes
+folder by folder, so a job that dies during it can leave some folders new and
+others old; upserts and deletes give the same state when run again, which mends
+that.
 """
 
 from __future__ import annotations
@@ -14,12 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from almanac.errors import ValidationError
 from almanac.schema import FACT_PK, FACT_SCHEMA
+from almanac.session import discard, path_exists, scratch_path
 
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
 PARTITION_COLUMNS = ["provider_id", "dt_month"]
@@ -74,16 +77,20 @@ def upsert(fact: DataFrame, batch: DataFrame, mode: str = "postgres",
     return j.select(*pk, *cols).select(*FACT_COLUMNS)
 
 
-def upsert_counts(fact: DataFrame, batch: DataFrame, pk: Sequence[str] = tuple(FACT_PK)) -> DataFrame:
-    """Rows inserted (new keys), updated (existing keys) and batch size, as
-    one aggregate row; a non-empty batch that changes nothing is an error."""
+def upsert_counts(fact: DataFrame, batch: DataFrame, pk: Sequence[str] = tuple(FACT_PK),
+                  merged: DataFrame | None = None) -> DataFrame:
+    """Rows inserted (new keys), updated (existing keys) and batch size, as one
+    aggregate row. What was written is read off the ``merged`` state (by default
+    that of ``upsert``), so a merge that took in none of a non-empty batch is an
+    error."""
     pk = list(pk)
-    keys = fact.select(*pk).withColumn("__o", F.lit(1))
-    j = batch.select(*pk).join(keys, pk, "left")
-    agg = j.agg(F.count_if(F.col("__o").isNull()).alias("rows_inserted"),
-                F.count_if(F.col("__o").isNotNull()).alias("rows_updated"),
-                F.count(F.lit(1)).alias("batch_rows"))
-    return agg.withColumn("rows_inserted", F.when(
+    merged = upsert(fact, batch, pk=pk) if merged is None else merged
+    written = merged.select(*pk).join(batch.select(*pk).distinct(), pk, "left_semi")
+    flagged = written.join(fact.select(*pk).withColumn("__o", F.lit(True)), pk, "left")
+    counts = flagged.agg(F.count_if(F.col("__o").isNull()).alias("rows_inserted"),
+                         F.count_if(F.col("__o").isNotNull()).alias("rows_updated"))
+    sized = counts.withColumn("batch_rows", batch.select(F.count(F.lit(1))).scalar())
+    return sized.withColumn("rows_inserted", F.when(
         (F.col("batch_rows") > 0) & (F.col("rows_inserted") + F.col("rows_updated") == 0),
         F.raise_error(F.lit("no rows written from a non-empty batch")).cast("bigint"))
         .otherwise(F.col("rows_inserted")))
@@ -136,12 +143,13 @@ def _flag_selected(fact: DataFrame, semis, pred: Column) -> DataFrame:
 
 def select_observations(fact: DataFrame, providers: DataFrame, variables: DataFrame,
                         locations: DataFrame, limit: int | None = None, **filters) -> DataFrame:
-    """Rows matching the selection (``select_scraped_data``)."""
+    """Rows matching the selection (``select_scraped_data``). ``limit`` takes the
+    first rows in the order of the primary key, the same at every run."""
     semis, pred = selection_predicate(providers, variables, locations, **filters)
     out = fact.filter(pred)
     for dim, col in semis:
         out = out.join(dim.distinct(), [col], "left_semi")
-    return out.limit(limit) if limit else out
+    return out.orderBy(*FACT_PK).limit(limit) if limit is not None else out
 
 
 def soft_delete(fact: DataFrame, providers: DataFrame, variables: DataFrame,
@@ -173,20 +181,21 @@ def undelete(fact: DataFrame, batch_id: int) -> DataFrame:
         hit.alias("changed"))
 
 
-def rows_changed(state: DataFrame) -> DataFrame:
-    return state.agg(F.count_if("changed").alias("rows_changed"))
-
-
-def newest_vintage_wins(batch: DataFrame, pk: Sequence[str] = tuple(FACT_PK),
-                        vintage: str = "last_updated") -> DataFrame:
-    """Reprocessing many vintages at once: per key the newest vintage wins,
-    exactly as if the vintages were upserted oldest first. One aggregation
-    per key instead of a loop of upserts."""
+def newest_vintage_wins(batch: DataFrame, pk: Sequence[str] = tuple(FACT_PK), vintage: str = "last_updated",
+                        first_kept: Sequence[str] = ("source_url", "source_name")) -> DataFrame:
+    """Many vintages at once: per key the newest vintage wins, exactly as if the
+    vintages were upserted oldest first; ``first_kept`` columns are those an
+    upsert keeps from the row that was there, so they come from the oldest. One
+    aggregation per key instead of a loop of upserts."""
     pk = list(pk)
-    others = [c for c in batch.columns if c not in pk]
-    s = F.struct(F.col(vintage).alias("__v"), *[F.col(c) for c in others])
-    return batch.groupBy(*pk).agg(F.max_by(s, F.col(vintage)).alias("__s")) \
-        .select(*pk, *[F.col(f"__s.{c}").alias(c) for c in others])
+    kept = [c for c in first_kept if c in batch.columns]
+    others = [c for c in batch.columns if c not in pk and c not in kept]
+    # all columns take part in the order, so rows of one vintage resolve alike at every run
+    newest = F.max(F.struct(F.col(vintage).alias("__v"), *[F.col(c).alias(c) for c in others]))
+    oldest = F.min(F.struct(F.col(vintage).alias("__v"), *[F.col(c).alias(c) for c in kept]))
+    return (batch.groupBy(*pk).agg(newest.alias("__s"), oldest.alias("__f"))
+            .select(*[F.col(c) if c in pk else F.col(f"{'__f' if c in kept else '__s'}.{c}").alias(c)
+                      for c in batch.columns]))
 
 
 @dataclass
@@ -194,7 +203,8 @@ class FactTable:
     """Fact table stored as Parquet partitioned by provider and month.
 
     Writers are serialised per table (no concurrent writers, as with the
-    reference's single database)."""
+    reference's single database). The driver handles lists of partition keys:
+    one per folder touched, as many as Spark's own file listing holds."""
 
     spark: SparkSession
     path: str
@@ -204,107 +214,126 @@ class FactTable:
     def stored_schema() -> T.StructType:
         return T.StructType(FACT_SCHEMA.fields + [T.StructField("dt_month", T.StringType())])
 
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.path)
+
     def scan(self) -> DataFrame:
         """The stored rows with the partition columns (``provider_id`` and
-        ``dt_month`` come from the folder names)."""
+        ``dt_month`` come from the folder names); none before the first write."""
+        if not self.exists():
+            return self.spark.createDataFrame([], self.stored_schema())
         return self.spark.read.schema(self.stored_schema()).parquet(self.path)
 
     def read(self) -> DataFrame:
-        try:
-            return self.scan().select(*FACT_COLUMNS)
-        except AnalysisException:  # no table written yet
-            return self.spark.createDataFrame([], FACT_SCHEMA)
+        return self.scan().select(*FACT_COLUMNS)
 
-    def write_state(self, state: DataFrame) -> None:
-        """Replace the partitions present in ``state`` via a staging copy."""
-        from almanac.session import scratch_path
+    @staticmethod
+    def folders(keys) -> Column:
+        """A static partition filter for the given (provider_id, dt_month) rows:
+        the months of each provider as a set, the providers joined as a balanced
+        tree, so the expression stays shallow for any number of keys."""
+        months: dict = {}
+        for r in keys:
+            months.setdefault(r.provider_id, set()).add(r.dt_month)
+        terms = []
+        for provider, found in months.items():
+            known = F.col("dt_month").isin(sorted(m for m in found if m is not None))
+            month = known | F.col("dt_month").isNull() if None in found else known
+            same = F.col("provider_id").isNull() if provider is None else F.col("provider_id") == F.lit(provider)
+            terms.append(same & month)
+        while len(terms) > 1:
+            pairs = [terms[i:i + 2] for i in range(0, len(terms), 2)]
+            terms = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
+        return terms[0] if terms else F.lit(False)
+
+    def _stage(self, state: DataFrame, *extra: str) -> str:
+        """Write a state to a staging folder, partitioned and sorted as stored."""
         stage = scratch_path(self.spark, "fact-stage")
-        out = state.select(*FACT_COLUMNS).withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
+        out = state.select(*FACT_COLUMNS, *extra).withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
         # a salt spreads one hot (provider, month) partition over several
         # writers; rows stay sorted by series for Parquet min/max pruning
         salt = F.pmod(F.xxhash64("location_id", "variable_id"), F.lit(self.writers_per_partition))
         (out.repartition(*PARTITION_COLUMNS, salt)
-         .sortWithinPartitions("location_id", "variable_id", "dt")
-         .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(stage))
-        staged = self.spark.read.schema(self.stored_schema()).parquet(stage)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .sortWithinPartitions(*PARTITION_COLUMNS, "location_id", "variable_id", "dt")
+         .write.partitionBy(*PARTITION_COLUMNS).parquet(stage))
+        return stage
+
+    def _staged(self, stage: str, *extra: T.StructField) -> DataFrame:
+        schema = T.StructType(self.stored_schema().fields + list(extra))
+        return self.spark.read.schema(schema).parquet(stage)
+
+    def _swap(self, rows: DataFrame, stage: str) -> None:
+        """Replace the partitions present in ``rows`` and drop the staging folder."""
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITION_COLUMNS).parquet(self.path))
+        discard(self.spark, stage)
 
-    def touched(self, batch: DataFrame, max_partitions: int = 10_000) -> DataFrame:
-        """The stored rows of the partitions a batch hits.
-
-        The (provider, month) keys of a batch are a bounded, metadata-sized
-        list; up to ``max_partitions`` of them become a static partition
-        filter, so only those folders are listed and read. Beyond that the
-        rows are taken with a semi join on the partition columns.
-        """
-        keys = batch.select("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month")).distinct()
-        found = keys.limit(max_partitions + 1).collect()
-        if len(found) <= max_partitions:
-            if not found:
-                return self.scan().filter(F.lit(False)).select(*FACT_COLUMNS)
-            pred = None
-            for r in found:
-                one = (F.col("provider_id") == F.lit(r.provider_id)) & (F.col("dt_month") == F.lit(r.dt_month))
-                pred = one if pred is None else pred | one
-            return self.scan().filter(pred).select(*FACT_COLUMNS)
-        return self.scan().join(keys, PARTITION_COLUMNS, "left_semi").select(*FACT_COLUMNS)
-
-    def upsert(self, batch: DataFrame, **kw) -> None:
-        """Merge a batch, reading only the partitions the batch touches."""
-        try:
-            current = self.touched(batch)
-        except AnalysisException:  # no table written yet
-            current = self.spark.createDataFrame([], FACT_SCHEMA)
-        self.write_state(upsert(current, batch, **kw))
-
-    def _partitions_where(self, pred: Column, max_partitions: int = 10_000) -> Column | None:
-        """A static partition filter for the (provider, month) folders that
-        hold rows matching ``pred`` (a bounded key list), or None if there
-        are more than ``max_partitions`` of them."""
-        keys = (self.scan().filter(pred).select(*PARTITION_COLUMNS).distinct()
-                .limit(max_partitions + 1).collect())
-        if len(keys) > max_partitions:
-            return None
-        out = F.lit(False)
-        for r in keys:
-            out = out | ((F.col("provider_id") == F.lit(r.provider_id)) & (F.col("dt_month") == F.lit(r.dt_month)))
-        return out
-
-    def _rewrite(self, where: Column | None, change) -> int:
-        """Apply ``change`` (a state -> state function with a ``changed``
-        flag) to the partitions selected by ``where`` and write them back;
-        returns the number of rows changed."""
-        current = self.scan()
-        if where is not None:
-            current = current.filter(where)
-        new_state = change(current.select(*FACT_COLUMNS))
-        staged = cut_lineage_to_table(new_state, self.spark)
-        n = staged.filter("changed").count()
-        if n:
-            self.write_state(staged.drop("changed"))
-        return n
+    def write_state(self, state: DataFrame) -> None:
+        """Replace the partitions present in ``state`` via a staging copy."""
+        stage = self._stage(state)
+        self._swap(self._staged(stage), stage)
+
+    def touched(self, batch: DataFrame) -> DataFrame:
+        """The stored rows of the partitions a batch hits; only those folders
+        are listed and read."""
+        keys = batch.select("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month")).distinct().collect()
+        return self.scan().filter(self.folders(keys)).select(*FACT_COLUMNS)
+
+    def upsert(self, batch: DataFrame, loaded_rows: int | None = None, **kw) -> dict[str, int]:
+        """Merge a batch, reading only the partitions the batch touches. Returns
+        rows_inserted, rows_updated and batch_rows; raises if rows were loaded
+        (``loaded_rows`` before keys were resolved, else the batch's) and none of
+        them reached the table."""
+        # the batch is written once: it names the partitions, feeds the merge and is counted
+        held = scratch_path(self.spark, "fact-batch")
+        batch.select(*FACT_COLUMNS, *(["__ordinal"] if kw.get("on_duplicate") == "last" else [])).write.parquet(held)
+        batch = self.spark.read.parquet(held)
+        current = self.touched(batch)
+        new = batch.select(*FACT_PK).distinct().withColumn("__n", F.lit(True))
+        old = current.select(*FACT_PK).withColumn("__o", F.lit(True))
+        state = upsert(current, batch, **kw)
+        marked = (state.join(new, FACT_PK, "left").join(old, FACT_PK, "left")
+                  .withColumn("from_batch", F.coalesce("__n", F.lit(False)))
+                  .withColumn("was_there", F.coalesce("__o", F.lit(False))))
+        stage = self._stage(marked, "from_batch", "was_there")
+        flags = [T.StructField("from_batch", T.BooleanType()), T.StructField("was_there", T.BooleanType())]
+        staged = self._staged(stage, *flags)
+        counts = staged.agg(F.count_if(F.col("from_batch") & ~F.col("was_there")).alias("rows_inserted"),
+                            F.count_if(F.col("from_batch") & F.col("was_there")).alias("rows_updated")).first().asDict()
+        counts["batch_rows"] = batch.count()
+        loaded = counts["batch_rows"] if loaded_rows is None else loaded_rows
+        if loaded and not counts["rows_inserted"] + counts["rows_updated"]:
+            raise ValidationError(f"the upsert completed but wrote zero of {loaded} rows")
+        self._swap(staged.drop("from_batch", "was_there"), stage)
+        discard(self.spark, held)
+        return counts
+
+    def _rewrite(self, where: Column, change) -> int:
+        """Apply ``change`` (a state -> state function with a ``changed`` flag) to
+        the rows in the folders selected by ``where``; write back the folders in
+        which a row changed. Returns the number of rows changed."""
+        keys = self.scan().filter(where).select(*PARTITION_COLUMNS).distinct().collect()
+        if not keys:
+            return 0
+        new_state = change(self.scan().filter(self.folders(keys)).select(*FACT_COLUMNS))
+        stage = self._stage(new_state, "changed")
+        staged = self._staged(stage, T.StructField("changed", T.BooleanType()))
+        hit = staged.filter("changed").groupBy(*PARTITION_COLUMNS).count().collect()
+        if hit:
+            self._swap(staged.filter(self.folders(hit)).drop("changed"), stage)
+        else:
+            discard(self.spark, stage)
+        return sum(r["count"] for r in hit)
 
     def soft_delete(self, providers: DataFrame, variables: DataFrame, locations: DataFrame,
                     batch_id: int, **filters) -> int:
-        """Persisted soft delete: only partitions holding selected rows are
-        read and rewritten."""
+        """Persisted soft delete: only folders of the selected providers and dates
+        are read, and only those that hold a selected row are rewritten."""
         semis, pred = selection_predicate(providers, variables, locations, **filters)
-        where = self._partitions_where(pred)
-        return self._rewrite(where, lambda s: soft_delete(s, providers, variables, locations,
-                                                          batch_id, **filters))
+        chosen = [r.provider_id for dim, col in semis if col == "provider_id" for r in dim.distinct().collect()]
+        return self._rewrite(pred & F.col("provider_id").isin(chosen),
+                             lambda s: soft_delete(s, providers, variables, locations, batch_id, **filters))
 
     def undelete(self, batch_id: int) -> int:
         """Persisted undelete of one batch (only its partitions are rewritten)."""
-        where = self._partitions_where(F.col("delete_batch_id") == F.lit(batch_id))
-        return self._rewrite(where, lambda s: undelete(s, batch_id))
-
-
-def cut_lineage_to_table(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Materialise ``df`` as Parquet in the shared checkpoint folder and read
-    it back (a reliable lineage cut that a later overwrite of the source
-    cannot invalidate)."""
-    from almanac.session import scratch_path
-    path = scratch_path(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+        return self._rewrite(F.col("delete_batch_id") == F.lit(batch_id), lambda s: undelete(s, batch_id))

@@ -11,15 +11,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.functions.numeric import cents, from_cents
+from almanac.functions.numeric import from_units, to_units
 
 
 def _w(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order)
 
 
+def _join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of per-bucket summaries; null keys are keys like any other, as
+    in the windows that made the summaries."""
+    named = summary.withColumnsRenamed({k: f"__j{i}" for i, k in enumerate(keys)})
+    cond = [F.col(k).eqNullSafe(F.col(f"__j{i}")) for i, k in enumerate(keys)]
+    return df.join(named, cond, "left").drop(*[f"__j{i}" for i in range(len(keys))])
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order, value: str, out: str,
-                bucket: Column | None = None, exact: bool = False) -> DataFrame:
+                bucket: Column | None = None, scale: int | None = None) -> DataFrame:
     """Running sum of ``value`` per series, ordered by ``order`` (a column
     name or Column). Nulls are skipped in the sum.
 
@@ -31,22 +39,23 @@ def running_sum(df: DataFrame, keys: Sequence[str], order, value: str, out: str,
     A series holding a third of all rows then no longer lands in one task.
     """
     keys = list(keys)
-    # exact: sum integer hundredths, divide once at the end
-    v = cents(value) if exact else F.col(value)
+    # with a scale: sum integer units, divide once at the end
+    v = F.col(value) if scale is None else to_units(value, scale)
+    back = (lambda c: c) if scale is None else (lambda c: from_units(c, scale))
     o = F.col(order) if isinstance(order, str) else order
     rows = Window.unboundedPreceding, Window.currentRow
     if bucket is None:
         s = F.sum(v).over(Window.partitionBy(*keys).orderBy(o).rowsBetween(*rows))
-        return df.withColumn(out, from_cents(s) if exact else s)
+        return df.withColumn(out, back(s))
     b = df.withColumn("__b", bucket)
     inner = F.sum(v).over(Window.partitionBy(*keys, "__b").orderBy(o).rowsBetween(*rows))
     b = b.withColumn("__in", inner)
     totals = b.groupBy(*keys, "__b").agg(F.sum(v).alias("__t"))
     wb = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__b", F.coalesce(F.sum("__t").over(wb), F.lit(0)).alias("__off"))
-    j = b.join(offsets, [*keys, "__b"], "left")
+    j = _join_back(b, offsets, [*keys, "__b"])
     total = F.col("__in") + F.coalesce(F.col("__off"), F.lit(0))
-    return j.withColumn(out, from_cents(total) if exact else total).drop("__b", "__in", "__off")
+    return j.withColumn(out, back(total)).drop("__b", "__in", "__off")
 
 
 def series_lag(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str = "__prev",
@@ -66,19 +75,19 @@ def series_lag(df: DataFrame, keys: Sequence[str], order: str, value: str, out:
     last = b.groupBy(*keys, "__b").agg(F.max_by(F.col(value), F.col(order)).alias("__last"))
     prev = last.select(*keys, "__b", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__b"))
                        .alias("__pb"))
-    j = b.join(prev, [*keys, "__b"], "left")
+    j = _join_back(b, prev, [*keys, "__b"])
     return (j.withColumn(out, F.when(F.col("__rn") == 1, F.col("__pb")).otherwise(F.col("__lag")))
             .drop("__b", "__lag", "__rn", "__pb"))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str = "dt", value: str = "value",
-                  out: str | None = None, exact: bool = False,
+                  out: str | None = None, scale: int | None = None,
                   bucket: Column | None = None) -> DataFrame:
     """``groupby(keys).cumsum()``: nulls are skipped in the sum and stay null
-    in the output. ``exact`` sums two-decimal values without float drift;
-    ``bucket`` splits long series (see ``running_sum``)."""
+    in the output. ``scale`` (decimals of the source's values) sums without float
+    drift; ``bucket`` splits long series (see ``running_sum``)."""
     out = out or value
-    summed = running_sum(df, keys, order, value, "__cum", bucket=bucket, exact=exact)
+    summed = running_sum(df, keys, order, value, "__cum", bucket=bucket, scale=scale)
     v = F.col(value)
     return summed.withColumn(out, F.when(v.isNull(), F.lit(None).cast("double"))
                              .otherwise(F.col("__cum").cast("double"))).drop("__cum")

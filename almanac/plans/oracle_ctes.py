@@ -87,20 +87,24 @@ resolved AS (
   LEFT JOIN variables v ON o.category = v.category AND o.measurement = v.measurement
                        AND o.unit = v.unit)"""
 
-# Fact table versions used by the state tests: the base holds orders up to
-# 1998 (loaded from landing v1, first-of-month rows deleted in batch 7); the
-# batch re-delivers 1998 onwards from landing v2 with doubled values.
+# Fact table versions used by the state tests: all observations (loaded from
+# landing v1, first-of-month rows deleted in batch 7); the base of the upserts has
+# two of three parts of the keys, the batch re-delivers one of them and brings the
+# third from landing v2 with doubled values.
 FACTS = RESOLVED + """,
-fact_base AS (
+parted AS (SELECT *, (CAST(dayofyear(dt) AS BIGINT) + location) % 3 AS part FROM resolved),
+facts_parted AS (
   SELECT dt, location_id, variable_id, demographic_id, provider_id, value,
          vintage AS last_updated, 'file:///landed/v1' AS source_url, 'orders warehouse' AS source_name,
-         (day(dt) = 1) AS deleted, CASE WHEN day(dt) = 1 THEN CAST(7 AS BIGINT) END AS delete_batch_id
-  FROM resolved WHERE dt < DATE '1999-01-01'),
+         (day(dt) = 1) AS deleted, CASE WHEN day(dt) = 1 THEN CAST(7 AS BIGINT) END AS delete_batch_id, part
+  FROM parted),
+facts AS (SELECT * EXCLUDE (part) FROM facts_parted),
+fact_base AS (SELECT * EXCLUDE (part) FROM facts_parted WHERE part <> 2),
 fact_batch AS (
   SELECT dt, location_id, variable_id, demographic_id, provider_id, value * 2 AS value,
          TIMESTAMP '2024-03-01 05:00:00' AS last_updated, 'file:///landed/v2' AS source_url,
          'orders warehouse v2' AS source_name, false AS deleted, CAST(NULL AS BIGINT) AS delete_batch_id
-  FROM resolved WHERE dt >= DATE '1998-01-01')"""
+  FROM parted WHERE part <> 0)"""
 
 UPSERTED = FACTS + """,
 upserted AS (
@@ -114,11 +118,6 @@ upserted AS (
   FROM fact_base o FULL OUTER JOIN fact_batch n
     USING (dt, location_id, variable_id, demographic_id, provider_id))"""
 
-EVENTS_DAILY = """events_daily AS (
-  SELECT user_id, event_type, CAST(ts AS DATE) AS dt, count(*) AS n,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
-  FROM events GROUP BY 1, 2, 3)"""
-
 PANEL = DAILY_WIDE + """,
 pdaily AS (
   SELECT d.location, d.dt, sum(d.orders) AS orders,

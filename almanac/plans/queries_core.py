@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from almanac import functions as X
@@ -171,15 +173,17 @@ def q_replace_values_all(spark, sf):
 
 
 @query("zero_pad", """
-SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS fips FROM customer""")
+SELECT c_custkey, repeat('0', greatest(5 - length(CAST(c_nationkey AS VARCHAR)), 0)) || c_nationkey AS fips,
+       repeat('0', greatest(2 - length(CAST(c_custkey AS VARCHAR)), 0)) || c_custkey AS short FROM customer""")
 def q_zero_pad(spark, sf):
+    # most customer keys are longer than two digits: they stay whole
     c = table(spark, sf, "customer")
-    return c.select("c_custkey", X.zero_pad("c_nationkey").alias("fips"))
+    return c.select("c_custkey", X.zero_pad("c_nationkey").alias("fips"), X.zero_pad("c_custkey", 2).alias("short"))
 
 
 @query("fips_prefix_match", """
 SELECT c_custkey, fips, substr(fips, 1, 2) AS state_prefix FROM (
-  SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS fips FROM customer)
+  SELECT c_custkey, repeat('0', greatest(5 - length(CAST(c_custkey AS VARCHAR)), 0)) || c_custkey AS fips FROM customer)
 WHERE regexp_matches(fips, '^0[0-4]')""")
 def q_fips_prefix_match(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", X.zero_pad("c_custkey").alias("fips"))
@@ -376,7 +380,7 @@ def q_rename_add_date_location(spark, sf):
 
 
 @query("locations_of_state", "WITH " + C.LOCATIONS + """
-SELECT name, lpad(CAST(location AS VARCHAR), 5, '0') AS fips,
+SELECT name, repeat('0', greatest(5 - length(CAST(location AS VARCHAR)), 0)) || location AS fips,
        CASE WHEN name = 'NATION_1' THEN 'Nation One' ELSE name END AS display_name
 FROM locations WHERE state_fips = 1 AND location <> 1""")
 def q_locations_of_state(spark, sf):
@@ -460,14 +464,12 @@ SELECT TIMESTAMP '2024-02-01 05:00:00' AS vintage, dt, location, demographic_cat
 
 @query("split_demographics", _SPLIT_SQL)
 def q_split_demographics(spark, sf):
-    dw = TB.daily_wide(spark, sf)
-
-    def by(col, label):
-        return (dw.groupBy("dt", "location", F.lit(label).alias("demographic_category"),
-                           F.col(col).alias("demographic_value"))
-                .agg(F.count(F.lit(1)).alias("n"), X.money_sum("revenue").alias("revenue")))
-
-    stacked = by("age", "Segment").unionByName(by("race", "Priority"))
+    # each wide row counts once for its segment and once for its priority: one pass
+    dims = F.array(*[F.struct(F.lit(label).alias("demographic_category"), F.col(c).alias("demographic_value"))
+                     for c, label in (("age", "Segment"), ("race", "Priority"))])
+    stacked = (TB.daily_wide(spark, sf).select("dt", "location", "revenue", F.inline(dims))
+               .groupBy("dt", "location", "demographic_category", "demographic_value")
+               .agg(F.count(F.lit(1)).alias("n"), X.money_sum("revenue").alias("revenue")))
     split = R.split_demographics(stacked, "demographic_category", "demographic_value",
                                  {"Segment": "age", "Priority": "race"})
     vmap = {"n": R.cmu(category="orders", measurement="new", unit="count"),
@@ -482,9 +484,12 @@ SELECT user_id, CAST(ts AS DATE) AS dt, CAST(count(*) AS DOUBLE) AS value
 FROM events GROUP BY 1, 2""")
 def q_melt_date_columns(spark, sf):
     ev = table(spark, sf, "events")
-    # wide: one column per day (names are dates), as a landed wide file would be
+    # wide: one column per day of the calendar between the first and the last event,
+    # as a landed wide file would be; the column list comes from two dates
+    first, last = ev.select(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    days = [str(first + _dt.timedelta(days=i)) for i in range((last - first).days + 1)] if first else []
     wide = (ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-            .groupBy("user_id").pivot("day").agg(F.count(F.lit(1))))
+            .groupBy("user_id").pivot("day", days).agg(F.count(F.lit(1))))
     long = R.melt_date_columns(wide, ["user_id"])
     return P.drop_nulls(long)
 
@@ -501,7 +506,7 @@ SELECT o_orderpriority,
 FROM orders GROUP BY o_orderpriority""")
 def q_pivot_sum_total(spark, sf):
     o = table(spark, sf, "orders")
-    return R.pivot_sum_total(o, ["o_orderpriority"], "o_orderstatus", "o_totalprice", ["F", "O", "P"])
+    return R.pivot_sum_total(o, ["o_orderpriority"], "o_orderstatus", "o_totalprice", ["F", "O", "P"], scale=2)
 
 
 @query("pivot_first_metrics", """
@@ -518,15 +523,23 @@ def q_pivot_first_metrics(spark, sf):
                                  ["click", "error", "purchase", "signup", "view"], ordinal="event_id")
 
 
-@query("latest_window_pivot", "WITH " + C.OBS_ALL + """,
-m AS (SELECT max(dt) AS mx FROM obs_all)
+# Revenue is reported three days after the rest: the window still ends at the latest
+# date of the whole frame.
+_LATE = """late AS (
+  SELECT * REPLACE (CASE WHEN category = 'revenue' THEN dt + 3 ELSE dt END AS dt) FROM obs_all)"""
+
+
+@query("latest_window_pivot", "WITH " + C.OBS_ALL + ",\n" + _LATE + """,
+m AS (SELECT max(dt) AS mx FROM late)
 SELECT location, dt,
-  first(value) FILTER (WHERE category = 'orders') AS orders,
-  first(value) FILTER (WHERE category = 'quantity') AS quantity,
-  first(value) FILTER (WHERE category = 'revenue') AS revenue
-FROM obs_all, m WHERE dt > mx - INTERVAL 7 DAY GROUP BY location, dt""")
+  max(value) FILTER (WHERE category = 'orders') AS orders,
+  max(value) FILTER (WHERE category = 'quantity') AS quantity
+FROM late, m WHERE dt > mx - 40 AND category IN ('orders', 'quantity') AND location_type = 'county'
+GROUP BY location, dt""")
 def q_latest_window_pivot(spark, sf):
-    return R.latest_window_pivot(TB.obs_all(spark, sf), ["orders", "quantity", "revenue"], days_back=7)
+    late = TB.obs_all(spark, sf).withColumn(
+        "dt", F.when(F.col("category") == "revenue", F.date_add("dt", 3)).otherwise(F.col("dt")))
+    return R.latest_window_pivot(late, ["orders", "quantity"], days_back=40, location_type="county")
 
 
 @query("decode_codes", """

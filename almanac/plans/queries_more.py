@@ -16,13 +16,13 @@ from almanac.plans import oracle_ctes as C
 from almanac.plans import serve as S
 from almanac.plans import testbed as TB
 from almanac.plans.catalog import query
-from almanac.session import cut_lineage, table
+from almanac.session import table
 
 _VIEW_SQL = """
   SELECT p.name AS provider, f.dt, f.location_id, l.location, l.location_type,
          v.category AS variable_name, v.measurement, v.unit, d.age, d.race, d.ethnicity, d.sex,
          f.last_updated, f.source_url, f.source_name, f.value
-  FROM fact_base f
+  FROM facts f
   LEFT JOIN variables v ON f.variable_id = v.id
   LEFT JOIN locations l ON f.location_id = l.id
   LEFT JOIN providers p ON f.provider_id = p.id
@@ -32,7 +32,7 @@ VIEW = C.FACTS + ",\napi_view AS (" + _VIEW_SQL + ")"
 
 
 def _view(spark, sf, columns=None):
-    return S.api_view(TB.fact_base(spark, sf), TB.variables(spark), TB.locations(spark, sf),
+    return S.api_view(TB.facts(spark, sf), TB.variables(spark), TB.locations(spark, sf),
                       TB.providers(spark), TB.demographics(spark), columns)
 
 
@@ -105,7 +105,7 @@ def q_rest_query(spark, sf):
 # find exactly those.
 def _gappy_dims(spark, sf):
     locs = TB.locations(spark, sf).filter(~F.col("location").isin(3, 17) | (F.col("location_type") != "county"))
-    dem = TB.demographics(spark, [r for r in TB.demographic_rows() if r[0] != "household"])
+    dem = TB.demographics(spark).filter(F.col("age") != "household")
     var = TB.variables(spark).filter(F.col("category") != "quantity")
     return locs, dem, var
 
@@ -185,22 +185,19 @@ def q_reject_unresolved(spark, sf):
                       F.array_join("unresolved", ",").alias("unresolved"))
 
 
-def _per_status(spark, sf, status):
-    o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
-    return o.groupBy("o_custkey").agg(X.money_sum("o_totalprice").alias(f"total_{status}"))
-
-
-_PER_STATUS_SQL = """
-  SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_{s}
-  FROM orders WHERE o_orderstatus = '{s}' GROUP BY o_custkey"""
-
-
-@query("nway_merge", f"""
-WITH f AS ({_PER_STATUS_SQL.format(s='F')}), o AS ({_PER_STATUS_SQL.format(s='O')}),
-     p AS ({_PER_STATUS_SQL.format(s='P')})
-SELECT * FROM f JOIN o USING (o_custkey) JOIN p USING (o_custkey)""")
+@query("nway_merge", """
+WITH o AS (SELECT o_custkey AS key, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS ordered, count(*) AS orders
+           FROM orders GROUP BY o_custkey),
+     e AS (SELECT user_id AS key, count(*) AS events FROM events GROUP BY user_id)
+SELECT c.c_custkey AS key, c.c_acctbal AS balance, o.ordered, o.orders, e.events
+FROM customer c JOIN o ON c.c_custkey = o.key JOIN e ON c.c_custkey = e.key""")
 def q_nway_merge(spark, sf):
-    return J.nway_merge([_per_status(spark, sf, s) for s in ("F", "O", "P")], ["o_custkey"])
+    # one frame per source table, merged on the common key
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("key"), F.col("c_acctbal").alias("balance"))
+    o = (table(spark, sf, "orders").groupBy(F.col("o_custkey").cast("bigint").alias("key"))
+         .agg(X.money_sum("o_totalprice").alias("ordered"), F.count(F.lit(1)).alias("orders")))
+    e = table(spark, sf, "events").groupBy(F.col("user_id").cast("bigint").alias("key")).agg(F.count(F.lit(1)).alias("events"))
+    return J.nway_merge([c, o, e], ["key"])
 
 
 @query("key_intersect", """
@@ -214,26 +211,26 @@ def q_key_intersect(spark, sf):
 
 
 @query("union_all", """
-SELECT event_id, user_id, value FROM events WHERE event_type = 'click'
-UNION ALL SELECT event_id, user_id, value FROM events WHERE event_type = 'view'
-UNION ALL SELECT event_id, user_id, value FROM events WHERE event_type = 'click'""")
+SELECT event_id, user_id, value FROM events
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+UNION ALL SELECT event_id, user_id, value FROM events""")
 def q_union_all(spark, sf):
-    ev = table(spark, sf, "events")
-    c = ev.filter(F.col("event_type") == "click").select("event_id", "user_id", "value")
-    v = ev.filter(F.col("event_type") == "view").select("value", "event_id", "user_id")
-    return c.unionByName(v).unionByName(c)
+    ev = table(spark, sf, "events").select("event_id", "user_id", "value")
+    # by name, not by place; repeated rows stay
+    o = table(spark, sf, "orders").select(F.col("o_totalprice").alias("value"), F.col("o_orderkey").alias("event_id"),
+                                          F.col("o_custkey").alias("user_id"))
+    return ev.unionByName(o).unionByName(ev)
 
 
 @query("union_missing", """
-SELECT event_id, user_id, value, NULL::VARCHAR AS props, 'purchase' AS kind FROM events
-WHERE event_type = 'purchase'
-UNION ALL SELECT event_id, user_id, NULL::DOUBLE, props, 'signup' FROM events WHERE event_type = 'signup'""")
+SELECT event_id, user_id, value, NULL::VARCHAR AS props, 'valued' AS kind FROM events
+WHERE event_type NOT IN ('signup', 'error')
+UNION ALL SELECT event_id, user_id, NULL::DOUBLE, props, 'described' FROM events WHERE event_type IN ('signup', 'error')""")
 def q_union_missing(spark, sf):
     ev = table(spark, sf, "events")
-    a = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "value",
-                                                            F.lit("purchase").alias("kind"))
-    b = ev.filter(F.col("event_type") == "signup").select("event_id", "user_id", "props",
-                                                          F.lit("signup").alias("kind"))
+    described = F.col("event_type").isin("signup", "error")
+    a = ev.filter(~described).select("event_id", "user_id", "value", F.lit("valued").alias("kind"))
+    b = ev.filter(described).select("event_id", "user_id", "props", F.lit("described").alias("kind"))
     return a.unionByName(b, allowMissingColumns=True)
 
 
@@ -248,7 +245,7 @@ def q_rollup_sum(spark, sf):
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("location"),
                                                F.col("n_regionkey").alias("state_fips"))
     g = TB.obs(spark, sf).join(bounded_broadcast(nation), ["location"])
-    return A.rollup_sum(g, ["state_fips", "dt", "category"], ["value"])
+    return A.rollup_sum(g, ["state_fips", "dt", "category"], ["value"], scale=2)
 
 
 @query("detail_and_rollup", "WITH " + C.OBS_ALL + """,
@@ -264,7 +261,7 @@ def q_detail_and_rollup(spark, sf):
     g = TB.obs_all(spark, sf).join(bounded_broadcast(nation), ["location"])
     # nations 0-4 play the "unallocated" rows; nation 23 is dropped from both levels
     return A.detail_and_rollup(g, "location", "state_fips", ["dt", "category"], exclude=[23],
-                               detail_min_exclusive=4)
+                               detail_min_exclusive=4, scale=2)
 
 
 @query("merge_members_sum", """
@@ -275,7 +272,7 @@ FROM orders GROUP BY 1, 2""")
 def q_merge_members_sum(spark, sf):
     o = table(spark, sf, "orders").select("o_orderstatus", F.col("o_orderdate").cast("date").alias("dt"),
                                           "o_totalprice")
-    return A.merge_members_sum(o, "o_orderstatus", {"P": "O"}, ["dt"], ["o_totalprice"])
+    return A.merge_members_sum(o, "o_orderstatus", {"P": "O"}, ["dt"], ["o_totalprice"], scale=2)
 
 
 @query("strict_group_sum", """
@@ -289,7 +286,7 @@ FROM lineitem GROUP BY l_orderkey""")
 def q_strict_group_sum(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", X.sentinel_to_null("l_discount").alias("discount"),
                                              F.col("l_quantity").alias("quantity"))
-    return A.strict_group_sum(li, ["l_orderkey"], ["discount", "quantity"])
+    return A.strict_group_sum(li, ["l_orderkey"], ["discount", "quantity"], scale=2)
 
 
 @query("last_per_key", """
@@ -381,7 +378,7 @@ FROM events""")
 def q_running_total(spark, sf):
     ev = table(spark, sf, "events").withColumn("ord", F.struct("ts", "event_id"))
     # a user's events are split by day, so one very active user does not make one task
-    out = W.running_total(ev, ["user_id", "event_type"], "ord", "value", out="total", exact=True,
+    out = W.running_total(ev, ["user_id", "event_type"], "ord", "value", out="total", scale=2,
                           bucket=F.to_date("ts"))
     return out.select("event_id", "user_id", "event_type", "value", "total")
 
@@ -392,7 +389,8 @@ SELECT location_type, location, category, dt, value,
 FROM panel""")
 def q_daily_new(spark, sf):
     p = TB.county_panel(spark, sf)
-    return W.daily_new(p, ["location_type", "location", "category"], bucket=F.year("dt")).select(
+    # daily series are short: one window per series
+    return W.daily_new(p, ["location_type", "location", "category"]).select(
         "location_type", "location", "category", "dt", "value", "new_value")
 
 
@@ -437,20 +435,18 @@ SELECT location, provider, age, race, ethnicity, sex, category, unit, dt, value,
 WHERE diff < 0""")
 def q_cumulative_decreases(spark, sf):
     key = ["location", "provider", "category", "unit", "age", "sex", "race", "ethnicity"]
-    out = W.cumulative_decreases(_seeded(spark, sf), key, cut_date="1997-01-01", bucket=F.year("dt"))
+    out = W.cumulative_decreases(_seeded(spark, sf), key, cut_date="1997-01-01")
     return out.select("location", "provider", "age", "race", "ethnicity", "sex", "category", "unit",
                       "dt", "value", "diff")
 
 
-_ORDER_SQL = "WITH " + C.OBS_CUM + """,
-pair AS (
-  SELECT location, dt, measurement, age, sex, race, ethnicity, provider,
-         max(CASE WHEN category = '{small}' THEN value END) AS small_value,
-         max(CASE WHEN category = '{large}' THEN value END) AS large_value
-  FROM obs_cum WHERE measurement = 'cumulative' AND category IN ('{small}', '{large}')
-  GROUP BY location, dt, measurement, age, sex, race, ethnicity, provider)
-SELECT * FROM pair WHERE small_value IS NOT NULL AND large_value IS NOT NULL
-  AND large_value {op} small_value"""
+_ORDER_KEYS = "location, dt, measurement, age, sex, race, ethnicity, provider"
+_ORDER_SQL = "WITH " + C.OBS_CUM + """
+SELECT """ + _ORDER_KEYS + """, s.unit AS small_unit, l.unit AS large_unit,
+       s.value AS small_value, l.value AS large_value
+FROM (SELECT * FROM obs_cum WHERE category = '{small}') s
+JOIN (SELECT * FROM obs_cum WHERE category = '{large}') l USING (""" + _ORDER_KEYS + """)
+WHERE l.value {op} s.value"""
 
 
 @query("category_order_check", _ORDER_SQL.format(small="quantity", large="orders", op="<"))
@@ -463,6 +459,27 @@ def q_category_order_check_strict(spark, sf):
     return V.category_order_check(TB.obs_cum(spark, sf), small="orders", large="quantity", strict=True)
 
 
+_FOUND = """SELECT '{check}' AS "check", {category} AS category, {other} AS other_category, location, age, sex, race,
+  ethnicity, provider, dt, {unit} AS unit, {ounit} AS other_unit, {value} AS value, {ovalue} AS other_value FROM """
+
+
+@query("validation_report", "WITH " + C.OBS_CUM + ",\n" + _SEEDED + ",\nfalls AS (" + """
+  SELECT *, lag(value) OVER (PARTITION BY location, provider, category, unit, age, sex, race, ethnicity
+                             ORDER BY dt) AS before
+  FROM seeded WHERE dt >= DATE '1997-01-01')
+""" + _FOUND.format(check="cumulative_decrease", category="category", other="CAST(NULL AS VARCHAR)", unit="unit",
+                    ounit="unit", value="value", ovalue="before") + " falls WHERE value < before" + "".join(
+    "\nUNION ALL " + _FOUND.format(check="category_order", category=f"'{a}'", other=f"'{b}'", unit="s.unit", ounit="l.unit",
+                                   value="s.value", ovalue="l.value")
+    + f"(SELECT * FROM seeded WHERE category = '{a}') s JOIN (SELECT * FROM seeded WHERE category = '{b}') l "
+    + f"USING ({_ORDER_KEYS}) WHERE l.value < s.value" for a, b in (
+        ("orders", "quantity"), ("quantity", "revenue"), ("revenue", "orders"))))
+def q_validation_report(spark, sf):
+    """Decreases and three ordered pairs (the last one never holds) in one frame."""
+    return V.violations(_seeded(spark, sf), [("orders", "quantity"), ("quantity", "revenue"), ("revenue", "orders")],
+                        cut_date="1997-01-01")
+
+
 # --------------------------------------------------------------- corrections
 
 # Test corrections (location or state, date, count).
@@ -490,7 +507,7 @@ panel1 AS (
 @query("backfill_county", "WITH " + C.PANEL + "," + _COUNTY_DELTAS + " SELECT * FROM panel1")
 def q_backfill_county(spark, sf):
     return M.backfill_county(TB.county_panel(spark, sf), COUNTY_CORRECTIONS,
-                             TB.locations(spark, sf), category="orders", bucket=F.year)
+                             TB.locations(spark, sf), category="orders")
 
 
 @query("backfill_state", "WITH " + C.PANEL + "," + _COUNTY_DELTAS + """,
@@ -517,12 +534,8 @@ SELECT p.location_type, p.location, p.state_fips, p.dt, p.category, p.value - a.
 FROM panel1 p JOIN adj2 a USING (location_type, location, category, dt)""")
 def q_backfill_state(spark, sf):
     p = M.backfill_county(TB.county_panel(spark, sf), COUNTY_CORRECTIONS,
-                          TB.locations(spark, sf), category="orders", bucket=F.year)
-    # stage boundary: the county-corrected panel feeds two branches of the
-    # state step (weights and deltas), so it is checkpointed once to the
-    # shared folder instead of being recomputed per branch
-    p = cut_lineage(p)
-    return M.backfill_state(p, STATE_CORRECTIONS, category="orders", bucket=F.year)
+                          TB.locations(spark, sf), category="orders")
+    return M.backfill_state(p, STATE_CORRECTIONS, category="orders")
 
 
 # --------------------------------------------------------------- changelog

@@ -55,7 +55,8 @@ def q_scan_csv(spark, sf):
 
 
 @query("scan_csv_typed", """
-SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS fips, c_acctbal FROM customer""")
+SELECT c_custkey, repeat('0', greatest(5 - length(CAST(c_nationkey AS VARCHAR)), 0)) || c_nationkey AS fips, c_acctbal
+FROM customer""")
 def q_scan_csv_typed(spark, sf):
     path = scratch_path(spark, "csv-customer")
     c = table(spark, sf, "customer").select("c_custkey", X.zero_pad("c_nationkey").alias("fips"),
@@ -66,13 +67,14 @@ def q_scan_csv_typed(spark, sf):
 
 
 @query("scan_multi_file_tagged", """
-SELECT event_id, user_id, value, 'county' AS location_type FROM events WHERE event_type IN ('click', 'view')
+SELECT event_id, user_id, value, 'county' AS location_type FROM events
+WHERE event_type IN ('click', 'view', 'error')
 UNION ALL SELECT event_id, user_id, value, 'state' FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT event_id, 0, value, 'nation' FROM events WHERE event_type = 'signup'""")
 def q_scan_multi_file_tagged(spark, sf):
     ev = table(spark, sf, "events")
     root = scratch_path(spark, "multi")
-    ev.filter(F.col("event_type").isin("click", "view")).select("event_id", "user_id", "value") \
+    ev.filter(F.col("event_type").isin("click", "view", "error")).select("event_id", "user_id", "value") \
         .write.option("header", True).csv(f"{root}/counties")
     ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "value") \
         .write.option("header", True).csv(f"{root}/states")
@@ -91,8 +93,11 @@ def q_scan_multi_file_tagged(spark, sf):
 SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders""")
 def q_scan_json_records(spark, sf):
     path = scratch_path(spark, "json-orders")
-    _orders(spark, sf).write.json(path)
-    return FS.scan_json_records(spark, path, ORDERS_SCHEMA, row_cap=20_000_000,
+    orders = _orders(spark, sf)
+    orders.write.json(path)
+    # the limit sent to the source: one row more than it holds
+    asked = orders.select(F.count(F.lit(1)) + 1).scalar()
+    return FS.scan_json_records(spark, path, ORDERS_SCHEMA, row_cap=asked,
                                 columns=["o_orderkey", "o_totalprice", "o_orderpriority"])
 
 
@@ -329,7 +334,7 @@ def q_request_log_flatten(spark, sf):
 @query("stream_upsert", "WITH " + C.UPSERTED + " SELECT * FROM upserted")
 def q_stream_upsert(spark, sf):
     """Base state written as the fact table; the batch lands as two file
-    drops; the stream upserts each drop, newest last."""
+    drops that share keys; the stream upserts them, the newest row of a key wins."""
     from almanac.operators.store import FactTable
     from almanac.streaming.ingest import stream_upsert
     res = TB.resolved(spark, sf)
@@ -339,8 +344,10 @@ def q_stream_upsert(spark, sf):
     ckpt = scratch_path(spark, "fact-ckpt")
     table_ = FactTable(spark, fact_path)
     table_.write_state(base)
-    cut = F.lit("1999-01-01").cast("date")
-    batch.filter(F.col("dt") < cut).write.parquet(f"{landing}/drop=1")
-    batch.filter(F.col("dt") >= cut).write.parquet(f"{landing}/drop=2")
+    # the first drop holds older figures of part of the keys of the second
+    older = (batch.filter(F.dayofmonth("dt") <= 10)
+             .withColumns({"value": F.col("value") + 1, "last_updated": F.col("last_updated") - F.expr("INTERVAL 1 DAY")}))
+    older.write.parquet(f"{landing}/drop=1")
+    batch.write.parquet(f"{landing}/drop=2")
     stream_upsert(spark, landing + "/*", fact_path, ckpt)
     return table_.read()

@@ -13,6 +13,7 @@ from almanac.plans import serve as S
 from almanac.plans import testbed as TB
 from almanac.plans.catalog import query
 from almanac.plans.queries_more import VIEW, _view
+from almanac.schema import PUBLISHED_SCHEMA
 from almanac.session import scratch_path
 from almanac.sources import files as FS
 
@@ -61,14 +62,14 @@ _DELETE_ARGS = dict(provider="F|O", variable_regex="rev|ord", measurement_regex=
 
 
 @query("soft_delete", "WITH " + C.FACTS + f""",
-nb AS (SELECT coalesce(max(delete_batch_id), 0) + 1 AS b FROM fact_base)
+nb AS (SELECT coalesce(max(delete_batch_id), 0) + 1 AS b FROM facts)
 SELECT dt, location_id, variable_id, demographic_id, provider_id, value, last_updated, source_url,
        source_name, CASE WHEN sel THEN true ELSE deleted END AS deleted,
        CASE WHEN sel THEN b ELSE delete_batch_id END AS delete_batch_id, sel AS changed
-FROM (SELECT *, ({_SELECTED}) AS sel FROM fact_base), nb""")
+FROM (SELECT *, ({_SELECTED}) AS sel FROM facts), nb""")
 def q_soft_delete(spark, sf):
-    base = TB.fact_base(spark, sf)
-    # the batch id comes from the caller's sequence (the next after the base's
+    base = TB.facts(spark, sf)
+    # the batch id comes from the caller's sequence (the next after the table's
     # batch 7); ST.next_batch_id derives max + 1 from a stored table instead
     batch_id = TB.BASE_DELETE_BATCH + 1
     return ST.soft_delete(base, TB.providers(spark), TB.variables(spark), TB.locations(spark, sf),
@@ -80,13 +81,13 @@ SELECT dt, location_id, variable_id, demographic_id, provider_id, value, last_up
        source_name, CASE WHEN coalesce(delete_batch_id = 7, false) THEN false ELSE deleted END AS deleted,
        CASE WHEN coalesce(delete_batch_id = 7, false) THEN NULL ELSE delete_batch_id END AS delete_batch_id,
        coalesce(delete_batch_id = 7, false) AS changed
-FROM fact_base""")
+FROM facts""")
 def q_undelete(spark, sf):
-    return ST.undelete(TB.fact_base(spark, sf), TB.BASE_DELETE_BATCH)
+    return ST.undelete(TB.facts(spark, sf), TB.BASE_DELETE_BATCH)
 
 
 @query("select_observations", "WITH " + C.FACTS + """
-SELECT * FROM fact_base
+SELECT * FROM facts
 WHERE provider_id IN (SELECT id FROM providers WHERE regexp_matches(name, 'P'))
   AND variable_id IN (SELECT id FROM variables WHERE regexp_matches(category, '.+')
                       AND regexp_matches(unit, 'count|usd') AND regexp_matches(measurement, '.+'))
@@ -95,19 +96,19 @@ WHERE provider_id IN (SELECT id FROM providers WHERE regexp_matches(name, 'P'))
 def q_select_observations(spark, sf):
     # the location filter beats the state filter; the type regex would only
     # apply in the state branch
-    return ST.select_observations(TB.fact_base(spark, sf), TB.providers(spark), TB.variables(spark),
+    return ST.select_observations(TB.facts(spark, sf), TB.providers(spark), TB.variables(spark),
                                   TB.locations(spark, sf), provider="P", unit_regex="count|usd",
                                   location=5, state_fips=3, location_type_regex="state",
                                   start_date="1995-06-01")
 
 
 @query("reprocess_vintages", "WITH " + C.FACTS + f""",
-v2 AS (SELECT * REPLACE (value * 3 AS value, TIMESTAMP '2024-04-01 05:00:00' AS last_updated)
-       FROM fact_batch WHERE dt >= DATE '1999-01-01'),
+v2 AS (SELECT * REPLACE (value * 3 AS value, TIMESTAMP '2024-04-01 05:00:00' AS last_updated, 'file:///landed/v3' AS source_url)
+       FROM fact_batch WHERE day(dt) <= 15),
 allv AS (SELECT * FROM fact_batch UNION ALL SELECT * FROM v2),
 newest AS (
   SELECT {_PK}, arg_max(value, last_updated) AS value, max(last_updated) AS last_updated,
-         arg_max(source_url, last_updated) AS source_url, arg_max(source_name, last_updated) AS source_name,
+         arg_min(source_url, last_updated) AS source_url, arg_min(source_name, last_updated) AS source_name,
          arg_max(deleted, last_updated) AS deleted, arg_max(delete_batch_id, last_updated) AS delete_batch_id
   FROM allv GROUP BY {_PK})
 SELECT dt, location_id, variable_id, demographic_id, provider_id,
@@ -120,18 +121,24 @@ SELECT dt, location_id, variable_id, demographic_id, provider_id,
 FROM fact_base o FULL OUTER JOIN newest n USING ({_PK})""")
 def q_reprocess_vintages(spark, sf):
     base, batch = _versions(spark, sf)
-    v2 = (batch.filter(F.col("dt") >= F.lit("1999-01-01").cast("date"))
-          .withColumns({"value": F.col("value") * 3,
+    v2 = (batch.filter(F.dayofmonth("dt") <= 15)
+          .withColumns({"value": F.col("value") * 3, "source_url": F.lit("file:///landed/v3"),
                         "last_updated": F.lit("2024-04-01 05:00:00").cast("timestamp_ntz")}))
     newest = ST.newest_vintage_wins(batch.unionByName(v2))
     return ST.upsert(base, newest)
 
 
-@query("publish_view", "WITH " + VIEW + " SELECT * FROM api_view")
+@query("publish_view", "WITH " + VIEW + "".join(
+    f" {'UNION ALL ' if i else ''}SELECT *, '{name}' AS extract FROM api_view"
+    for i, name in enumerate(("latest", "dated", "csv"))))
 def q_publish_view(spark, sf):
+    """All three extracts read back: the latest and the dated Parquet copy, and the CSV."""
     root = scratch_path(spark, "publish")
     paths = S.publish_view(_view(spark, sf), root, _dt.date(2024, 2, 1))
-    return spark.read.parquet(paths["latest"])
+    csv = FS.scan_csv(spark, paths["csv"], PUBLISHED_SCHEMA)
+    frames = {"latest": spark.read.parquet(paths["latest"]), "dated": spark.read.parquet(paths["dated"]), "csv": csv}
+    out = [df.withColumn("extract", F.lit(name)) for name, df in frames.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("write_snapshot", "WITH " + C.OBS + " SELECT * FROM obs")

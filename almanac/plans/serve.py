@@ -63,7 +63,9 @@ def _typed(df: DataFrame, column: str, text: str):
 def rest_query(df: DataFrame, params: Mapping[str, object], default_limit: int = 100) -> DataFrame:
     """REST-style request over a view: ``col=op.value`` filters (eq, neq, gt,
     gte, lt, lte, in.(a,b)), ``select=a,b``, ``order=a.desc,b``,
-    ``limit=n`` (default 100, the API's default page)."""
+    ``limit=n`` (default 100, the API's default page), ``offset=n``. Without an
+    order the rows are ordered by all columns of the answer, so that the pages
+    of one request fit together."""
     out = df
     for k, v in params.items():
         if k in ("select", "order", "limit", "offset"):
@@ -83,11 +85,12 @@ def rest_query(df: DataFrame, params: Mapping[str, object], default_limit: int =
             name, _, direction = part.partition(".")
             keys.append(F.col(name).desc() if direction == "desc" else F.col(name).asc())
         out = out.orderBy(*keys)
-    limit = int(params.get("limit", default_limit))
-    out = out.limit(limit)
-    if "select" in params:
-        out = out.select(*[s.strip() for s in str(params["select"]).split(",")])
-    return out
+    chosen = [s.strip() for s in str(params["select"]).split(",")] if "select" in params else df.columns
+    if "order" not in params:
+        out = out.orderBy(*chosen)
+    if int(params.get("offset", 0)):
+        out = out.offset(int(params["offset"]))
+    return out.limit(int(params.get("limit", default_limit))).select(*chosen)
 
 
 def publish_view(view: DataFrame, root: str, run_date: _dt.date, csv: bool = True) -> dict:

@@ -10,7 +10,7 @@ Plan shape at scale: lineitem is pre-aggregated per order (partial
 aggregation before the shuffle on ``l_orderkey``), joined to orders on the
 same key (the aggregated side is already hash-partitioned on it), then to
 customer, then grouped to one row per (day, nation, status, segment,
-priority). Sums are exact (decimal) and cast to double at the end.
+priority). Sums are exact (integer hundredths) and cast to double at the end.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def obs_cum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals per series (measurement ``cumulative``), exact."""
     from almanac.operators.windows import running_total
     o = obs(spark, sf_dir)
-    return running_total(o, SERIES_KEY, "dt", "value", exact=True) \
+    return running_total(o, SERIES_KEY, "dt", "value", scale=2) \
         .withColumn("measurement", F.lit("cumulative"))
 
 
@@ -163,14 +163,17 @@ def demographic_rows(segments=SEGMENTS, priorities=PRIORITIES) -> list[tuple]:
     return rows + [("all", "all", "all", "all")]
 
 
-def demographics(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
+@_per_session
+def demographics(spark: SparkSession) -> DataFrame:
     from almanac.operators.joins import load_dimension
-    raw = literal_frame(spark, rows or demographic_rows(),
+    raw = literal_frame(spark, demographic_rows(),
                                 "age string, race string, ethnicity string, sex string")
     return load_dimension(raw, ["age", "race", "ethnicity", "sex"])
 
 
-# Fact table versions for the state operators (see oracle_ctes.FACTS).
+# Fact table versions for the state operators (see oracle_ctes.FACTS): all rows, the
+# base of an upsert (two thirds of the keys) and the batch (two thirds, one of
+# them new).
 BASE_URL = "file:///landed/v1"
 BATCH_URL = "file:///landed/v2"
 BATCH_TS = "2024-03-01 05:00:00"
@@ -185,11 +188,17 @@ def resolved(spark: SparkSession, sf_dir: str, obs_frame: DataFrame | None = Non
                         variables(spark), by="fips", on_unresolved=on_unresolved)
 
 
-def fact_base(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) -> DataFrame:
+def _third(remainder: int):
+    """One of three parts of the fact keys, by day and location."""
+    return F.pmod(F.dayofyear("dt") + F.col("location"), F.lit(3)) == remainder
+
+
+def facts(spark: SparkSession, sf_dir: str, res: DataFrame | None = None, where=None) -> DataFrame:
+    """All observations as fact rows; those of the first of a month are deleted."""
     from almanac.operators.store import FACT_COLUMNS
     r = res if res is not None else resolved(spark, sf_dir)
     first = F.dayofmonth("dt") == 1
-    return (r.filter(F.col("dt") < F.lit("1999-01-01").cast("date"))
+    return ((r if where is None else r.filter(where))
             .select("dt", "location_id", "variable_id", "demographic_id", "provider_id", "value",
                     F.col("vintage").alias("last_updated"),
                     F.lit(BASE_URL).alias("source_url"), F.lit(SOURCE_NAME).alias("source_name"),
@@ -198,10 +207,15 @@ def fact_base(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) ->
             .select(*FACT_COLUMNS))
 
 
+def fact_base(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) -> DataFrame:
+    """The state before an upsert: all keys but those of the last third."""
+    return facts(spark, sf_dir, res, ~_third(2))
+
+
 def fact_batch(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) -> DataFrame:
     from almanac.operators.store import FACT_COLUMNS
     r = res if res is not None else resolved(spark, sf_dir)
-    return (r.filter(F.col("dt") >= F.lit("1998-01-01").cast("date"))
+    return (r.filter(~_third(0))
             .select("dt", "location_id", "variable_id", "demographic_id", "provider_id",
                     (F.col("value") * 2).alias("value"),
                     F.lit(BATCH_TS).cast("timestamp_ntz").alias("last_updated"),
@@ -210,13 +224,6 @@ def fact_batch(spark: SparkSession, sf_dir: str, res: DataFrame | None = None) -
             .select(*FACT_COLUMNS))
 
 
-def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (user, event type, day) event count and exact value sum."""
-    ev = table(spark, sf_dir, "events")
-    return (ev.groupBy("user_id", "event_type", F.col("ts").cast("date").alias("dt"))
-            .agg(F.count(F.lit(1)).alias("n"), money_sum("value").alias("value")))
-
-
 def county_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative panel per nation (county) and region (state), for the
     categories ``orders`` (all orders) and ``urgent`` (1-URGENT orders; flat

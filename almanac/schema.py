@@ -47,7 +47,7 @@ FACT_SCHEMA = T.StructType([
     T.StructField("delete_batch_id", T.LongType()),
 ])
 
-# Published view columns and their types (the pandas dtype map of the
+# Published view columns and their types (the pandas dtype map of the
 # publisher, expressed as Spark types; categoricals are plain strings).
 PUBLISHED_SCHEMA = T.StructType([
     T.StructField("provider", T.StringType()),
@@ -67,16 +67,3 @@ PUBLISHED_SCHEMA = T.StructType([
     T.StructField("source_name", T.StringType()),
     T.StructField("value", T.DoubleType()),
 ])
-
-LOCATION_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("location", T.LongType()),
-    T.StructField("location_type", T.StringType()),
-    T.StructField("state_fips", T.IntegerType()),
-    T.StructField("state", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("area", T.DoubleType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("fullname", T.StringType()),
-])

@@ -2,13 +2,14 @@
 
 Library code never builds its own session; it receives one. ``build_session``
 is for tests, the bench and local runs. ``scratch_path`` returns a location
-under the cluster's shared checkpoint folder (``spark.checkpoint.dir``) and only
-falls back to a fresh local folder when the setting is absent (tests).
+under the cluster's shared checkpoint folder (``spark.checkpoint.dir``); a fresh
+local folder stands in on a local master only.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -67,7 +68,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``. Where
+    the setting is absent a local folder stands in, on a local master only: the
+    executors of a cluster would each write to a disk of their own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -75,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="almanac-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -87,6 +92,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "almanac", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read."""
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends there, so
+    a lost executor costs no recomputation of what came before."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint to the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanac.errors import ValidationError
+from almanac.errors import ContractError, ValidationError
 
 VINTAGE_FORMAT = "yyyy-MM-dd_HH"
 
@@ -25,29 +25,50 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     keeps leading zeros (FIPS). ``skip_rows`` drops preamble lines first.
 
     ``by_name`` (default) matches the schema to the header by column name, so
-    a source that reorders or adds columns still reads correctly: the file
-    is read as text and each schema column is selected by name and cast
-    (ANSI: malformed values fail the job; a missing column fails up front).
+    a source that reorders or adds columns still reads correctly: the columns
+    are read as text, selected by name and cast (ANSI: malformed values fail the
+    job; a missing column fails up front). Files may differ in their headers:
+    those of each layout are read together under that layout's names. One
+    header line per file layout reaches the driver, and the file names, which
+    Spark's listing holds there anyway.
     """
     if skip_rows:
         return _scan_csv_after_preamble(spark, path, schema, skip_rows)
     if by_name and header:
         st = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        for k, v in options.items():
-            reader = reader.option(k, v)
-        raw = reader.csv(path)
-        missing = [f.name for f in st.fields if f.name not in raw.columns]
-        if missing:
-            from almanac.errors import ContractError
-            raise ContractError(f"CSV lacks columns {missing}")
-        return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
+        out = None
+        for names, files in _csv_layouts(spark, path, options):
+            missing = [f.name for f in st.fields if f.name not in names]
+            if missing:
+                raise ContractError(f"CSV lacks columns {missing}")
+            text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            reader = (spark.read.schema(text).option("header", True).option("mode", "FAILFAST")
+                      .option("enforceSchema", False).options(**options))
+            raw = reader.csv(files).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
+            out = raw if out is None else out.unionByName(raw)
+        return out if out is not None else spark.createDataFrame([], st)
     reader = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.csv(path)
 
 
+def _csv_layouts(spark: SparkSession, path, options: Mapping) -> list[tuple[list[str], list[str]]]:
+    """The header layouts among the CSV files of a path: (column names, files).
+
+    Each file's first line comes from its own first block: Spark splits files by
+    offset, so the smallest line number of the block at 0 is the header."""
+    import csv
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"), "value")
+    heads = (lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
+             .groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect())
+    sep = str(options.get("sep", options.get("delimiter", ",")))
+    return [([n.strip() if options.get("ignoreLeadingWhiteSpace") else n for n in next(csv.reader([r.head], delimiter=sep))],
+             list(r.files)) for r in heads]
+
+
 def _scan_csv_after_preamble(spark: SparkSession, path: str, schema, skip_rows: int) -> DataFrame:
     """CSV files that start with ``skip_rows`` lines before the header.
 
@@ -78,7 +99,6 @@ def _scan_csv_after_preamble(spark: SparkSession, path: str, schema, skip_rows:
     parsed = body.select(F.from_csv("value", ddl).alias("r")).select("r.*")
     missing = [n for n in types if n not in names]
     if missing:
-        from almanac.errors import ContractError
         raise ContractError(f"CSV lacks columns {missing}")
     return parsed.select(*[F.col(f"`{n}`").cast(t).alias(n) for n, t in types.items()])
 
@@ -99,17 +119,19 @@ def scan_multi_file_tagged(spark: SparkSession, groups: Sequence[Mapping]) -> Da
 
 
 def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str,
-                      row_cap: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+                      row_cap: int | Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """JSON records with column projection (schema pruning) and a truncated-
-    read guard: reaching ``row_cap`` rows means the source was cut off, so
-    the job fails (count as a scalar subquery, no collect)."""
+    read guard: ``row_cap`` is the limit that was sent to the source (a number,
+    or a scalar column such as a manifest's count); reaching it means the
+    source was cut off, so the job fails (count as a scalar subquery, no collect)."""
     df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     if columns:
         df = df.select(*columns)
     if row_cap is not None:
         n = df.select(F.count(F.lit(1))).scalar()
-        df = df.filter(F.when(n >= F.lit(row_cap), F.raise_error(
-            F.lit(f"record read hit the cap of {row_cap} rows; data may be truncated")))
+        cap = row_cap if isinstance(row_cap, Column) else F.lit(row_cap)
+        df = df.filter(F.when(n >= cap, F.raise_error(
+            F.concat(F.lit("record read hit the cap of "), cap.cast("string"), F.lit(" rows; data may be truncated"))))
             .otherwise(F.lit(True)))
     return df
 

@@ -30,16 +30,18 @@ def flatten_feature_pages(pages: DataFrame, features: str = "features",
 def flatten_record_pages(pages: DataFrame, page_id: str = "page") -> DataFrame:
     """``{success, result: {total, records: [...]}}`` pages -> records.
 
-    A page with ``success = false`` fails the job; so does a record count
-    that differs from the advertised total (incomplete download).
+    A page whose ``success`` is false or missing fails the job; so does a record
+    count that differs from the advertised total, or a missing total (incomplete
+    download).
     """
-    checked = pages.filter(F.when(~F.col("success"), _fail("record page reported success=false"))
+    checked = pages.filter(F.when(~F.coalesce(F.col("success"), F.lit(False)), _fail("record page reported no success"))
                            .otherwise(F.lit(True)))
     # one scalar subquery (a single extra scan) for the advertised total and
     # the number of records actually delivered
     counts = checked.select(F.struct(F.max("result.total").alias("total"),
-                                     F.sum(F.size("result.records")).alias("got"))).scalar()
-    checked = checked.filter(F.when(counts["total"] != counts["got"],
+                                     F.count_if(F.col("result.total").isNull()).alias("untold"),
+                                     F.sum(F.coalesce(F.array_size("result.records"), F.lit(0))).alias("got"))).scalar()
+    checked = checked.filter(F.when((counts["untold"] > 0) | (counts["total"] != counts["got"]),
                                     _fail("record pages incomplete: total != records"))
                              .otherwise(F.lit(True)))
     return checked.select(F.explode("result.records").alias("__r")).select("__r.*")
@@ -102,6 +104,26 @@ def decode_dictionary_columns(payloads: DataFrame, payload_id: str = "payload",
     return long_v.unionByName(long_a)
 
 
+def single_pane_metrics(panes: DataFrame, names: Sequence[str], payload_id: str = "payload",
+                        label: str = "name", data: str = "dataColumns") -> DataFrame:
+    """One value per pane of a dashboard payload -> one row per payload.
+
+    A pane row has ``dtype`` and ``idx``, and the payload's dictionaries
+    (``{dataType, dataValues[]}``: integers first, reals second, texts third). An
+    ``integer`` pane reads the first dictionary, a ``real`` pane the second; a pane
+    of another type, without type or without index is skipped. The last text of
+    the third dictionary is the payload's ``Last update``. The first value of a
+    repeated name wins, by the pane's ``ordinal``."""
+    values = lambda i: F.get(F.col(data), F.lit(i))["dataValues"]
+    at = F.col("idx")
+    value = F.when(F.col("dtype") == "integer", F.get(values(0), at)).when(F.col("dtype") == "real", F.get(values(1), at))
+    known = F.col("dtype").isin("integer", "real") & at.isNotNull()
+    agg = [F.min_by(F.when(known & (F.col(label) == n), value), F.when(known & (F.col(label) == n), F.col("ordinal"))).alias(n)
+           for n in names]
+    updated = F.max(F.element_at(values(2), -1)).alias("Last update")
+    return panes.groupBy(payload_id).agg(*agg, updated)
+
+
 def pivot_decoded(long: DataFrame, names: Sequence[str], payload_id: str = "payload",
                   fill="0") -> DataFrame:
     """Long decoded values -> one row per (payload, position), one column per
@@ -192,42 +214,49 @@ def pick_by_path_substring(df: DataFrame, wanted: Mapping[str, str]) -> DataFram
     return df.select(*cols)
 
 
-def flatten_json_long(df: DataFrame, id_col: str, json_col: str, max_depth: int = 8,
-                      sep: str = "_") -> DataFrame:
-    """Ragged JSON documents -> long form ``(id, path, ord, value)``.
+# Stands in front of every string while documents are taken apart, so that a string
+# which looks like an object or array is not mistaken for one.
+_TEXT = "\ue000"
+_STRING = r'"((?:[^"\\]++|\\.)*+)"'
+
+
+def _depth(j):
+    """Levels of objects and arrays in a JSON text."""
+    brackets = F.regexp_replace(F.regexp_replace(j, _STRING, ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a, c):
+        now = a["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+    return F.when(brackets == "", 0).otherwise(
+        F.aggregate(F.split(brackets, ""), start, lambda a, c: F.when(c == "", a).otherwise(step(a, c)), lambda a: a["most"]))
+
+
+def flatten_json_long(df: DataFrame, id_col: str, json_col: str, sep: str = "_") -> DataFrame:
+    """Ragged JSON documents -> long form ``(id, path, ord, value)``, of any depth.
 
     ``path`` joins object keys and array positions with ``sep`` (``X_0_M0``),
     ``ord`` is the array of positions in document order, ``value`` the leaf
-    text. Each level is a single explode: an object yields its keys
-    (``json_object_keys``), an array its positions, a scalar passes through
-    as itself, so the plan stays linear in the depth and documents of any
-    shape are flattened in parallel without a schema. Nesting deeper than
-    ``max_depth`` is kept as JSON text.
+    text. Each level is a single explode: an object yields its entries, an array
+    its elements, a scalar passes through as itself, so the plan stays linear in
+    the depth and documents of any shape are flattened in parallel without a
+    schema. The number of levels is measured first (one aggregate over the
+    documents). Empty objects and arrays have no leaves.
     """
+    marked = F.regexp_replace(F.col(json_col), _STRING, f'"{_TEXT}$1"')
+    depth = df.agg(F.max(_depth(F.col(json_col)))).first()[0] or 0
     cur = df.select(F.col(id_col).alias("id"), F.lit("").alias("path"),
-                    F.array().cast("array<int>").alias("ord"), F.col(json_col).alias("j"),
-                    F.lit(False).alias("leaf"))
-    child_t = "struct<k: string, c: string, leaf: boolean>"
-    for _ in range(max_depth):
+                    F.array().cast("array<int>").alias("ord"), marked.alias("j"), F.lit(False).alias("leaf"))
+    bare = lambda s: F.when(s.startswith(_TEXT), F.substring(s, 2, F.length(s))).otherwise(s)
+    for _ in range(depth):
         j = F.col("j")
         t = F.ltrim(j)
-        n = F.json_array_length(j)
-
-        def get(path):
-            return F.call_function("get_json_object", j, path)
-
-        obj = F.transform(F.json_object_keys(j), lambda k: F.struct(
-            k.alias("k"), get(F.concat(F.lit("$['"), k, F.lit("']"))).alias("c"), F.lit(False).alias("leaf")))
-        arr = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-            i.cast("string").alias("k"), get(F.concat(F.lit("$["), i.cast("string"), F.lit("]"))).alias("c"),
-            F.lit(False).alias("leaf")))
-        keep = F.array(F.struct(F.lit(None).cast("string").alias("k"), j.alias("c"),
-                                F.lit(True).alias("leaf")))
-        children = (F.when(F.col("leaf"), keep)
-                    .when(t.startswith("{"), obj)
-                    .when(t.startswith("[") & (n > 0), arr)
-                    .when(t.startswith("["), F.array().cast(f"array<{child_t}>"))
-                    .otherwise(keep))
+        child = lambda k, c: F.struct(k.alias("k"), c.alias("c"), F.lit(False).alias("leaf"))
+        obj = F.transform(F.map_entries(F.from_json(j, "map<string,string>")), lambda e: child(bare(e["key"]), e["value"]))
+        arr = F.transform(F.from_json(j, "array<string>"), lambda c, i: child(i.cast("string"), c))
+        keep = F.array(F.struct(F.lit(None).cast("string").alias("k"), j.alias("c"), F.lit(True).alias("leaf")))
+        children = F.when(F.col("leaf"), keep).when(t.startswith("{"), obj).when(t.startswith("["), arr).otherwise(keep)
         x = cur.select("id", "path", "ord", F.posexplode(children).alias("__p", "__c"))
         step = F.col("__c.k")
         cur = x.select(
@@ -238,7 +267,7 @@ def flatten_json_long(df: DataFrame, id_col: str, json_col: str, max_depth: int
             F.when(F.col("__c.leaf"), F.col("ord"))
             .otherwise(F.concat("ord", F.array(F.col("__p").cast("int")))).alias("ord"),
             F.col("__c.c").alias("j"), F.col("__c.leaf").alias("leaf"))
-    return cur.select("id", "path", "ord", F.col("j").alias("value"))
+    return cur.select("id", "path", "ord", bare(F.col("j")).alias("value"))
 
 
 def pick_long_by_path_substring(long: DataFrame, wanted: Mapping[str, str]) -> DataFrame:

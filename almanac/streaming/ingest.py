@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.operators.store import FactTable
+from almanac.operators.store import FactTable, newest_vintage_wins
 from almanac.schema import FACT_SCHEMA
 
 
@@ -20,8 +20,10 @@ def stream_upsert(spark: SparkSession, landing: str, fact_path: str, checkpoint:
     src = reader.parquet(landing)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        # drops that share a key meet in one micro-batch: the newest wins, as if
+        # they had come one after the other
         if not batch.isEmpty():
-            table.upsert(batch)
+            table.upsert(newest_vintage_wins(batch))
 
     q = (src.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 _STR_MAP = T.MapType(T.StringType(), T.StringType())
 
+# The layout of a request-log event.
 REQUEST_LOG_SCHEMA = T.StructType([
     T.StructField("consumer", T.StructType([
         T.StructField("created_at", T.LongType()), T.StructField("id", T.StringType()),

@@ -335,3 +335,184 @@ def test_json_row_cap_and_missing_snapshot(spark, tmp_path):
     assert FS.read_snapshot(spark, root, "ds", "2024-01-01_05").count() == 1
     with pytest.raises(ValidationError):
         FS.read_snapshot(spark, root, "ds", "2024-01-02_05")
+
+
+# ------------------------------------------------------------------ review findings
+
+def test_zero_pad_keeps_longer_values(spark):
+    df = spark.createDataFrame([("7",), ("123456",), ("12345",), ("-5",), (None,), ("",)], "v string")
+    assert [r.p for r in df.select(X.zero_pad("v").alias("p")).collect()] == \
+        [None if v is None else v.zfill(5) for v in ("7", "123456", "12345", "-5", None, "")]
+
+
+def test_sums_keep_small_decimals(spark):
+    df = spark.createDataFrame([("a", 0.004), ("a", 0.004)], "k string, v double")
+    assert A.rollup_sum(df, ["k"], ["v"]).first().v == 0.008
+    assert A.strict_group_sum(df, ["k"], ["v"]).first().v == 0.008
+    assert A.rollup_sum(df, ["k"], ["v"], scale=3).first().v == 0.008
+    wide = R.pivot_sum_total(df.withColumn("c", F.lit("x")), ["k"], "c", "v", ["x"]).first()
+    assert (wide.x, wide.total) == (0.008, 0.008)
+
+
+def test_bucketed_windows_with_null_keys(spark):
+    rows = [(k, D(2023 + y, 6, d), float(d)) for k in (None, "a") for y in (0, 1) for d in (1, 2, 4)]
+    df = spark.createDataFrame(rows, "k string, dt date, value double")
+    for op in (lambda b: W.running_total(df, ["k"], out="c", bucket=b), lambda b: W.daily_new(df, ["k"], bucket=b)):
+        assert sorted(op(None).collect(), key=str) == sorted(op(F.year("dt")).collect(), key=str)
+
+
+def test_flatten_json_any_depth_and_keys(spark):
+    import json
+    deep = 1
+    for i in range(12):
+        deep = {f"k{i}": [deep]} if i % 2 else {f"k{i}": deep}
+    docs = [(1, json.dumps(deep)), (2, json.dumps({"it's \"q\"": 5, "t": '{"not": "parsed"}', "u": "[1]", "b": True})), (3, "7")]
+    got = {(r.id, r.path): r.value for r in PG.flatten_json_long(
+        spark.createDataFrame(docs, "rid int, doc string"), "rid", "doc").collect()}
+    path = "_".join(f"k{i}_0" if i % 2 else f"k{i}" for i in reversed(range(12)))
+    assert got == {(1, path): "1", (2, "it's \\\"q\\\""): "5", (2, "t"): '{\\"not\\": \\"parsed\\"}', (2, "u"): "[1]",
+                   (2, "b"): "true", (3, ""): "7"} or got == {
+        (1, path): "1", (2, 'it\'s "q"'): "5", (2, "t"): '{"not": "parsed"}', (2, "u"): "[1]", (2, "b"): "true", (3, ""): "7"}
+
+
+def test_record_pages_missing_total_or_success(spark):
+    schema = "page int, success boolean, result struct<total: bigint, records: array<struct<a: int>>>"
+    for row in ((1, True, (None, [(1,)])), (1, None, (1, [(1,)]))):
+        with pytest.raises(Exception):
+            PG.flatten_record_pages(spark.createDataFrame([row], schema)).collect()
+
+
+def test_csv_files_with_other_column_orders(spark, tmp_path):
+    from almanac.errors import ContractError
+    from almanac.sources import files as FS
+    (tmp_path / "a.csv").write_text("x,y\n1,one\n2,two\n")
+    (tmp_path / "b.csv").write_text("extra,y,x\nz,three,3\n")
+    got = FS.scan_csv(spark, str(tmp_path), "x int, y string").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "one"), (2, "two"), (3, "three")]
+    (tmp_path / "c.csv").write_text("x\n9\n")
+    with pytest.raises(ContractError):
+        FS.scan_csv(spark, str(tmp_path), "x int, y string")
+
+
+def test_dimension_ids_are_stable(spark, tmp_path):
+    from almanac.operators.joins import DimensionTable
+    table = DimensionTable(spark, str(tmp_path / "dim"), ["name"])
+    frame = lambda names: spark.createDataFrame([(n,) for n in names], "name string")
+    first = {r.name: r.id for r in table.load(frame(["b", "d", None, "d"])).collect()}
+    assert first == {None: 1, "b": 2, "d": 3}
+    again = {r.name: r.id for r in table.load(frame(["a", "b", "c", None])).collect()}
+    assert again == {**first, "a": 4, "c": 5}
+
+
+def test_grown_dimension_is_checked_again(spark, tmp_path):
+    from almanac.operators.joins import bounded_broadcast
+    path = str(tmp_path / "dim")
+    hinted = lambda: "ResolvedHint" in bounded_broadcast(
+        spark.read.parquet(path), max_bytes=3000)._jdf.queryExecution().analyzed().toString()
+    spark.range(5).write.parquet(path)
+    assert hinted()
+    spark.range(100_000).write.mode("append").parquet(path)
+    assert not hinted()
+
+
+def test_category_orders_keep_units_apart_and_report_missing(spark):
+    rows = [(1, "initiated", "people", 10.0), (1, "doses", "people", 5.0), (1, "doses", "percentage", 50.0),
+            (2, "initiated", "people", 10.0), (2, "doses", "doses", 5.0),
+            (3, "initiated", "people", 10.0), (3, "initiated", "percentage", 1.0),
+            (3, "doses", "people", 20.0), (3, "doses", "percentage", 2.0),
+            (4, "initiated", "people", 10.0), (4, "doses", "people", None), (5, "initiated", "people", 1.0)]
+    df = spark.createDataFrame([(l, D(2024, 1, 1), c, "cumulative", u, "all", "all", "all", "all", v) for l, c, u, v in rows],
+                               "location int, dt date, category string, measurement string, unit string,"
+                               " age string, race string, ethnicity string, sex string, value double")
+    bad = V.category_order_check(df, "initiated", "doses").collect()
+    assert sorted((r.location, r.small_unit, r.large_unit, r.large_value) for r in bad if r.large_value is not None) == \
+        [(1, "people", "people", 5.0), (2, "people", "doses", 5.0)]
+    assert [r.location for r in bad if r.large_value is None] == [4]
+
+
+def test_violations_and_check(spark):
+    from almanac.errors import ValidationError
+    rows = [(D(2022, 1, 1), "total_vaccine_initiated", 5.0), (D(2022, 1, 2), "total_vaccine_initiated", 4.0),
+            (D(2022, 1, 1), "total_vaccine_completed", 6.0), (D(2022, 1, 1), "total_vaccine_doses_administered", 9.0)]
+    df = spark.createDataFrame([(1, d, c, "cumulative", "people", "all", "all", "all", "all", v) for d, c, v in rows],
+                               "location int, dt date, category string, measurement string, unit string,"
+                               " age string, race string, ethnicity string, sex string, value double")
+    got = sorted((r.check, r.category, r.other_category, r.dt, r.value, r.other_value) for r in V.violations(df).collect())
+    assert got == [("category_order", "total_vaccine_completed", "total_vaccine_initiated", D(2022, 1, 1), 6.0, 5.0),
+                   ("cumulative_decrease", "total_vaccine_initiated", None, D(2022, 1, 2), 4.0, 5.0)]
+    with pytest.raises(ValidationError):
+        V.check_observations(df)
+    good = df.filter(F.col("category") == "total_vaccine_doses_administered")
+    assert V.check_observations(good).count() == 1
+
+
+def test_latest_window_ends_at_the_latest_date_of_all(spark):
+    rows = [(1, "county", D(2024, 1, 1), "a", 1.0), (1, "county", D(2024, 1, 5), "a", 2.0), (2, "state", D(2024, 1, 5), "a", 3.0),
+            (1, "county", D(2024, 1, 10), "other", 9.0)]
+    df = spark.createDataFrame([(l, t, d, c, "all", "all", "all", "all", v) for l, t, d, c, v in rows],
+                               "location int, location_type string, dt date, category string, age string, race string,"
+                               " ethnicity string, sex string, value double")
+    pick = lambda **k: sorted((r.location, r.dt, r.a) for r in R.latest_window_pivot(df, ["a"], 7, **k).collect())
+    assert pick() == [(1, D(2024, 1, 5), 2.0), (2, D(2024, 1, 5), 3.0)]
+    assert pick(location_type="state") == [(2, D(2024, 1, 5), 3.0)] and pick(location=1) == [(1, D(2024, 1, 5), 2.0)]
+    with pytest.raises(Exception):
+        R.latest_window_pivot(df.unionByName(df.withColumn("value", F.col("value") + 1)), ["a"], 7).collect()
+
+
+def test_rest_query_pages(spark):
+    from almanac.plans.serve import rest_query
+    df = spark.range(10).withColumn("v", F.col("id") % 3).repartition(4)
+    page = lambda **p: [(r.v, r.id) for r in rest_query(df, {"order": "v,id", "limit": 4, **p}).collect()]
+    assert page() + page(offset=4) + page(offset=8) == sorted((r.v, r.id) for r in df.collect())
+    assert [r.id for r in rest_query(df, {"limit": 3}).collect()] == [0, 1, 2]
+
+
+def test_single_pane_metrics_skip_unknown(spark):
+    dicts = [("integer", ["10", "20"]), ("real", ["1.5"]), ("cstring", ["x", "2024-01-01"])]
+    rows = [("p", "cases", "integer", 1, 0, dicts), ("p", "rate", "real", 0, 1, dicts), ("p", "odd", "cstring", 0, 2, dicts),
+            ("p", "none", None, 0, 3, dicts), ("p", "nidx", "integer", None, 4, dicts)]
+    df = spark.createDataFrame(rows, "payload string, name string, dtype string, idx int, ordinal int,"
+                                     " dataColumns array<struct<dataType: string, dataValues: array<string>>>")
+    got = PG.single_pane_metrics(df, ["cases", "rate", "odd", "none", "nidx"]).first().asDict()
+    assert got == {"payload": "p", "cases": "20", "rate": "1.5", "odd": None, "none": None, "nidx": None,
+                   "Last update": "2024-01-01"}
+
+
+def test_select_limit_is_the_same_each_time(spark):
+    prov, var, loc = _dims(spark)
+    t0 = dt.datetime(2024, 1, 1)
+    fact = _fact(spark, [(D(2024, 1, d), "a", 1, 1, 1, 1.0, t0, "u", "n", False, None) for d in range(1, 20)])
+    args = dict(provider=".+", limit=3)
+    ids = [r.dt for r in ST.select_observations(fact.repartition(5), prov, var, loc, **args).collect()]
+    assert ids == [r.dt for r in ST.select_observations(fact, prov, var, loc, **args).collect()]
+
+
+def test_upsert_counts_guard(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    row = lambda loc: (D(2024, 1, 1), loc, 1, 1, 1, 1.0, t0, "u", "n", False, None)
+    fact, batch = _fact(spark, [row("a")]), _fact(spark, [row("a"), row("b")])
+    assert ST.upsert_counts(fact, batch).first().asDict() == {"rows_inserted": 1, "rows_updated": 1, "batch_rows": 2}
+    with pytest.raises(Exception, match="no rows written"):
+        ST.upsert_counts(fact, _fact(spark, [row("b")]), merged=fact).collect()
+    none = ST.upsert_counts(fact, batch.limit(0)).first().asDict()
+    assert none == {"rows_inserted": 0, "rows_updated": 0, "batch_rows": 0}
+
+
+def test_newest_vintage_equals_upserts_in_order(spark):
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    fact = _fact(spark, [(D(2024, 1, 1), "a", 1, 1, 1, 0.0, t[0], "u0", "n0", True, 4)])
+    drops = [_fact(spark, [(D(2024, 1, 1), loc, 1, 1, 1, float(10 * i + k), t[i], f"u{i}", f"n{i}", False, None)
+                           for k, loc in enumerate("abc"[:3 - i])]) for i in (1, 2)]
+    one_by_one = ST.upsert(ST.upsert(fact, drops[0]), drops[1])
+    at_once = ST.upsert(fact, ST.newest_vintage_wins(drops[1].unionByName(drops[0])))
+    assert sorted(one_by_one.collect(), key=str) == sorted(at_once.collect(), key=str)
+
+
+def test_scratch_folder_needs_a_shared_one_on_a_cluster():
+    from types import SimpleNamespace
+
+    from almanac.session import ensure_checkpoint_dir
+    nothing = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: nothing, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=nothing))

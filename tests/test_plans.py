@@ -2,6 +2,7 @@
 column pruning before the unpivot."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from almanac.operators import reshape as R
@@ -82,3 +83,25 @@ def test_fact_upsert_prunes_partitions(spark):
     text = plan(table.touched(batch))
     assert "(provider_id#" in text and "= 2024-03)" in text
     assert table.touched(batch).count() == 1
+
+
+def test_backfill_does_not_shuffle_the_panel(spark, sf_dir):
+    from almanac.operators import corrections as M
+    panel = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.lit("county").alias("location_type"), F.col("o_custkey").cast("bigint").alias("location"),
+        F.lit(1).alias("state_fips"), F.col("o_orderdate").cast("date").alias("dt"), F.lit("cases").alias("category"),
+        F.col("o_totalprice").alias("value"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = M.apply_deltas(panel, M._corrections_frame(spark, [(1, "1996-01-01", 5)], "location long, dt string, delta long")
+                              .withColumns({"location_type": F.lit("county"), "category": F.lit("cases")}))
+        text = text._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    tree = text.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in tree and "Exchange hashpartitioning" not in tree and "SortMergeJoin" not in text
+
+
+def test_unknown_report_reads_its_input_once(spark, sf_dir):
+    text = E.queries()["unknown_report"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("lineitem.parquet") == 1

@@ -94,3 +94,88 @@ def test_fact_table_delete_and_undelete_persist(spark):
     assert table.undelete(5) == 2
     assert not any(r.deleted for r in table.read().collect())
     assert table.read().count() == 6
+
+
+def test_drops_that_share_a_key_newest_wins(spark):
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    d = dt.date(2024, 1, 1)
+    landing = scratch_path(spark, "land")
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    _fact(spark, [(d, "a", 1, 1, 1, 2.0, t1, "u1", "n1", False, None)]).write.parquet(f"{landing}/drop=1")
+    _fact(spark, [(d, "a", 1, 1, 1, 1.0, t0, "u0", "n0", False, None)]).write.parquet(f"{landing}/drop=2")
+    ingest.stream_upsert(spark, landing + "/*", table.path, scratch_path(spark, "ckpt"))
+    assert [(r.value, r.source_url) for r in table.read().collect()] == [(2.0, "u0")]
+
+
+def _many(spark, n, value, batch=None):
+    """One row per provider and month: n partitions."""
+    return spark.range(n).select(
+        F.expr("add_months(DATE '2000-01-01', CAST(id % 100 AS INT))").alias("dt"), F.lit("a").alias("location_id"),
+        F.lit(1).alias("variable_id"), F.lit(1).alias("demographic_id"), (F.col("id") / 100).cast("int").alias("provider_id"),
+        F.lit(value).alias("value"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("last_updated"),
+        F.lit("u").alias("source_url"), F.lit("n").alias("source_name"), F.lit(batch is not None).alias("deleted"),
+        F.lit(batch).cast("bigint").alias("delete_batch_id"))
+
+
+def test_two_thousand_partitions(spark):
+    table = FactTable(spark, scratch_path(spark, "fact"), writers_per_partition=1)
+    first = table.upsert(_many(spark, 1999, 1.0, batch=3))
+    assert first == {"rows_inserted": 1999, "rows_updated": 0, "batch_rows": 1999}
+    assert table.undelete(3) == 1999 and table.read().filter("deleted").count() == 0
+    again = table.upsert(_many(spark, 2000, 2.0))
+    assert again == {"rows_inserted": 1, "rows_updated": 1999, "batch_rows": 2000}
+    assert table.read().groupBy("value").count().collect()[0].asDict() == {"value": 2.0, "count": 2000}
+
+
+def _files(path):
+    import pathlib
+    root = pathlib.Path(path.removeprefix("file:"))
+    return {str(f.relative_to(root)) for f in root.rglob("*.parquet")}
+
+
+def test_deletes_rewrite_only_their_folders(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    table.upsert(_fact(spark, [(dt.date(2024, m, 1), "l1", 1, 1, p, 1.0, t0, "u", "n", False, None)
+                               for m in (1, 2) for p in (1, 2, 3)]))
+    prov = spark.createDataFrame([(p, f"p{p}") for p in (1, 2, 3)], "id int, name string")
+    var = spark.createDataFrame([(1, "cases", "cumulative", "people")], "id int, category string, measurement string, unit string")
+    loc = spark.createDataFrame([("l1", 1, "county", 1)], "id string, location long, location_type string, state_fips int")
+    before = _files(table.path)
+    assert table.soft_delete(prov, var, loc, batch_id=5, provider="p2", start_date="2024-02-01") == 1
+    changed = before ^ _files(table.path)
+    assert changed and all(f.startswith("provider_id=2/dt_month=2024-02/") for f in changed)
+    assert table.soft_delete(prov, var, loc, batch_id=6, provider="nobody") == 0
+    assert table.undelete(99) == 0
+
+
+def test_upsert_that_writes_nothing_is_an_error(spark):
+    import pytest
+
+    from almanac.errors import ValidationError
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    with pytest.raises(ValidationError, match="zero of 7 rows"):
+        table.upsert(spark.createDataFrame([], FACT_SCHEMA), loaded_rows=7)
+
+
+def test_reprocess_goes_on_past_a_failing_vintage(spark):
+    from almanac.plans.maintenance import reprocess_vintages
+    from almanac.sources.files import write_snapshot
+    root = scratch_path(spark, "snaps")
+    write_snapshot(spark.createDataFrame([("a", "1")], "loc string, v string"), root, "ds", "2024-01-01_05")
+    write_snapshot(spark.createDataFrame([("a", "bad")], "loc string, v string"), root, "ds", "2024-01-02_05")
+    write_snapshot(spark.createDataFrame([("a", "3", "x")], "loc string, v string, added string"), root, "ds", "2024-01-03_05")
+    table = FactTable(spark, scratch_path(spark, "fact"))
+
+    def to_fact(obs):
+        return obs.select(F.lit(dt.date(2024, 1, 1)).alias("dt"), F.col("loc").alias("location_id"),
+                          F.lit(1).alias("variable_id"), F.lit(1).alias("demographic_id"), F.lit(1).alias("provider_id"),
+                          F.col("v").cast("double").alias("value"),
+                          F.to_timestamp("snapshot", "yyyy-MM-dd_HH").cast("timestamp_ntz").alias("last_updated"),
+                          F.coalesce("added", F.lit("u")).alias("source_url"), F.lit("n").alias("source_name"),
+                          F.lit(False).alias("deleted"), F.lit(None).cast("bigint").alias("delete_batch_id"))
+
+    done = reprocess_vintages(spark, root, "ds", lambda r: r, to_fact, table, continue_on_fail=True).collect()
+    assert [(r.snapshot, r.error is None) for r in done] == [
+        ("2024-01-01_05", True), ("2024-01-02_05", False), ("2024-01-03_05", True)]
+    assert [r.value for r in table.read().collect()] == [3.0]
