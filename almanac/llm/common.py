@@ -1,54 +1,23 @@
-"""Shared plumbing of the operators: tables written to the shared folder, global
-row numbers without a global window, connected components."""
+"""Shared plumbing of the operators: input tables, connected components, cut points
+of a total order."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.session import scratch_path
+from almanac.operators.numbering import numbered
+from almanac.session import settle
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, so
-    a lost executor costs no recomputation of what came before."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def numbered(df: DataFrame, *order: Column | str, name: str = "row_number") -> DataFrame:
-    """Global 0-based row numbers in the given order, written to the shared folder.
-
-    A range shuffle and a sort within partitions give each row its place in its
-    partition; the sizes of the partitions (one row each) give the offsets. Rows
-    equal in all of ``order`` take any order among themselves."""
-    marked = settle(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("_place", F.monotonically_increasing_id()), name)
-    part, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
-    sizes = (marked.groupBy(part.alias("p")).agg((F.max(place) + 1).alias("n"))
-             .orderBy("p").collect())  # one row per partition
-    offsets, total = {}, 0
-    for r in sizes:
-        offsets[r.p], total = total, total + r.n
-    first = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), part) \
-        if len(offsets) <= 64 else None
-    if first is not None:
-        return marked.withColumn(name, first + place).drop("_place")
-    spark = df.sparkSession
-    table = spark.createDataFrame([(int(p), int(o)) for p, o in offsets.items()], "_p long, _first long")
-    return (marked.withColumn("_p", part.cast("long")).join(F.broadcast(table), "_p")
-            .withColumn(name, F.col("_first") + place).drop("_place", "_p", "_first"))
-
-
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``links(a long, b long)`` as (node, component), the
     component being its smallest node. Alternating large-star and small-star

@@ -137,10 +137,10 @@ def build_rules() -> list[Rule]:
         words, spelled = code.replace("-", " "), name.replace("non commercial", "non ?commercial").replace("share alike", "share ?alike")
         spelled = spelled.replace("no derivatives", "no ?deriv(?:ative)?s?(?: works)?")
         add("cc", "by", rf"(?:\blicensed under )?<cc> {words}\b(?! (?:nc|nd|sa)\b)", f"cc-{code}", NAMED)
-        add("commons", "attribution", rf"\bcreative <commons> {spelled}\b", f"cc-{code}", NAMED)
+        add("commons", "attribution", rf"\bcreative <commons> {spelled}\b(?! (?:non|share|no\b))", f"cc-{code}", NAMED)
         for v in _CC_VERSIONS:
             add("cc", "by", rf"(?:\blicensed under )?<cc> {words}{_version(v)}", f"cc-{code}-{v}", VERSIONED)
-            add("commons", "attribution", rf"\bcreative <commons> {spelled}(?: \w+){{0,2}}?{_version(v)}", f"cc-{code}-{v}", VERSIONED)
+            add("commons", "attribution", rf"\bcreative <commons> {spelled}(?: (?!non|share|no\b)\w+){{0,2}}?{_version(v)}", f"cc-{code}-{v}", VERSIONED)
     for n, names in _BSD:
         for form in (rf"\b(?:{n} clause|{names}) <bsd>(?: licen[cs]e)?", rf"<bsd> (?:{n} clause|{names})\b(?: licen[cs]e)?"):
             add("bsd", "clause" if n in "01" else "bsd", form, f"bsd-{n}-clause", VERSIONED)
