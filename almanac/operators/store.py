@@ -4,15 +4,17 @@
 State changes are DataFrame -> DataFrame (new state) so they compose and can
 be checked; ``FactTable`` persists a state by rewriting only the touched
 partitions (Parquet has no MERGE/UPDATE): the new partitions are first written
-in full to a staging folder in the shared checkpoint area, then swapped in with
-dynamic partition overwrite. No partition is ever half written. The swap goes
-folder by folder, so a job that dies during it can leave some folders new and
-others old; upserts and deletes give the same state when run again, which mends
-that.
+in full to a staging folder beside the table, then each folder takes
+the place of the old one by a rename. Rows are written once, and no partition is
+ever half written. A swap that dies can leave some folders new and others old
+(or, between two renames, one folder missing while its new form is staged);
+upserts and deletes give the same state when run again from their batch, which
+mends that.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 
 from almanac.errors import ValidationError
 from almanac.schema import FACT_PK, FACT_SCHEMA
-from almanac.session import discard, path_exists, scratch_path
+from almanac.session import discard, list_folders, path_exists, replace_folder, scratch_path
 
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
 PARTITION_COLUMNS = ["provider_id", "dt_month"]
@@ -208,7 +210,6 @@ class FactTable:
 
     spark: SparkSession
     path: str
-    writers_per_partition: int = 16
 
     @staticmethod
     def stored_schema() -> T.StructType:
@@ -246,32 +247,29 @@ class FactTable:
             terms = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
         return terms[0] if terms else F.lit(False)
 
-    def _stage(self, state: DataFrame, *extra: str) -> str:
-        """Write a state to a staging folder, partitioned and sorted as stored."""
-        stage = scratch_path(self.spark, "fact-stage")
-        out = state.select(*FACT_COLUMNS, *extra).withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
-        # a salt spreads one hot (provider, month) partition over several
-        # writers; rows stay sorted by series for Parquet min/max pruning
-        salt = F.pmod(F.xxhash64("location_id", "variable_id"), F.lit(self.writers_per_partition))
-        (out.repartition(*PARTITION_COLUMNS, salt)
+    def _stage(self, state: DataFrame) -> str:
+        """Write a state to a staging folder, partitioned and sorted as stored. The
+        rebalance lets AQE split a hot (provider, month) over several writers and
+        gather small ones, so files follow the rows; they are sorted by series
+        for Parquet min/max pruning."""
+        # beside the table, so that a folder moves within one file system
+        stage = f"{self.path}.stage-{uuid.uuid4().hex[:12]}"
+        out = state.select(*FACT_COLUMNS).withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
+        (out.hint("rebalance", *PARTITION_COLUMNS)
          .sortWithinPartitions(*PARTITION_COLUMNS, "location_id", "variable_id", "dt")
          .write.partitionBy(*PARTITION_COLUMNS).parquet(stage))
         return stage
 
-    def _staged(self, stage: str, *extra: T.StructField) -> DataFrame:
-        schema = T.StructType(self.stored_schema().fields + list(extra))
-        return self.spark.read.schema(schema).parquet(stage)
-
-    def _swap(self, rows: DataFrame, stage: str) -> None:
-        """Replace the partitions present in ``rows`` and drop the staging folder."""
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITION_COLUMNS).parquet(self.path))
+    def _swap(self, stage: str) -> None:
+        """Let the staged partition folders take the place of the stored ones."""
+        for provider in list_folders(self.spark, stage):
+            for month in list_folders(self.spark, f"{stage}/{provider}"):
+                replace_folder(self.spark, f"{stage}/{provider}/{month}", f"{self.path}/{provider}/{month}")
         discard(self.spark, stage)
 
     def write_state(self, state: DataFrame) -> None:
         """Replace the partitions present in ``state`` via a staging copy."""
-        stage = self._stage(state)
-        self._swap(self._staged(stage), stage)
+        self._swap(self._stage(state))
 
     def touched(self, batch: DataFrame) -> DataFrame:
         """The stored rows of the partitions a batch hits; only those folders
@@ -289,40 +287,31 @@ class FactTable:
         batch.select(*FACT_COLUMNS, *(["__ordinal"] if kw.get("on_duplicate") == "last" else [])).write.parquet(held)
         batch = self.spark.read.parquet(held)
         current = self.touched(batch)
-        new = batch.select(*FACT_PK).distinct().withColumn("__n", F.lit(True))
-        old = current.select(*FACT_PK).withColumn("__o", F.lit(True))
-        state = upsert(current, batch, **kw)
-        marked = (state.join(new, FACT_PK, "left").join(old, FACT_PK, "left")
-                  .withColumn("from_batch", F.coalesce("__n", F.lit(False)))
-                  .withColumn("was_there", F.coalesce("__o", F.lit(False))))
-        stage = self._stage(marked, "from_batch", "was_there")
-        flags = [T.StructField("from_batch", T.BooleanType()), T.StructField("was_there", T.BooleanType())]
-        staged = self._staged(stage, *flags)
-        counts = staged.agg(F.count_if(F.col("from_batch") & ~F.col("was_there")).alias("rows_inserted"),
-                            F.count_if(F.col("from_batch") & F.col("was_there")).alias("rows_updated")).first().asDict()
+        stage = self._stage(upsert(current, batch, **kw))
+        staged = self.spark.read.schema(self.stored_schema()).parquet(stage)
+        written = staged.select(*FACT_PK).join(batch.select(*FACT_PK).distinct(), FACT_PK, "left_semi")
+        there = current.select(*FACT_PK).withColumn("__o", F.lit(True))
+        counts = written.join(there, FACT_PK, "left").agg(
+            F.count_if(F.col("__o").isNull()).alias("rows_inserted"),
+            F.count_if(F.col("__o").isNotNull()).alias("rows_updated")).first().asDict()
         counts["batch_rows"] = batch.count()
         loaded = counts["batch_rows"] if loaded_rows is None else loaded_rows
         if loaded and not counts["rows_inserted"] + counts["rows_updated"]:
             raise ValidationError(f"the upsert completed but wrote zero of {loaded} rows")
-        self._swap(staged.drop("from_batch", "was_there"), stage)
+        self._swap(stage)
         discard(self.spark, held)
         return counts
 
     def _rewrite(self, where: Column, change) -> int:
         """Apply ``change`` (a state -> state function with a ``changed`` flag) to
-        the rows in the folders selected by ``where``; write back the folders in
-        which a row changed. Returns the number of rows changed."""
+        the folders that hold rows of ``where``; only those in which a row changes
+        are written back. Returns the number of rows changed."""
         keys = self.scan().filter(where).select(*PARTITION_COLUMNS).distinct().collect()
-        if not keys:
-            return 0
-        new_state = change(self.scan().filter(self.folders(keys)).select(*FACT_COLUMNS))
-        stage = self._stage(new_state, "changed")
-        staged = self._staged(stage, T.StructField("changed", T.BooleanType()))
-        hit = staged.filter("changed").groupBy(*PARTITION_COLUMNS).count().collect()
+        rows = change(self.scan().filter(self.folders(keys)).select(*FACT_COLUMNS))
+        hit = (rows.filter("changed").groupBy("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month"))
+               .count().collect())
         if hit:
-            self._swap(staged.filter(self.folders(hit)).drop("changed"), stage)
-        else:
-            discard(self.spark, stage)
+            self.write_state(change(self.scan().filter(self.folders(hit)).select(*FACT_COLUMNS)))
         return sum(r["count"] for r in hit)
 
     def soft_delete(self, providers: DataFrame, variables: DataFrame, locations: DataFrame,

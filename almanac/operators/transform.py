@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from almanac.errors import ContractError
 from almanac.functions import (not_in_keep_null, parse_date, replace_map,
                                title_case)
-from almanac.functions.util import col_of
 
 
 def normalize_column_names(df: DataFrame, strip: bool = True) -> DataFrame:

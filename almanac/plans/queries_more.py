@@ -16,7 +16,7 @@ from almanac.plans import oracle_ctes as C
 from almanac.plans import serve as S
 from almanac.plans import testbed as TB
 from almanac.plans.catalog import query
-from almanac.session import table
+from almanac.session import scratch_path, table
 
 _VIEW_SQL = """
   SELECT p.name AS provider, f.dt, f.location_id, l.location, l.location_type,
@@ -53,6 +53,20 @@ def q_load_dimension(spark, sf):
     return J.load_dimension(n.unionByName(r), ["location_type", "state_fips", "name"])
 
 
+@query("dimension_table", """
+WITH r AS (SELECT r_name AS name, row_number() OVER (ORDER BY r_name) AS id FROM region),
+n AS (SELECT DISTINCT n_name AS name FROM nation WHERE n_name NOT IN (SELECT name FROM r))
+SELECT CAST(id AS INTEGER) AS id, name FROM r
+UNION ALL SELECT CAST((SELECT count(*) FROM r) + row_number() OVER (ORDER BY name) AS INTEGER), name FROM n""")
+def q_dimension_table(spark, sf):
+    """A stored dimension loaded twice: the ids of the first load stay."""
+    dim = J.DimensionTable(spark, scratch_path(spark, "dimension"), ["name"])
+    regions = table(spark, sf, "region").select(F.col("r_name").alias("name"))
+    nations = table(spark, sf, "nation").select(F.col("n_name").alias("name"))
+    dim.load(regions)
+    return dim.load(nations.unionByName(regions)).select("id", "name")
+
+
 _RESOLVED_COLS = ("dt, location, location_type, provider, age, race, ethnicity, sex, category, "
                   "measurement, unit, value, vintage, location_id, provider_id, demographic_id, variable_id")
 

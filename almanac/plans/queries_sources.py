@@ -251,6 +251,34 @@ def q_decode_dictionary_columns(spark, sf):
     return wide.drop("pos")
 
 
+@query("single_pane_metrics", """
+SELECT event_id // 100 AS payload,
+  CAST(min(event_id) FILTER (WHERE event_type = 'click') AS VARCHAR) AS click,
+  CAST(min_by(value, event_id) FILTER (WHERE event_type = 'view') AS VARCHAR) AS view,
+  CAST(min(event_id) FILTER (WHERE event_type = 'purchase') AS VARCHAR) AS purchase,
+  CASE WHEN event_id // 100 % 7 <> 0 THEN CAST(min_by(value, event_id) FILTER (WHERE event_type = 'signup') AS VARCHAR)
+  END AS signup, CAST(NULL AS VARCHAR) AS error, 'page ' || CAST(event_id // 100 AS VARCHAR) AS "Last update"
+FROM events GROUP BY event_id // 100""")
+def q_single_pane_metrics(spark, sf):
+    """A payload per 100 event ids, a pane per event type that points at the type's
+    first event: integer panes at its id, real panes at its value. Errors have a
+    type that no dictionary serves; some sign-up panes lack an index."""
+    kinds = [("click", "integer"), ("view", "real"), ("purchase", "integer"), ("signup", "real"), ("error", "cstring")]
+    pages = (table(spark, sf, "events").groupBy((F.col("event_id") / 100).cast("bigint").alias("payload"))
+             .agg(F.array_sort(F.collect_list(F.struct("event_id", "value", "event_type"))).alias("rows")))
+    text = lambda c: F.transform("rows", lambda r: r[c].cast("string"))
+    entry = lambda kind, values: F.struct(F.lit(kind).alias("dataType"), values.alias("dataValues"))
+    pages = pages.withColumn("dataColumns", F.array(
+        entry("integer", text("event_id")), entry("real", text("value")),
+        entry("cstring", F.array(F.lit("x"), F.concat(F.lit("page "), F.col("payload").cast("string"))))))
+    panes = pages.withColumn("k", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), F.lit(t).alias("dtype"), F.lit(i).alias("ordinal")) for i, (n, t) in enumerate(kinds)])))
+    at = F.nullif(F.array_position(F.transform("rows", lambda r: r["event_type"]), F.col("k.name")), F.lit(0)) - 1
+    hidden = (F.col("k.name") == "signup") & (F.col("payload") % 7 == 0)
+    panes = panes.select("payload", "k.*", "dataColumns", F.when(~hidden, at).cast("int").alias("idx"))
+    return PG.single_pane_metrics(panes, [n for n, _ in kinds])
+
+
 @query("decode_delta_rows", """
 SELECT user_id, event_type, CAST(hour(ts) AS VARCHAR) AS hour, CAST(event_id AS VARCHAR) AS event
 FROM events""")

@@ -102,6 +102,42 @@ def q_select_observations(spark, sf):
                                   start_date="1995-06-01")
 
 
+@query("selection_row_cap", "WITH " + C.FACTS + f"""
+SELECT * FROM facts
+WHERE provider_id IN (SELECT id FROM providers WHERE regexp_matches(name, 'F|O'))
+  AND location_id IN (SELECT id FROM locations WHERE state_fips = 2 AND regexp_matches(location_type, '.+'))
+ORDER BY {_PK} LIMIT 500""")
+def q_selection_row_cap(spark, sf):
+    # the cap is the feature: the first rows of the selection by key
+    return ST.select_observations(TB.facts(spark, sf), TB.providers(spark), TB.variables(spark),
+                                  TB.locations(spark, sf), provider="F|O", state_fips=2, limit=500)
+
+
+@query("fact_table_upsert", "WITH " + C.UPSERTED + " SELECT * FROM upserted")
+def q_fact_table_upsert(spark, sf):
+    """The stored table: base written, batch merged into its folders, read back."""
+    base, batch = _versions(spark, sf)
+    facts = ST.FactTable(spark, scratch_path(spark, "fact"))
+    facts.write_state(base)
+    facts.upsert(batch)
+    return facts.read()
+
+
+@query("fact_table_delete", "WITH " + C.FACTS + f"""
+SELECT dt, location_id, variable_id, demographic_id, provider_id, value, last_updated, source_url, source_name,
+       CASE WHEN sel THEN true WHEN coalesce(delete_batch_id = 7, false) THEN false ELSE deleted END AS deleted,
+       CASE WHEN sel THEN 8 WHEN coalesce(delete_batch_id = 7, false) THEN NULL ELSE delete_batch_id END AS delete_batch_id
+FROM (SELECT *, ({_SELECTED}) AS sel FROM facts)""")
+def q_fact_table_delete(spark, sf):
+    """The stored table: a soft delete, then the base's own delete batch undone."""
+    facts = ST.FactTable(spark, scratch_path(spark, "fact"))
+    facts.write_state(TB.facts(spark, sf))
+    facts.soft_delete(TB.providers(spark), TB.variables(spark), TB.locations(spark, sf),
+                      batch_id=TB.BASE_DELETE_BATCH + 1, **_DELETE_ARGS)
+    facts.undelete(TB.BASE_DELETE_BATCH)
+    return facts.read()
+
+
 @query("reprocess_vintages", "WITH " + C.FACTS + f""",
 v2 AS (SELECT * REPLACE (value * 3 AS value, TIMESTAMP '2024-04-01 05:00:00' AS last_updated, 'file:///landed/v3' AS source_url)
        FROM fact_batch WHERE day(dt) <= 15),

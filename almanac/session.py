@@ -102,6 +102,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, partition folders as a rule."""
+    fs, target = _hadoop(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to the place of another, which goes."""
+    fs, old = _hadoop(spark, target)
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), old):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that is no longer read."""
     fs, target = _hadoop(spark, path)

@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _fail(msg: str):
@@ -174,46 +173,6 @@ def decode_delta_rows(pages: DataFrame, labels: Sequence[str], page_id: str = "p
         .alias(lab) for lab in labels])
 
 
-def flatten_nested_paths(df: DataFrame, sep: str = "_") -> DataFrame:
-    """Flatten nested structs into ``a_b_c`` columns (schema-driven select;
-    arrays of structs are exploded with their position as ``<path>_pos``)."""
-    def walk(dtype, path, name):
-        if isinstance(dtype, T.StructType):
-            out = []
-            for f in dtype.fields:
-                out += walk(f.dataType, path + [f.name], name + [f.name])
-            return out
-        return [F.col(".".join(f"`{p}`" for p in path)).alias(sep.join(name))]
-
-    cur = df
-    while True:
-        arrays = [f for f in cur.schema.fields if isinstance(f.dataType, T.ArrayType)
-                  and isinstance(f.dataType.elementType, T.StructType)]
-        cols = []
-        for f in cur.schema.fields:
-            cols += walk(f.dataType, [f.name], [f.name])
-        cur = cur.select(*cols)
-        arrays = [f for f in cur.schema.fields if isinstance(f.dataType, T.ArrayType)
-                  and isinstance(f.dataType.elementType, T.StructType)]
-        if not arrays:
-            return cur
-        a = arrays[0].name
-        rest = [c for c in cur.columns if c != a]
-        cur = cur.select(*rest, F.posexplode_outer(a).alias(f"{a}{sep}pos", a))
-
-
-def pick_by_path_substring(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
-    """For each output name, take the first flat column whose path contains
-    the substring (schema-level choice: no data is read to decide)."""
-    cols = []
-    for out, sub in wanted.items():
-        hit = [c for c in df.columns if sub in c]
-        if not hit:
-            raise KeyError(f"no column path contains {sub!r}")
-        cols.append(F.col(f"`{hit[0]}`").alias(out))
-    return df.select(*cols)
-
-
 # Stands in front of every string while documents are taken apart, so that a string
 # which looks like an object or array is not mistaken for one.
 _TEXT = "\ue000"
