@@ -5,7 +5,8 @@ The lengths of all pieces form a histogram with one count per length, at most
 histogram: a bin opens with the longest length left, a bitset subset-sum over the
 lengths available finds the fullest completion, and that combination is removed
 as often as the counts allow. The plan (combinations with multiplicities) is
-bounded by the capacity too. Pieces are then numbered in order of length, and a
+bounded by the capacity too. Bins may be allowed a little slack; of the plans for
+a few such slacks the one with the fewest bins counts. Pieces are then numbered in order of length, and a
 piece's number alone gives its sequence and offset.
 """
 
@@ -25,6 +26,8 @@ from almanac.llm.common import documents, numbered, settle
 
 CAPACITY = 1024
 END_ID = 2
+#: Slacks per bin that are tried.
+SLACKS = (0, 1, 2, 4, 8, 16, 32)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -82,19 +85,21 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     return text.mapInArrow(_tokenise(path, capacity, end_id), PIECES_DDL)
 
 
-def fullest(counts: dict[int, int], room: int) -> list[int]:
+def fullest(counts: dict[int, int], room: int, slack: int = 0) -> list[int]:
     """The combination of available lengths (each at most its count) with the
     largest sum within ``room``, by subset-sum over bitsets. Counts are cut into
-    powers of two; longer lengths come first and are preferred."""
+    powers of two; longer lengths come first and are preferred. The search ends
+    at the first sum within ``slack`` of the room."""
     layers, bits, mask = [], 1, (1 << (room + 1)) - 1
+    goal = ((1 << (slack + 1)) - 1) << room - slack if room > slack else mask
     for length in sorted(counts, reverse=True):
         left, step = min(counts[length], room // length if length <= room else 0), 1
-        while left > 0 and not bits >> room & 1:
+        while left > 0 and not bits & goal:
             use = min(step, left)
             layers.append((length, use, bits))
             bits |= bits << (length * use) & mask
             left, step = left - use, step * 2
-        if bits >> room & 1:
+        if bits & goal:
             break
     target, chosen = bits.bit_length() - 1, []
     for length, use, before in reversed(layers):
@@ -104,13 +109,14 @@ def fullest(counts: dict[int, int], room: int) -> list[int]:
     return sorted(chosen, reverse=True)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Bins as (lengths, number of such bins) until no length is left."""
+def plan(counts: dict[int, int], capacity: int = CAPACITY, slack: int = 0) -> list[tuple[list[int], int]]:
+    """Bins as (lengths, number of such bins) until no length is left. A bin may be
+    left with ``slack``: exact fits use up the short lengths that later bins need."""
     counts, out = {k: c for k, c in counts.items() if c > 0}, []
     while counts:
         seed = max(counts)
         counts[seed] -= 1
-        bin_ = [seed, *fullest({k: c for k, c in counts.items() if c}, capacity - seed)]
+        bin_ = [seed, *fullest({k: c for k, c in counts.items() if c}, capacity - seed, slack)]
         counts[seed] += 1
         need = {k: bin_.count(k) for k in set(bin_)}
         times = min(counts[k] // u for k, u in need.items())
@@ -122,6 +128,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[in
     return out
 
 
+def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+    """The plan with the fewest bins over the allowed slacks."""
+    return min((plan(counts, capacity, s) for s in SLACKS), key=lambda bins: sum(times for _, times in bins))
+
+
 def places(counts: dict[int, int], bins: list[tuple[list[int], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The plan as intervals over pieces numbered by length: first number, first
     sequence and offset of each interval (one piece per sequence)."""
@@ -150,7 +161,7 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     cut_ = settle(pieces(docs, path or tokenizer_path(), capacity, end_id), "pieces")
     rows = numbered(cut_, "length", "doc_id", "piece", "start", "ids_crc32", name="at")
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
-    first, sequence, offset = places(counts, plan(counts, capacity))
+    first, sequence, offset = places(counts, best_plan(counts, capacity))
 
     @F.arrow_udf("struct<sequence_id: long, offset: long>")
     def place(at: pa.Array) -> pa.Array:
