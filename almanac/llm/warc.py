@@ -252,4 +252,17 @@ def read_archives(spark: SparkSession, folder: str, payload: bool = True) -> Dat
 def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     write_archives(documents(spark, sf_dir, "pages"), folder)
-    return read_archives(spark, folder, payload=False).drop("payload")
+    return read_archives(spark, folder, payload=False).drop("payload", "url")
+
+
+#: The rows of the round trip, straight from the table.
+OP4_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha256(h) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= {LEAST_PAYLOAD} AND page_id IS NOT NULL THEN
+        min(page_id) OVER (PARTITION BY digest, page_id IS NULL) END AS first,
+        row_number() OVER (PARTITION BY digest, page_id IS NULL ORDER BY page_id) AS place FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NULL OR place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN first END AS refers_to
+FROM f"""
