@@ -28,7 +28,7 @@ QUERY_STEP = 20
 #: Bounds of the sample that fits the tree, and of the queries that calibrate it.
 SAMPLE = 65_536
 CALIBRATION = 256
-RECALL = 0.98
+RECALL = 0.95
 BRANCH = 16
 LEAF_ROWS = 256
 CELL_MEMBERS = 4096
@@ -101,10 +101,18 @@ class Tree:
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Rows of a column of vectors, arrays of doubles or packed ones."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, dim)
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def packed(x: np.ndarray) -> pa.Array:
+    """Rows as packed doubles: one value each, where an array would be 64 and more."""
+    return pa.array([row.tobytes() for row in np.ascontiguousarray(x, dtype=np.float64)], pa.binary())
+
+
 def augmented(x: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(most - (x**2).sum(1), 0))[:, None]], axis=1)
 
@@ -182,11 +190,12 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            leaf = tree.leaf_of(augmented(matrix(b.column("v"), dim), most))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(leaf)], ["vec_id", "v", "leaf"])
+            x = matrix(b.column("v"), dim)
+            leaf = tree.leaf_of(augmented(x, most))
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), packed(x), pa.array(leaf)], ["vec_id", "v", "leaf"])
 
-    members = settle(good.mapInArrow(assign, "vec_id long, v array<double>, leaf long"), "ann-members")
-    queries = members.where(F.col("vec_id") % step == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    members = settle(good.mapInArrow(assign, "vec_id long, v binary, leaf long"), "ann-members")
+    queries = good.where(F.col("vec_id") % step == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     total = queries.count()
     if not total:
         return empty
@@ -206,12 +215,13 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            q = augmented(matrix(b.column("v"), dim), 0.0)
+            x = matrix(b.column("v"), dim)
+            leaves = [tree.visits(q, visit) for q in augmented(x, 0.0)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id"), b.column("v"), pa.array([tree.visits(row, visit) for row in q], pa.list_(pa.int64()))],
+                [b.column("vec_id"), packed(x), pa.array(leaves, pa.list_(pa.int64()))],
                 ["vec_id", "v", "leaves"])
 
-    probes = settle(queries.mapInArrow(probe, "vec_id long, v array<double>, leaves array<long>"), "ann-probes")
+    probes = settle(queries.mapInArrow(probe, "vec_id long, v binary, leaves array<long>"), "ann-probes")
     asked = {r.leaf: r["count"] for r in probes.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()}
     held = {r.leaf: r["count"] for r in members.groupBy("leaf").count().collect()}  # one row per leaf of the tree
     shape = spark.createDataFrame([(int(i), -(-held[i] // CELL_MEMBERS), -(-asked[i] // CELL_QUERIES))
