@@ -10,7 +10,18 @@ from almanac.operators.numbering import numbered
 from almanac.session import settle
 
 
+#: Data handed to Python at a time.
+ARROW_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Cut the batches that Python gets by bytes: texts run from nothing to megabytes,
+    and the default number of rows says little about memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

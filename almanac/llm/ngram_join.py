@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from almanac.llm import text_arrays as ta
 from almanac.llm.common import components, documents, partitions, settle
 
-CHUNK_ENTRIES = 2_000_000
+CHUNK_ENTRIES = 1_000_000
 CHUNK_ROWS = 1 << 16
 KEY_BITS = 48
 LOW_BITS = 40

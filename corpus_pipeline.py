@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import mixing, ngram_join, packing, quality
-from almanac.llm.common import documents, settle
+from almanac.llm.common import bounded_batches, documents, settle
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
+    bounded_batches(spark)
     model = quality.learn(docs, documents(spark, sf_dir, "labels"))
     score = quality.scorer(model)(F.col("text").cast("string"))
     return docs.where(score >= quality.THRESHOLD)
@@ -20,17 +21,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    bounded_batches(spark)
     return ngram_join.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as systematic sampling takes it."""
+    bounded_batches(spark)
     ties = (F.col("doc_id"), F.xxhash64("text"))
     return mixing.emitted(mixing.mixed(docs, mixing.word_count(F.col("text").cast("string")), F.col("source"), ties))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequences."""
+    bounded_batches(spark)
     return packing.packed(docs)
 
 
