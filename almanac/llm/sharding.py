@@ -58,7 +58,8 @@ def row_at(shard: int, slot: int, n: int, shards: int = SHARDS, seed: int = SEED
 def sharded(df: DataFrame, *order, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """``df`` with row_number, shard and slot. ``order`` should be total up to
     interchangeable rows; nulls sort first. Rows equal in it (repeated rows) still
-    get places of their own. An empty table gives an empty result."""
+    get places of their own. Columns of the three names in ``df`` are replaced; an
+    empty table gives an empty result."""
     rows = numbered(df, *order)
     n = rows.count()
 

@@ -25,7 +25,7 @@ def test_seeds_differ():
 
 def test_rows(spark):
     rows = [(i % 70, f"t{i % 70}", "x") for i in range(100)] + [(None, "n", "x"), (None, None, "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").drop("shard").repartition(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(5)
     got = sharding.sharded(df, "doc_id", "text").collect()
     sizes = Counter(r.shard for r in got)
     assert len(got) == 102 and max(sizes.values()) - min(sizes.values()) <= 1
