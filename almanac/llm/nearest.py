@@ -3,9 +3,11 @@
 The tree is fitted on a bounded sample; every vector is then assigned to a leaf.
 An added coordinate (the root of the largest squared norm minus the vector's own)
 turns the largest inner product into the smallest distance. A query walks the
-tree best bin first through a priority queue. How many leaves it visits is
-calibrated: for a bounded set of queries the true neighbours are found by brute
-force over all rows, and visits widen until their leaves cover the wanted recall.
+tree best bin first through a priority queue. How many leaves it visits at least
+is calibrated: for a bounded set of queries the true neighbours are found by brute
+force over all rows, and visits widen until their leaves cover the wanted recall,
+of all pairs and of as large a share of the queries each. A query whose leaves
+hold fewer rows than it wants walks on until they do.
 
 Queries meet the members of their leaves in cells of bounded size on both sides,
 so neither a crowded leaf nor a popular one lands in a single task.
@@ -86,13 +88,15 @@ class Tree:
             todo += [(below[c], rows[near == c]) for c in np.unique(near)]
         return out
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """Leaves in the order of best-bin-first traversal."""
-        out, queue = [], [(0.0, self.root)]
-        while queue and len(out) < most:
+    def visits(self, q: np.ndarray, least: int, held: dict[int, int] | None = None, rows: int = 0) -> list[int]:
+        """Leaves in the order of best-bin-first traversal: ``least`` of them, and
+        more until they hold ``rows`` rows by the counts ``held``."""
+        out, queue, seen = [], [(0.0, self.root)], 0
+        while queue and (len(out) < least or seen < rows):
             _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-node - 1)
+                seen += held.get(-node - 1, 0) if held else 0
                 continue
             centres, below = self.nodes[node]
             for d, child in zip(((centres - q) ** 2).sum(1).tolist(), below, strict=True):
@@ -167,7 +171,8 @@ def usable(rows: DataFrame, vector: str = "embedding") -> tuple[DataFrame, int]:
 
 def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by
-    ``step`` its ``k`` nearest of the other rows found.
+    ``step`` its ``k`` nearest of the other rows found; fewer only where there are
+    fewer other rows.
 
     Vectors that are null, zero, of another length than most, or hold null or
     non-finite components take no part, nor do rows without an id. Rows that repeat
@@ -195,7 +200,9 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), packed(x), pa.array(leaf)], ["vec_id", "v", "leaf"])
 
     members = settle(good.mapInArrow(assign, "vec_id long, v binary, leaf long"), "ann-members")
-    queries = good.where(F.col("vec_id") % step == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    held = {r.leaf: r["count"] for r in members.groupBy("leaf").count().collect()}  # one row per leaf of the tree
+    queries = (good.where(F.col("vec_id") % step == 0).groupBy("vec_id")
+               .agg(F.min("v").alias("v"), F.count("*").alias("own")))  # own: rows of the id, no candidates
     total = queries.count()
     if not total:
         return empty
@@ -216,14 +223,14 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = matrix(b.column("v"), dim)
-            leaves = [tree.visits(q, visit) for q in augmented(x, 0.0)]
+            leaves = [tree.visits(q, visit, held, k + own)
+                      for q, own in zip(augmented(x, 0.0), b.column("own").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("vec_id"), packed(x), pa.array(leaves, pa.list_(pa.int64()))],
                 ["vec_id", "v", "leaves"])
 
     probes = settle(queries.mapInArrow(probe, "vec_id long, v binary, leaves array<long>"), "ann-probes")
     asked = {r.leaf: r["count"] for r in probes.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()}
-    held = {r.leaf: r["count"] for r in members.groupBy("leaf").count().collect()}  # one row per leaf of the tree
     shape = spark.createDataFrame([(int(i), -(-held[i] // CELL_MEMBERS), -(-asked[i] // CELL_QUERIES))
                                    for i in held if i in asked], "leaf long, mb long, qb long")
     shape = F.broadcast(shape)  # at most one row per leaf; leaves are bounded by SAMPLE
@@ -246,21 +253,23 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
 
 def calibrated(tree: Tree, queries: np.ndarray, ids: np.ndarray, truth: list[tuple[int, int]], recall: float) -> int:
     """Fewest leaf visits at which the share of true neighbours in visited leaves
-    reaches ``recall``; visits double until it does."""
+    reaches ``recall`` over all pairs, and for a share ``recall`` of the queries
+    each; visits double until they do."""
     wanted: dict[int, list[int]] = {}
     for query, leaf in truth:
         wanted.setdefault(query, []).append(leaf)
+    reached = lambda needed: sorted(needed)[max(0, int(np.ceil(recall * len(needed))) - 1)]
     most = 1
     while True:
         most = min(2 * most, tree.leaves)
         needed = []
         for q, i in zip(augmented(queries, 0.0), ids.tolist(), strict=True):
             order = {leaf: at + 1 for at, leaf in enumerate(tree.visits(q, most))}
-            needed += [order.get(leaf, tree.leaves + 1) for leaf in wanted.get(i, [])]
-        needed = np.sort(needed)
-        if not len(needed):
+            if i in wanted:
+                needed.append([order.get(leaf, tree.leaves + 1) for leaf in wanted[i]])
+        if not needed:
             return most
-        least = int(needed[max(0, int(np.ceil(recall * len(needed))) - 1)])
+        least = max(reached([at for each in needed for at in each]), reached([reached(each) for each in needed]))
         if least <= most or most == tree.leaves:
             return min(least, tree.leaves)
 

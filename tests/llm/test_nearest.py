@@ -76,6 +76,31 @@ def test_tree_visits_every_leaf_once():
     assert set(tree.leaf_of(x).tolist()) <= set(range(tree.leaves))
 
 
+def test_small_leaves_do_not_cut_results_short(spark, monkeypatch):
+    # groups of copies settle the pooled recall in one visit; rows far from them lie in leaves of few rows
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(20, 8)), 100, axis=0)
+    far = np.append(np.arange(3, 2000, 40), [0, 700, 1400])  # three queries of a hundred among them
+    x[far] = rng.normal(size=(len(far), 8))
+    x /= np.sqrt((x**2).sum(axis=1))[:, None]  # a copy's best products are its copies
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist())] * 30  # an id's own rows do not count
+    got = run(spark, rows)
+    assert set(got) == set(range(0, 2000, 20))
+    assert {len(found) for found in got.values()} == {20}
+    assert all(q not in {f[1] for f in found} for q, found in got.items())
+
+
+def test_recall_is_calibrated_per_query():
+    # nine queries with many neighbours in their first leaf, one in ten with its own in the last
+    x = np.random.default_rng(6).normal(size=(400, 5))
+    tree = nearest.Tree(nearest.augmented(x, float((x**2).sum(1).max())), 20)
+    ids, order = np.arange(10), [tree.visits(q, tree.leaves) for q in nearest.augmented(x[:10], 0.0)]
+    truth = [(i, order[i][0]) for i in range(9) for _ in range(20)] + [(9, order[9][-1])]
+    assert nearest.calibrated(tree, x[:10], ids, truth, 0.95) == tree.leaves
+    assert nearest.calibrated(tree, x[:10], ids, truth, 0.9) == 1
+
+
 def test_query_recall(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows])
