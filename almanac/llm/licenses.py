@@ -17,6 +17,7 @@ its words and trigger occurrences (up to the sort of its matches).
 from __future__ import annotations
 
 import re
+from re import _parser as grammar
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,8 @@ from almanac.llm.common import documents
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BEFORE, AFTER = 12, 16
+#: The plus of a GNU identifier (GPL-2.0+) stays as a part of its last word.
+PLUS = r"(?<=gpl-[0-9]\.[0-9])\+(?![0-9a-z\x{80}-\x{10ffff}])"
 
 #: Phrases that always count: (words before the trigger ``license``, label).
 BASE = ((("mit",), "mit"), (("apache",), "apache"), (("general", "public"), "gpl"))
@@ -149,7 +151,10 @@ def build_rules() -> list[Rule]:
     spdx |= {f"bsd-{n}-clause" for n, _ in _BSD}
     for label in sorted(spdx):
         words = re.sub(r"[.-]", " ", label)
-        add("spdx", words.split()[0], rf"<spdx> license identifier {words}\b(?: (?:only|or later))?", label, VERSIONED)
+        add("spdx", words.split()[0], rf"<spdx> license identifier {words}\b(?: only)?", label, VERSIONED)
+    for label in sorted({f"{s}-{v}" for s, _, vs, _ in _GNU for v in vs}):
+        words = re.sub(r"[.-]", " ", label)
+        add("spdx", words.split()[0], rf"<spdx> license identifier {words}(?: or later|plus)\b", f"{label}-or-later", VERSIONED)
     add("cc0", "cc0", r"<cc0>(?: 1 0)?(?: universal)?", "cc0-1.0", VERSIONED)
     add("unlicense", "unlicense", r"(?:\bthe )?<unlicense>", "unlicense", NAMED)
     add("wtfpl", "wtfpl", r"<wtfpl>", "wtfpl", NAMED)
@@ -164,7 +169,32 @@ def build_rules() -> list[Rule]:
     return out
 
 
+def _blanks(parsed) -> int:
+    """Most blanks that a parsed expression takes or looks at."""
+    most = 0
+    for op, arg in parsed:
+        if op is grammar.LITERAL:
+            most += arg == ord(" ")
+        elif op in (grammar.MAX_REPEAT, grammar.MIN_REPEAT):
+            each = _blanks(arg[2])
+            most += int(arg[1]) * each if each else 0
+        elif op is grammar.SUBPATTERN:
+            most += _blanks(arg[3])
+        elif op is grammar.BRANCH:
+            most += max(map(_blanks, arg[1]))
+        elif op in (grammar.ASSERT, grammar.ASSERT_NOT):
+            most += _blanks(arg[1])
+    return most
+
+
+def reach(rules: list[Rule]) -> tuple[int, int]:
+    """Most words before and behind its trigger that a rule reads: one for each blank."""
+    sides = [r.regex.split(f"<{r.trigger}>") for r in rules]
+    return tuple(max(_blanks(grammar.parse(side[i])) for side in sides) for i in (0, 1))
+
+
 RULES = build_rules()
+BEFORE, AFTER = reach(RULES)
 TRIGGERS = sorted({r.trigger for r in RULES})
 #: Every trigger holds one of these; texts without any are passed over.
 GATES = ("licen", "copyright", "gpl", "fdl", "spdx", "commons", "cc", "bsd", "wtfpl", "domain", "reserved",
@@ -197,7 +227,7 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.regexp_count(text, F.lit(RAW_WORD)).cast("long").alias("n_words"),
                        F.when(text.rlike(GATE), text).otherwise("").alias("gated"))
     rows = rows.withColumn("words", F.array_remove(
-        F.split(F.translate("gated", UPPER, LOWER), SEPARATORS), "")).drop("gated")
+        F.split(F.regexp_replace(F.translate("gated", UPPER, LOWER), PLUS, "plus"), SEPARATORS), "")).drop("gated")
     rows = rows.withColumn("at", F.array_compact(F.transform(
         "words", lambda w, i: F.when(w.isin(TRIGGERS), i))))
     word = lambda i: F.get("words", i)

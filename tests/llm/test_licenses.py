@@ -48,6 +48,17 @@ NOTICES = {
     "Permission is hereby granted, free of charge, to any person obtaining a copy of it": "mit",
     "a driving licence for cars": "license-mention",
     "nothing of the kind": "",
+    # the canonical GNU notices; the base phrase gpl always counts
+    **{f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+       f"as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later "
+       "version.": label
+       for name, v, label in (("General Public License", "2", "gpl,gpl-2.0-or-later"),
+                              ("General Public License", "3", "gpl,gpl-3.0-or-later"),
+                              ("Lesser General Public License", "2.1", "gpl,lgpl-2.1-or-later"),
+                              ("Affero General Public License", "3", "agpl-3.0-or-later,gpl"))},
+    **{f"SPDX-License-Identifier: {stem}{form}": label
+       for stem, label in (("GPL-2.0", "gpl-2.0"), ("LGPL-2.1", "lgpl-2.1"), ("AGPL-3.0", "agpl-3.0"))
+       for form, label in (("", label), ("-only", label), ("-or-later", f"{label}-or-later"), ("+", f"{label}-or-later"))},
 }
 
 
@@ -57,6 +68,11 @@ def test_notices(spark):
     assert {t: got[i].labels for i, t in enumerate(texts)} == NOTICES
 
 
+def test_context_holds_the_longest_rule():
+    assert licenses.reach([licenses.Rule("x", "x", r"(?:a b )?(?<!c )d <x>(?: \w+){0,3}?(?: e|, f g)", "x", 1)]) == (4, 5)
+    assert (licenses.BEFORE, licenses.AFTER) == licenses.reach(licenses.RULES)
+
+
 def test_containment_not_overlap(spark):
     # the versioned name covers the bare one; two notices side by side both stay
     got = run(spark, ["Apache License 2.0 Apache License 1.1", "all rights reserved copyright 2020 x"])
