@@ -186,8 +186,9 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
     n, most = good.agg(F.count("*"), F.max(norm)).first()
     if not n:
         return empty
-    part = lambda size, total: F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(min(1.0, size / total) * (1 << 30))
-    sample = matrix(good.where(part(SAMPLE, n)).select("v").toArrow().column("v"), dim)
+    part = lambda size, total, seed: (F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 30))
+                                      < int(min(1.0, size / total) * (1 << 30)))
+    sample = matrix(good.where(part(SAMPLE, n, 0)).select("v").toArrow().column("v"), dim)
     if not len(sample):
         sample = matrix(good.limit(BRANCH).select("v").toArrow().column("v"), dim)
     tree = Tree(augmented(sample, most), int(max(BRANCH, LEAF_ROWS * len(sample) / n)))
@@ -207,8 +208,9 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
     if not total:
         return empty
 
-    # calibration: how many visits cover the true neighbours of some queries
-    some = queries.where(part(CALIBRATION, total)).toArrow()
+    # calibration: how many visits cover the true neighbours of some queries, drawn
+    # independently of the rows that the tree was fitted on
+    some = queries.where(part(CALIBRATION, total, 1)).toArrow()
     some = some if some.num_rows else queries.limit(CALIBRATION).toArrow()
     cq, cid = matrix(some.column("v"), dim), some.column("vec_id").to_numpy()
 

@@ -101,6 +101,26 @@ def test_recall_is_calibrated_per_query():
     assert nearest.calibrated(tree, x[:10], ids, truth, 0.9) == 1
 
 
+def test_calibration_is_drawn_apart_from_the_sample(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    fitted, asked, tree = [], [], nearest.Tree
+
+    def calibrated(_, queries, *rest):
+        asked.append(queries)
+        raise Stop
+    monkeypatch.setattr(nearest, "SAMPLE", 200)
+    monkeypatch.setattr(nearest, "CALIBRATION", 20)
+    monkeypatch.setattr(nearest, "Tree", lambda x, leaf: fitted.append(x) or tree(x, leaf))
+    monkeypatch.setattr(nearest, "calibrated", calibrated)
+    x = np.random.default_rng(7).normal(size=(1000, 4))
+    with pytest.raises(Stop):
+        run(spark, [(i, v.tolist()) for i, v in enumerate(x)], step=4)
+    known = {tuple(v[:4]) for v in fitted[0].tolist()}
+    assert len(asked[0]) > 5 and sum(tuple(q) in known for q in asked[0].tolist()) <= len(asked[0]) / 2
+
+
 def test_query_recall(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows])
