@@ -270,7 +270,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     free = _drawn(ids.join(marks, "doc_id", "left_anti"), MOST_UNLABELLED).withColumn("quality", F.lit(-1))
     wanted = F.broadcast(taught.unionByName(free))  # at most MOST_LABELLED + MOST_UNLABELLED rows, up to the hash's spread
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = text.join(wanted, "doc_id").select("doc_id", "quality", text_features("text").alias("x")).toArrow()
+    rows = (text.join(wanted, "doc_id").select("doc_id", "quality", F.xxhash64("text").alias("hash"), text_features("text").alias("x"))
+            .groupBy("doc_id", "quality").agg(F.min_by("x", "hash").alias("x")).toArrow())  # one row of a repeated id
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     quality = rows.column("quality").to_numpy()[order]
     x = np.array(rows.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES))[order]

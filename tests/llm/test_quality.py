@@ -52,6 +52,16 @@ def test_edges(spark):
     assert {r.score for r in quality.scored(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_one_row_of_a_repeated_id_teaches(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda *a: taken.append([len(x) for x in a[:3]]))
+    monkeypatch.setattr(quality, "LEAST_UNLABELLED", 1, raising=False)
+    docs = spark.createDataFrame([(i % 7 if i > 20 else i, f"text number {i}") for i in range(60)], "doc_id long, text string")
+    quality.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int"))
+    n = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(10))
+    assert taken == [[n, n, 11]]
+
+
 def test_prior():
     rng = np.random.default_rng(0)
     p = rng.normal(2, 1, 4000)
