@@ -27,6 +27,8 @@ from almanac.llm.common import documents
 #: Bounds of the training samples (rows); both are drawn by a hash of doc_id.
 MOST_LABELLED = 8_000
 MOST_UNLABELLED = 12_000
+#: With fewer unlabelled documents, labelled ones join them with their marks hidden.
+LEAST_UNLABELLED = 1_000
 FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN = 12
@@ -185,9 +187,19 @@ def _train(model: Model, p: np.ndarray, u: np.ndarray, pull, epochs: int = EPOCH
             w[i] = w[i] - 0.02 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
 
 
-def fit(labelled: np.ndarray, good: np.ndarray, unlabelled: np.ndarray) -> Model:
-    """Model from features of labelled rows, their marks and unlabelled rows."""
+def fit(labelled: np.ndarray, good: np.ndarray, unlabelled: np.ndarray, halves: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
+    """Model from features of labelled rows, their marks and unlabelled rows.
+
+    ``halves`` deals labelled and unlabelled rows to two halves for the prior; a
+    document that is among both must be in one half. Where all marks are bad, these
+    are the trusted class and the margin is turned round."""
+    if len(good) and not good.any() and len(unlabelled):
+        model = fit(labelled, ~good, unlabelled, halves)
+        model.weights = [*model.weights[:2], -model.weights[2], -model.weights[3]]
+        model.prior = 1 - model.prior
+        return model
     p, u = labelled[good], unlabelled
+    ph, uh = (np.arange(len(p)) % 2, np.arange(len(u)) % 2) if halves is None else (halves[0][good], halves[1])
     if not len(p) or not len(u):  # nothing to learn from: the labels' share for all
         share = float(good.mean()) if len(good) else 0.5
         flat = [np.zeros((len(FEATURES), 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)]
@@ -201,10 +213,10 @@ def fit(labelled: np.ndarray, good: np.ndarray, unlabelled: np.ndarray) -> Model
     # the prior: positives ranked against unlabelled text, each half by the other's model
     ranked: tuple[list, list] = ([], [])
     for part in range(2):
-        a, b, model.weights = p[part::2], u[part::2], fresh()
+        a, b, model.weights = p[ph == part], u[uh == part], fresh()
         if len(a) and len(b):
             _train(model, a, b, lambda zp, zu: np.concatenate([-_sigmoid(-zp) / len(zp), _sigmoid(zu) / len(zu)]), RANK_EPOCHS)
-        for out, rows in zip(ranked, (p[1 - part::2], u[1 - part::2]), strict=True):
+        for out, rows in zip(ranked, (p[ph != part], u[uh != part]), strict=True):
             z = model.margin(rows)
             out.append(z)
     model.prior = prior_of(*(np.concatenate(x) for x in ranked))
@@ -262,12 +274,15 @@ def text_features(text: pa.Array) -> pa.Array:
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Model from labels outside the held-out fold. Null marks and labels without a
     document teach nothing; a document labelled twice counts by its lowest mark.
-    Without labels or unlabelled text all scores are the labels' share (0.5 without any)."""
+    Where few documents are unlabelled, all documents are the unlabelled side, held-out
+    ones too, their marks hidden. Without any label all scores are 0.5."""
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")))
     taught = _drawn(marks.where(~held_out(F.col("doc_id"))), MOST_LABELLED)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    free = _drawn(ids.join(marks, "doc_id", "left_anti"), MOST_UNLABELLED).withColumn("quality", F.lit(-1))
+    free = ids.join(marks, "doc_id", "left_anti")
+    hidden = free.count() < LEAST_UNLABELLED
+    free = _drawn(ids if hidden else free, MOST_UNLABELLED).withColumn("quality", F.lit(-1))
     wanted = F.broadcast(taught.unionByName(free))  # at most MOST_LABELLED + MOST_UNLABELLED rows, up to the hash's spread
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = (text.join(wanted, "doc_id").select("doc_id", "quality", F.xxhash64("text").alias("hash"), text_features("text").alias("x"))
@@ -275,7 +290,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     quality = rows.column("quality").to_numpy()[order]
     x = np.array(rows.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES))[order]
-    return fit(x[quality >= 0], quality[quality >= 0] == 1, x[quality < 0])
+    half = np.unique(rows.column("doc_id").to_numpy()[order], return_inverse=True)[1] % 2
+    halves = (half[quality >= 0], half[quality < 0]) if hidden else None
+    return fit(x[quality >= 0], quality[quality >= 0] == 1, x[quality < 0], halves)
 
 
 def scorer(model: Model):

@@ -62,6 +62,17 @@ def test_one_row_of_a_repeated_id_teaches(spark, monkeypatch):
     assert taken == [[n, n, 11]]
 
 
+@pytest.mark.parametrize("kept", ["quality >= 0", "quality = 0"])
+def test_every_document_labelled(spark, kept):
+    # no unlabelled text, or bad marks alone beside few unlabelled ones: still no constant score
+    docs = spark.createDataFrame([(i, f"Plain words number {i} stand in a row here. And more follow them." if i % 3 else
+                                   f"JUNK!! {i} JUNK!! " * 9) for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int").where(kept)
+    got = {r.doc_id: r.score for r in quality.scored(docs, labels).collect()}
+    plain, junk = [s for i, s in got.items() if i % 3], [s for i, s in got.items() if i % 3 == 0]
+    assert min(plain) > 0.3 > max(junk)
+
+
 def test_prior():
     rng = np.random.default_rng(0)
     p = rng.normal(2, 1, 4000)
