@@ -57,6 +57,25 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return star.unionAll(star.select(F.col("component").alias("node"), "component").distinct())
 
 
+#: Keys with more rows than this, and than one in HEAVY_SHARE of all, are joined by broadcast.
+HEAVY_ROWS = 1000
+HEAVY_SHARE = 10_000
+
+
+def join_copies(rows: DataFrame, names: DataFrame, key: str, copies: str) -> DataFrame:
+    """``rows`` left joined with ``names``, which has one row per key and in ``copies``
+    the number of rows of the key. The commonest keys don't meet in one task each: there
+    are at most HEAVY_SHARE keys with more than that share of all rows, so their names
+    are broadcast. Null keys pass by. Both sides should be settled tables."""
+    total = names.agg(F.sum(copies)).first()[0] or 0
+    heavy = F.col(copies) > max(HEAVY_ROWS, total // HEAVY_SHARE)
+    often = F.broadcast(names.where(heavy))
+    known = rows.where(F.col(key).isNotNull())
+    return (known.join(often, key)
+            .unionByName(known.join(F.broadcast(names.where(heavy).select(key)), key, "left_anti").join(names.where(~heavy), key, "left"))
+            .unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True))
+
+
 def cut_points(df: DataFrame, *order: Column | str, shards: int) -> list:
     """At most ``shards`` rows at even steps of the given total order, the first row
     included: exact, so the same for every run and partitioning."""
