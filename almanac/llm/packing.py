@@ -13,6 +13,7 @@ piece's number alone gives its sequence and offset.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,6 +27,9 @@ from almanac.llm.common import documents, numbered, settle
 
 CAPACITY = 1024
 END_ID = 2
+#: A run of white space of this length goes to the ``tokenizers`` library: the faster
+#: engine keeps a place to go back to for each of its characters, and ends at a million.
+BLANKS = re.compile(r"\s{50000}")
 #: Slacks per bin that are tried.
 SLACKS = (0, 1, 2, 4, 8, 16, 32)
 
@@ -53,6 +57,19 @@ def encoder(path: str):
                              special_tokens=added)
 
 
+@lru_cache(maxsize=2)
+def library(path: str):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+def token_ids(path: str, text: str) -> np.ndarray:
+    """Ids of a text of any length."""
+    if BLANKS.search(text):
+        return np.array(library(path).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    return encoder(path).encode_to_numpy(text, allowed_special="all")
+
+
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                     ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -66,11 +83,10 @@ def cut(n: int, capacity: int) -> list[int]:
 
 def _tokenise(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.append(enc.encode_to_numpy(text.as_py() or "", allowed_special="all"), end_id).astype("<u4")
+                ids = np.append(token_ids(path, text.as_py() or ""), end_id).astype("<u4")
                 starts = cut(len(ids), capacity)
                 for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
                     rows.append((doc, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
@@ -154,7 +170,8 @@ def places(counts: dict[int, int], bins: list[tuple[list[int], int]]) -> tuple[n
 def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece with its sequence_id and offset.
 
-    Null and empty texts have the end id alone. Repeated rows are packed each by
+    Null and empty texts have the end id alone; texts of any length are encoded whole, and
+    long runs of white space give the ids that the library gives. Repeated rows are packed each by
     itself; a null doc_id is kept. Extra columns are ignored. An empty table gives
     an empty result. What reaches the driver is one count per length (at most
     ``capacity``)."""

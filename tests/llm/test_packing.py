@@ -28,6 +28,22 @@ def test_ids_equal_the_tokenizers_library(reference):
         assert enc.encode_to_numpy(t, allowed_special="all").tolist() == reference.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, "x" * 1_000_000, " \u3000" * 200_000 + "<|endoftext|> end"])
+def test_megabytes_of_one_character(reference, text):
+    assert packing.token_ids(packing.tokenizer_path(), text).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_very_long_texts_are_packed(spark, reference):
+    rows = [(1, "a" + " " * 1_000_000 + "b"), (2, "word " * 100_000), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.packed(docs).collect()
+    for doc, text in rows:
+        ids = np.array([*reference.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        mine = sorted((r for r in got if r.doc_id == doc), key=lambda r: r.piece)
+        assert sum(r.length for r in mine) == len(ids)
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes()) for r in mine)
+
+
 def test_ids_of_every_character(reference):
     enc = packing.encoder(packing.tokenizer_path())
     points = [chr(i) for i in range(0x30000) if not 0xD800 <= i < 0xE000]
