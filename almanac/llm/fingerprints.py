@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import text_arrays as ta
-from almanac.llm.common import cut_points, documents, partitions, settle
+from almanac.llm.common import cut_points, documents, join_copies, partitions, settle
 from almanac.llm.ngram_join import resolved
 
 PERMUTATIONS = 128
@@ -133,7 +133,7 @@ def compared(docs: DataFrame) -> DataFrame:
             .select("doc_id", "text", "tail").mapInArrow(_compare, OUT_DDL))
 
 
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("shared", pa.binary()),
+SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("shared", pa.binary()),
                   ("bands", pa.list_(pa.int64()))])
 
 
@@ -149,7 +149,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 code = (code << np.uint64(16)) | bands[:, :, i]
             code = ta.mix64(code ^ ta.mix64(np.arange(code.shape[1], dtype=np.uint64))[None, :]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(np.diff(off)), pa.array(ta.set_signatures(values, off).view(np.int64)),
+                [piece.column("doc_id"), pa.array(np.diff(off)), pa.array([x.tobytes() for x in ta.set_signatures(values, off)], pa.binary()),
                  pa.array(packed, pa.binary()), pa.array(code.tolist(), pa.list_(pa.int64()))], schema=SETS)
 
 
@@ -159,22 +159,22 @@ def near_classes(docs: DataFrame) -> DataFrame:
     without words link with nothing; equal shingle sets are one class; a null
     doc_id is ignored by the minimum."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = settle(text.mapInArrow(_sets, "doc_id long, n long, sig long, shared binary, bands array<long>"), "minhash-sets")
+    rows = settle(text.mapInArrow(_sets, "doc_id long, n long, sig binary, shared binary, bands array<long>"), "minhash-sets")
     some = rows.where("n > 0")
     sets = settle(some.groupBy("sig").agg(F.first("n").alias("n"), F.first("shared").alias("shared"),
                                           F.first("bands").alias("bands"))
-                  .withColumn("set_id", F.col("sig")).withColumn("m", F.col("n")), "minhash-classes")
+                  .withColumn("set_id", F.monotonically_increasing_id()).withColumn("m", F.col("n")), "minhash-classes")
     posts = sets.select(F.explode("bands").alias("band"), "set_id")
     hubs = posts.groupBy("band").agg(F.count("*").alias("k"), F.min("set_id").alias("hub")).where("k > 1").drop("k")
     near = settle(posts.join(hubs, "band").where("set_id <> hub").select("hub", "set_id").distinct(), "minhash-near")
     found = resolved(near, sets)
-    least = some.groupBy("sig").agg(F.min("doc_id").alias("least"))
-    linked = least.join(found, least.sig == found.node).select("sig", "component", "least")
+    least = some.groupBy("sig").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    linked = sets.select("sig", "set_id").join(found, F.col("set_id") == F.col("node")).join(least, "sig").select("sig", "component", "least")
     lowest = linked.groupBy("component").agg(F.min("least").alias("lowest"))
-    named = least.join(linked.join(lowest, "component").select("sig", "lowest"), "sig", "left") \
-        .select("sig", F.coalesce("lowest", "least").alias("class_id"))
-    return rows.select("doc_id", "n", "sig").join(named, "sig", "left").select(
-        "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    named = settle(least.join(linked.join(lowest, "component").select("sig", "lowest"), "sig", "left")
+                   .select("sig", "copies", F.coalesce("lowest", "least").alias("class_id")), "minhash-names")
+    members = rows.select("doc_id", F.when(F.col("n") > 0, F.col("sig")).alias("sig"))
+    return join_copies(members, named, "sig", "copies").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def op5_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,9 @@ task) and column blocks (ranges of the n-gram hash).
    several components, for those blocks of neighbours too. A block returns a
    spanning forest of its links.
 
-Copies (equal shingle sets) are one class throughout. Nothing is capped: the
-result is the exact set of components.
+Copies (equal shingle sets) are one class throughout, told apart by signatures of 128
+bits. Nothing is capped: but for shingles whose hashes agree by chance (48 bits within
+the two documents compared) the result is the set of components.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.llm import text_arrays as ta
-from almanac.llm.common import components, documents, partitions, settle
+from almanac.llm.common import components, documents, join_copies, settle
 
 CHUNK_ENTRIES = 1_000_000
 CHUNK_ROWS = 1 << 16
@@ -44,13 +45,16 @@ LOW_BITS = 40
 STRIP = 2048
 BLOCK_DOCS = 256
 BLOCK_ENTRIES = 1_000_000
+#: Entries of a column block on average, and bytes of text for one of them.
+BLOCK_COLUMNS = 2_000_000
+TEXT_BYTES = 6
 
 DOC, SETS, LOCAL, QUERY, REPLY = range(5)
 FLOW = pa.schema([("dest", pa.int64()), ("kind", pa.int32()), ("chunk", pa.int64()), ("doc_id", pa.int64()),
-                  ("key", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("payload", pa.binary())])
-FLOW_DDL = "dest long, kind int, chunk long, doc_id long, key long, n long, sig long, payload binary"
-ROWS_DDL = "kind int, doc_id long, key long, n long, sig long, set_id long, m long, shared binary"
-ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()),
+                  ("key", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("payload", pa.binary())])
+FLOW_DDL = "dest long, kind int, chunk long, doc_id long, key long, n long, sig binary, payload binary"
+ROWS_DDL = "kind int, doc_id long, key long, n long, sig binary, set_id long, m long, shared binary"
+ROWS = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()),
                   ("set_id", pa.int64()), ("m", pa.int64()), ("shared", pa.binary())])
 
 
@@ -80,6 +84,11 @@ def _segments(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.append(starts, len(sorted_values)))
 
 
+def _names(sigs: np.ndarray, use: np.ndarray) -> pa.Array:
+    """Signatures as 16 bytes each; null where there is no set."""
+    return pa.array([s.tobytes() if u else None for s, u in zip(sigs, use.tolist(), strict=True)], pa.binary())
+
+
 def _flow(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), FLOW, strict=True)],
                                       schema=FLOW)
@@ -93,12 +102,13 @@ def _chunk_rows(chunk: int, ids: list, row_keys: list, values: np.ndarray, n: np
     spread = -1 - ((np.int64(chunk) << 6) + np.arange(len(n)) % 64)  # these rows need no one place
     yield pa.RecordBatch.from_arrays(
         [pa.array(spread), pa.array(np.full(len(n), DOC, np.int32)), pa.array(spread),
-         pa.concat_arrays(ids), pa.concat_arrays(row_keys), pa.array(n), pa.array(sigs.view(np.int64)), pa.nulls(len(n), pa.binary())], schema=FLOW)
+         pa.concat_arrays(ids), pa.concat_arrays(row_keys), pa.array(n), _names(sigs, n > 0), pa.nulls(len(n), pa.binary())], schema=FLOW)
     keep = np.flatnonzero(n > 0)
-    sets, first = np.unique(sigs[keep], return_index=True)
-    if not len(sets):
+    if not len(keep):
         return
-    first = np.sort(keep[first])
+    order = np.lexsort((sigs[keep, 1], sigs[keep, 0]))  # stable: the first of equal sets leads
+    ranked = sigs[keep][order]
+    first = np.sort(keep[order[np.r_[True, (ranked[1:] != ranked[:-1]).any(axis=1)]]])
     off = np.concatenate([[0], np.cumsum(n)])
     chosen = np.zeros(len(n), bool)
     chosen[first] = True
@@ -106,7 +116,7 @@ def _chunk_rows(chunk: int, ids: list, row_keys: list, values: np.ndarray, n: np
     keys = (values[member] >> np.uint64(64 - KEY_BITS)).astype(np.int64)
     idx = np.repeat(np.arange(len(first), dtype=np.uint16), n[first])
     del off, member
-    yield _flow([(pass_on, SETS, chunk, None, None, None, None, _pack(sigs[first], n[first].astype(np.int64)))])
+    yield _flow([(pass_on, SETS, chunk, None, None, None, None, _pack(sigs[first].ravel(), n[first].astype(np.int64)))])
     order = np.argsort(keys, kind="stable")
     keys, idx = keys[order], idx[order]
     starts, counts = _segments(keys)
@@ -196,6 +206,7 @@ def _bounded(block_bits: int):
         if not payload[SETS]:
             return out[0]
         sigs, n = _unpack(payload[SETS][0], np.uint64, np.int64)
+        sigs = sigs.reshape(-1, 2)
         chunk = int(table.column("chunk")[0].as_py())
         replies = table.filter(pa.array(kind == REPLY))
         keys, held, idx = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -225,7 +236,7 @@ def _bounded(block_bits: int):
         shared = [keys[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
         out.append(pa.Table.from_arrays(
             [pa.array(np.full(len(at), SETS, np.int32)), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(n[at]),
-             pa.array(sigs[at].view(np.int64)), pa.array((chunk << 16) + at), pa.array(m[at]),
+             _names(sigs[at], np.ones(len(at), bool)), pa.array((chunk << 16) + at), pa.array(m[at]),
              pa.array(shared, pa.binary())], schema=ROWS))
         return pa.concat_tables(out)
     return run
@@ -378,8 +389,9 @@ def near_duplicates(docs: DataFrame, key: Column | None = None) -> DataFrame:
     shingle. Repeated rows and equal texts are one class and link. A null doc_id
     is ignored by the minimum (a component of only such rows has a null id). An
     empty table gives an empty result."""
-    spark = docs.sparkSession
-    bits = max(KEY_BITS - LOW_BITS, (4 * partitions(spark) - 1).bit_length())
+    # columns, less than one per two bytes, in blocks that hold so many on average
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    bits = min(LOW_BITS, max(KEY_BITS - LOW_BITS, (size // TEXT_BYTES // BLOCK_COLUMNS).bit_length()))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (F.lit(None) if key is None else key).cast("long").alias("key"))
     flow = text.mapInArrow(_incidence(bits), FLOW_DDL)
@@ -400,14 +412,14 @@ def near_duplicates(docs: DataFrame, key: Column | None = None) -> DataFrame:
     found = resolved(near, sets)
 
     # classes of copies -> components of documents
-    classes = documents_.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    classes = documents_.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     linked = sets.join(found, sets.set_id == found.node).select("sig", "component").join(classes, "sig")
     lowest = linked.groupBy("component").agg(F.min("least").alias("lowest"))
     linked = linked.join(lowest, "component").select("sig", "component", "lowest")
-    named = classes.join(linked, "sig", "left").select(
-        "sig", F.coalesce("lowest", "least").alias("component_id"),
-        F.coalesce(F.concat(F.lit("linked "), "component"), F.concat(F.lit("alone "), "sig")).alias("component"))
-    return (documents_.join(named, "sig", "left")
+    named = settle(classes.join(linked, "sig", "left").select(
+        "sig", "copies", F.coalesce("lowest", "least").alias("component_id"),
+        F.coalesce(F.concat(F.lit("linked "), "component"), F.concat(F.lit("alone "), F.hex("sig"))).alias("component")), "ngram-names")
+    return (join_copies(documents_, named, "sig", "copies")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     "component", "key"))

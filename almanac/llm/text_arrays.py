@@ -10,7 +10,6 @@ from one prefix sum per chunk) followed by an avalanche step.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +18,7 @@ CHUNK_BYTES = 512 * 1024
 SHINGLE_WORDS = 5
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_GOLDEN = _U(0x9E3779B97F4A7C15)
 _SHINGLE_MULT = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                           0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=_U)
 
@@ -41,21 +39,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    step = np.full(n, _BASE, dtype=_U)
-    back = np.full(n, _BASE_INV, dtype=_U)
-    step[0] = back[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(step), np.multiply.accumulate(back)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(n, CHUNK_BYTES).bit_length()
-    up, down = _powers(size) if size <= 4 * CHUNK_BYTES else _powers.__wrapped__(size)
-    return up[:n], down[:n]
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all values back to back and the n + 1 offsets; null is empty."""
     column = column.fill_null("") if column.null_count else column
@@ -107,12 +90,21 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hash of each span of ``data``."""
     if not len(starts):
         return np.zeros(0, _U)
-    up, down = powers(len(data))
-    prefix = np.empty(len(data) + 1, dtype=_U)
-    prefix[0] = 0
+    if data.itemsize > 1:
+        starts, ends, data = starts * data.itemsize, ends * data.itemsize, data.view(np.uint8)
+    length = ends - starts
+    n = (length + 7) >> 3
+    off = np.concatenate([[0], np.cumsum(n)])
+    place = np.arange(off[-1]) - np.repeat(off[:-1], n)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    at = np.repeat(starts, n) + 8 * place
+    lanes = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))[at]
+    short = np.minimum(np.repeat(ends, n) - at, 8).astype(_U)
+    lanes &= _U(0xFFFFFFFFFFFFFFFF) >> (_U(64) - _U(8) * short)
     with np.errstate(over="ignore"):
-        np.cumsum((data.astype(_U) + _U(1)) * up, out=prefix[1:])
-        return mix64((prefix[ends] - prefix[starts]) * down[starts])
+        lanes = mix64(lanes + mix64((place.astype(_U) + _U(1)) * _GOLDEN))
+        total = np.concatenate([np.zeros(1, _U), np.cumsum(lanes, dtype=_U)])
+        return mix64(total[off[1:]] - total[off[:-1]] + length.astype(_U) * _GOLDEN)
 
 
 def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +154,11 @@ def shingle_sets(column: pa.Array, k: int = SHINGLE_WORDS) -> tuple[np.ndarray,
 
 
 def set_signatures(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """One 64-bit signature per set (order-free sum of mixed members)."""
+    """A signature of 128 bits per set, as two columns (order-free sums of members, each
+    mixed in its own way)."""
+    out = np.empty((len(off) - 1, 2), dtype=_U)
     with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, _U), np.cumsum(mix64(values ^ _U(0x2545F4914F6CDD1D)))])
-        return mix64(total[off[1:]] - total[off[:-1]] + np.diff(off).astype(_U))
+        for i, key in enumerate((0x2545F4914F6CDD1D, 0xDA942042E4DD58B5)):
+            total = np.concatenate([np.zeros(1, _U), np.cumsum(mix64((values ^ _U(key)) * _GOLDEN))])
+            out[:, i] = mix64(total[off[1:]] - total[off[:-1]] + np.diff(off).astype(_U))
+    return out

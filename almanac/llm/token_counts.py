@@ -169,7 +169,27 @@ def _long_count(model: Merges, sym: list[int]) -> int:
     return int(model.tokens[[s for s, x in zip(sym, live, strict=True) if x]].sum())
 
 
-def counts_of(model: Merges, texts: list[str], memo: dict[int, int]) -> np.ndarray:
+def distinct_spans(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one span of each kind, and the kind of every span. ``chars`` is covered
+    by the spans. Hashes group them; the characters are compared with those of the one
+    that stands for the kind, so that no two words pass for one."""
+    _, where, back = np.unique(ta.span_hashes(chars, starts, ends), return_index=True, return_inverse=True)
+    length, one = ends - starts, where[back]
+    if (length == length[one]).all():
+        shift = np.repeat(starts[one] - starts, length)
+        if (chars[np.arange(len(chars)) + shift] == chars).all():
+            return where, back
+    raw, kinds, where = chars.tobytes(), {}, []
+    back = np.empty(len(starts), dtype=np.int64)
+    for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+        name = raw[a * chars.itemsize:b * chars.itemsize]
+        back[i] = kinds.setdefault(name, len(kinds))
+        if back[i] == len(where):
+            where.append(i)
+    return np.array(where, dtype=np.int64), back
+
+
+def counts_of(model: Merges, texts: list[str], memo: dict[bytes, int]) -> np.ndarray:
     """Tokens of each text (mark in front of any non-empty text, space as mark)."""
     n_chars = np.array([len(t) + bool(t) for t in texts], dtype=np.int64)
     off = np.concatenate([[0], np.cumsum(n_chars)])
@@ -184,18 +204,20 @@ def counts_of(model: Merges, texts: list[str], memo: dict[int, int]) -> np.ndarr
     first[off[:-1][n_chars > 0]] = True
     starts = np.flatnonzero(first)
     ends = np.append(starts[1:], len(chars))
-    hashes = ta.span_hashes(chars, starts, ends)
-    distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-    known = np.array([memo.get(h, -1) for h in distinct.tolist()], dtype=np.int64)
+    where, back = distinct_spans(chars, starts, ends)
+    raw = chars.tobytes()
+    names = [raw[4 * a:4 * b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+    known = np.array([memo.get(name, -1) for name in names], dtype=np.int64)
     new = np.flatnonzero(known < 0)
     if len(new):
         a, b = starts[where[new]], ends[where[new]]
         inner = np.concatenate([[0], np.cumsum(b - a)])
         flat = chars[np.repeat(a - inner[:-1], b - a) + np.arange(inner[-1])]
         known[new] = merged_counts(model, flat, inner)
-        if len(memo) + len(new) > MEMO:
+        short = [i for i in new.tolist() if len(names[i]) <= 4 * LONG]
+        if len(memo) + len(short) > MEMO:
             memo.clear()
-        memo.update(zip(distinct[new].tolist(), known[new].tolist(), strict=True))
+        memo.update((names[i], int(known[i])) for i in short)
     sums = np.concatenate([[0], np.cumsum(known[back])])
     place = np.searchsorted(starts, off)
     return sums[place[1:]] - sums[place[:-1]]

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from almanac.llm import fingerprints, text_arrays
-from tests_llm_ngram import brute, planted
+from tests_llm_ngram import brute, planted, thue_morse
 
 
 def plain_signature(text):
@@ -92,3 +92,14 @@ def test_query(spark, sf_dir):
         edited = t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]
         assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and got[i].n_chars == len(t)
     assert np.mean([r.near_edited > r.near_next for r in got.values()]) > 0.9
+
+
+def test_words_that_fool_a_polynomial_hash():
+    a, b = fingerprints.signatures(pa.array([thue_morse(1024), thue_morse(1024, turned=True)]))
+    assert (a == b).mean() < 0.1
+
+
+def test_long_texts(spark):
+    long = " ".join(f"w{i * i % 7919}" for i in range(20_000))
+    rows = [(1, long), (2, long + " é"), (3, "y" * 700_000), (4, None)]
+    assert run(spark, rows) == plain(rows)

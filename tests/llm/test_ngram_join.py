@@ -3,7 +3,8 @@
 import pytest
 
 from almanac.llm import ngram_join, text_arrays
-from tests_llm_ngram import brute, planted, shingles
+from tests_llm_ngram import brute, planted, shingles, thue_morse
+
 
 def run(spark, rows):
     docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows],
@@ -24,6 +25,29 @@ def test_edge_rows(spark):
     assert run(spark, rows) == [(1, 0, 1), (1, 0, 1), (3, 2, 3), (3, 2, 3), (7, 2, 3)]
 
 
+def test_words_that_fool_a_polynomial_hash(spark):
+    rows = [(1, thue_morse(1024)), (2, thue_morse(1024, turned=True)), (3, f"a b c d {thue_morse(2048)}"),
+            (4, f"a b c d {thue_morse(2048, turned=True)}"), (5, f"A b c d {thue_morse(2048)}")]
+    assert run(spark, rows) == brute(rows) == [(1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 1, 4), (5, 1, 3)]
+
+
+def test_long_texts_and_hot_copies(spark, monkeypatch):
+    """Texts of several chunks, and copies beyond the bound of a shuffled join."""
+    from almanac.llm import common
+    monkeypatch.setattr(common, "HEAVY_ROWS", 20)
+    monkeypatch.setattr(ngram_join, "CHUNK_ENTRIES", 5_000)
+    long = " ".join(f"w{i * i % 7919}" for i in range(30_000))
+    rows = planted(5) + [(1000, long), (1001, long + " tail"), (1002, long[:len(long) // 2]), (1003, "x" * 300_000), (1004, "x" * 300_000)]
+    rows += [(2000 + i, "one text that stands here often enough") for i in range(60)] + [(3000 + i, None) for i in range(40)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_blocks_follow_the_text(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_COLUMNS", 1)
+    rows = planted(6)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

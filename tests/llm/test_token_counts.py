@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from almanac.llm import token_counts
+from tests_llm_ngram import thue_morse
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -59,3 +60,18 @@ def test_query(spark, sf_dir, library):
             for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.op9_token_counts(spark, sf_dir).collect()}
     assert got == want
+
+
+def test_words_that_fool_a_polynomial_hash(library):
+    texts = [thue_morse(2048, "in"), thue_morse(2048, "in", turned=True), thue_morse(1000, "in"), thue_morse(1000, "in", turned=True)]
+    memo = {}
+    for t in texts:  # one after the other, through the memo
+        assert token_counts.counts_of(token_counts.merges(PATH), [t], memo).tolist() == [len(library.encode(t))]
+    assert token_counts.counts_of(token_counts.merges(PATH), texts, memo).tolist() == [len(x) for x in library.encode(texts)]
+
+
+def test_equal_hashes_are_told_apart(library, monkeypatch):
+    monkeypatch.setattr(token_counts.ta, "span_hashes", lambda data, starts, ends: (ends - starts) % 3)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdet") for _ in range(rng.randrange(1, 9))) for _ in range(30)) for _ in range(40)]
+    assert token_counts.counts_of(token_counts.merges(PATH), texts, {}).tolist() == [len(x) for x in library.encode(texts)]

@@ -54,3 +54,8 @@ def planted(seed):
     texts += [texts[0]] * 5 + [texts[0].upper(), "", None, " \t\n", "a b", "A  b", "a b c", "x" * 5000]
     rng.shuffle(texts)
     return list(enumerate(texts))
+
+
+def thue_morse(n, letters="ab", turned=False):
+    """Words over two letters on which sums of powers modulo 2**64 agree, for any odd base."""
+    return "".join(letters[(i.bit_count() + turned) % 2] for i in range(n))
