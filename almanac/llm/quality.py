@@ -1,11 +1,16 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives are documents labelled good; the unlabelled side is web text
-without any label. The share of positives in the unlabelled text is estimated
-(best bin of a positive-against-unlabelled ranking), and a small network
-minimises the non-negative unbiased risk
-``prior * R(P, +) + max(0, R(U, -) - prior * R(P, -))``. Its margin is mapped to a
-score by a logistic fit on the labelled training rows.
+Trusted positives are documents labelled good; the unlabelled side is all text without
+a label outside the held-out fold. The share of positives in it is estimated (best bin
+of a positive-against-unlabelled ranking), and a small network minimises the
+non-negative unbiased risk ``prior * R(P, +) + max(0, R(U, -) - prior * R(P, -))``.
+Its margin is mapped to a score by a logistic fit on the labelled training rows.
+
+The unlabelled side counts whole: the ranking's margins of all its rows go into a
+histogram, and its part of the risk is taken over cells. A cell holds the rows on the
+same side of PLANES planes through the features; their number and the sum of their
+features come from one pass, so what reaches the driver is bounded however large the
+table. Labelled rows are the only ones that are sampled.
 
 Features are statistics of the whole text (characters, words, repetition, lines),
 computed in numpy over Arrow batches. Nothing but the text enters a score.
@@ -13,7 +18,7 @@ computed in numpy over Arrow batches. Nothing but the text enters a score.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm import text_arrays as ta
-from almanac.llm.common import documents
+from almanac.llm.common import documents, settle
 
-#: Bounds of the training samples (rows); both are drawn by a hash of doc_id.
+#: Bound of the labelled training sample (documents), drawn by a hash of doc_id.
 MOST_LABELLED = 8_000
-MOST_UNLABELLED = 12_000
-#: With fewer unlabelled documents, labelled ones join them with their marks hidden.
-LEAST_UNLABELLED = 1_000
+#: Planes that cut the unlabelled rows into cells, and the fixed point of their sums.
+PLANES = 14
+POINT = 1 << 24
+CUTS = 200
 FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN = 12
@@ -135,20 +141,29 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def prior_of(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among unlabelled scores: over all cuts, the least ratio
-    of the unlabelled to the positive share above the cut, with a confidence margin
-    that keeps nearly empty bins from winning."""
-    p, u = np.sort(positive), np.sort(unlabelled)
-    cuts = np.unique(np.quantile(np.concatenate([p, u]), np.linspace(0, 0.99, 200)))
-    above_p = 1 - np.searchsorted(p, cuts) / len(p)
-    above_u = 1 - np.searchsorted(u, cuts) / len(u)
-    margin = np.sqrt(np.log(40) / 2 / len(u)) + np.sqrt(np.log(40) / 2 / len(p))
+def cuts_of(positive: np.ndarray) -> np.ndarray:
+    return np.unique(np.quantile(positive, np.linspace(0, 0.99, CUTS)))
+
+
+def prior_at(positive: np.ndarray, cuts: np.ndarray, bins: np.ndarray) -> float:
+    """Share of positives among unlabelled margins, from the margins of positives and the
+    numbers ``bins`` of unlabelled ones by the number of cuts that they reach: over all
+    cuts the least ratio of the unlabelled to the positive share above, with a confidence
+    margin that keeps nearly empty bins from winning."""
+    n = bins.sum()
+    above_p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
+    above_u = (n - np.cumsum(bins)[:len(cuts)]) / n
+    margin = np.sqrt(np.log(40) / 2 / n) + np.sqrt(np.log(40) / 2 / len(positive))
     some = above_p > 0.05
     at = np.argmin((above_u[some] + margin) / above_p[some])
     return float(np.clip(above_u[some][at] / above_p[some][at], 0.01, 0.99))
 
 
+def prior_of(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    cuts = cuts_of(positive)
+    return prior_at(positive, cuts, np.bincount(np.searchsorted(cuts, unlabelled, side="right"), minlength=len(cuts) + 1))
+
+
 @dataclass
 class Model:
     """Network over standardised features, and the map from margin to score."""
@@ -162,18 +177,21 @@ class Model:
     def inputs(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -6, 6)
 
-    def margin(self, x: np.ndarray) -> np.ndarray:
+    def of_inputs(self, inputs: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
-        return (np.tanh(self.inputs(x) @ w1 + b1) @ w2 + b2)[:, 0]
+        return (np.tanh(inputs @ w1 + b1) @ w2 + b2)[:, 0]
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return self.of_inputs(self.inputs(x))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return _sigmoid(self.slope * self.margin(x) + self.shift)
 
 
-def _train(model: Model, p: np.ndarray, u: np.ndarray, pull, epochs: int = EPOCHS) -> None:
-    """Adam on the whole sample; ``pull`` turns margins into their gradients."""
-    x = np.concatenate([model.inputs(p), model.inputs(u)])
-    w, m, v = model.weights, [0.0] * 4, [0.0] * 4
+def _train(weights: list[np.ndarray], p: np.ndarray, u: np.ndarray, pull, epochs: int = EPOCHS) -> list[np.ndarray]:
+    """Adam over all inputs at once; ``pull`` turns margins into their gradients."""
+    x = np.concatenate([p, u])
+    w, m, v = list(weights), [0.0] * 4, [0.0] * 4
     for step in range(1, epochs + 1):
         h = np.tanh(x @ w[0] + w[1])
         z = (h @ w[2] + w[3])[:, 0]
@@ -185,114 +203,191 @@ def _train(model: Model, p: np.ndarray, u: np.ndarray, pull, epochs: int = EPOCH
             m[i] = 0.9 * m[i] + 0.1 * grad
             v[i] = 0.999 * v[i] + 0.001 * grad * grad
             w[i] = w[i] - 0.02 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
+    return w
 
 
-def fit(labelled: np.ndarray, good: np.ndarray, unlabelled: np.ndarray, halves: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
-    """Model from features of labelled rows, their marks and unlabelled rows.
+def risk(zp: np.ndarray, zu: np.ndarray, share: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the unbiased risk under the sigmoid loss (l(z, +) = 1 - s(z),
+    l(z, -) = s(z)): that of positives, and that of negatives, which may turn negative.
+    ``share`` is the weight of each unlabelled margin."""
+    sp = _sigmoid(zp)
+    return prior * (1 - sp).mean(), float((share * _sigmoid(zu)).sum() - prior * sp.mean())
 
-    ``halves`` deals labelled and unlabelled rows to two halves for the prior; a
-    document that is among both must be in one half. Where all marks are bad, these
-    are the trusted class and the margin is turned round."""
-    if len(good) and not good.any() and len(unlabelled):
-        model = fit(labelled, ~good, unlabelled, halves)
-        model.weights = [*model.weights[:2], -model.weights[2], -model.weights[3]]
-        model.prior = 1 - model.prior
-        return model
-    p, u = labelled[good], unlabelled
-    ph, uh = (np.arange(len(p)) % 2, np.arange(len(u)) % 2) if halves is None else (halves[0][good], halves[1])
-    if not len(p) or not len(u):  # nothing to learn from: the labels' share for all
-        share = float(good.mean()) if len(good) else 0.5
-        flat = [np.zeros((len(FEATURES), 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)]
-        return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), flat, share, 1.0,
-                     float(np.log((share + 1e-3) / (1 - share + 1e-3))))
+
+def pull_of(share: np.ndarray, prior: float):
+    """Gradient of the non-negative risk by the margins: where the negatives' part is
+    below zero, a step back on that part alone."""
+    def pull(zp: np.ndarray, zu: np.ndarray) -> np.ndarray:
+        sp, su = _sigmoid(zp), _sigmoid(zu)
+        dp, du = sp * (1 - sp) / len(zp), share * su * (1 - su)
+        if risk(zp, zu, share, prior)[1] >= 0:
+            return np.concatenate([-2 * prior * dp, du])
+        return np.concatenate([prior * dp, -du])
+    return pull
+
+
+@dataclass
+class Taught:
+    """Labelled rows: features, marks, and the half that each is dealt to."""
+    x: np.ndarray
+    good: np.ndarray
+    half: np.ndarray
+
+
+def fit(taught: Taught, cells, bins) -> Model:
+    """Model from labelled rows and two passes over the unlabelled ones.
+
+    ``cells(inputs, planes, heights)`` gives the unlabelled rows' mean inputs, numbers
+    and half by cell; ``bins(models, cuts)`` the numbers of their margins between the
+    cuts, each by the model of the other half. The trusted class is the good one; where
+    all marks are bad, they are, and the margin is turned round. Without labelled or
+    unlabelled rows all scores are 0.5."""
+    flat = [np.zeros((len(FEATURES), 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)]
+    if not len(taught.good):
+        return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), flat, 0.5)
+    model = Model(taught.x.mean(0), taught.x.std(0) + 1e-6, flat, 0.5)
+    trusted = taught.good if taught.good.any() else ~taught.good
+    labelled = model.inputs(taught.x)
     rng = np.random.default_rng(SEED)
-    both = np.concatenate([p, u])
+    planes = rng.normal(0, 1, (len(FEATURES), PLANES))
+    u, n, uh = cells(model.inputs, planes, np.median(labelled @ planes, axis=0))
+    if not len(n):
+        return model
+    p, ph = labelled[trusted], taught.half[trusted]
     fresh = lambda: [rng.normal(0, 0.3, (len(FEATURES), HIDDEN)), np.zeros(HIDDEN),
                      rng.normal(0, 0.3, (HIDDEN, 1)), np.zeros(1)]
-    model = Model(both.mean(0), both.std(0) + 1e-6, fresh(), 0.5)
     # the prior: positives ranked against unlabelled text, each half by the other's model
-    ranked: tuple[list, list] = ([], [])
+    rankers = []
     for part in range(2):
-        a, b, model.weights = p[ph == part], u[uh == part], fresh()
+        a, b, share = p[ph == part], u[uh == part], n[uh == part]
+        weights = fresh()
         if len(a) and len(b):
-            _train(model, a, b, lambda zp, zu: np.concatenate([-_sigmoid(-zp) / len(zp), _sigmoid(zu) / len(zu)]), RANK_EPOCHS)
-        for out, rows in zip(ranked, (p[ph != part], u[uh != part]), strict=True):
-            z = model.margin(rows)
-            out.append(z)
-    model.prior = prior_of(*(np.concatenate(x) for x in ranked))
-    model.weights = fresh()
-
-    def pull(zp: np.ndarray, zu: np.ndarray) -> np.ndarray:
-        sp, su, pi = _sigmoid(zp), _sigmoid(zu), model.prior
-        # sigmoid loss: l(z, +) = 1 - s(z), l(z, -) = s(z)
-        negative = su.mean() - pi * sp.mean()
-        dp, du = sp * (1 - sp) / len(zp), su * (1 - su) / len(zu)
-        if negative >= 0:
-            return np.concatenate([-2 * pi * dp, du])
-        return np.concatenate([pi * dp, -du])  # step back where the risk turned negative
-    _train(model, p, u, pull)
-    model.slope, model.shift = _logistic(model.margin(labelled), good)
+            share = share / share.sum()
+            weights = _train(weights, a, b, lambda zp, zu, share=share: np.concatenate([-_sigmoid(-zp) / len(zp), share * _sigmoid(zu)]), RANK_EPOCHS)
+        rankers.append(replace(model, weights=weights))
+    ranked = np.concatenate([rankers[1 - part].of_inputs(p[ph == part]) for part in range(2)])
+    cuts = cuts_of(ranked)
+    model.prior = prior_at(ranked, cuts, bins(rankers, cuts))
+    model.weights = _train(fresh(), p, u, pull_of(n / n.sum(), model.prior))
+    if not taught.good.any():
+        model.weights = [*model.weights[:2], -model.weights[2], -model.weights[3]]
+        model.prior = 1 - model.prior
+    model.slope, model.shift = _logistic(model.of_inputs(labelled), taught.good)
     return model
 
 
 def _logistic(z: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of P(good | margin), classes weighed alike so that a rare
-    class counts, with a weak pull to the identity."""
+    """Slope and shift of P(good | margin): the least logistic loss, with a weak pull of
+    the slope to zero. The loss is convex; Newton steps are halved until it falls. Marks
+    of one class say nothing about the map, which then stays the identity."""
     y = good.astype(float)
     if y.min(initial=1) == y.max(initial=0):
         return 1.0, 0.0
-    weight = np.where(good, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        s = _sigmoid(a * z + b)
-        r, c = weight * (s - y), weight * s * (1 - s) + 1e-9
-        grad = np.array([(r * z).sum() + 1e-2 * (a - 1) * len(z) / 100, r.sum()])
-        hess = np.array([[(c * z * z).sum() + 1e-4 * len(z), (c * z).sum()], [(c * z).sum(), c.sum() + 1e-6]])
-        step = np.linalg.solve(hess, grad)
-        a, b = float(np.clip(a - step[0], 0.05, 20)), float(np.clip(b - step[1], -30, 30))
-        if np.abs(step).max() < 1e-8:
+    middle, spread = z.mean(), z.std() + 1e-9
+    t = (z - middle) / spread
+    # targets a little inside 0 and 1, so that separable marks have a least loss too
+    y = np.where(good, (good.sum() + 1) / (good.sum() + 2), 1 / ((~good).sum() + 2))
+    loss = lambda a, b: (np.logaddexp(0, a * t + b) - y * (a * t + b)).mean() + 1e-4 * a * a
+    a, b = 0.0, float(np.log(y.mean() / (1 - y.mean())))
+    for _ in range(100):
+        s = _sigmoid(a * t + b)
+        r, c = s - y, s * (1 - s) + 1e-9
+        grad = np.array([(r * t).mean() + 2e-4 * a, r.mean()])
+        hess = np.array([[(c * t * t).mean() + 2e-4, (c * t).mean()], [(c * t).mean(), c.mean()]])
+        step, scale = np.linalg.solve(hess + 1e-9 * np.eye(2), grad), 1.0
+        while scale > 1e-6 and loss(a - scale * step[0], b - scale * step[1]) > loss(a, b):
+            scale /= 2
+        a, b = a - scale * step[0], b - scale * step[1]
+        if np.abs(scale * step).max() < 1e-9:
             break
-    return a, b
+    return float(a / spread), float(b - a * middle / spread)
 
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def _drawn(ids: DataFrame, most: int) -> DataFrame:
-    """About ``most`` of the ids at most, by hash; the bound makes them broadcastable."""
-    n = ids.count()
-    share = min(1.0, most / max(n, 1))
-    return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-
-@F.arrow_udf(T.ArrayType(T.DoubleType()))
+@F.arrow_udf(T.BinaryType())
 def text_features(text: pa.Array) -> pa.Array:
-    return pa.array(all_features(text).tolist(), pa.list_(pa.float64()))
-
-
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from labels outside the held-out fold. Null marks and labels without a
-    document teach nothing; a document labelled twice counts by its lowest mark.
-    Where few documents are unlabelled, all documents are the unlabelled side, held-out
-    ones too, their marks hidden. Without any label all scores are 0.5."""
-    marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-             .where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    taught = _drawn(marks.where(~held_out(F.col("doc_id"))), MOST_LABELLED)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    free = ids.join(marks, "doc_id", "left_anti")
-    hidden = free.count() < LEAST_UNLABELLED
-    free = _drawn(ids if hidden else free, MOST_UNLABELLED).withColumn("quality", F.lit(-1))
-    wanted = F.broadcast(taught.unionByName(free))  # at most MOST_LABELLED + MOST_UNLABELLED rows, up to the hash's spread
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (text.join(wanted, "doc_id").select("doc_id", "quality", F.xxhash64("text").alias("hash"), text_features("text").alias("x"))
-            .groupBy("doc_id", "quality").agg(F.min_by("x", "hash").alias("x")).toArrow())  # one row of a repeated id
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
-    quality = rows.column("quality").to_numpy()[order]
-    x = np.array(rows.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES))[order]
-    half = np.unique(rows.column("doc_id").to_numpy()[order], return_inverse=True)[1] % 2
-    halves = (half[quality >= 0], half[quality < 0]) if hidden else None
-    return fit(x[quality >= 0], quality[quality >= 0] == 1, x[quality < 0], halves)
+    return pa.array([row.tobytes() for row in all_features(text)], pa.binary())
+
+
+def _rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, len(FEATURES))
+
+
+def prepared(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, half, quality, hash, x) of every document: features, and the mark if one
+    outside the held-out fold is known. A document labelled twice has its lowest mark;
+    null marks are none."""
+    marks = (labels.select(F.col("doc_id").cast("long").alias("marked"), F.col("quality").cast("int").alias("quality"))
+             .where(F.col("marked").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("marked")))
+             .groupBy("marked").agg(F.min("quality").alias("quality")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("hash"), text_features("text").alias("x"))
+    return settle(rows.join(marks, F.col("doc_id") == F.col("marked"), "left").select(
+        "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(2)).cast("int").alias("half"), "quality", "hash", "x"), "quality-rows")
+
+
+def _taught(rows: DataFrame) -> Taught:
+    """About MOST_LABELLED labelled documents at most; one row of a repeated id."""
+    marked = rows.where("quality is not null")
+    n = marked.select(F.approx_count_distinct("doc_id", 0.01)).first()[0]
+    share = min(1.0, MOST_LABELLED / max(n, 1))
+    drawn = (marked.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(1 << 30)) < int(share * (1 << 30)))
+             .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("half").alias("half"), F.min_by("x", "hash").alias("x"))).toArrow()
+    order = np.argsort(drawn.column("doc_id").to_numpy(), kind="stable")
+    return Taught(_rows(drawn.column("x"))[order], drawn.column("quality").to_numpy()[order] == 1, drawn.column("half").to_numpy()[order])
+
+
+def _cells(free: DataFrame):
+    """One pass: numbers and sums of inputs by cell, as integers, so any order of adding
+    gives the same; at most 2 << PLANES cells reach the driver."""
+    def run(inputs, planes: np.ndarray, heights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        width = 1 + len(FEATURES)
+
+        def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((2 << PLANES, width), dtype=np.int64)
+            for b in batches:
+                x = inputs(_rows(b.column("x")))
+                cell = (x @ planes > heights) @ (1 << np.arange(PLANES)) + (b.column("half").to_numpy().astype(np.int64) << PLANES)
+                np.add.at(sums, cell, np.column_stack([np.ones(len(x), np.int64), np.rint(x * POINT).astype(np.int64)]))
+            some = np.flatnonzero(sums[:, 0])
+            yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(sums[some, i]) for i in range(width))],
+                                             ["cell", *(f"s{i}" for i in range(width))])
+
+        found = (free.select("half", "x").mapInArrow(collect, "cell long, " + ", ".join(f"s{i} long" for i in range(width)))
+                 .groupBy("cell").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(width))).toArrow())
+        cell = found.column("cell").to_numpy()
+        order = np.argsort(cell)
+        sums = np.column_stack([found.column(f"s{i}").to_numpy() for i in range(width)])[order].astype(np.float64)
+        return sums[:, 1:] / POINT / np.maximum(sums[:, :1], 1), sums[:, 0], cell[order] >> PLANES
+    return run
+
+
+def _bins(free: DataFrame):
+    """One pass: numbers of margins by the number of cuts that they reach."""
+    def run(rankers: list[Model], cuts: np.ndarray) -> np.ndarray:
+        def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(cuts) + 1, dtype=np.int64)
+            for b in batches:
+                x, half = _rows(b.column("x")), b.column("half").to_numpy()
+                z = np.where(half == 0, rankers[1].margin(x), rankers[0].margin(x))
+                total += np.bincount(np.searchsorted(cuts, z, side="right"), minlength=len(total))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["bin", "n"])
+
+        out = np.zeros(len(cuts) + 1, dtype=np.int64)
+        for r in free.select("half", "x").mapInArrow(collect, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+            out[r.bin] = r.n
+        return out
+    return run
+
+
+def learn(rows: DataFrame) -> Model:
+    """Model from ``prepared`` rows: marked ones teach (a bounded sample of them), all
+    others are the unlabelled side."""
+    free = rows.where("quality is null")
+    return fit(_taught(rows), _cells(free), _bins(free))
 
 
 def scorer(model: Model):
@@ -306,11 +401,19 @@ def scorer(model: Model):
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted for each row of ``docs(doc_id, text)``.
 
-    Null and empty texts are scored like any text without words. Repeated rows stay,
-    equal texts score alike; a null doc_id is never held out. Extra columns are
-    ignored; an empty table gives an empty result."""
-    score = scorer(learn(docs, labels))
-    return (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text").cast("string")).alias("score"))
+    Null and empty texts are scored like any text without words, texts of any length
+    whole. Repeated rows stay, equal texts score alike; a null doc_id is never held out.
+    Labels without a document teach nothing; labels that the text doesn't explain give
+    scores near the labels' share; without any label all scores are 0.5. Extra columns
+    are ignored; an empty table gives an empty result."""
+    rows = prepared(docs, labels)
+    model = learn(rows)
+
+    @F.arrow_udf("double")
+    def score(x: pa.Array) -> pa.Array:
+        return pa.array(model.score(_rows(x)))
+
+    return (rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("x").alias("score"))
             .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)))
 
 
