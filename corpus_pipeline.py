@@ -14,7 +14,7 @@ from almanac.llm.common import bounded_batches, documents, settle
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     bounded_batches(spark)
-    model = quality.learn(docs, documents(spark, sf_dir, "labels"))
+    model = quality.learn(quality.prepared(docs, documents(spark, sf_dir, "labels")))
     score = quality.scorer(model)(F.col("text").cast("string"))
     return docs.where(score >= quality.THRESHOLD)
 
