@@ -3,28 +3,25 @@
 
 State changes are DataFrame -> DataFrame (new state) so they compose and can
 be checked; ``FactTable`` persists a state by rewriting only the touched
-partitions (Parquet has no MERGE/UPDATE): the new partitions are first written
-in full to a staging folder beside the table, then each folder takes
-the place of the old one by a rename. Rows are written once, and no partition is
-ever half written. A swap that dies can leave some folders new and others old
-(or, between two renames, one folder missing while its new form is staged);
-upserts and deletes give the same state when run again from their batch, which
-mends that.
+partitions (Parquet has no MERGE/UPDATE): the new state of those partitions is settled
+in the shared folder, counted there, and written over the old one by Spark's dynamic
+partition overwrite. Upserts and deletes give the same state when run again from their
+batch, so a job that dies before the commit is mended by running it again.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.errors import ValidationError
 from almanac.schema import FACT_PK, FACT_SCHEMA
-from almanac.session import discard, list_folders, path_exists, replace_folder, scratch_path
+from almanac.session import settle
 
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
 PARTITION_COLUMNS = ["provider_id", "dt_month"]
@@ -55,19 +52,26 @@ def upsert(fact: DataFrame, batch: DataFrame, mode: str = "postgres",
     One full outer join on the key; the batch's duplicate check uses the same
     hash partitioning, so it adds no exchange.
     """
+    return merged(fact, batch, mode, on_duplicate, pk).select(*FACT_COLUMNS)
+
+
+def merged(fact: DataFrame, batch: DataFrame, mode: str = "postgres",
+           on_duplicate: str = "error", pk: Sequence[str] = tuple(FACT_PK)) -> DataFrame:
+    """``upsert`` with two flags per row: ``stored`` (the key was there before) and
+    ``loaded`` (the batch has it)."""
     pk = list(pk)
     batch = _check_unique_pk(batch.select(*FACT_COLUMNS, *(["__ordinal"] if on_duplicate == "last" else [])),
                              pk, on_duplicate).select(*FACT_COLUMNS)
     o = fact.select(*FACT_COLUMNS).withColumn("__o", F.lit(True))
     n = batch.withColumn("__n", F.lit(True))
     j = o.alias("o").join(n.alias("n"), pk, "full_outer")
-    has_new = F.col("n.__n").isNotNull()
+    stored, loaded = F.col("o.__o").isNotNull(), F.col("n.__n").isNotNull()
 
     def pick_new(c):
-        return F.when(has_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
+        return F.when(loaded, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
 
     def keep_old(c):
-        return F.when(F.col("o.__o").isNotNull(), F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
+        return F.when(stored, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
 
     if mode == "postgres":
         cols = [pick_new("value"), pick_new("last_updated"), keep_old("source_url"),
@@ -76,7 +80,7 @@ def upsert(fact: DataFrame, batch: DataFrame, mode: str = "postgres",
         cols = [pick_new(c) for c in FACT_COLUMNS if c not in pk]
     else:
         raise ValueError(mode)
-    return j.select(*pk, *cols).select(*FACT_COLUMNS)
+    return j.select(*pk, *cols, stored.alias("stored"), loaded.alias("loaded")).select(*FACT_COLUMNS, "stored", "loaded")
 
 
 def upsert_counts(fact: DataFrame, batch: DataFrame, pk: Sequence[str] = tuple(FACT_PK),
@@ -200,6 +204,16 @@ def newest_vintage_wins(batch: DataFrame, pk: Sequence[str] = tuple(FACT_PK), vi
                       for c in batch.columns]))
 
 
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table, or one without rows where nothing is written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 @dataclass
 class FactTable:
     """Fact table stored as Parquet partitioned by provider and month.
@@ -215,15 +229,10 @@ class FactTable:
     def stored_schema() -> T.StructType:
         return T.StructType(FACT_SCHEMA.fields + [T.StructField("dt_month", T.StringType())])
 
-    def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
-
     def scan(self) -> DataFrame:
         """The stored rows with the partition columns (``provider_id`` and
         ``dt_month`` come from the folder names); none before the first write."""
-        if not self.exists():
-            return self.spark.createDataFrame([], self.stored_schema())
-        return self.spark.read.schema(self.stored_schema()).parquet(self.path)
+        return stored(self.spark, self.path, self.stored_schema())
 
     def read(self) -> DataFrame:
         return self.scan().select(*FACT_COLUMNS)
@@ -247,29 +256,16 @@ class FactTable:
             terms = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
         return terms[0] if terms else F.lit(False)
 
-    def _stage(self, state: DataFrame) -> str:
-        """Write a state to a staging folder, partitioned and sorted as stored. The
+    def write_state(self, state: DataFrame) -> None:
+        """Replace the partitions present in ``state``; the others stay. The
         rebalance lets AQE split a hot (provider, month) over several writers and
         gather small ones, so files follow the rows; they are sorted by series
         for Parquet min/max pruning."""
-        # beside the table, so that a folder moves within one file system
-        stage = f"{self.path}.stage-{uuid.uuid4().hex[:12]}"
         out = state.select(*FACT_COLUMNS).withColumn("dt_month", F.date_format("dt", "yyyy-MM"))
         (out.hint("rebalance", *PARTITION_COLUMNS)
          .sortWithinPartitions(*PARTITION_COLUMNS, "location_id", "variable_id", "dt")
-         .write.partitionBy(*PARTITION_COLUMNS).parquet(stage))
-        return stage
-
-    def _swap(self, stage: str) -> None:
-        """Let the staged partition folders take the place of the stored ones."""
-        for provider in list_folders(self.spark, stage):
-            for month in list_folders(self.spark, f"{stage}/{provider}"):
-                replace_folder(self.spark, f"{stage}/{provider}/{month}", f"{self.path}/{provider}/{month}")
-        discard(self.spark, stage)
-
-    def write_state(self, state: DataFrame) -> None:
-        """Replace the partitions present in ``state`` via a staging copy."""
-        self._swap(self._stage(state))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*PARTITION_COLUMNS).parquet(self.path))
 
     def touched(self, batch: DataFrame) -> DataFrame:
         """The stored rows of the partitions a batch hits; only those folders
@@ -277,29 +273,26 @@ class FactTable:
         keys = batch.select("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month")).distinct().collect()
         return self.scan().filter(self.folders(keys)).select(*FACT_COLUMNS)
 
-    def upsert(self, batch: DataFrame, loaded_rows: int | None = None, **kw) -> dict[str, int]:
+    def upsert(self, batch: DataFrame, loaded_rows: int | None = None,
+               before_commit: Callable[[dict[str, int]], None] | None = None, **kw) -> dict[str, int]:
         """Merge a batch, reading only the partitions the batch touches. Returns
-        rows_inserted, rows_updated and batch_rows; raises if rows were loaded
+        rows_inserted, rows_updated, batch_rows and rows_deleted (rows that left the
+        staging area, as many as were staged); raises if rows were loaded
         (``loaded_rows`` before keys were resolved, else the batch's) and none of
-        them reached the table."""
+        them reaches the table. ``before_commit`` gets the counts before the stored
+        table changes."""
         # the batch is written once: it names the partitions, feeds the merge and is counted
-        held = scratch_path(self.spark, "fact-batch")
-        batch.select(*FACT_COLUMNS, *(["__ordinal"] if kw.get("on_duplicate") == "last" else [])).write.parquet(held)
-        batch = self.spark.read.parquet(held)
-        current = self.touched(batch)
-        stage = self._stage(upsert(current, batch, **kw))
-        staged = self.spark.read.schema(self.stored_schema()).parquet(stage)
-        written = staged.select(*FACT_PK).join(batch.select(*FACT_PK).distinct(), FACT_PK, "left_semi")
-        there = current.select(*FACT_PK).withColumn("__o", F.lit(True))
-        counts = written.join(there, FACT_PK, "left").agg(
-            F.count_if(F.col("__o").isNull()).alias("rows_inserted"),
-            F.count_if(F.col("__o").isNotNull()).alias("rows_updated")).first().asDict()
-        counts["batch_rows"] = batch.count()
-        loaded = counts["batch_rows"] if loaded_rows is None else loaded_rows
-        if loaded and not counts["rows_inserted"] + counts["rows_updated"]:
-            raise ValidationError(f"the upsert completed but wrote zero of {loaded} rows")
-        self._swap(stage)
-        discard(self.spark, held)
+        batch = settle(batch.select(*FACT_COLUMNS, *(["__ordinal"] if kw.get("on_duplicate") == "last" else [])), "fact-batch")
+        state = settle(merged(self.touched(batch), batch, **kw), "fact-state")
+        counts = state.agg(F.count_if(F.col("loaded") & ~F.col("stored")).alias("rows_inserted"),
+                           F.count_if(F.col("loaded") & F.col("stored")).alias("rows_updated")).first().asDict()
+        counts["batch_rows"] = counts["rows_deleted"] = batch.count()
+        rows = counts["batch_rows"] if loaded_rows is None else loaded_rows
+        if rows and not counts["rows_inserted"] + counts["rows_updated"]:
+            raise ValidationError(f"the upsert completed but wrote zero of {rows} rows")
+        if before_commit is not None:
+            before_commit(counts)
+        self.write_state(state)
         return counts
 
     def _rewrite(self, where: Column, change) -> int:
@@ -311,9 +304,28 @@ class FactTable:
         hit = (rows.filter("changed").groupBy("provider_id", F.date_format("dt", "yyyy-MM").alias("dt_month"))
                .count().collect())
         if hit:
-            self.write_state(change(self.scan().filter(self.folders(hit)).select(*FACT_COLUMNS)))
+            self.write_state(settle(change(self.scan().filter(self.folders(hit)).select(*FACT_COLUMNS)), "fact-state"))
         return sum(r["count"] for r in hit)
 
+    BATCHES = T.StructType([T.StructField("delete_batch_id", T.LongType())])
+
+    def next_batch_id(self) -> int:
+        """The next id of the table's sequence of delete batches, which it stores beside
+        the table before it gives it out: an id is never given twice, also where its
+        delete hits no row or dies. The sequence begins after the largest id in the table."""
+        path = f"{self.path}.batches"
+        last = F.max("delete_batch_id")
+        given = stored(self.spark, path, self.BATCHES).agg(last).first()[0]
+        if given is None:
+            given = self.scan().agg(last).first()[0] or 0
+        self.spark.range(given + 1, given + 2).select(F.col("id").alias("delete_batch_id")).write.mode("append").parquet(path)
+        return given + 1
+
+    def delete(self, providers: DataFrame, variables: DataFrame, locations: DataFrame, **filters) -> tuple[int, int]:
+        """A soft delete under the next batch id: (rows changed, batch id)."""
+        batch_id = self.next_batch_id()
+        return self.soft_delete(providers, variables, locations, batch_id, **filters), batch_id
+
     def soft_delete(self, providers: DataFrame, variables: DataFrame, locations: DataFrame,
                     batch_id: int, **filters) -> int:
         """Persisted soft delete: only folders of the selected providers and dates

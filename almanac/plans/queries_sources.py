@@ -379,3 +379,50 @@ def q_stream_upsert(spark, sf):
     batch.write.parquet(f"{landing}/drop=2")
     stream_upsert(spark, landing + "/*", fact_path, ckpt)
     return table_.read()
+
+
+_GATED_PK = "dt, location_id, variable_id, demographic_id, provider_id"
+
+
+@query("gated_ingest", "WITH " + C.FACTS + f""",
+taken AS (SELECT {_GATED_PK}, value, 1 AS run FROM fact_batch
+          UNION ALL SELECT {_GATED_PK}, value * 5, 3 FROM fact_batch WHERE day(dt) <= 10),
+newest AS (SELECT {_GATED_PK}, max_by(value, run) AS value FROM taken GROUP BY {_GATED_PK})
+SELECT {_GATED_PK}, CASE WHEN n.dt IS NOT NULL THEN n.value ELSE o.value END AS value
+FROM fact_base o FULL OUTER JOIN newest n USING ({_GATED_PK})""")
+def q_gated_ingest(spark, sf):
+    """Drops of one dataset in two runs: the second drop's token is that of the first and
+    it is skipped, the third's is new; the second run's only drop is unchanged."""
+    from almanac.operators.store import FactTable
+    from almanac.streaming.ingest import stream_upsert
+    res = TB.resolved(spark, sf)
+    base, batch = TB.fact_base(spark, sf, res), TB.fact_batch(spark, sf, res)
+    fact_path, landing, ckpt = (scratch_path(spark, n) for n in ("fact", "fact-landing", "fact-ckpt"))
+    table_ = FactTable(spark, fact_path)
+    table_.write_state(base)
+    early = batch.where(F.dayofmonth("dt") <= 10)
+    later = lambda df, factor, days: df.withColumns(
+        {"value": F.col("value") * factor, "last_updated": F.col("last_updated") + F.expr(f"INTERVAL {days} DAY")})
+    drop = lambda df, vintage, token: df.write.parquet(f"{landing}/dataset=orders/vintage={vintage}/token={token}")
+    drop(batch, "2024-02-01_05", "a")
+    drop(later(early, 100, 1), "2024-02-02_05", "a")
+    drop(later(early, 5, 2), "2024-02-03_05", "b")
+    stream_upsert(spark, landing, fact_path, ckpt, gate=True)
+    drop(later(early, 1000, 3), "2024-02-04_05", "b")
+    stream_upsert(spark, landing, fact_path, ckpt, gate=True)
+    return table_.read().select("dt", "location_id", "variable_id", "demographic_id", "provider_id", "value")
+
+
+# --------------------------------------------------------------- windowed request metrics
+
+@query("request_log_windowed", f"""
+SELECT time_bucket(INTERVAL 1 HOUR, started_at) AS window_start, time_bucket(INTERVAL 1 HOUR, started_at) + INTERVAL 1 HOUR AS window_end,
+       response_status, count(*) AS requests, CAST(sum(request_latency) AS BIGINT) AS latency_sum, max(request_latency) AS latency_max,
+       CAST(sum(response_size) AS BIGINT) AS bytes_sent, count(*) FILTER (WHERE response_status >= 500) AS failures
+FROM ({_REQUEST_LOG_SQL}) r GROUP BY ALL""")
+def q_request_log_windowed(spark, sf):
+    """Tumbling hours of the request log, kept up to date by a stateful stream."""
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("request-log-landing", "request-metrics", "request-metrics-ckpt"))
+    _request_log_events(spark, sf).write.text(landing)
+    RL.run_windowed_stream(spark, landing, out, ckpt)
+    return RL.current_windows(spark, out)

@@ -12,9 +12,10 @@ from almanac.plans import oracle_ctes as C
 from almanac.plans import serve as S
 from almanac.plans import testbed as TB
 from almanac.plans.catalog import query
+from almanac.plans.maintenance import reprocess_vintages
 from almanac.plans.queries_more import VIEW, _view
 from almanac.schema import PUBLISHED_SCHEMA
-from almanac.session import scratch_path
+from almanac.session import literal_frame, scratch_path
 from almanac.sources import files as FS
 
 _PK = "dt, location_id, variable_id, demographic_id, provider_id"
@@ -132,12 +133,46 @@ def q_fact_table_delete(spark, sf):
     """The stored table: a soft delete, then the base's own delete batch undone."""
     facts = ST.FactTable(spark, scratch_path(spark, "fact"))
     facts.write_state(TB.facts(spark, sf))
-    facts.soft_delete(TB.providers(spark), TB.variables(spark), TB.locations(spark, sf),
-                      batch_id=TB.BASE_DELETE_BATCH + 1, **_DELETE_ARGS)
+    facts.delete(TB.providers(spark), TB.variables(spark), TB.locations(spark, sf), **_DELETE_ARGS)
     facts.undelete(TB.BASE_DELETE_BATCH)
     return facts.read()
 
 
+@query("delete_batches", "WITH " + C.FACTS + f""",
+a AS (SELECT *, ({_SELECTED}) AS first_sel, provider_id IN (SELECT id FROM providers WHERE regexp_matches(name, 'F')) AS second_sel FROM facts),
+b AS (SELECT *, CASE WHEN second_sel THEN 9 WHEN first_sel THEN 8 ELSE delete_batch_id END AS batch FROM a)
+SELECT 8 AS delete_batch_id, count(*) FILTER (WHERE first_sel) AS rows_changed, count(*) FILTER (WHERE batch = 8) AS rows_undeleted,
+       count(*) FILTER (WHERE batch <> 8 AND batch IS NOT NULL) AS rows_left_deleted FROM b
+UNION ALL SELECT 9, count(*) FILTER (WHERE second_sel), 0, count(*) FILTER (WHERE batch <> 8 AND batch IS NOT NULL) FROM b""")
+def q_delete_batches(spark, sf):
+    """Two deletes take two ids from the table's sequence, the second over part of the
+    first's rows; undoing the first leaves the second."""
+    facts = ST.FactTable(spark, scratch_path(spark, "fact"))
+    facts.write_state(TB.facts(spark, sf))
+    dims = (TB.providers(spark), TB.variables(spark), TB.locations(spark, sf))
+    first, first_id = facts.delete(*dims, **_DELETE_ARGS)
+    second, second_id = facts.delete(*dims, provider="F")
+    undone = facts.undelete(first_id)
+    left = facts.read().agg(F.count_if("deleted").alias("rows_left_deleted"))
+    batches = literal_frame(spark, [(first_id, first, undone), (second_id, second, 0)],
+                            "delete_batch_id int, rows_changed long, rows_undeleted long")
+    return batches.withColumn("rows_left_deleted", left.scalar())
+
+
+@query("put_counts", "WITH " + C.FACTS + f"""
+SELECT count(*) FILTER (WHERE o.dt IS NULL) AS rows_inserted, count(*) FILTER (WHERE o.dt IS NOT NULL) AS rows_updated,
+       count(*) AS batch_rows, count(*) AS rows_deleted
+FROM fact_batch n LEFT JOIN (SELECT {_PK}, true AS hit FROM fact_base) o USING ({_PK})""")
+def q_put_counts(spark, sf):
+    """What a load into the stored table reports: rows new and known, and the rows that
+    passed through (and left) the staging area."""
+    base, batch = _versions(spark, sf)
+    facts = ST.FactTable(spark, scratch_path(spark, "fact"))
+    facts.write_state(base)
+    counts = facts.upsert(batch)
+    return literal_frame(spark, [tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 @query("reprocess_vintages", "WITH " + C.FACTS + f""",
 v2 AS (SELECT * REPLACE (value * 3 AS value, TIMESTAMP '2024-04-01 05:00:00' AS last_updated, 'file:///landed/v3' AS source_url)
        FROM fact_batch WHERE day(dt) <= 15),
@@ -164,6 +199,43 @@ def q_reprocess_vintages(spark, sf):
     return ST.upsert(base, newest)
 
 
+@query("reprocess_stored", "WITH " + C.FACTS + f""",
+newest AS (
+  SELECT {_PK}, arg_max(value, last_updated) AS value, max(last_updated) AS last_updated, 'file:///landed/v3' AS source_url
+  FROM (SELECT {_PK}, value, TIMESTAMP '2024-03-02 05:00:00' AS last_updated FROM fact_batch
+        UNION ALL SELECT {_PK}, value * 3, TIMESTAMP '2024-04-01 05:00:00' FROM fact_batch WHERE day(dt) <= 15) v
+  GROUP BY {_PK})
+SELECT dt, location_id, variable_id, demographic_id, provider_id,
+       CASE WHEN n.dt IS NOT NULL THEN n.value ELSE o.value END AS value,
+       CASE WHEN n.dt IS NOT NULL THEN n.last_updated ELSE o.last_updated END AS last_updated,
+       CASE WHEN o.dt IS NOT NULL THEN o.source_url ELSE n.source_url END AS source_url,
+       CASE WHEN n.dt IS NOT NULL THEN false ELSE o.deleted END AS deleted,
+       CASE WHEN n.dt IS NOT NULL THEN NULL ELSE o.delete_batch_id END AS delete_batch_id
+FROM fact_base o FULL OUTER JOIN newest n USING ({_PK})""")
+def q_reprocess_stored(spark, sf):
+    """Stored vintages normalised again into the stored table: one of the four has values
+    that don't parse and is left out, one lies outside the range."""
+    base, batch = _versions(spark, sf)
+    root = scratch_path(spark, "snapshots")
+    raw = batch.select(*ST.FACT_PK, F.col("value").cast("string").alias("value"))
+    drops = {"2024-03-02_05": raw, "2024-03-15_05": raw.withColumn("value", F.lit("n/a")),
+             "2024-04-01_05": raw.where(F.dayofmonth("dt") <= 15).withColumn("value", (F.col("value").cast("double") * 3).cast("string")),
+             "2024-05-01_05": raw.withColumn("value", F.lit("0"))}
+    for vintage, drop in drops.items():
+        FS.write_snapshot(drop, root, "orders", vintage)
+
+    def to_fact(rows):
+        return rows.select(*ST.FACT_PK, F.col("value").cast("double").alias("value"),
+                           F.to_timestamp("snapshot", "yyyy-MM-dd_HH").cast("timestamp_ntz").alias("last_updated"),
+                           F.lit("file:///landed/v3").alias("source_url"), F.lit("reprocessed").alias("source_name"),
+                           F.lit(False).alias("deleted"), F.lit(None).cast("bigint").alias("delete_batch_id"))
+
+    facts = ST.FactTable(spark, scratch_path(spark, "fact"))
+    facts.write_state(base)
+    reprocess_vintages(spark, root, "orders", lambda r: r, to_fact, facts, end="2024-04-30_23", continue_on_fail=True)
+    return facts.read().drop("source_name")
+
+
 @query("publish_view", "WITH " + VIEW + "".join(
     f" {'UNION ALL ' if i else ''}SELECT *, '{name}' AS extract FROM api_view"
     for i, name in enumerate(("latest", "dated", "csv"))))

@@ -71,3 +71,44 @@ def run_request_log_stream(spark: SparkSession, landing: str, out: str, checkpoi
          .option("path", out).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+WINDOW = "1 hour"
+#: How late a request may come: its window stays open so long behind the latest request.
+LATENESS = "10 minutes"
+
+
+def windowed_metrics(requests: DataFrame, window: str = WINDOW, lateness: str = LATENESS) -> DataFrame:
+    """Tumbling windows over flattened requests: per window and status the number of
+    requests, their latency (sum and maximum), bytes and failures. On a stream, windows
+    are state until the watermark passes them: a late request inside ``lateness`` still
+    counts, one for a window that is closed does not. On a batch every request counts.
+    Requests without a time have no window."""
+    timed = requests.where(F.col("started_at").isNotNull()).withColumn("at", F.col("started_at").cast("timestamp"))
+    rows = (timed.withWatermark("at", lateness).groupBy(F.window("at", window).alias("w"), "response_status")
+            .agg(F.count(F.lit(1)).alias("requests"), F.sum("request_latency").alias("latency_sum"),
+                 F.max("request_latency").alias("latency_max"), F.sum("response_size").alias("bytes_sent"),
+                 F.count_if(F.col("response_status") >= 500).alias("failures")))
+    return rows.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+                       "response_status", "requests", "latency_sum", "latency_max", "bytes_sent", "failures")
+
+
+def run_windowed_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
+                        window: str = WINDOW, lateness: str = LATENESS) -> None:
+    """Take in what has landed and write the windows that changed, a folder per epoch; a
+    replayed epoch replaces its own folder."""
+    def write(changed: DataFrame, epoch: int) -> None:
+        (changed.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out))
+
+    q = (windowed_metrics(request_log_stream(spark, landing), window, lateness).writeStream.outputMode("update")
+         .foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def current_windows(spark: SparkSession, out: str) -> DataFrame:
+    """The latest figures of every window."""
+    rows = spark.read.parquet(out)
+    keys = ["window_start", "window_end", "response_status"]
+    rest = [c for c in rows.columns if c not in (*keys, "epoch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("m")).select(*keys, "m.*")

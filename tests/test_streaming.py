@@ -120,10 +120,10 @@ def _many(spark, n, value, batch=None):
 def test_two_thousand_partitions(spark):
     table = FactTable(spark, scratch_path(spark, "fact"))
     first = table.upsert(_many(spark, 1999, 1.0, batch=3))
-    assert first == {"rows_inserted": 1999, "rows_updated": 0, "batch_rows": 1999}
+    assert first == {"rows_inserted": 1999, "rows_updated": 0, "batch_rows": 1999, "rows_deleted": 1999}
     assert table.undelete(3) == 1999 and table.read().filter("deleted").count() == 0
     again = table.upsert(_many(spark, 2000, 2.0))
-    assert again == {"rows_inserted": 1, "rows_updated": 1999, "batch_rows": 2000}
+    assert again == {"rows_inserted": 1, "rows_updated": 1999, "batch_rows": 2000, "rows_deleted": 2000}
     assert table.read().groupBy("value").count().collect()[0].asDict() == {"value": 2.0, "count": 2000}
 
 
@@ -179,3 +179,129 @@ def test_reprocess_goes_on_past_a_failing_vintage(spark):
     assert [(r.snapshot, r.error is None) for r in done] == [
         ("2024-01-01_05", True), ("2024-01-02_05", False), ("2024-01-03_05", True)]
     assert [r.value for r in table.read().collect()] == [3.0]
+
+
+def _dims(spark):
+    return (spark.createDataFrame([(1, "state"), (2, "county")], "id int, name string"),
+            spark.createDataFrame([(1, "cases", "cumulative", "people")], "id int, category string, measurement string, unit string"),
+            spark.createDataFrame([("l1", 1, "county", 1)], "id string, location long, location_type string, state_fips int"))
+
+
+def test_each_delete_takes_the_next_batch_id(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    table.write_state(_fact(spark, [(dt.date(2024, m, 1), "l1", 1, 1, p, 1.0, t0, "u", "n", m == 3, 4 if m == 3 else None)
+                                    for m in (1, 2, 3) for p in (1, 2)]))
+    assert table.delete(*_dims(spark), provider="state") == (3, 5)  # after the 4 that the table holds
+    assert table.delete(*_dims(spark), provider="nobody") == (0, 6)  # an id is used up without a hit
+    assert table.delete(*_dims(spark), provider="county", start_date="2024-02-01") == (2, 7)
+    assert FactTable(spark, table.path).next_batch_id() == 8
+    assert table.undelete(5) == 3
+    state = {(r.provider_id, r.dt.month): r.delete_batch_id for r in table.read().collect()}
+    assert state == {(1, 1): None, (1, 2): None, (1, 3): None, (2, 1): None, (2, 2): 7, (2, 3): 7}
+
+
+def _drop(spark, landing, dataset, vintage, token, location, value):
+    t = dt.datetime(2024, 2, int(vintage[8:10]))
+    rows = [(dt.date(2024, 1, 1), location, 1, 1, 1, value, t, "u", "n", False, None)]
+    _fact(spark, rows).write.parquet(f"{landing}/dataset={dataset}/vintage={vintage}/token={token}")
+
+
+def test_unchanged_tokens_are_skipped(spark):
+    landing, ckpt, path = (scratch_path(spark, n) for n in ("land", "ckpt", "fact"))
+    table = FactTable(spark, path)
+    run = lambda: ingest.stream_upsert(spark, landing, path, ckpt, gate=True)
+    _drop(spark, landing, "a", "2024-02-01_05", "x", "l1", 1.0)
+    _drop(spark, landing, "b", "2024-02-01_05", "x", "l2", 1.0)  # tokens are each dataset's own
+    _drop(spark, landing, "a", "2024-02-02_05", "x", "l1", 2.0)  # unchanged within the epoch
+    log = run()
+    assert {r.location_id: r.value for r in table.read().collect()} == {"l1": 1.0, "l2": 1.0}
+    _drop(spark, landing, "a", "2024-02-03_05", "x", "l1", 3.0)  # unchanged since the last epoch
+    _drop(spark, landing, "b", "2024-02-03_05", "y", "l2", 3.0)
+    run()
+    assert {r.location_id: r.value for r in table.read().collect()} == {"l1": 1.0, "l2": 3.0}
+    _drop(spark, landing, "a", "2024-02-04_05", "y", "l1", 4.0)
+    _drop(spark, landing, "a", "2024-02-05_05", "x", "l1", 5.0)  # back to an older token: changed
+    run()
+    run()
+    assert {r.location_id: r.value for r in table.read().collect()} == {"l1": 5.0, "l2": 3.0}
+    assert sorted(tuple(r)[2:] for r in log.counts().collect()) == [(0, 1, 1), (0, 1, 1), (2, 0, 2)]
+    assert {tuple(r) for r in log.last_tokens().collect()} == {("a", "x"), ("b", "y")}
+
+
+def test_replayed_epoch_changes_and_counts_nothing(spark):
+    d, t = dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    log = ingest.IngestLog(spark, table.path + ".ingest")
+    first = _fact(spark, [(d, "a", 1, 1, 1, 1.0, t, "u", "n", False, None)])
+    assert ingest.apply_epoch(table, log, "s", first, 0, False) == {"rows_inserted": 1, "rows_updated": 0, "batch_rows": 1}
+    other = first.withColumn("value", F.lit(9.0))
+    assert ingest.apply_epoch(table, log, "s", other, 0, False) is None
+    assert [r.value for r in table.read().collect()] == [1.0] and log.counts().count() == 1
+    assert ingest.apply_epoch(table, log, "another", other, 0, False)["rows_updated"] == 1  # streams count their own epochs
+    assert ingest.apply_epoch(table, log, "s", first.limit(0), 1, False) is None
+
+
+def test_epoch_that_died_after_its_write_keeps_its_counts(spark, monkeypatch):
+    import pytest
+    d, t = dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    log = ingest.IngestLog(spark, table.path + ".ingest")
+    batch = _fact(spark, [(d, "a", 1, 1, 1, 1.0, t, "u", "n", False, None)])
+    append = ingest.IngestLog.append
+    with monkeypatch.context() as m:
+        m.setattr(ingest.IngestLog, "append", lambda self, stream, epoch, state, *a: append(self, stream, epoch, state, *a)
+                  if state == "begun" else (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            ingest.apply_epoch(table, log, "s", batch, 0, False)
+    assert table.read().count() == 1 and log.counts().count() == 0
+    assert ingest.apply_epoch(table, log, "s", batch, 0, False) == {"rows_inserted": 1, "rows_updated": 0, "batch_rows": 1}
+    assert [tuple(r) for r in log.counts("s").collect()] == [("s", 0, 1, 0, 1)]
+
+
+def test_run_if_changed(spark):
+    import pytest
+    log, ran = ingest.IngestLog(spark, scratch_path(spark, "log")), []
+    counts = {"rows_inserted": 1, "rows_updated": 0, "batch_rows": 1}
+    run = lambda: ran.append(1) or counts
+    assert ingest.run_if_changed(log, "a", "2024-02-01_05", "x", run) == counts
+    assert ingest.run_if_changed(log, "a", "2024-02-02_05", "x", run) is None
+    assert ingest.run_if_changed(log, "b", "2024-02-02_05", "x", run) == counts
+    with pytest.raises(ValueError):
+        ingest.run_if_changed(log, "a", "2024-02-03_05", "y", lambda: (_ for _ in ()).throw(ValueError()))
+    assert ingest.run_if_changed(log, "a", "2024-02-03_05", "y", run) == counts  # a failing run is tried again
+    assert ingest.run_if_changed(log, "a", "2024-02-04_05", None, run) == counts and len(ran) == 4
+
+
+def _requests(spark, landing, name, rows):
+    import json
+    lines = [json.dumps({"started_at": int(dt.datetime(2024, 1, 1, h, m, tzinfo=dt.timezone.utc).timestamp() * 1000),
+                         "latencies": {"request": latency}, "response": {"status": status, "size": "10"}}) for h, m, latency, status in rows]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{landing}/{name}")
+
+
+def test_windows_count_late_requests_inside_the_watermark(spark):
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("rl-land", "rl-out", "rl-ckpt"))
+    run = lambda: RL.run_windowed_stream(spark, landing + "/*", out, ckpt)
+    hours = lambda: {(r.window_start.hour, r.response_status): (r.requests, r.latency_sum, r.latency_max, r.failures)
+                     for r in RL.current_windows(spark, out).collect()}
+    _requests(spark, landing, "a", [(10, 5, 7, 200), (10, 50, 9, 200), (10, 55, 1, 500), (11, 5, 2, 200)])
+    run()
+    assert hours() == {(10, 200): (2, 16, 9, 0), (10, 500): (1, 1, 1, 1), (11, 200): (1, 2, 2, 0)}
+    _requests(spark, landing, "b", [(10, 58, 20, 200)])  # late, the window is open until 11:10
+    run()
+    assert hours()[(10, 200)] == (3, 36, 20, 0)
+    _requests(spark, landing, "c", [(12, 30, 3, 200)])  # the watermark passes 10 and 11 o'clock's windows
+    run()
+    _requests(spark, landing, "d", [(10, 59, 40, 200), (11, 1, 40, 200), (12, 1, 5, 200)])  # two behind it, one inside
+    run()
+    assert hours() == {(10, 200): (3, 36, 20, 0), (10, 500): (1, 1, 1, 1), (11, 200): (1, 2, 2, 0), (12, 200): (2, 8, 5, 0)}
+
+
+def test_windowed_stream_equals_batch(spark, sf_dir):
+    text = QS._request_log_events(spark, sf_dir)
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("rl-land", "rl-out", "rl-ckpt"))
+    text.write.text(landing)
+    RL.run_windowed_stream(spark, landing, out, ckpt)
+    batch = RL.windowed_metrics(RL.flatten_request_log(RL.parse_request_log(text)))
+    assert sorted(batch.collect()) == sorted(RL.current_windows(spark, out).collect())
