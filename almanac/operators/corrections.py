@@ -30,7 +30,7 @@ def apply_deltas(panel: DataFrame, deltas: DataFrame, value: str = "value",
              .agg(F.collect_list(F.struct(F.col(dt).alias("dt"), F.col("delta").cast("bigint").alias("n"))).alias("__steps")))
     on = [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(series)]
     due = F.aggregate(F.filter("__steps", lambda d: d["dt"] <= F.col(dt)), F.lit(0).cast("bigint"), lambda a, d: a + d["n"])
-    return (panel.join(F.broadcast(steps), on, "left")  # one row per corrected series
+    return (panel.join(steps, on, "left")  # one row per corrected series: a literal list, which Spark broadcasts
             .withColumn(value, F.col(value) - F.coalesce(due, F.lit(0)))
             .drop("__steps", *[f"__s{i}" for i in range(len(series))]))
 
@@ -48,7 +48,7 @@ def backfill_county(panel: DataFrame, corrections, locations: DataFrame, categor
     c = _corrections_frame(panel.sparkSession, corrections, "location long, dt string, delta long")
     county_state = locations.filter(F.col("location_type") == "county").select("location", "state_fips")
     county = c.select(F.lit("county").alias("location_type"), "location", "dt", "delta")
-    state = (county_state.join(F.broadcast(c), ["location"])  # the literal list
+    state = (county_state.join(c, ["location"])  # the literal list
              .select(F.lit("state").alias("location_type"),
                      F.col("state_fips").cast("bigint").alias("location"), "dt", "delta"))
     return apply_deltas(panel, county.unionByName(state).withColumn("category", F.lit(category)), value)

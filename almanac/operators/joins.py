@@ -1,9 +1,9 @@
 """Dimension resolution, anti-join checks and merges (J-rows, S16, V07, V10).
 
-Dimensions are small by construction (hundreds of rows). A side is broadcast
-only when the planner's own size estimate in bytes is under a bound
-(``bounded_broadcast``); above it the join is left to the planner (sort-merge, or
-AQE's runtime broadcast when the measured side is small).
+Dimensions are small by construction (hundreds of rows), but nothing here relies on
+it: the joins carry no hint, so Spark broadcasts a side whose size it knows to be under
+``spark.sql.autoBroadcastJoinThreshold`` (from file sizes and literal rows when planning,
+from measured ones at run time) and shuffles a grown one.
 """
 
 from __future__ import annotations
@@ -11,27 +11,12 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.operators.numbering import numbered
 from almanac.schema import DEMOGRAPHIC_COLUMNS, VARIABLE_COLUMNS
-from almanac.session import path_exists
-
-BROADCAST_MAX_BYTES = 64 << 20
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a frame's size. Taken from the current plan at
-    every call (file sizes, literal rows), so a grown table is seen."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint only if the side is estimated at no more than ``max_bytes``;
-    a larger or unknown side is joined without the hint."""
-    return F.broadcast(dim) if plan_bytes(dim) <= max_bytes else dim
-
 
 def load_dimension(dim: DataFrame, natural_key: Sequence[str], id_column: str = "id",
                    existing: DataFrame | None = None) -> DataFrame:
@@ -61,15 +46,23 @@ class DimensionTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
+    def exists(self) -> bool:
+        try:
+            return bool(self.read().columns)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+
     def load(self, dim: DataFrame) -> DataFrame:
-        existing = self.read() if path_exists(self.spark, self.path) else None
+        existing = self.read() if self.exists() else None
         new = load_dimension(dim, self.key, self.id_column, existing)
         new.write.mode("append").parquet(self.path)
         return self.read()
 
 
 def _left(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(bounded_broadcast(dim), list(on), "left")
+    return df.join(dim, list(on), "left")
 
 
 def resolve_keys(obs: DataFrame, locations: DataFrame, providers: DataFrame,

@@ -203,11 +203,10 @@ def latest_window_pivot(df: DataFrame, categories: Sequence[str], days_back: int
 def decode_codes(df: DataFrame, column: str, dictionary: DataFrame, out_column: str | None = None,
                  code_key: str = "idx", value_key: str = "value",
                  pre_filter: Column | None = None) -> DataFrame:
-    """Integer codes -> dictionary values via a size-checked broadcast join.
+    """Integer codes -> dictionary values via a join with the dictionary.
     ``pre_filter`` runs on the coded frame before decoding."""
-    from almanac.operators.joins import bounded_broadcast
     if pre_filter is not None:
         df = df.filter(pre_filter)
     d = dictionary.select(F.col(code_key).alias("__idx"), F.col(value_key).alias("__val"))
-    out = df.join(bounded_broadcast(d), F.col(column) == F.col("__idx"), "left")
+    out = df.join(d, F.col(column) == F.col("__idx"), "left")
     return out.withColumn(out_column or column, F.col("__val")).drop("__idx", "__val")

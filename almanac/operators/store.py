@@ -137,11 +137,10 @@ def selection_predicate(providers: DataFrame, variables: DataFrame, locations: D
 def _flag_selected(fact: DataFrame, semis, pred: Column) -> DataFrame:
     """Mark selected rows with ``__sel`` using broadcast semi-join flags (the
     dimension sides are tiny filtered id lists)."""
-    from almanac.operators.joins import bounded_broadcast
     out = fact.withColumn("__sel", pred)
     for i, (dim, col) in enumerate(semis):
         flag = f"__hit{i}"
-        d = bounded_broadcast(dim.distinct().withColumn(flag, F.lit(True)))
+        d = dim.distinct().withColumn(flag, F.lit(True))
         out = out.join(d, [col], "left").withColumn(
             "__sel", F.col("__sel") & F.coalesce(F.col(flag), F.lit(False))).drop(flag)
     return out

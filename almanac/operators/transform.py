@@ -207,9 +207,8 @@ def state_to_fips(df: DataFrame, states: DataFrame, code_column: str,
     An unknown code fails the job (the reference dereferences None) unless
     ``strict=False``, which leaves null.
     """
-    from almanac.operators.joins import bounded_broadcast
     dim = states.select(F.col(code_key).alias("__code"), F.col(fips_key).alias("__fips"))
-    out = df.join(bounded_broadcast(dim), F.col(code_column) == F.col("__code"), "left")
+    out = df.join(dim, F.col(code_column) == F.col("__code"), "left")
     fips = F.col("__fips")
     if strict:
         fips = F.when(F.col(code_column).isNotNull() & F.col("__code").isNull(),

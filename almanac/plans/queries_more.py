@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from almanac.operators.joins import bounded_broadcast
 from almanac import functions as X
 from almanac.operators import aggregate as A
 from almanac.operators import corrections as M
@@ -92,7 +91,7 @@ def q_resolve_keys_name(spark, sf):
     locs = TB.locations(spark, sf)
     names = locs.filter(F.col("location_type") == "county").select(
         "location", F.col("name").alias("location_name"), "state_fips")
-    named = TB.obs(spark, sf).join(bounded_broadcast(names), ["location"]).drop("location")
+    named = TB.obs(spark, sf).join(names, ["location"]).drop("location")
     out = J.resolve_keys(named, locs, TB.providers(spark), TB.demographics(spark),
                          TB.variables(spark), by="name")
     return out.select("dt", "location_name", "state_fips", "category", "value", "location_id",
@@ -258,7 +257,7 @@ FROM g GROUP BY n_regionkey, dt, category""")
 def q_rollup_sum(spark, sf):
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("location"),
                                                F.col("n_regionkey").alias("state_fips"))
-    g = TB.obs(spark, sf).join(bounded_broadcast(nation), ["location"])
+    g = TB.obs(spark, sf).join(nation, ["location"])
     return A.rollup_sum(g, ["state_fips", "dt", "category"], ["value"], scale=2)
 
 
@@ -272,7 +271,7 @@ FROM g GROUP BY dt, category, n_regionkey""")
 def q_detail_and_rollup(spark, sf):
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("location"),
                                                F.col("n_regionkey").alias("state_fips"))
-    g = TB.obs_all(spark, sf).join(bounded_broadcast(nation), ["location"])
+    g = TB.obs_all(spark, sf).join(nation, ["location"])
     # nations 0-4 play the "unallocated" rows; nation 23 is dropped from both levels
     return A.detail_and_rollup(g, "location", "state_fips", ["dt", "category"], exclude=[23],
                                detail_min_exclusive=4, scale=2)
@@ -368,7 +367,7 @@ FROM g""")
 def q_proportional_allocation(spark, sf):
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("location"),
                                                F.col("n_regionkey").alias("state_fips"))
-    g = TB.obs_all(spark, sf).filter(F.col("category") == "orders").join(bounded_broadcast(nation), ["location"])
+    g = TB.obs_all(spark, sf).filter(F.col("category") == "orders").join(nation, ["location"])
     out = A.proportional_allocation(g, ["state_fips", "dt"], "value", F.lit(1000))
     return out.select("state_fips", "location", "dt", "value", "allocated")
 

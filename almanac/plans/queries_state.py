@@ -7,7 +7,9 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from almanac.errors import ValidationError
 from almanac.operators import store as ST
+from almanac.operators.dimensions import Dimension, DimensionSet
 from almanac.plans import oracle_ctes as C
 from almanac.plans import serve as S
 from almanac.plans import testbed as TB
@@ -15,8 +17,9 @@ from almanac.plans.catalog import query
 from almanac.plans.maintenance import reprocess_vintages
 from almanac.plans.queries_more import VIEW, _view
 from almanac.schema import PUBLISHED_SCHEMA
-from almanac.session import literal_frame, scratch_path
+from almanac.session import literal_frame, scratch_path, settle, table
 from almanac.sources import files as FS
+from almanac.sources import raw as RAW
 
 _PK = "dt, location_id, variable_id, demographic_id, provider_id"
 
@@ -271,8 +274,68 @@ SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d_%H') AS vintage FROM orders
 WHERE strftime(o_orderdate, '%Y-%m-%d_%H') BETWEEN '1996-01-01_00' AND '1996-12-31_23'
 UNION ALL SELECT max(strftime(o_orderdate, '%Y-%m-%d_%H')) FROM orders""")
 def q_list_vintages(spark, sf):
-    from almanac.session import table
     snaps = table(spark, sf, "orders").select(FS.vintage_text("o_orderdate").alias("vintage"))
     year = FS.list_vintages(snaps, "1996-01-01_00", "1996-12-31_23")
     last = FS.list_vintages(snaps, only_last=True)
     return year.unionByName(last)
+
+
+# --------------------------------------------------------------- load order of dimensions
+
+@query("dimension_load_order", """
+SELECT 'region' AS dimension, r_name AS name, CAST(row_number() OVER (ORDER BY r_name) AS INTEGER) AS id, 1 AS loaded, 3 AS deleted FROM region
+UNION ALL
+SELECT 'nation', n_name, CAST(row_number() OVER (ORDER BY n_regionkey % 2, n_name) AS INTEGER), 2, 2 FROM nation
+UNION ALL
+SELECT 'customer', c_name, CAST(row_number() OVER (ORDER BY n_regionkey % 2, c_name) AS INTEGER), 3, 1
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def q_dimension_load_order(spark, sf):
+    """Three dimensions that refer to each other, given in the wrong order and loaded in
+    two steps (nations of even regions first): ids are given once; deletes run in
+    reverse, and are refused while orders refer to a customer."""
+    region, nation, customer = (table(spark, sf, t) for t in ("region", "nation", "customer"))
+    nations = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_name").alias("name"), F.col("r_name").alias("region"), (F.col("n_regionkey") % 2).alias("step"), "n_nationkey")
+    customers = customer.join(nations, customer.c_nationkey == nations.n_nationkey).select(
+        F.col("c_name").alias("name"), nations.name.alias("nation"), "step", "c_custkey")
+    dims = DimensionSet(spark, scratch_path(spark, "dimensions"), [
+        Dimension("customer", ["name"], {"nation": ("nation", "name")}),
+        Dimension("nation", ["name"], {"region": ("region", "name")}), Dimension("region", ["name"])])
+    even = lambda df: df.where("step = 0")
+    loaded = dims.load({"customer": even(customers), "nation": even(nations), "region": region.select(F.col("r_name").alias("name"))})
+    dims.load({"customer": customers, "nation": nations})
+    held = {n: settle(dims.read(n), "dimension") for n in loaded}
+    orders = table(spark, sf, "orders")
+    try:
+        dims.delete(facts={"customer": [(orders, "o_custkey", "c_custkey")]})
+        raise AssertionError("a referred customer was deleted")
+    except ValidationError:
+        deleted = dims.delete()
+    out = [held[n].select(F.lit(n).alias("dimension"), "name", "id", F.lit(loaded.index(n) + 1).alias("loaded"),
+                          F.lit(deleted.index(n) + 1).alias("deleted")) for n in loaded]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+# --------------------------------------------------------------- raw files
+
+@query("raw_landing", """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice, o_orderpriority,
+       '2024-02-01_05' AS vintage FROM orders
+UNION ALL
+SELECT o_orderkey, NULL, strftime(o_orderdate, '%Y-%m-%d'), o_totalprice * 2, NULL, '2024-02-02_05' FROM orders WHERE o_orderstatus = 'F'""")
+def q_raw_landing(spark, sf):
+    """Two vintages of CSV files, stored as received and decoded by header when read back:
+    the second has other columns, in another order, and quoted values."""
+    drop, root = scratch_path(spark, "drop"), scratch_path(spark, "raw")
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    first = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    first.write.option("header", True).csv(f"{drop}/1")
+    second = orders.where("o_orderstatus = 'F'").select((F.col("o_totalprice") * 2).alias("o_totalprice"), "o_orderdate",
+                                                        F.lit("a, \"b\"").alias("note"), "o_orderkey")
+    second.write.options(header=True, quoteAll=True, escape='"').csv(f"{drop}/2")
+    vintages = {"2024-02-01_05": f"{drop}/1", "2024-02-02_05": f"{drop}/2"}
+    for vintage, folder in vintages.items():
+        RAW.land_raw(RAW.received(spark, folder, pattern="*.csv"), root, "orders", vintage)
+    schema = "o_orderkey long, o_custkey long, o_orderdate string, o_totalprice double, o_orderpriority string"
+    read = [RAW.raw_csv(RAW.read_raw(spark, root, "orders", v), schema).drop("name", "line_no").withColumn("vintage", F.lit(v)) for v in vintages]
+    return read[0].unionByName(read[1])

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions import week_end_monday
-from almanac.operators.joins import bounded_broadcast
 from almanac.schema import PUBLISHED_SCHEMA
 from almanac.session import literal_frame
 
@@ -38,16 +37,16 @@ def api_view(fact: DataFrame, variables: DataFrame, locations: DataFrame, provid
     if want & _DIM_COLUMNS["variables"]:
         v = variables.select(F.col("id").alias("variable_id"),
                              F.col("category").alias("variable_name"), "measurement", "unit")
-        out = out.join(bounded_broadcast(v), ["variable_id"], "left")
+        out = out.join(v, ["variable_id"], "left")
     if want & _DIM_COLUMNS["locations"]:
         loc = locations.select(F.col("id").alias("location_id"), "location", "location_type")
-        out = out.join(bounded_broadcast(loc), ["location_id"], "left")
+        out = out.join(loc, ["location_id"], "left")
     if want & _DIM_COLUMNS["providers"]:
         p = providers.select(F.col("id").alias("provider_id"), F.col("name").alias("provider"))
-        out = out.join(bounded_broadcast(p), ["provider_id"], "left")
+        out = out.join(p, ["provider_id"], "left")
     if want & _DIM_COLUMNS["demographics"]:
         d = demographics.select(F.col("id").alias("demographic_id"), "age", "race", "ethnicity", "sex")
-        out = out.join(bounded_broadcast(d), ["demographic_id"], "left")
+        out = out.join(d, ["demographic_id"], "left")
     return out.select(*cols)
 
 
@@ -118,7 +117,7 @@ def variable_start_dates(fact_view: DataFrame, locations: DataFrame) -> DataFram
              .agg(F.min("dt").alias("start_date")))
     loc = locations.select(F.col("id").alias("location_id"), F.col("location").alias("fips"),
                            "state", "fullname")
-    return first.join(bounded_broadcast(loc), ["location_id"], "left").drop("location_id")
+    return first.join(loc, ["location_id"], "left").drop("location_id")
 
 
 def changelog_report(starts: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.operators.joins import bounded_broadcast
 from almanac.functions import cents, from_cents, money_sum
 from almanac.operators.reshape import cmu, reshape_variables
 from almanac.session import literal_frame, table
@@ -238,7 +237,7 @@ def county_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = (dw.groupBy("location", "dt")
              .agg(F.sum("orders").alias("orders"),
                   F.sum(F.when(F.col("race") == "1-URGENT", F.col("orders")).otherwise(0)).alias("urgent"))
-             .join(bounded_broadcast(nation), ["location"]))
+             .join(nation, ["location"]))
     county = daily.withColumn("location_type", F.lit("county"))
     state = (daily.groupBy("state_fips", "dt")
              .agg(F.sum("orders").alias("orders"), F.sum("urgent").alias("urgent"))

@@ -92,37 +92,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "almanac", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _hadoop(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _hadoop(spark, path)
-    return fs.exists(target)
-
-
-def list_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder, partition folders as a rule."""
-    fs, target = _hadoop(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
-
-
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder to the place of another, which goes."""
-    fs, old = _hadoop(spark, target)
-    fs.delete(old, True)
-    fs.mkdirs(old.getParent())
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), old):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that is no longer read."""
-    fs, target = _hadoop(spark, path)
-    fs.delete(target, True)
-
-
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so
     a lost executor costs no recomputation of what came before."""
@@ -131,12 +100,6 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint to the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 _TABLES: dict[tuple, DataFrame] = {}
 
 

@@ -53,20 +53,27 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     return reader.csv(path)
 
 
+#: Files whose first lines are read at a time.
+HEADS_AT_A_TIME = 8
+
+
 def _csv_layouts(spark: SparkSession, path, options: Mapping) -> list[tuple[list[str], list[str]]]:
     """The header layouts among the CSV files of a path: (column names, files).
 
-    Each file's first line comes from its own first block: Spark splits files by
-    offset, so the smallest line number of the block at 0 is the header."""
+    Spark lists the files, and each one's first line is a read that ends after one row:
+    the data behind it are read once, by the scan."""
     import csv
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("line"), "value")
-    heads = (lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
-             .groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect())
+    from concurrent.futures import ThreadPoolExecutor
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(HEADS_AT_A_TIME) as pool:
+        heads = list(pool.map(lambda f: spark.read.text(f).head(1), files))
+    layouts: dict[str, list[str]] = {}
+    for file, head in sorted(zip(files, heads, strict=True)):
+        if head:  # an empty file has no rows either
+            layouts.setdefault(head[0].value, []).append(file)
     sep = str(options.get("sep", options.get("delimiter", ",")))
-    return [([n.strip() if options.get("ignoreLeadingWhiteSpace") else n for n in next(csv.reader([r.head], delimiter=sep))],
-             list(r.files)) for r in heads]
+    return [([n.strip() if options.get("ignoreLeadingWhiteSpace") else n for n in next(csv.reader([head], delimiter=sep))], found)
+            for head, found in sorted(layouts.items())]
 
 
 def _scan_csv_after_preamble(spark: SparkSession, path: str, schema, skip_rows: int) -> DataFrame:
@@ -85,8 +92,7 @@ def _scan_csv_after_preamble(spark: SparkSession, path: str, schema, skip_rows:
         F.input_file_name().alias("__f"), F.input_file_block_start().alias("__b"),
         F.monotonically_increasing_id().alias("__i"), "value")
     first = lines.filter(F.col("__b") == 0).groupBy("__f").agg(F.min("__i").alias("__i0"))
-    from almanac.operators.joins import bounded_broadcast
-    marked = lines.join(bounded_broadcast(first), ["__f"], "left").withColumn(
+    marked = lines.join(first, ["__f"], "left").withColumn(
         "__pos", F.when(F.col("__b") == 0, F.col("__i") - F.col("__i0")))
     headers = {r.value for r in marked.filter(F.col("__pos") == skip_rows).select("value").distinct()
                .limit(2).collect()}

@@ -404,15 +404,22 @@ def test_dimension_ids_are_stable(spark, tmp_path):
     assert again == {**first, "a": 4, "c": 5}
 
 
-def test_grown_dimension_is_checked_again(spark, tmp_path):
-    from almanac.operators.joins import bounded_broadcast
+def test_grown_dimension_is_no_longer_broadcast(spark, tmp_path):
+    from almanac.operators.reshape import decode_codes
     path = str(tmp_path / "dim")
-    hinted = lambda: "ResolvedHint" in bounded_broadcast(
-        spark.read.parquet(path), max_bytes=3000)._jdf.queryExecution().analyzed().toString()
-    spark.range(5).write.parquet(path)
-    assert hinted()
-    spark.range(100_000).write.mode("append").parquet(path)
-    assert not hinted()
+    facts = spark.range(100).select(F.col("id").alias("code"))
+    plan = lambda: decode_codes(facts, "code", spark.read.parquet(path), code_key="id",
+                                value_key="name")._jdf.queryExecution().executedPlan().toString()
+    spark.range(5).selectExpr("id", "cast(id as string) as name").write.parquet(path)
+    assert "BroadcastHashJoin" in plan()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        assert "BroadcastHashJoin" in plan()
+        spark.range(50_000).selectExpr("id", "cast(id as string) as name").write.mode("append").parquet(path)
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
 def test_category_orders_keep_units_apart_and_report_missing(spark):
