@@ -16,6 +16,7 @@ its words and trigger occurrences (up to the sort of its matches).
 
 from __future__ import annotations
 
+import json
 import re
 from re import _parser as grammar
 from typing import NamedTuple
@@ -204,9 +205,12 @@ GATE = ("(?i)(?<![0-9a-z\\x{80}-\\x{10ffff}])(?:un)?(?:licen[cs]e|copyright|[al]
 
 
 def _literal(rules: list[Rule]) -> Column:
-    return F.array(*[F.struct(F.lit(r.trigger).alias("trigger"), F.lit(r.keyword).alias("keyword"),
-                              F.lit(r.regex).alias("regex"), F.lit(r.label).alias("label"),
-                              F.lit(r.tier).alias("tier"), F.lit(i).alias("place")) for i, r in enumerate(rules)])
+    """The rules of every trigger, parsed from one constant that Spark folds once."""
+    by_trigger: dict[str, list[dict]] = {}
+    for i, r in enumerate(rules):
+        by_trigger.setdefault(r.trigger, []).append({"keyword": r.keyword, "regex": r.regex, "label": r.label, "tier": r.tier, "place": i})
+    return F.from_json(F.lit(json.dumps(by_trigger)),
+                       "map<string, array<struct<keyword: string, regex: string, label: string, tier: int, place: int>>>")
 
 
 def _n_words(s: Column) -> Column:
@@ -221,8 +225,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``score`` is the noisy-or of the labels that stay, each once by its tier's
     weight; 0 without any. Null and empty texts have zeros, null places and empty
-    labels. Equal rows have equal results and all stay. Extra columns are ignored;
-    an empty table gives an empty result."""
+    labels; texts of any length are read whole. Equal rows have equal results and all
+    stay. Extra columns are ignored; an empty table gives an empty result. Of an SPDX
+    expression the first identifier counts."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.regexp_count(text, F.lit(RAW_WORD)).cast("long").alias("n_words"),
                        F.when(text.rlike(GATE), text).otherwise("").alias("gated"))
@@ -243,6 +248,7 @@ def scan(docs: DataFrame) -> DataFrame:
         return found
 
     rows = rows.withColumn("base", F.array_compact(F.transform("at", base)))
+    rules = _literal(RULES)
 
     def context(i: Column) -> Column:
         low = F.greatest(i - BEFORE, F.lit(0))
@@ -251,7 +257,7 @@ def scan(docs: DataFrame) -> DataFrame:
             F.array_join(F.slice("words", i + 2, F.lit(AFTER)), " ")).alias("text"))
 
     def matches(c: Column) -> Column:
-        fit = F.filter(_literal(RULES), lambda r: (r["trigger"] == c["trigger"]) & F.contains(c["text"], r["keyword"]))
+        fit = F.filter(F.element_at(rules, c["trigger"]), lambda r: F.contains(c["text"], r["keyword"]))
         hits = F.transform(fit, lambda r: F.struct(r["label"].alias("label"), r["tier"].alias("tier"), r["place"].alias("place"),
                                                    _extract(c["text"], r["regex"]).alias("text")))
         hits = F.filter(hits, lambda h: h["text"] != "")
