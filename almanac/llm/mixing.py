@@ -12,13 +12,9 @@ from __future__ import annotations
 
 import zlib
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from almanac.llm import text_arrays as ta
 from almanac.llm.common import documents, numbered
 
 WEIGHTS = (3, 1, 2)
@@ -55,12 +51,10 @@ def offset(source: str | None, seed: int) -> float:
     return zlib.crc32(name, zlib.crc32(str(seed).encode())) / 2**32
 
 
-@F.arrow_udf(T.LongType())
-def word_count(text: pa.Array) -> pa.Array:
-    out = [np.zeros(0, np.int64)]
-    for piece in ta.chunks(pa.RecordBatch.from_arrays([text], ["text"]), "text"):
-        out.append(np.diff(ta.word_spans(*ta.utf8(piece.column("text")))[2]))
-    return pa.array(np.concatenate(out).astype(np.int64))
+def word_count(text: Column) -> Column:
+    """Number of maximal runs other than space and 0x09-0x0D; 0 for null and empty texts.
+    Texts of any length are counted whole."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def mixed(docs: DataFrame, size: Column, source: Column, tie: tuple[Column, ...],
@@ -100,7 +94,7 @@ def emitted(mix: DataFrame) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "source", word_count("text").alias("size"),
+    docs = documents(spark, sf_dir).select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size"),
                                            F.xxhash64("text").alias("text_hash"))
     mix = mixed(docs, F.col("size"), F.col("source"), (F.col("doc_id"), F.col("text_hash")))
     return mix.select("row.doc_id", "row.size", "source_size", "target",

@@ -79,3 +79,10 @@ def test_query(spark, sf_dir):
     for rows in by.values():
         assert rows[0].source_size == sum(r.size for r in rows)
         assert abs(sum(r.taken for r in rows) - rows[0].target) <= 2 * max(r.size for r in rows)
+
+
+def test_word_count(spark):
+    texts = [None, "", " \t\n\x0b\x0c\r", "a", " a  b\nc ", "é\u3000ü \U0001f600", "x" * 300_000, "w " * 200_000, "\x00 \x1c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: r.n for r in df.select("i", mixing.word_count(df.text).alias("n")).collect()}
+    assert got == {i: len([w for w in __import__("re").split("[\x20\x09-\x0d]+", t or "") if w]) for i, t in enumerate(texts)}
