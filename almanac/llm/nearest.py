@@ -122,18 +122,18 @@ def augmented(x: np.ndarray, most: float) -> np.ndarray:
 
 
 def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int, scores: np.ndarray, k: int):
-    """The k best rows for one query. ``scores`` choose the candidates; those kept
-    are scored again one by one, so equal vectors have equal scores."""
+    """Places and scores of the k best rows for one query. ``scores`` choose the candidates;
+    those kept are scored again one by one, so equal vectors have equal scores."""
     use = ids != own
     if not use.any():
-        return ids[:0], scores[:0]
+        return np.zeros(0, np.int64), scores[:0]
     scores = np.where(use, scores, -np.inf)
     n = min(k, int(use.sum()))
     edge = np.partition(scores, len(scores) - n)[len(scores) - n]
     at = np.flatnonzero(use & (scores >= edge - 1e-9 * max(1.0, abs(edge))))
     exact = (x[at] * q).sum(axis=1)
     order = np.lexsort((ids[at], -exact))[:n]
-    return ids[at][order], exact[order]
+    return at[order], exact[order]
 
 
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("leaf", pa.int64())])
@@ -142,12 +142,11 @@ HITS_DDL = "query_id long, vec_id long, score double, leaf long"
 
 def _hits(queries: np.ndarray, owns: np.ndarray, x: np.ndarray, ids: np.ndarray, leaves: np.ndarray, k: int) -> pa.Table:
     out = []
-    leaf_of = dict(zip(ids.tolist(), leaves.tolist(), strict=True))
     for a in range(0, len(queries), 256):
         scores = queries[a:a + 256] @ x.T
         for q, own, s in zip(queries[a:a + 256], owns[a:a + 256].tolist(), scores, strict=True):
             found, score = best(q, x, ids, own, s, k)
-            out.append((np.full(len(found), own), found, score, np.array([leaf_of[i] for i in found.tolist()], np.int64)))
+            out.append((np.full(len(found), own), ids[found], score, leaves[found]))
     cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, HITS, strict=True)], schema=HITS)
 

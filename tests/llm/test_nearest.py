@@ -133,3 +133,15 @@ def test_query_recall(spark, sf_dir):
             want = {w[0] for w in brute(ids, x, v, q, 20)}
             found, total = found + len(want & got[q]), total + len(want)
     assert found / total >= 0.9
+
+
+def test_rows_of_one_id_keep_their_own_leaves(spark, monkeypatch):
+    """Two far-apart rows of one id: both are candidates, each found in its own leaf."""
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(4, 0.1, (60, 3)), rng.normal(-4, 0.1, (60, 3))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(500, [4.0, 4.0, 4.2]), (500, [-4.0, -4.0, -4.2])]
+    got = run(spark, rows, k=120, recall=1.0)
+    for q in (0, 20, 60, 80, 100):
+        want = brute(np.array([i for i, _ in rows]), np.array([v for _, v in rows]), x[q], q, 120)
+        assert [f[1] for f in got[q]] == [w[0] for w in want] and [f[1] for f in got[q]].count(500) == 2
