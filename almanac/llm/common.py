@@ -3,10 +3,11 @@ of a total order."""
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.operators.numbering import numbered
 from almanac.session import settle
 
 
@@ -29,6 +30,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def numbered(df: DataFrame, *order: Column | str, name: str = "row_number") -> DataFrame:
+    """``df`` with 0-based row numbers in the given order, settled in the shared folder.
+    A range shuffle and a sort place each row within its partition; the partitions'
+    sizes, one row each, reach the driver and shift them. Rows equal in all of ``order``
+    take any order among themselves."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    rows = settle(sorted_, "numbered")  # the ids hold the partition and the place in it
+    part, place = F.shiftright("_id", 33).cast("int"), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = {r.part: r.n for r in rows.groupBy(part.alias("part")).agg((F.max(place) + 1).alias("n")).collect()}
+    firsts = dict(zip(sorted(sizes), accumulate([0, *(sizes[p] for p in sorted(sizes))]), strict=False))
+    starts = df.sparkSession.createDataFrame(list(firsts.items()), "_part int, _start long")
+    # a row per partition: small enough to broadcast for any number of them
+    return (rows.withColumn("_part", part).join(F.broadcast(starts), "_part")
+            .withColumn(name, F.col("_start") + place).drop("_id", "_part", "_start"))
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``links(a long, b long)`` as (node, component), the
     component being its smallest node. Alternating large-star and small-star

@@ -103,8 +103,8 @@ def compared(docs: DataFrame) -> DataFrame:
 
     The order is descending doc_id (nulls last), rows of one id by text hash; the
     row after the last is the first, so a single row is its own successor. Null
-    text is empty; an empty text equals its edited text. Repeated rows each give a
-    row. Extra columns are ignored; an empty table gives an empty result.
+    text is empty; an empty text equals its edited text; texts of any length are read
+    whole. Repeated rows each give a row. Extra columns are ignored; an empty table gives an empty result.
 
     Texts move once: ids alone give exact cut points, rows go to the shard of their
     range, and each shard's first row also goes to the shard before it."""

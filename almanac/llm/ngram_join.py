@@ -386,7 +386,8 @@ def near_duplicates(docs: DataFrame, key: Column | None = None) -> DataFrame:
     links), component (a name of the component that holds also where doc_ids repeat;
     null without shingles) and key (a long of the caller's that tells rows apart). Null or wordless text: no shingles, linked with nothing, component_id
     is the row's own doc_id. Fewer than five words: the whole sequence is the one
-    shingle. Repeated rows and equal texts are one class and link. A null doc_id
+    shingle. Texts of any length are read whole, one chunk of documents at a time.
+    Repeated rows and equal texts are one class and link. A null doc_id
     is ignored by the minimum (a component of only such rows has a null id). An
     empty table gives an empty result."""
     # columns, less than one per two bytes, in blocks that hold so many on average

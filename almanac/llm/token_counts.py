@@ -229,7 +229,7 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens"
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit for each row of ``docs(doc_id, text)``.
 
-    Null and empty texts have no tokens. Repeated rows stay repeated, a null doc_id
+    Null and empty texts have no tokens; texts of any length are counted whole. Repeated rows stay repeated, a null doc_id
     stays null, extra columns are ignored, an empty table gives an empty result."""
     import public_tokenizers
     path = path or public_tokenizers.path("piece_bpe_32k.model")

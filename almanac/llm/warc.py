@@ -146,7 +146,8 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL_BYTES) -> Dat
     """Write ``pages(page_id, url, html)`` as WARC files under ``folder`` and return
     the manifest (also written to ``folder/manifest``).
 
-    Null html is an empty payload; a null url becomes ``urn:page:<id>``; extra columns
+    Payloads of any length are written whole, one record at a time. Null html is an
+    empty payload; a null url becomes ``urn:page:<id>``; extra columns
     are ignored; an empty table writes no file. Of rows with the same payload of at
     least LEAST_PAYLOAD bytes the one with the smallest page_id is the response;
     if that id repeats with this payload, one of its rows is, and the others revisit it.
