@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.errors import ValidationError
@@ -35,33 +35,43 @@ def category_orders(df: DataFrame, pairs: Sequence[tuple[str, str]], strict: boo
     """Ordered categories among cumulative rows: for each (small, large) pair,
     ``large >= small`` on every common key (``large > small`` when ``strict``).
 
-    The key leaves out unit and category, and rows are compared one by one: rows
-    of the same unit with each other, a row without a partner of its unit with
-    every row of units the other side alone has. A missing value on either side
-    is a violation. All pairs are checked in one aggregation; a key's rows are
-    its categories and units, so the collected list is short. Returns the
-    violating rows: category, other_category, the key, both units and values."""
+    The key leaves out unit and category. Per key, values of one unit are compared
+    with each other; units that one side alone has are compared with all units that the
+    other side alone has. Rows that repeat a key, category and unit count as one: the
+    smaller category's largest value and the larger one's smallest, and a missing value
+    among them (null or NaN, on either side) is a violation.
+
+    One partial aggregation gives each key and unit its values by category, in columns
+    of fixed width; only units that lack a partner meet in a further join. Returns the
+    violations: category, other_category, the key, both units and values."""
     keys = list(keys) if keys is not None else _row_keys(df)
     names = sorted({c for p in pairs for c in p})
     base = df.filter((F.col("measurement") == measurement) & F.col("category").isin(names))
-    rows = base.groupBy(*keys).agg(F.collect_list(F.struct("category", "unit", "value")).alias("rows"))
-    wanted = F.array(*[F.struct(F.lit(a).alias("small"), F.lit(b).alias("large")) for a, b in pairs])
-    side = lambda name: F.filter("rows", lambda r: r["category"] == F.col(name))
-    rows = rows.withColumn("pair", F.explode(wanted)).select(
-        *keys, F.col("pair.small").alias("category"), F.col("pair.large").alias("other_category"), "rows")
-    rows = rows.withColumns({"smalls": side("category"), "larges": side("other_category")}).drop("rows")
-    unit_in = lambda unit, rows: F.exists(rows, lambda r: r["unit"].eqNullSafe(unit))
-    rows = rows.withColumn("s", F.explode("smalls"))
-    partners = F.when(unit_in(F.col("s.unit"), F.col("larges")),
-                      F.filter("larges", lambda r: r["unit"].eqNullSafe(F.col("s.unit")))).otherwise(
-        F.filter("larges", lambda r: ~unit_in(r["unit"], F.col("smalls"))))
-    rows = rows.withColumn("l", F.explode(partners))
-    small, large = F.col("s.value"), F.col("l.value")
-    bad = (large <= small) if strict else (large < small)
+    value = F.col("value")
+    of = lambda name, v: F.when(F.col("category") == name, v)
+    stats = [f(of(name, F.lit(1) if kind == "n" else value)).alias(f"{kind}{i}") for i, name in enumerate(names)
+             for kind, f in (("n", F.count), ("known", F.count), ("least", F.min), ("most", F.max))]
+    by_unit = base.groupBy(*keys, "unit").agg(*stats)
+
+    def side(i: int, smaller: bool) -> Column:
+        """The value that counts; null and NaN come before all others."""
+        none = F.col(f"known{i}") < F.col(f"n{i}")
+        return F.when(none, None).when(F.isnan(f"most{i}"), F.col(f"most{i}")).otherwise(F.col(f"most{i}" if smaller else f"least{i}"))
+
+    at = names.index
+    sides = by_unit.select(*keys, "unit", F.explode(F.array(*[
+        F.struct(F.lit(a).alias("category"), F.lit(b).alias("other_category"), (F.col(f"n{at(a)}") > 0).alias("has_small"),
+                 (F.col(f"n{at(b)}") > 0).alias("has_large"), side(at(a), True).alias("small_value"), side(at(b), False).alias("large_value"))
+        for a, b in pairs])).alias("p")).select(*keys, "unit", "p.*")
+    columns = ["category", "other_category", *keys, "small_unit", "large_unit", "small_value", "large_value"]
+    both = sides.where("has_small and has_large").withColumns({"small_unit": F.col("unit"), "large_unit": F.col("unit")}).select(columns)
+    on = [*keys, "category", "other_category"]
+    alone = sides.where("has_large and not has_small").select(*[F.col(c).alias(f"__{c}") for c in on], F.col("unit").alias("large_unit"), "large_value")
+    across = (sides.where("has_small and not has_large").withColumnRenamed("unit", "small_unit").drop("large_value")
+              .join(alone, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on]).select(columns))
+    small, large = F.col("small_value"), F.col("large_value")
     missing = small.isNull() | large.isNull() | F.isnan(small) | F.isnan(large)
-    return (rows.filter(missing | bad)
-            .select("category", "other_category", *keys, F.col("s.unit").alias("small_unit"),
-                    F.col("l.unit").alias("large_unit"), small.alias("small_value"), large.alias("large_value")))
+    return both.unionByName(across).filter(missing | ((large <= small) if strict else (large < small)))
 
 
 def category_order_check(df: DataFrame, small: str, large: str, strict: bool = False,

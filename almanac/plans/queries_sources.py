@@ -180,6 +180,10 @@ def q_flatten_hierarchy(spark, sf):
                                        ("DM2", ["o_orderkey", "o_totalprice"])], keep=["page"])
 
 
+#: Levels of objects and arrays in an event document.
+DOCUMENT_DEPTH = 3
+
+
 def _event_documents(spark, sf):
     """Events as nested JSON documents (objects, an array, a parsed object)."""
     ev = table(spark, sf, "events")
@@ -199,7 +203,7 @@ UNION ALL SELECT event_id, 'meta_type', event_type FROM events
 UNION ALL SELECT event_id, 'metrics_0', CAST(value AS VARCHAR) FROM events
 UNION ALL SELECT event_id, 'props_k', json_extract_string(props, '$.k') FROM events""")
 def q_flatten_nested_paths(spark, sf):
-    long = PG.flatten_json_long(_event_documents(spark, sf), "event_id", "doc")
+    long = PG.flatten_json_long(_event_documents(spark, sf), "event_id", "doc", max_depth=DOCUMENT_DEPTH)
     return long.select("id", "path", "value")
 
 
@@ -207,7 +211,7 @@ def q_flatten_nested_paths(spark, sf):
 SELECT event_id AS id, CAST(user_id AS VARCHAR) AS who, CAST(value AS VARCHAR) AS doses,
        event_type AS kind, json_extract_string(props, '$.k') AS k FROM events""")
 def q_pick_by_path_substring(spark, sf):
-    long = PG.flatten_json_long(_event_documents(spark, sf), "event_id", "doc")
+    long = PG.flatten_json_long(_event_documents(spark, sf), "event_id", "doc", max_depth=DOCUMENT_DEPTH)
     # first path (document order) containing each substring: "user" hits
     # meta_user_id, "_k" hits props_k
     return PG.pick_long_by_path_substring(long, {"who": "user", "doses": "metrics", "kind": "type",

@@ -192,7 +192,7 @@ def _depth(j):
         F.aggregate(F.split(brackets, ""), start, lambda a, c: F.when(c == "", a).otherwise(step(a, c)), lambda a: a["most"]))
 
 
-def flatten_json_long(df: DataFrame, id_col: str, json_col: str, sep: str = "_") -> DataFrame:
+def flatten_json_long(df: DataFrame, id_col: str, json_col: str, sep: str = "_", max_depth: int | None = None) -> DataFrame:
     """Ragged JSON documents -> long form ``(id, path, ord, value)``, of any depth.
 
     ``path`` joins object keys and array positions with ``sep`` (``X_0_M0``),
@@ -200,11 +200,16 @@ def flatten_json_long(df: DataFrame, id_col: str, json_col: str, sep: str = "_")
     text. Each level is a single explode: an object yields its entries, an array
     its elements, a scalar passes through as itself, so the plan stays linear in
     the depth and documents of any shape are flattened in parallel without a
-    schema. The number of levels is measured first (one aggregate over the
-    documents). Empty objects and arrays have no leaves.
+    schema. Empty objects and arrays have no leaves.
+
+    With ``max_depth`` the plan has so many levels and no job runs before it does; a
+    deeper document fails. Without it the number of levels is measured first (one
+    aggregate over the documents). A level reads what is left of a document's objects
+    and arrays as text: VARIANT would parse it once, but holds the fields of an object by
+    name, and paths are wanted in document order.
     """
     marked = F.regexp_replace(F.col(json_col), _STRING, f'"{_TEXT}$1"')
-    depth = df.agg(F.max(_depth(F.col(json_col)))).first()[0] or 0
+    depth = max_depth if max_depth is not None else df.agg(F.max(_depth(F.col(json_col)))).first()[0] or 0
     cur = df.select(F.col(id_col).alias("id"), F.lit("").alias("path"),
                     F.array().cast("array<int>").alias("ord"), marked.alias("j"), F.lit(False).alias("leaf"))
     bare = lambda s: F.when(s.startswith(_TEXT), F.substring(s, 2, F.length(s))).otherwise(s)
@@ -226,6 +231,10 @@ def flatten_json_long(df: DataFrame, id_col: str, json_col: str, sep: str = "_")
             F.when(F.col("__c.leaf"), F.col("ord"))
             .otherwise(F.concat("ord", F.array(F.col("__p").cast("int")))).alias("ord"),
             F.col("__c.c").alias("j"), F.col("__c.leaf").alias("leaf"))
+    if max_depth is not None:
+        left = ~F.col("leaf") & F.coalesce(F.ltrim("j").rlike(r"^[\[{]"), F.lit(False))
+        cur = cur.withColumn("j", F.when(left, F.raise_error(F.concat(F.lit("document deeper than max_depth: "), F.col("id").cast("string")))
+                                         .cast("string")).otherwise(F.col("j")))
     return cur.select("id", "path", "ord", bare(F.col("j")).alias("value"))
 
 

@@ -375,6 +375,21 @@ def test_flatten_json_any_depth_and_keys(spark):
         (1, path): "1", (2, 'it\'s "q"'): "5", (2, "t"): '{"not": "parsed"}', (2, "u"): "[1]", (2, "b"): "true", (3, ""): "7"}
 
 
+def test_flatten_json_of_a_planned_depth(spark):
+    import json
+
+    from pyspark.errors import PySparkException
+    docs = [(1, json.dumps({"a": {"b": [1, {"c": "[x"}]}, "d": "{"})), (2, "5"), (3, None), (4, json.dumps({"e": {}, "f": [[]]}))]
+    df = spark.createDataFrame(docs, "rid int, doc string")
+    rows = lambda out: sorted((r.id, r.path, r.ord, r.value) for r in out.collect())
+    whole = rows(PG.flatten_json_long(df, "rid", "doc"))
+    assert rows(PG.flatten_json_long(df, "rid", "doc", max_depth=4)) == rows(PG.flatten_json_long(df, "rid", "doc", max_depth=9)) == whole
+    with pytest.raises(PySparkException, match="deeper than max_depth: 1"):
+        PG.flatten_json_long(df, "rid", "doc", max_depth=3).collect()
+    never = df.withColumn("doc", F.raise_error(F.lit("read while planning")).cast("string"))
+    PG.flatten_json_long(never, "rid", "doc", max_depth=4)  # no job runs
+
+
 def test_record_pages_missing_total_or_success(spark):
     schema = "page int, success boolean, result struct<total: bigint, records: array<struct<a: int>>>"
     for row in ((1, True, (None, [(1,)])), (1, None, (1, [(1,)]))):
@@ -422,6 +437,27 @@ def test_grown_dimension_is_no_longer_broadcast(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
+def _orders_frame(spark, rows):
+    return spark.createDataFrame([(l, D(2024, 1, 1), c, "cumulative", u, "all", "all", "all", "all", v) for l, c, u, v in rows],
+                                 "location int, dt date, category string, measurement string, unit string,"
+                                 " age string, race string, ethnicity string, sex string, value double")
+
+
+def test_category_orders_of_repeated_rows_and_several_units(spark):
+    """Rows of one key, category and unit count as one: the small side's largest value, the
+    large side's smallest; a missing one among them is a violation."""
+    rows = [(1, "initiated", "people", 1.0), (1, "initiated", "people", 9.0), (1, "doses", "people", 5.0), (1, "doses", "people", 12.0),
+            (2, "initiated", "people", 1.0), (2, "doses", "people", 5.0), (2, "doses", "people", None),
+            (3, "initiated", "people", float("nan")), (3, "doses", "people", 5.0),
+            (4, "initiated", "people", 3.0), (4, "doses", "people", 5.0), (4, "doses", "people", 4.0),
+            (5, "initiated", "a", 7.0), (5, "initiated", "b", 2.0), (5, "doses", "c", 5.0), (5, "doses", "d", 8.0),
+            (None, "initiated", None, 7.0), (None, "doses", "c", 5.0)]
+    got = {(r.location, r.small_unit, r.large_unit): (str(r.small_value), r.large_value)
+           for r in V.category_order_check(_orders_frame(spark, rows), "initiated", "doses").collect()}
+    assert got == {(1, "people", "people"): ("9.0", 5.0), (2, "people", "people"): ("1.0", None), (3, "people", "people"): ("nan", 5.0),
+                   (5, "a", "c"): ("7.0", 5.0), (None, None, "c"): ("7.0", 5.0)}
+
+
 def test_category_orders_keep_units_apart_and_report_missing(spark):
     rows = [(1, "initiated", "people", 10.0), (1, "doses", "people", 5.0), (1, "doses", "percentage", 50.0),
             (2, "initiated", "people", 10.0), (2, "doses", "doses", 5.0),
