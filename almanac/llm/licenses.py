@@ -36,8 +36,10 @@ PLUS = r"(?<=gpl-[0-9]\.[0-9])\+(?![0-9a-z\x{80}-\x{10ffff}])"
 BASE = ((("mit",), "mit"), (("apache",), "apache"), (("general", "public"), "gpl"))
 
 # Tiers: lower ones win. 1 versioned or tagged, 2 named, 3 bare name, 4 loose mention.
-VERSIONED, NAMED, BARE, LOOSE = 1, 2, 3, 4
-WEIGHT = {VERSIONED: 0.98, NAMED: 0.9, BARE: 0.8, LOOSE: 0.3}
+# 0 is an identifier of an SPDX expression: the others of the expression don't suppress it,
+# and it suppresses as tier 1 does.
+APART, VERSIONED, NAMED, BARE, LOOSE = 0, 1, 2, 3, 4
+WEIGHT = {APART: 0.98, VERSIONED: 0.98, NAMED: 0.9, BARE: 0.8, LOOSE: 0.3}
 
 
 class Rule(NamedTuple):
@@ -150,12 +152,17 @@ def build_rules() -> list[Rule]:
     spdx = {f"{s}-{v}" for s, _, vs in _FAMILIES for v in vs} | {s for s, _, vs in _FAMILIES if not vs}
     spdx |= {f"{s}-{v}" for s, _, vs, _ in _GNU for v in vs} | {f"cc-{c}-{v}" for c, _ in _CC for v in _CC_VERSIONS}
     spdx |= {f"bsd-{n}-clause" for n, _ in _BSD}
-    for label in sorted(spdx):
-        words = re.sub(r"[.-]", " ", label)
-        add("spdx", words.split()[0], rf"<spdx> license identifier {words}\b(?: only)?", label, VERSIONED)
-    for label in sorted({f"{s}-{v}" for s, _, vs, _ in _GNU for v in vs}):
-        words = re.sub(r"[.-]", " ", label)
-        add("spdx", words.split()[0], rf"<spdx> license identifier {words}(?: or later|plus)\b", f"{label}-or-later", VERSIONED)
+    spelled = {label: re.sub(r"[.-]", " ", label) for label in sorted(spdx)}
+    # what may stand before an identifier: up to two others, each with its form, an
+    # exception and the operator behind it
+    ahead = (r"(?: (?:" + "|".join(sorted(spelled.values(), key=len, reverse=True)) + r")(?: only| or later|plus)?"
+             r"(?: with(?: \w+){1,2}? exception(?: \d \d)?)? (?:or|and)){0,2}")
+    gnu = {f"{s}-{v}" for s, _, vs, _ in _GNU for v in vs}
+    for label, words in spelled.items():
+        longer = "".join(f"|{w.removeprefix(words)}" for w in spelled.values() if w.startswith(f"{words} "))
+        add("spdx", words.split()[0], rf"<spdx> license identifier{ahead} {words}\b(?! or later|plus{longer})", label, APART)
+        if label in gnu:
+            add("spdx", words.split()[0], rf"<spdx> license identifier{ahead} {words}(?: or later|plus)\b", f"{label}-or-later", APART)
     add("cc0", "cc0", r"<cc0>(?: 1 0)?(?: universal)?", "cc0-1.0", VERSIONED)
     add("unlicense", "unlicense", r"(?:\bthe )?<unlicense>", "unlicense", NAMED)
     add("wtfpl", "wtfpl", r"<wtfpl>", "wtfpl", NAMED)
@@ -227,7 +234,7 @@ def scan(docs: DataFrame) -> DataFrame:
     weight; 0 without any. Null and empty texts have zeros, null places and empty
     labels; texts of any length are read whole. Equal rows have equal results and all
     stay. Extra columns are ignored; an empty table gives an empty result. Of an SPDX
-    expression the first identifier counts."""
+    expression up to three identifiers count."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.regexp_count(text, F.lit(RAW_WORD)).cast("long").alias("n_words"),
                        F.when(text.rlike(GATE), text).otherwise("").alias("gated"))
@@ -277,7 +284,8 @@ def scan(docs: DataFrame) -> DataFrame:
         covered = F.greatest(*[F.when(tier >= t, a[f"e{t}"]).otherwise(none) for t in range(1, 5)]) >= end
         new = ~covered & ~F.array_contains(a["labels"], d["label"])
         weight = F.element_at(F.create_map(*[F.lit(x) for kv in WEIGHT.items() for x in kv]), tier)
-        return F.struct(*[F.when(tier == t, F.greatest(a[f"e{t}"], end)).otherwise(a[f"e{t}"]).alias(f"e{t}") for t in range(1, 5)],
+        counts = F.greatest(tier, F.lit(VERSIONED))
+        return F.struct(*[F.when(counts == t, F.greatest(a[f"e{t}"], end)).otherwise(a[f"e{t}"]).alias(f"e{t}") for t in range(1, 5)],
                         F.when(new, F.concat(a["labels"], F.array(d["label"]))).otherwise(a["labels"]).alias("labels"),
                         F.when(new, a["miss"] * (1 - weight)).otherwise(a["miss"]).alias("miss"))
 

@@ -48,6 +48,13 @@ NOTICES = {
     "Permission is hereby granted, free of charge, to any person obtaining a copy of it": "mit",
     "a driving licence for cars": "license-mention",
     "nothing of the kind": "",
+    "SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2.0,mit",
+    "// SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) AND MIT */": "bsd-3-clause,gpl-2.0,mit",
+    "SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 OR MPL-2.0 OR LGPL-2.1+": "gpl-2.0-or-later,lgpl-2.1-or-later,mpl-2.0",
+    "SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception AND NCSA and more words": "apache-2.0,ncsa",
+    "SPDX-License-Identifier: MIT\nthis file and that or zlib": "mit",
+    "SPDX-License-Identifier: BSD": "bsd",
+    "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by-sa-4.0",
     # the canonical GNU notices; the base phrase gpl always counts
     **{f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
        f"as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later "
