@@ -46,6 +46,11 @@ def numbered(df: DataFrame, *order: Column | str, name: str = "row_number") -> D
             .withColumn(name, F.col("_start") + place).drop("_id", "_part", "_start"))
 
 
+#: Edges of a file between two rounds, and the least number of files.
+EDGES = 1 << 17
+LEAST_FILES = 8
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``links(a long, b long)`` as (node, component), the
     component being its smallest node. Alternating large-star and small-star
@@ -65,7 +70,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                            F.struct("u", F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where("u <> v").distinct())
-        edges = settle(small, name)
+        # rounds don't add edges: as many files as the last round's fill
+        edges = settle(small if state is None else small.coalesce(max(LEAST_FILES, -(-state[0] // EDGES))), name)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == state:
             break

@@ -414,9 +414,9 @@ def near_duplicates(docs: DataFrame, key: Column | None = None) -> DataFrame:
 
     # classes of copies -> components of documents
     classes = documents_.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    linked = sets.join(found, sets.set_id == found.node).select("sig", "component").join(classes, "sig")
-    lowest = linked.groupBy("component").agg(F.min("least").alias("lowest"))
-    linked = linked.join(lowest, "component").select("sig", "component", "lowest")
+    linked = settle(sets.join(found, sets.set_id == found.node).select("sig", "component").join(classes, "sig"), "ngram-linked")
+    lowest = settle(linked.groupBy("component").agg(F.min("least").alias("lowest"), F.count("*").alias("sets")), "ngram-lowest")
+    linked = join_copies(linked, lowest, "component", "sets").select("sig", "component", "lowest")
     named = settle(classes.join(linked, "sig", "left").select(
         "sig", "copies", F.coalesce("lowest", "least").alias("component_id"),
         F.coalesce(F.concat(F.lit("linked "), "component"), F.concat(F.lit("alone "), F.hex("sig"))).alias("component")), "ngram-names")

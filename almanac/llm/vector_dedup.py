@@ -4,8 +4,9 @@ A hash is the largest coordinate (with its sign) of a vector after three rounds
 random signs and a fast Hadamard transform; several hashes make the code of a table.
 A vector also stands under the codes that cost the least to change to (multiprobe).
 The number of hashes grows with the logarithm of the number of vectors, so that
-vectors that have nothing in common rarely meet; the number of tables follows from a
-simulation of pairs that lie exactly at the threshold.
+vectors that have nothing in common rarely meet; the numbers of probes and tables are
+those with the fewest codes that bring together the wanted share of simulated pairs
+exactly at the threshold.
 
 Vectors that share a code get the smallest of them as their hub, and every hub-member
 pair is verified. Pairs of members are not listed:
@@ -35,12 +36,12 @@ from pyspark.sql import types as T
 from almanac.llm.common import components, documents, join_copies, settle
 
 COSINE = 0.93
-PROBES = 8
+PROBES = (0, 2, 4, 6, 8, 12, 16)
 #: Coordinates of a hash that probes may change to, and the most hashes of a code.
 ALTERNATIVES = 3
 MOST_HASHES = 6
 #: Vectors without likeness that a vector may meet, on average.
-CHANCE = 0.25
+CHANCE = 0.5
 #: Share of the pairs at the threshold that share a code.
 RECALL = 0.995
 MOST_TABLES = 64
@@ -67,10 +68,11 @@ def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Codes of unit vectors: ``tables`` of ``size`` hashes each."""
+    """Codes of unit vectors: ``tables`` of ``size`` hashes each, under which a vector
+    stands once and ``probes`` times more."""
 
-    def __init__(self, dim: int, size: int, tables: int):
-        self.dim, self.size, self.tables = dim, size, tables
+    def __init__(self, dim: int, size: int, tables: int, probes: int):
+        self.dim, self.size, self.tables, self.probes = dim, size, tables, probes
         self.width = 1 << max(dim - 1, 0).bit_length()
         rng = np.random.default_rng([SEED, dim, size])
         self.signs = rng.choice([-1.0, 1.0], size=(MOST_TABLES, size, 3, self.width))[:tables]
@@ -82,7 +84,7 @@ class Hashes:
         padded[:, :self.dim] = x
         few = min(ALTERNATIVES, self.width)
         combos = np.array(list(itertools.product(range(few), repeat=self.size)))
-        out = np.empty((n, self.tables, min(1 + PROBES, len(combos))), dtype=np.int64)
+        out = np.empty((n, self.tables, min(1 + self.probes, len(combos))), dtype=np.int64)
         for t in range(self.tables):
             code, loss = np.zeros((n, len(combos)), np.int64), np.zeros((n, len(combos)))
             for i in range(self.size):
@@ -98,30 +100,34 @@ class Hashes:
         return out
 
 
-def met(dim: int, size: int, cosine: float = COSINE) -> float:
-    """Share of the pairs of the given cosine that one table brings together."""
+def met(dim: int, size: int, cosine: float = COSINE) -> dict[int, float]:
+    """Share of the pairs of the given cosine that one table brings together, by probes."""
     if dim < 2:
-        return 1.0
+        return {0: 1.0}
     rng = np.random.default_rng(SEED)
     a, b = rng.normal(size=(2, SIMULATED, dim))
     a /= np.linalg.norm(a, axis=1)[:, None]
     b -= (a * b).sum(1)[:, None] * a
     b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1)[:, None]
-    hashes = Hashes(dim, size, 1)
+    hashes = Hashes(dim, size, 1, max(PROBES))
     x, y = hashes.codes(a)[:, 0], hashes.codes(b)[:, 0]
-    return float((x[:, :, None] == y[:, None, :]).any((1, 2)).mean())
+    same = x[:, :, None] == y[:, None, :]  # in the order of their cost: fewer probes are a head of them
+    return {p: float(same[:, :1 + p, :1 + p].any((1, 2)).mean()) for p in PROBES}
 
 
 def chosen(dim: int, rows: int, cosine: float = COSINE) -> Hashes:
-    """As many hashes as keep chance meetings rare among ``rows`` vectors, and as many
-    tables as the wanted recall takes."""
+    """Hashes, probes and tables with the fewest codes per vector, of those that reach the
+    wanted recall and keep chance meetings among ``rows`` vectors rare; where none does,
+    those with the fewest chance meetings."""
+    options = []
     for size in range(1, MOST_HASHES + 1):
-        p = met(dim, size, cosine)
-        tables = 1 if p >= RECALL else MOST_TABLES if p <= 0 else min(MOST_TABLES, int(np.ceil(np.log(1 - RECALL) / np.log(1 - p))))
-        hashes = Hashes(dim, size, tables)
-        if rows * tables * (1 + PROBES) ** 2 / (2.0 * hashes.width) ** size <= CHANCE:
-            break
-    return hashes
+        for probes, p in met(dim, size, cosine).items():
+            tables = 1 if p >= RECALL else MOST_TABLES + 1 if p <= 0 else int(np.ceil(np.log(1 - RECALL) / np.log(1 - p)))
+            if tables <= MOST_TABLES:
+                hashes = Hashes(dim, size, tables, probes)
+                chance = rows * tables * (1 + probes) ** 2 / (2.0 * hashes.width) ** size
+                options.append((max(chance, CHANCE), tables * (1 + probes), size, hashes))
+    return min(options, key=lambda o: o[:3])[3]
 
 
 PACKED = pa.schema([("vec_id", pa.int64()), ("key", pa.binary()), ("label", pa.string()), ("v", pa.binary())])
@@ -363,8 +369,8 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, vector: str = "embe
     named = classes.select("class", "key", "least", "n").join(found, F.col("class") == F.col("node"), "left").join(links, "class", "left")
     named = settle(named.select("key", "least", "n", F.coalesce("component", "class").alias("component"),
                                 (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "vector-named")
-    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = settle(named.join(lowest, "component").select("key", "n", "n_links", "component_id"), "vector-names")
+    lowest = settle(named.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("sets")), "vector-lowest")
+    names = settle(join_copies(named, lowest, "component", "sets").select("key", "n", "n_links", "component_id"), "vector-names")
     return (join_copies(ids, names, "key", "n")
             .select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                     F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))

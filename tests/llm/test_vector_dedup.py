@@ -105,7 +105,9 @@ def test_tables_follow_the_simulation():
     few, many = V.chosen(64, 100), V.chosen(64, 100_000)
     assert few.size < many.size
     for h in (few, many):
-        assert 1 - (1 - V.met(64, h.size)) ** h.tables >= V.RECALL - 1e-9
+        assert 1 - (1 - V.met(64, h.size)[h.probes]) ** h.tables >= V.RECALL - 1e-9
+        assert h.codes(np.eye(64)[:3]).shape == (3, h.tables, 1 + h.probes)
+    assert 100_000 * many.tables * (1 + many.probes) ** 2 / 128.0**many.size <= V.CHANCE
 
 
 def test_given_embeddings(spark):
