@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by inner product: a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample; every vector is then assigned to a leaf.
-An added coordinate (the root of the largest squared norm minus the vector's own)
+The tree is fitted on a bounded sample; every vector is then assigned to a leaf. A leaf
+that comes to hold many rows gets a tree of its own, fitted in a task on a bounded sample
+of the leaf, so leaves stay small in large tables (up to some million of them). These trees
+stay in a table: rows and queries meet the tree of their leaf in blocks. An added coordinate (the root of the largest squared norm minus the vector's own)
 turns the largest inner product into the smallest distance. A query walks the
 tree best bin first through a priority queue. How many leaves it visits at least
 is calibrated: for a bounded set of queries the true neighbours are found by brute
 force over all rows, and visits widen until their leaves cover the wanted recall,
-of all pairs and of as large a share of the queries each. A query whose leaves
+of all pairs and of as large a share of the queries each (in the outer tree, then in those
+of the leaves it opens). A query whose leaves
 hold fewer rows than it wants walks on until they do.
 
 Queries meet the members of their leaves in cells of bounded size on both sides,
@@ -16,11 +19,12 @@ so neither a crowded leaf nor a popular one lands in a single task.
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.common import documents, settle
@@ -35,6 +39,13 @@ BRANCH = 16
 LEAF_ROWS = 256
 CELL_MEMBERS = 4096
 CELL_QUERIES = 2048
+#: Rows from which a leaf is split, the sample that splits it, and the rows (or queries) that
+#: meet its tree in one task.
+SPLIT_ROWS = 16 * LEAF_ROWS
+SPLIT_SAMPLE = 16_384
+SPLIT_BLOCK = 65_536
+#: A place is a leaf of the outer tree and one of its own tree, in so many bits.
+INNER_BITS = 20
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -136,17 +147,17 @@ def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int, scores: np.nda
     return at[order], exact[order]
 
 
-HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("leaf", pa.int64())])
-HITS_DDL = "query_id long, vec_id long, score double, leaf long"
+HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("place", pa.int64())])
+HITS_DDL = "query_id long, vec_id long, score double, place long"
 
 
-def _hits(queries: np.ndarray, owns: np.ndarray, x: np.ndarray, ids: np.ndarray, leaves: np.ndarray, k: int) -> pa.Table:
+def _hits(queries: np.ndarray, owns: np.ndarray, x: np.ndarray, ids: np.ndarray, places: np.ndarray, k: int) -> pa.Table:
     out = []
     for a in range(0, len(queries), 256):
         scores = queries[a:a + 256] @ x.T
         for q, own, s in zip(queries[a:a + 256], owns[a:a + 256].tolist(), scores, strict=True):
             found, score = best(q, x, ids, own, s, k)
-            out.append((np.full(len(found), own), ids[found], score, leaves[found]))
+            out.append((np.full(len(found), own), ids[found], score, places[found]))
     cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, HITS, strict=True)], schema=HITS)
 
@@ -201,6 +212,8 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
 
     members = settle(good.mapInArrow(assign, "vec_id long, v binary, leaf long"), "ann-members")
     held = {r.leaf: r["count"] for r in members.groupBy("leaf").count().collect()}  # one row per leaf of the tree
+    large = {leaf: rows for leaf, rows in held.items() if rows > SPLIT_ROWS}
+    members, trees = _split(members, large, dim, most) if large else (members.select("vec_id", "v", _place("leaf").alias("place")), None)
     queries = (good.where(F.col("vec_id") % step == 0).groupBy("vec_id")
                .agg(F.min("v").alias("v"), F.count("*").alias("own")))  # own: rows of the id, no candidates
     total = queries.count()
@@ -216,10 +229,12 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield from _hits(cq, cid, matrix(b.column("v"), dim), b.column("vec_id").to_numpy(),
-                             b.column("leaf").to_numpy(), k).to_batches()
+                             b.column("place").to_numpy(), k).to_batches()
 
-    truth = _top(members.mapInArrow(brute, HITS_DDL), k).select("query_id", "leaf").collect()
-    visit = calibrated(tree, cq, cid, [(r.query_id, r.leaf) for r in truth], recall)
+    truth = [(r.query_id, r.place) for r in _top(members.mapInArrow(brute, HITS_DDL), k).select("query_id", "place").collect()]
+    each = recall if trees is None else recall**0.5
+    visit = calibrated(tree, cq, cid, [(q, place >> INNER_BITS) for q, place in truth], each)
+    inner = 1 if trees is None else _inner_visits(trees, large, dict(zip(cid.tolist(), cq, strict=True)), truth, each)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,31 +242,133 @@ def search(rows: DataFrame, k: int = K, step: int = QUERY_STEP, recall: float =
             leaves = [tree.visits(q, visit, held, k + own)
                       for q, own in zip(augmented(x, 0.0), b.column("own").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id"), packed(x), pa.array(leaves, pa.list_(pa.int64()))],
-                ["vec_id", "v", "leaves"])
-
-    probes = settle(queries.mapInArrow(probe, "vec_id long, v binary, leaves array<long>"), "ann-probes")
-    asked = {r.leaf: r["count"] for r in probes.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()}
-    shape = spark.createDataFrame([(int(i), -(-held[i] // CELL_MEMBERS), -(-asked[i] // CELL_QUERIES))
-                                   for i in held if i in asked], "leaf long, mb long, qb long")
-    shape = F.broadcast(shape)  # at most one row per leaf; leaves are bounded by SAMPLE
+                [b.column("vec_id"), packed(x), b.column("own"), pa.array(leaves, pa.list_(pa.int64()))],
+                ["vec_id", "v", "own", "leaves"])
+
+    probes = (queries.mapInArrow(probe, "vec_id long, v binary, own long, leaves array<long>")
+              .withColumn("leaf", F.explode("leaves")).drop("leaves"))
+    if trees is None:
+        probes = probes.select("vec_id", "v", _place("leaf").alias("place"))
+    else:
+        probes = _inner_probes(settle(probes, "ann-leaves"), trees, large, dim, inner, k)
+    probes = settle(probes, "ann-probes")
+    shape = settle(members.groupBy("place").agg(F.ceil(F.count("*") / CELL_MEMBERS).alias("mb"))
+                   .join(probes.groupBy("place").agg(F.ceil(F.count("*") / CELL_QUERIES).alias("qb")), "place"), "ann-shape")
     zero, block = F.lit(0).cast("long"), lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
-    left = (members.join(shape, "leaf").withColumn("m", block("mb")).withColumn("q", F.explode(F.sequence(zero, F.col("qb") - 1))))
-    right = (probes.withColumn("leaf", F.explode("leaves")).join(shape, "leaf")
+    left = (members.join(shape, "place").withColumn("m", block("mb")).withColumn("q", F.explode(F.sequence(zero, F.col("qb") - 1))))
+    right = (probes.join(shape, "place")
              .withColumn("q", block("qb")).withColumn("m", F.explode(F.sequence(zero, F.col("mb") - 1))))
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             return HITS.empty_table()
         return _hits(matrix(b.column("v"), dim), b.column("vec_id").to_numpy(), matrix(a.column("v"), dim),
-                     a.column("vec_id").to_numpy(), a.column("leaf").to_numpy(), k)
+                     a.column("vec_id").to_numpy(), a.column("place").to_numpy(), k)
 
-    cell = ("leaf", "m", "q")
+    cell = ("place", "m", "q")
     hits = (left.select(*cell, "vec_id", "v").groupBy(*cell)
             .cogroup(right.select(*cell, "vec_id", "v").groupBy(*cell)).applyInArrow(meet, HITS_DDL))
     return _top(hits, k).select("query_id", "rank", "vec_id", "score")
 
 
+def _place(leaf: str) -> Column:
+    return F.shiftleft(F.col(leaf), INNER_BITS)
+
+
+def _sizes(spark: SparkSession, large: dict[int, int]) -> DataFrame:
+    """Large leaves and their rows; the outer tree bounds their number."""
+    return F.broadcast(spark.createDataFrame(list(large.items()), "leaf long, rows long"))
+
+
+def _spread(rows: DataFrame, blocks: Column) -> DataFrame:
+    return rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(blocks).cast("long") - 1)))
+
+
+def _split(members: DataFrame, large: dict[int, int], dim: int, most: float) -> tuple[DataFrame, DataFrame]:
+    """Members with their places, and the trees of large leaves: (leaf, tree, held), the last
+    being the rows of each of its leaves."""
+    sizes = _sizes(members.sparkSession, large)
+    inside = members.join(sizes, "leaf")
+    share = F.least(F.lit(1.0), F.lit(SPLIT_SAMPLE) / F.col("rows"))
+    drawn = inside.where(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(1 << 30)) < share * (1 << 30))
+
+    def fit(table: pa.Table) -> pa.Table:
+        x = augmented(matrix(table.column("v"), dim), most)
+        tree = Tree(x, int(max(BRANCH, LEAF_ROWS * len(x) / table.column("rows")[0].as_py())))
+        return pa.table({"leaf": table.column("leaf").slice(0, 1), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    trees = settle(drawn.groupBy("leaf").applyInArrow(fit, "leaf long, tree binary"), "ann-trees")
+
+    def assign(rows: pa.Table, own: pa.Table) -> pa.Table:
+        leaf = np.zeros(rows.num_rows, np.int64)
+        if own.num_rows and rows.num_rows:
+            leaf = pickle.loads(own.column("tree")[0].as_py()).leaf_of(augmented(matrix(rows.column("v"), dim), most))
+        return pa.table({"vec_id": rows.column("vec_id"), "v": rows.column("v"),
+                         "place": pa.array((rows.column("leaf").to_numpy() << INNER_BITS) + leaf)})
+
+    blocks = F.col("rows") / SPLIT_BLOCK
+    rows = inside.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.ceil(blocks).cast("long"))).select("leaf", "block", "vec_id", "v")
+    placed = (rows.groupBy("leaf", "block").cogroup(_spread(trees.join(sizes, "leaf"), blocks).select("leaf", "block", "tree").groupBy("leaf", "block"))
+              .applyInArrow(assign, "vec_id long, v binary, place long"))
+    rest = members.join(sizes, "leaf", "left_anti").select("vec_id", "v", _place("leaf").alias("place"))
+    members = settle(placed.unionByName(rest), "ann-places")
+    held = (members.groupBy("place").count().select(F.shiftright("place", INNER_BITS).alias("leaf"), F.struct(
+        F.col("place").bitwiseAND((1 << INNER_BITS) - 1).alias("inner"), "count").alias("c")).groupBy("leaf").agg(F.collect_list("c").alias("held")))
+    return members, settle(trees.join(held, "leaf"), "ann-trees")  # as many as a tree has leaves
+
+
+def _opened(own: pa.Table) -> tuple[Tree, dict[int, int]]:
+    return pickle.loads(own.column("tree")[0].as_py()), {c["inner"]: c["count"] for c in own.column("held")[0].as_py()}
+
+
+def _inner_visits(trees: DataFrame, large: dict[int, int], queries: dict[int, np.ndarray], truth: list[tuple[int, int]], recall: float) -> int:
+    """Fewest visits within a large leaf at which the true neighbours that lie there are
+    reached, for a share ``recall`` of them and of the queries each."""
+    spark = trees.sparkSession
+    rows = [(place >> INNER_BITS, q, place & ((1 << INNER_BITS) - 1), queries[q].tobytes()) for q, place in truth if place >> INNER_BITS in large]
+    if not rows:
+        return 1
+
+    def rank(wanted: pa.Table, own: pa.Table) -> pa.Table:
+        out, order, tree = [], {}, _opened(own)[0] if own.num_rows and wanted.num_rows else None
+        for q, inner, v in zip(*(wanted.column(c).to_pylist() for c in ("query_id", "inner", "v")), strict=True):
+            if tree is not None and q not in order:
+                x = augmented(np.frombuffer(v)[None, :], 0.0)[0]
+                order[q] = {leaf: at + 1 for at, leaf in enumerate(tree.visits(x, tree.leaves))}
+            out.append((q, order[q][inner] if q in order else 1))
+        return pa.table({"query_id": pa.array([q for q, _ in out], pa.int64()), "rank": pa.array([r for _, r in out], pa.int64())})
+
+    wanted = spark.createDataFrame(rows, "leaf long, query_id long, inner long, v binary")
+    found: dict[int, list[int]] = {}
+    for r in wanted.groupBy("leaf").cogroup(trees.groupBy("leaf")).applyInArrow(rank, "query_id long, rank long").collect():
+        found.setdefault(r.query_id, []).append(r["rank"])
+    reached = lambda needed: sorted(needed)[max(0, int(np.ceil(recall * len(needed))) - 1)]
+    return max(reached([at for each in found.values() for at in each]), reached([reached(each) for each in found.values()]))
+
+
+def _inner_probes(probes: DataFrame, trees: DataFrame, large: dict[int, int], dim: int, visit: int, k: int) -> DataFrame:
+    """Places that the queries visit; in a large leaf its tree says which."""
+    sizes = _sizes(probes.sparkSession, large)
+    asked = probes.groupBy("leaf").agg(F.ceil(F.count("*") / SPLIT_BLOCK).alias("blocks"))  # a row per leaf of the outer tree
+    inside = probes.join(sizes, "leaf", "left_semi").join(F.broadcast(asked), "leaf")
+
+    def visits(rows: pa.Table, own: pa.Table) -> pa.Table:
+        ids, vectors, places = [], [], []
+        tree, held = _opened(own) if own.num_rows and rows.num_rows else (None, {})
+        x = matrix(rows.column("v"), dim) if rows.num_rows else np.zeros((0, dim))
+        for q, i, v, own_rows, leaf in zip(augmented(x, 0.0), *(rows.column(c).to_pylist() for c in ("vec_id", "v", "own", "leaf")), strict=True):
+            inner = [0] if tree is None else tree.visits(q, visit, held, k + own_rows)
+            ids += [i] * len(inner)
+            vectors += [v] * len(inner)
+            places += [(leaf << INNER_BITS) + at for at in inner]
+        return pa.table({"vec_id": pa.array(ids, pa.int64()), "v": pa.array(vectors, pa.binary()), "place": pa.array(places, pa.int64())})
+
+    rows = inside.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).select("leaf", "block", "vec_id", "v", "own")
+    own = _spread(trees.join(F.broadcast(asked), "leaf"), F.col("blocks")).select("leaf", "block", "tree", "held")
+    placed = rows.groupBy("leaf", "block").cogroup(own.groupBy("leaf", "block")).applyInArrow(visits, "vec_id long, v binary, place long")
+    return placed.unionByName(probes.join(sizes, "leaf", "left_anti").select("vec_id", "v", _place("leaf").alias("place")))
+
+
 def calibrated(tree: Tree, queries: np.ndarray, ids: np.ndarray, truth: list[tuple[int, int]], recall: float) -> int:
     """Fewest leaf visits at which the share of true neighbours in visited leaves
     reaches ``recall`` over all pairs, and for a share ``recall`` of the queries

@@ -145,3 +145,30 @@ def test_rows_of_one_id_keep_their_own_leaves(spark, monkeypatch):
     for q in (0, 20, 60, 80, 100):
         want = brute(np.array([i for i, _ in rows]), np.array([v for _, v in rows]), x[q], q, 120)
         assert [f[1] for f in got[q]] == [w[0] for w in want] and [f[1] for f in got[q]].count(500) == 2
+
+
+def test_large_leaves_have_trees_of_their_own(spark, monkeypatch):
+    """Few leaves in the outer tree: they are split, and recall holds over both trees."""
+    monkeypatch.setattr(nearest, "SAMPLE", 64)
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 24)
+    monkeypatch.setattr(nearest, "SPLIT_ROWS", 100)
+    monkeypatch.setattr(nearest, "SPLIT_SAMPLE", 200)
+    monkeypatch.setattr(nearest, "SPLIT_BLOCK", 150)  # several blocks per leaf
+    opened = []
+    split = nearest._split
+    monkeypatch.setattr(nearest, "_split", lambda members, large, *a: opened.append(large) or split(members, large, *a))
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=(20, 6))
+    x = centre[rng.integers(0, 20, 2400)] + 0.25 * rng.normal(size=(2400, 6))
+    x[100:160] = x[40]  # equal vectors
+    got = run(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    assert opened and sum(opened[0].values()) > 1200
+    ids, hit = np.arange(2400), 0
+    for q in range(0, 2400, 20):
+        want = brute(ids, x, x[q], q, 20)
+        assert [f[0] for f in got[q]] == list(range(1, 21)) and len({f[1] for f in got[q]}) == 20
+        hit += len({w[0] for w in want} & {f[1] for f in got[q]})
+    assert hit / (20 * 120) >= 0.93
+    exact = run(spark, [(i, v.tolist()) for i, v in enumerate(x)], recall=1.0)
+    missed = sum([f[1] for f in exact[q]] != [w[0] for w in brute(ids, x, x[q], q, 20)] for q in range(0, 2400, 20))
+    assert missed <= 6
