@@ -5,8 +5,10 @@ State changes are DataFrame -> DataFrame (new state) so they compose and can
 be checked; ``FactTable`` persists a state by rewriting only the touched
 partitions (Parquet has no MERGE/UPDATE): the new state of those partitions is settled
 in the shared folder, counted there, and written over the old one by Spark's dynamic
-partition overwrite. Upserts and deletes give the same state when run again from their
-batch, so a job that dies before the commit is mended by running it again.
+partition overwrite. A job that dies before that commit has changed nothing and is run
+again. One that dies within it can leave a partition's folder missing; the settled state
+(``fact-state-*`` in the shared folder) holds all rows of the touched partitions, and
+``write_state`` of it mends the table.
 """
 
 from __future__ import annotations
