@@ -286,8 +286,9 @@ def _stars(classes: DataFrame, hashes: dict[int, Hashes], kind: str, cosine: flo
             out[at] = cosines(x, y, np.arange(len(at)), np.arange(len(at)))
         return pa.array(out)
 
-    vectors = classes.select("class", "v")
-    rows = near.join(vectors, "class").join(vectors.select(F.col("class").alias("hub"), F.col("v").alias("w")), "hub")
+    vectors = classes.select("class", "v", "label")
+    rows = (near.join(vectors, "class").join(vectors.select(F.col("class").alias("hub"), F.col("v").alias("w"), F.col("label").alias("hub_label")), "hub")
+            .where("label = hub_label"))  # cells are hashes
     return settle(rows.select("hub", "class", likeness("v", "w").alias("cosine")), "vector-stars")
 
 

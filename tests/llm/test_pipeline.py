@@ -80,3 +80,49 @@ def test_empty_documents(spark, tmp_path):
     documents(spark, SF).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     documents(spark, SF, "labels").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def edge_tables(spark, root, labels):
+    long = " ".join(f"w{i * i % 7919}" for i in range(60_000))
+    plain = "Plain words number {0} stand in a row here. And more follow them, {0} of them in all."
+    rows = [(i, plain.format(i), "a" if i % 3 else None) for i in range(60)]
+    rows += [(100, None, "a"), (101, "", "b"), (102, " \n", "b"), (103, long, "a"), (104, long, "b"), (105, "a" + " " * 200_000 + "b", "a"),
+             (None, "no id stands here at all today", "b"), (5, plain.format(5), "a"), (5, plain.format(5), "a"), (106, "x" * 500_000, None)]
+    rows += [(200 + i, "one text that many rows here do share", "b") for i in range(30)]
+    docs = spark.createDataFrame([(i, t, "en", s, 7, "clash", 1, 2.5) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars int, component string, copies int, score double")
+    docs.repartition(3).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    return rows
+
+
+@pytest.mark.parametrize("labels", [[(i, 1, 0) for i in range(30)], [(i, int(i % 2), 0) for i in range(60)], [(None, 1, 0), (3, None, 0)]])
+def test_edge_rows_in_every_stage(spark, tmp_path, labels):
+    rows = edge_tables(spark, str(tmp_path), labels)
+    docs = documents(spark, str(tmp_path))
+    columns, kept = docs.columns, {t for _, t, _ in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = settle(stage(spark, docs, str(tmp_path)), f"edge-{name}")
+        assert docs.columns == columns
+        got = docs.collect()
+        assert {r.text for r in got} <= kept and {(r.component, r.copies, r.score, r.n_chars) for r in got} <= {("clash", 1, 2.5, 7)}
+        kept = {r.text for r in got}
+        if name == "quality_classifier":
+            assert len([r for r in got if (r.text or "").startswith("Plain")]) >= 0.9 * 62
+        if name == "ngram_jaccard_join":
+            assert len([r for r in got if r.text and len(r.text) > 100_000]) == len({r.text for r in got if r.text and len(r.text) > 100_000})
+            assert len([r for r in got if r.text and r.text.startswith("one text")]) <= 1
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert sorted({r.doc_id for r in out}, key=str) == sorted({r.doc_id for r in got}, key=str)
+    ends = {}
+    for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+        assert ends.get(r.sequence_id, 0) == r.offset
+        ends[r.sequence_id] = r.offset + r.length
+
+
+def test_a_model_that_rejects_all(spark, tmp_path, monkeypatch):
+    import numpy as np
+    edge_tables(spark, str(tmp_path), [(i, 1, 0) for i in range(30)])
+    monkeypatch.setattr(quality.Model, "score", lambda self, x: np.zeros(len(x)))
+    monkeypatch.setattr(quality, "THRESHOLD", 1.5)
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

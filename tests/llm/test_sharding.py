@@ -50,3 +50,16 @@ def test_query(spark, sf_dir):
     sizes = Counter(r.shard for r in got)
     assert set(sizes) == set(range(24)) and max(sizes.values()) - min(sizes.values()) <= 1
     assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+
+
+def test_query_on_null_and_long_texts(spark, tmp_path):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "é" * 400_000, "y"), (3, "é" * 400_000, "y"), (None, "n", None)] + [(i, f"t{i}", "z") for i in range(10, 40)]
+    spark.createDataFrame(rows, "doc_id long, text string, law string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sharding.op6_feistel_shards(spark, str(tmp_path)).collect()
+    want = sorted(((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows), key=str)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=str) == want
+    assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+    counts = Counter(r.shard for r in got)
+    assert set(counts) <= set(range(24)) and max(counts.values()) - min(counts.get(s, 0) for s in range(24)) <= 1
+    for s in counts:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(counts[s]))
