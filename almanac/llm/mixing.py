@@ -83,7 +83,8 @@ def mixed(docs: DataFrame, size: Column, source: Column, tie: tuple[Column, ...]
         "src string, source_size long, first long, target double, rate double, shift double").withColumnRenamed("src", "s")
     at = (F.col("at") - F.col("first")).cast("double")
     crossed = F.floor((at + 1) * F.col("rate") + F.col("shift")) - F.floor(at * F.col("rate") + F.col("shift"))
-    return (rows.join(plan, F.col("src").eqNullSafe(F.col("s")))
+    # a row per source, which the driver holds anyway; a shuffle would move the texts again
+    return (rows.join(F.broadcast(plan), F.col("src").eqNullSafe(F.col("s")))
             .select("row", "words", "source_size", "target", crossed.cast("long").alias("copies")))
 
 
