@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from almanac.llm import text_arrays as ta
 from almanac.llm.common import components, documents, join_copies, settle
 
-CHUNK_ENTRIES = 1_000_000
+CHUNK_ENTRIES = 500_000
 CHUNK_ROWS = 1 << 16
 KEY_BITS = 48
 LOW_BITS = 40
