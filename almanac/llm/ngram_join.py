@@ -448,4 +448,27 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).drop("key")
+    return near_duplicates(documents(spark, sf_dir)).drop("key", "component")
+
+
+#: The same rows by joining all shingles, for small tables.
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM words),
+classes AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+grams AS (SELECT rep, n, unnest(s) AS g FROM classes),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM grams a JOIN grams b ON a.g = b.g AND a.rep < b.rep
+   AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS node, rep AS least FROM classes
+  UNION SELECT e.b, r.least FROM reach r JOIN both_ways e ON e.a = r.node),
+named AS (SELECT node, min(least) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(n.component, d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes c ON len(d.s) > 0 AND c.s = d.s LEFT JOIN named n ON n.node = c.rep
+"""

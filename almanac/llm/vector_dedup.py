@@ -380,3 +380,19 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, vector: str = "embe
 
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
+#: The same rows from all pairs, for small tables.
+OP13_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS node, vec_id AS least FROM embeddings UNION SELECT l.b, r.least FROM reach r JOIN links l ON l.a = r.node),
+named AS (SELECT node, min(least) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, n.component_id, e.vec_id = n.component_id AS kept
+FROM embeddings e JOIN named n ON n.node = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
