@@ -305,3 +305,29 @@ def test_windowed_stream_equals_batch(spark, sf_dir):
     RL.run_windowed_stream(spark, landing, out, ckpt)
     batch = RL.windowed_metrics(RL.flatten_request_log(RL.parse_request_log(text)))
     assert sorted(batch.collect()) == sorted(RL.current_windows(spark, out).collect())
+
+
+def test_settled_state_mends_a_commit_that_died(spark, monkeypatch):
+    """Spark's commit takes a partition's folder away before the new one comes: the settled
+    state holds the rows that the batch did not bring."""
+    import shutil
+
+    from almanac.operators import store
+    t0 = dt.datetime(2024, 1, 1)
+    row = lambda m, loc, v: (dt.date(2024, m, 1), loc, 1, 1, 1, v, t0, "u", "n", False, None)
+    table = FactTable(spark, scratch_path(spark, "fact"))
+    table.write_state(_fact(spark, [row(1, "a", 1.0), (row(1, "b", 1.0)), row(2, "a", 1.0)]))
+    settled = []
+
+    def settle(df, name):
+        settled.append(store_settle(df, name))
+        return settled[-1]
+
+    store_settle = store.settle
+    monkeypatch.setattr(store, "settle", settle)
+    table.upsert(_fact(spark, [row(1, "a", 2.0)]))
+    want = sorted(table.read().collect())
+    shutil.rmtree(f"{table.path.removeprefix('file:')}/provider_id=1/dt_month=2024-01")
+    assert table.read().count() == 1
+    table.write_state(settled[-1])
+    assert sorted(table.read().collect()) == want and len(want) == 3
