@@ -48,6 +48,8 @@ BLOCK_ENTRIES = 1_000_000
 #: Entries of a column block on average, and bytes of text for one of them.
 BLOCK_COLUMNS = 2_000_000
 TEXT_BYTES = 6
+#: Bytes of text whose columns meet in one task.
+TASK_TEXT = 16 << 20
 
 DOC, SETS, LOCAL, QUERY, REPLY = range(5)
 FLOW = pa.schema([("dest", pa.int64()), ("kind", pa.int32()), ("chunk", pa.int64()), ("doc_id", pa.int64()),
@@ -395,8 +397,9 @@ def near_duplicates(docs: DataFrame, key: Column | None = None) -> DataFrame:
     bits = min(LOW_BITS, max(KEY_BITS - LOW_BITS, (size // TEXT_BYTES // BLOCK_COLUMNS).bit_length()))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (F.lit(None) if key is None else key).cast("long").alias("key"))
-    flow = text.mapInArrow(_incidence(bits), FLOW_DDL)
-    replied = flow.groupBy("dest").applyInArrow(_answer, FLOW_DDL)
+    tasks = size // TASK_TEXT + 1
+    flow = text.mapInArrow(_incidence(bits), FLOW_DDL).repartition(tasks, "dest")
+    replied = flow.groupBy("dest").applyInArrow(_answer, FLOW_DDL).repartition(tasks, "chunk")
     rows = settle(replied.groupBy("chunk").applyInArrow(_bounded(bits), ROWS_DDL), "ngram-rows")
     documents_ = rows.where(F.col("kind") == DOC).select("doc_id", "key", "n", "sig")
     every = rows.where(F.col("kind") == SETS)
