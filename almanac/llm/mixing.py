@@ -15,7 +15,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.common import documents, numbered
+from almanac.llm.common import documents, numbered, settle
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -95,8 +95,9 @@ def emitted(mix: DataFrame) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size"),
-                                           F.xxhash64("text").alias("text_hash"))
+    # settled: the sort by range looks at its input twice, and the texts are read once
+    docs = settle(documents(spark, sf_dir).select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size"),
+                                                  F.xxhash64("text").alias("text_hash")), "mix-sizes")
     mix = mixed(docs, F.col("size"), F.col("source"), (F.col("doc_id"), F.col("text_hash")))
     return mix.select("row.doc_id", "row.size", "source_size", "target",
                       (F.col("copies") * F.col("words")).alias("taken"), "copies", "row.source")
