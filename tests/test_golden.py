@@ -444,8 +444,8 @@ def _orders_frame(spark, rows):
 
 
 def test_category_orders_of_repeated_rows_and_several_units(spark):
-    """Rows of one key, category and unit count as one: the small side's largest value, the
-    large side's smallest; a missing one among them is a violation."""
+    """Rows that repeat a key, category and unit are compared one by one; a missing value
+    is a violation."""
     rows = [(1, "initiated", "people", 1.0), (1, "initiated", "people", 9.0), (1, "doses", "people", 5.0), (1, "doses", "people", 12.0),
             (2, "initiated", "people", 1.0), (2, "doses", "people", 5.0), (2, "doses", "people", None),
             (3, "initiated", "people", float("nan")), (3, "doses", "people", 5.0),
