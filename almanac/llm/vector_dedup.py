@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm.common import components, documents, join_copies, settle
+from almanac.llm.text_arrays import mix64
 
 COSINE = 0.93
 PROBES = (0, 2, 4, 6, 8, 12, 16)
@@ -89,7 +90,9 @@ class Hashes:
             code, loss = np.zeros((n, len(combos)), np.int64), np.zeros((n, len(combos)))
             for i in range(self.size):
                 y = rotated(padded, self.signs[t, i])
-                top = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :few]
+                top = np.argpartition(-np.abs(y), few - 1, axis=1)[:, :few]
+                size = np.abs(np.take_along_axis(y, top, axis=1))
+                top = np.take_along_axis(top, np.lexsort((top, -size), axis=1), axis=1)
                 value = np.take_along_axis(y, top, axis=1)
                 mark = top * 2 + (value < 0)
                 short = (np.abs(value[:, :1]) - np.abs(value)) ** 2
@@ -165,7 +168,13 @@ def _matrix(column, kind: str) -> np.ndarray:
 def _entries(kind: str, hashes: dict[int, Hashes]):
     """Cells of each class: hashes of (label, length, table, code)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item = np.dtype(kind).itemsize
+        item, salts = np.dtype(kind).itemsize, {}
+
+        def salt(label: str, dim: int) -> int:
+            if (label, dim) not in salts:
+                salts[label, dim] = int.from_bytes(hashlib.blake2b(f"{dim}:{label}".encode(), digest_size=8).digest())
+            return salts[label, dim]
+
         for b in batches:
             sizes = np.array([len(v) // item for v in b.column("v").to_pylist()], dtype=np.int64)
             for dim in np.unique(sizes).tolist():
@@ -176,12 +185,12 @@ def _entries(kind: str, hashes: dict[int, Hashes]):
                     x = x / np.abs(x).max(axis=1)[:, None]
                     codes = hashes[dim].codes(x / np.linalg.norm(x, axis=1)[:, None])
                     n, tables, each = codes.shape
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(part.column("class").to_numpy(), tables * each)),
-                         pa.array(np.full(n * tables * each, dim, np.int64)),
-                         part.column("label").take(pa.array(np.repeat(np.arange(n), tables * each))),
-                         pa.array(np.tile(np.repeat(np.arange(tables), each), n)), pa.array(codes.ravel())],
-                        ["class", "dim", "label", "table", "code"])
+                    own = np.array([salt(label, dim) for label in part.column("label").to_pylist()], dtype=np.uint64)
+                    with np.errstate(over="ignore"):
+                        cells = mix64(codes.astype(np.uint64) + np.arange(tables, dtype=np.uint64)[None, :, None] * np.uint64(0x9E3779B97F4A7C15))
+                        cells = mix64(cells ^ own[:, None, None])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("class").to_numpy(), tables * each)),
+                                                      pa.array(cells.ravel().view(np.int64))], ["class", "cell"])
     return run
 
 
@@ -269,9 +278,7 @@ def _meet(kind: str, cosine: float):
 
 def _stars(classes: DataFrame, hashes: dict[int, Hashes], kind: str, cosine: float) -> DataFrame:
     """(hub, class, cosine) of all vectors that share a code with a smaller one."""
-    entries = (classes.mapInArrow(_entries(kind, hashes), "class long, dim long, label string, table long, code long")
-               .select("class", F.xxhash64("label", "dim", "table", "code").alias("cell")))
-    entries = settle(entries, "vector-cells")
+    entries = settle(classes.mapInArrow(_entries(kind, hashes), "class long, cell long"), "vector-cells")
     hubs = entries.groupBy("cell").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub < last").select("cell", "hub")
     near = settle(entries.join(hubs, "cell").where("class <> hub").select("hub", "class").distinct(), "vector-neighbours")
 
